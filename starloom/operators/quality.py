@@ -198,6 +198,41 @@ def table_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     )
 
 
+def null_fractions(df: DataFrame, limits: Mapping[str, float]) -> DataFrame:
+    """Per column: share of missing values, its maximum, and whether it is above (Q2)."""
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            null_fraction(c).alias("null_fraction"),
+            F.lit(float(m)).alias("max_fraction"),
+            F.coalesce(null_fraction(c) > F.lit(float(m)), F.lit(False)).alias("violates"),
+        )
+        for c, m in limits.items()
+    ]
+    return table_counts(df, limits).select(F.inline(F.array(*rows)))
+
+
+def column_contract(df: DataFrame, contract: Contract) -> DataFrame:
+    """Per declared column: expected and actual type, missing values, and both verdicts."""
+    rows = []
+    present = [c.name for c in contract.columns if c.name in df.columns]
+    for rule in contract.columns:
+        found = rule.name in present
+        actual = name_of(df.schema[rule.name].dataType) if found else None
+        missing = col(f"__missing_{rule.name}") if found else F.lit(None).cast("bigint")
+        rows.append(
+            F.struct(
+                F.lit(rule.name).alias("column_name"),
+                F.lit(spark_name(rule.type)).alias("expected_type"),
+                F.lit(actual).cast("string").alias("actual_type"),
+                missing.alias("missing_count"),
+                F.lit(actual == spark_name(rule.type)).alias("type_ok"),
+                F.coalesce(F.lit(rule.nullable) | (missing == 0), F.lit(False)).alias("nulls_ok"),
+            )
+        )
+    return table_counts(df, present).select(F.inline(F.array(*rows)))
+
+
 def _scalar_checks(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
     columns: dict[str, None] = {}
     for _, check in checks:
