@@ -100,93 +100,80 @@ REPORT_SCHEMA = struct(
     position="int32",
 )
 
-
-def _row(position: int, passed: Column, messages: Column, recorded: bool = True, **values: Column) -> Column:
-    values |= {
-        "passed": passed,
-        "messages": messages,
-        "recorded": F.lit(recorded),
-        "position": F.lit(position),
-    }
-    return F.struct(
-        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in REPORT_SCHEMA.fields]
-    )
+# What is known of a check before any data is read.
+_DECLARED = struct(
+    position="int32",
+    check="string",
+    table="string",
+    threshold="bigint",
+    max_threshold="double",
+    key_columns=T.ArrayType(T.StringType()),
+    column="string",
+    expected="string",
+    actual_type="string",
+    fact_table="string",
+    dim_table="string",
+    fact_key="string",
+    dim_key="string",
+)
 
 
-def _unless(passed: Column, message: Column) -> Column:
-    return F.when(passed, F.array().cast("array<string>")).otherwise(F.array(message))
+def _declare(position: int, check: Check, tables: Mapping[str, DataFrame]) -> tuple:
+    values: dict[str, object] = {"position": position}
+    if isinstance(check, References):
+        values |= {
+            "check": "referential_integrity",
+            "fact_table": check.fact_label or check.fact,
+            "dim_table": check.dim_label or check.dim,
+            "fact_key": check.fact_key,
+            "dim_key": check.dim_key,
+        }
+    else:
+        values["table"] = check.label or check.table
+    if isinstance(check, RowCount):
+        values |= {"check": "row_count", "threshold": check.min_rows}
+    elif isinstance(check, NullFraction):
+        general = None if check.by_column is not None else float(check.max_fraction)
+        values |= {"check": "null_percentage", "max_threshold": general}
+    elif isinstance(check, DuplicateKeys):
+        values |= {"check": "duplicate_keys", "key_columns": list(check.keys)}
+    elif isinstance(check, DataType):
+        schema = tables[check.table].schema
+        actual = name_of(schema[check.column].dataType) if check.column in schema.names else None
+        values |= {
+            "check": "data_type",
+            "column": check.column,
+            "expected": spark_name(check.expected),
+            "actual_type": actual,
+        }
+    return tuple(values.get(name) for name in _DECLARED.names)
 
 
 def _percent(fraction: Column) -> Column:
     return F.format_string("%.1f%%", fraction * 100)
 
 
-def _row_count(check: RowCount, position: int) -> Column:
-    label = check.label or check.table
-    passed = F.col("__rows") > check.min_rows
-    message = F.concat(
-        F.lit(f"{label}: "), F.col("__rows").cast("string"), F.lit(f" rows, more than {check.min_rows} needed")
-    )
-    return _row(
-        position,
-        passed,
-        _unless(passed, message),
-        check=F.lit("row_count"),
-        table=F.lit(label),
-        threshold=F.lit(check.min_rows),
-        actual=F.col("__rows"),
-    )
-
-
 def null_fraction(column: str) -> Column:
     """Share of missing values, from the counts of ``table_counts``; null for no rows."""
     return F.try_divide(col(f"__missing_{column}"), F.col("__rows"))
 
 
-def _null_fraction(check: NullFraction, position: int, columns: Sequence[str]) -> Column:
-    label = check.label or check.table
-    limits = dict(check.by_column) if check.by_column is not None else dict.fromkeys(columns, check.max_fraction)
-    entries = F.array(
-        *[
-            F.struct(F.lit(c).alias("c"), null_fraction(c).alias("f"), F.lit(float(m)).alias("m"))
-            for c, m in limits.items()
-        ]
-    )
-    violating = F.filter(entries, lambda e: F.coalesce(e["f"] > e["m"], F.lit(False)))
-    messages = F.transform(
-        violating,
-        lambda e: F.concat(
-            F.lit(f"{label}."), e["c"], F.lit(": "), _percent(e["f"]), F.lit(" missing, at most "), _percent(e["m"])
-        ),
-    )
-    pairs = F.transform(violating, lambda e: F.struct(e["c"], e["f"]))
-    return _row(
-        position,
-        F.size(violating) == 0,
-        messages,
-        check=F.lit("null_percentage"),
-        table=F.lit(label),
-        max_threshold=F.lit(check.max_fraction if check.by_column is None else None),
-        violating_columns=F.map_from_entries(pairs),
-    )
+def _violations(limits: Mapping[str, float]) -> Column:
+    """Columns above their limit, with their share and the limit."""
+    entries = [
+        F.struct(F.lit(c).alias("c"), null_fraction(c).alias("f"), F.lit(float(m)).alias("m"))
+        for c, m in limits.items()
+    ]
+    return F.filter(F.array(*entries), lambda e: F.coalesce(e["f"] > e["m"], F.lit(False)))
 
 
-def _data_type(check: DataType, position: int, schema: T.StructType) -> Column:
-    label = check.label or check.table
-    if check.column not in schema.names:
-        missing = F.array(F.lit(f"{label}: no column {check.column}"))
-        return _row(position, F.lit(False), missing, recorded=False, check=F.lit("data_type"), table=F.lit(label))
-    actual, expected = name_of(schema[check.column].dataType), spark_name(check.expected)
-    passed = F.lit(actual == expected)
-    return _row(
-        position,
-        passed,
-        _unless(passed, F.lit(f"{label}.{check.column}: {actual}, expected {expected}")),
-        check=F.lit("data_type"),
-        table=F.lit(label),
-        column=F.lit(check.column),
-        expected=F.lit(expected),
-        actual=F.lit(actual),
+def _measure(position: int, amount: Column | None = None, violations: Column | None = None) -> Column:
+    amount = F.lit(None) if amount is None else amount
+    violations = F.lit(None) if violations is None else violations
+    return F.struct(
+        F.lit(position).alias("position"),
+        amount.cast("bigint").alias("__amount"),
+        violations.cast("array<struct<c:string,f:double,m:double>>").alias("__violations"),
     )
 
 
@@ -233,19 +220,17 @@ def column_contract(df: DataFrame, contract: Contract) -> DataFrame:
     return table_counts(df, present).select(F.inline(F.array(*rows)))
 
 
-def _scalar_checks(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
+def _scalar_measures(df: DataFrame, checks: Sequence[tuple[int, RowCount | NullFraction]]) -> DataFrame:
     columns: dict[str, None] = {}
-    for _, check in checks:
-        if isinstance(check, NullFraction):
-            columns |= dict.fromkeys(df.columns if check.by_column is None else check.by_column)
     rows = []
     for position, check in checks:
         if isinstance(check, RowCount):
-            rows.append(_row_count(check, position))
-        elif isinstance(check, NullFraction):
-            rows.append(_null_fraction(check, position, df.columns))
+            rows.append(_measure(position, amount=F.col("__rows")))
         else:
-            rows.append(_data_type(check, position, df.schema))
+            by_column = check.by_column
+            limits = dict.fromkeys(df.columns, check.max_fraction) if by_column is None else by_column
+            columns |= dict.fromkeys(limits)
+            rows.append(_measure(position, violations=_violations(limits)))
     return table_counts(df, columns).select(F.inline(F.array(*rows)))
 
 
@@ -254,29 +239,11 @@ def rows_in_duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*map(q, keys)).agg(F.count(F.lit(1)).alias("__copies")).filter("__copies > 1")
 
 
-def _duplicate_keys(df: DataFrame, check: DuplicateKeys, position: int) -> DataFrame:
-    label = check.label or check.table
+def _duplicate_measure(df: DataFrame, check: DuplicateKeys, position: int) -> DataFrame:
     if check.where:
         df = df.filter(check.where)
-    found = rows_in_duplicate_groups(df, check.keys).agg(
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("__duplicates")
-    )
-    passed = F.col("__duplicates") == 0
-    message = F.concat(
-        F.lit(f"{label}: "),
-        F.col("__duplicates").cast("string"),
-        F.lit(f" rows share their key ({', '.join(check.keys)})"),
-    )
-    row = _row(
-        position,
-        passed,
-        _unless(passed, message),
-        check=F.lit("duplicate_keys"),
-        table=F.lit(label),
-        key_columns=F.array(*map(F.lit, check.keys)),
-        duplicate_count=F.col("__duplicates"),
-    )
-    return found.select(F.inline(F.array(row)))
+    found = rows_in_duplicate_groups(df, check.keys).agg(F.coalesce(F.sum("__copies"), F.lit(0)).alias("n"))
+    return found.select(F.inline(F.array(_measure(position, amount=F.col("n")))))
 
 
 def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
@@ -289,44 +256,77 @@ def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> Dat
     return used.join(known, F.col("__key") == F.col("__known"), "left_anti")
 
 
-def _references(fact: DataFrame, dim: DataFrame, check: References, position: int) -> DataFrame:
-    fact_label, dim_label = check.fact_label or check.fact, check.dim_label or check.dim
-    counted = orphans(fact, dim, check.fact_key, check.dim_key).agg(F.count(F.lit(1)).alias("__orphans"))
-    passed = F.col("__orphans") == 0
-    message = F.concat(
-        F.lit(f"{fact_label}.{check.fact_key}: "),
-        F.col("__orphans").cast("string"),
-        F.lit(f" keys not in {dim_label}.{check.dim_key}"),
-    )
-    row = _row(
-        position,
-        passed,
-        _unless(passed, message),
-        check=F.lit("referential_integrity"),
-        fact_table=F.lit(fact_label),
-        dim_table=F.lit(dim_label),
-        fact_key=F.lit(check.fact_key),
-        dim_key=F.lit(check.dim_key),
-        missing_keys=F.col("__orphans"),
-    )
-    return counted.select(F.inline(F.array(row)))
+def _reference_measure(fact: DataFrame, dim: DataFrame, check: References, position: int) -> DataFrame:
+    found = orphans(fact, dim, check.fact_key, check.dim_key).agg(F.count(F.lit(1)).alias("n"))
+    return found.select(F.inline(F.array(_measure(position, amount=F.col("n")))))
 
 
 def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Run all checks; one row each, ``position`` gives the order of the suite."""
+    """Run all checks; one row each, ``position`` gives the order of the suite.
+
+    The measures are gathered from the tables, at most one row per check, then met with
+    what the checks declare, and judged together.
+    """
     if not checks:
         raise ValueError("a suite needs at least one check")
+    spark = next(iter(tables.values())).sparkSession
+    numbered = list(enumerate(checks, start=1))
+    declared = spark.createDataFrame([_declare(n, c, tables) for n, c in numbered], _DECLARED).coalesce(1)
     parts: list[DataFrame] = []
-    scalar: dict[str, list[tuple[int, Check]]] = {}
-    for position, check in enumerate(checks, start=1):
+    scalar: dict[str, list[tuple[int, RowCount | NullFraction]]] = {}
+    for position, check in numbered:
         if isinstance(check, DuplicateKeys):
-            parts.append(_duplicate_keys(tables[check.table], check, position))
+            parts.append(_duplicate_measure(tables[check.table], check, position))
         elif isinstance(check, References):
-            parts.append(_references(tables[check.fact], tables[check.dim], check, position))
-        else:
+            parts.append(_reference_measure(tables[check.fact], tables[check.dim], check, position))
+        elif not isinstance(check, DataType):
             scalar.setdefault(check.table, []).append((position, check))
-    parts += [_scalar_checks(tables[table], group) for table, group in scalar.items()]
-    return reduce(DataFrame.unionByName, parts)
+    parts += [_scalar_measures(tables[table], group) for table, group in scalar.items()]
+    if not parts:
+        return _judge(declared.withColumns({"__amount": F.lit(None), "__violations": F.lit(None).cast("array<struct<c:string,f:double,m:double>>")}))
+    # One row per check on either side.
+    measured = F.broadcast(reduce(DataFrame.union, parts))
+    return _judge(declared.join(measured, "position", "left"))
+
+
+def _judge(checks: DataFrame) -> DataFrame:
+    """Verdict, report columns and messages of measured checks."""
+    kind, amount, violations = F.col("check"), F.col("__amount").cast("bigint"), F.col("__violations")
+    counted = kind.isin("duplicate_keys", "referential_integrity")
+    absent = (kind == "data_type") & F.col("actual_type").isNull()
+    passed = (
+        F.when(kind == "row_count", amount > F.col("threshold"))
+        .when(kind == "null_percentage", F.size(violations) == 0)
+        .when(counted, amount == 0)
+        .otherwise(F.coalesce(F.col("actual_type") == F.col("expected"), F.lit(False)))
+    )
+    number = amount.cast("string")
+    reason = (
+        F.when(kind == "row_count", F.concat("table", F.lit(": "), number, F.lit(" rows, more than "), "threshold", F.lit(" needed")))
+        .when(kind == "duplicate_keys", F.concat("table", F.lit(": "), number, F.lit(" rows share their key ("), F.concat_ws(", ", "key_columns"), F.lit(")")))
+        .when(counted, F.concat("fact_table", F.lit("."), "fact_key", F.lit(": "), number, F.lit(" keys not in "), "dim_table", F.lit("."), "dim_key"))
+        .when(absent, F.concat("table", F.lit(": no column "), "column"))
+        .otherwise(F.concat("table", F.lit("."), "column", F.lit(": "), "actual_type", F.lit(", expected "), "expected"))
+    )
+    reasons = F.transform(
+        violations,
+        lambda e: F.concat(
+            F.col("table"), F.lit("."), e["c"], F.lit(": "), _percent(e["f"]), F.lit(" missing, at most "), _percent(e["m"])
+        ),
+    )
+    pairs = F.transform(violations, lambda e: F.struct(e["c"], e["f"]))
+    report = {
+        "actual": F.when(kind == "row_count", number).otherwise(F.col("actual_type")),
+        "passed": passed,
+        "violating_columns": F.map_from_entries(pairs),
+        "duplicate_count": F.when(kind == "duplicate_keys", amount),
+        "missing_keys": F.when(kind == "referential_integrity", amount),
+        "messages": F.when(passed, F.array().cast("array<string>"))
+        .when(kind == "null_percentage", reasons)
+        .otherwise(F.array(reason)),
+        "recorded": ~absent,
+    }
+    return checks.select(*[report.get(f.name, col(f.name)).alias(f.name) for f in REPORT_SCHEMA.fields])
 
 
 def quality_report(checks: DataFrame) -> DataFrame:
