@@ -15,6 +15,7 @@ from starloom.operators.keys import dense_keys, max_key
 from starloom.operators.scd import (
     close_versions,
     open_versions,
+    replaced_keys,
     require_single_current,
     scd2_changes,
 )
@@ -72,7 +73,7 @@ def merge_dimension(
 def merge_type0(existing: DataFrame, rows: DataFrame, spec: DimensionSpec, batch_ts: datetime) -> DataFrame:
     """Insert unseen natural keys, never update."""
     new = _unseen(existing, rows, spec.natural_keys, null_safe=True)
-    return _append(existing, new, spec, batch_ts)
+    return _append(existing, new, spec, batch_ts, max_key(existing, spec.key))
 
 
 def merge_scd1(
@@ -111,9 +112,10 @@ def merge_scd1(
 def merge_scd2(existing: DataFrame, rows: DataFrame, spec: DimensionSpec, batch_ts: datetime) -> DataFrame:
     """Close the open version of changed keys and add keyed new versions."""
     require_single_current(existing, spec.natural_keys)
-    inserts, closed = scd2_changes(existing, rows, spec.natural_keys, spec.attributes)
-    kept = close_versions(existing, closed, spec.natural_keys, batch_ts)
-    return _append(kept, inserts, spec, batch_ts, max_key(existing, spec.key))
+    changes = scd2_changes(existing, rows, spec.natural_keys, spec.attributes)
+    keyed = dense_keys(changes, spec.key, spec.natural_keys, max_key(existing, spec.key))
+    kept = close_versions(existing, replaced_keys(keyed, spec.natural_keys), spec.natural_keys, batch_ts)
+    return kept.unionByName(_with_audit(keyed, spec, existing.schema, batch_ts))
 
 
 def _unseen(existing: DataFrame, rows: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
@@ -122,9 +124,8 @@ def _unseen(existing: DataFrame, rows: DataFrame, keys: Sequence[str], null_safe
 
 
 def _append(
-    existing: DataFrame, new: DataFrame, spec: DimensionSpec, batch_ts: datetime, offset: int | None = None
+    existing: DataFrame, new: DataFrame, spec: DimensionSpec, batch_ts: datetime, offset: int
 ) -> DataFrame:
-    offset = max_key(existing, spec.key) if offset is None else offset
     keyed = dense_keys(new, spec.key, spec.natural_keys, offset)
     return existing.unionByName(_with_audit(keyed, spec, existing.schema, batch_ts))
 

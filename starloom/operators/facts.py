@@ -117,30 +117,41 @@ def star_rollup(
     averages: Sequence[str] = (),
     sums: Sequence[str] = (),
     digits: int | None = None,
+    fold_first: Sequence[str] = (),
 ) -> DataFrame:
     """Averages and sums of measures by dimension attributes.
 
-    ``by`` maps a dimension to the attributes to group by.  Facts are summed per foreign
-    key before they meet the dimensions, so the joins see one row per key combination
-    and a hot key is folded by the map side.
+    ``by`` maps a dimension to the attributes to group by.  Dimensions Spark can
+    broadcast are joined in place, and the facts are folded by attribute before any
+    shuffle.  Name a dimension too large for that in ``fold_first``: the facts are then
+    summed per key of it before they are shuffled to it, so a hot key arrives as few rows.
     """
-    keys = [star.dimension(d).key for d in by]
+
+    def joined(df: DataFrame, name: str) -> DataFrame:
+        key = star.dimension(name).key
+        return df.join(dims[name].select(q(key), *map(q, by[name])), key, "inner")
+
     value = {c: F.when(~is_missing(fact, c), col(c)) for c in [*averages, *sums]}
-    partial = fact.groupBy(*map(q, keys)).agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[F.sum(value[c]).alias(f"__sum_{c}") for c in dict.fromkeys([*averages, *sums])],
-        *[F.count(value[c]).alias(f"__n_{c}") for c in averages],
+    measures = list(dict.fromkeys([*averages, *sums]))
+    facts = fact.select(
+        *[q(star.dimension(d).key) for d in by],
+        F.lit(1).cast("bigint").alias("__rows"),
+        *[value[c].alias(f"__sum_{c}") for c in measures],
+        *[value[c].isNotNull().cast("bigint").alias(f"__n_{c}") for c in averages],
     )
-    for name, attributes in by.items():
-        key = star.dimension(name).key
-        partial = partial.join(dims[name].select(q(key), *map(q, attributes)), key, "inner")
+    totals = ["__rows", *[f"__sum_{c}" for c in measures], *[f"__n_{c}" for c in averages]]
+    for name in by:
+        if name not in fold_first:
+            facts = joined(facts, name).drop(star.dimension(name).key)
+    if fold_first:
+        kept = [c for c in facts.columns if c not in totals]
+        facts = facts.groupBy(*map(q, kept)).agg(*[F.sum(col(t)).alias(t) for t in totals])
+        for name in fold_first:
+            facts = joined(facts, name)
     attributes = [a for names in by.values() for a in names]
     shorten = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-    return partial.groupBy(*map(q, attributes)).agg(
+    return facts.groupBy(*map(q, attributes)).agg(
         F.sum("__rows").alias("fact_rows"),
-        *[
-            shorten(F.try_divide(F.sum(f"__sum_{c}"), F.sum(f"__n_{c}"))).alias(f"avg_{c}")
-            for c in averages
-        ],
-        *[F.sum(f"__sum_{c}").alias(f"sum_{c}") for c in sums],
+        *[shorten(F.try_divide(F.sum(col(f"__sum_{c}")), F.sum(col(f"__n_{c}")))).alias(f"avg_{c}") for c in averages],
+        *[F.sum(col(f"__sum_{c}")).alias(f"sum_{c}") for c in sums],
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import col, q
@@ -21,20 +21,19 @@ def dense_keys(
     """Number rows ``offset + 1 .. offset + n`` and put the key first.
 
     Rows are range partitioned by ``order_by``, staged, counted per sorted partition,
-    and numbered from the running total of the partitions before.  The totals are one
-    row per partition, which bounds both the broadcast and its window.  Without
-    ``order_by`` any dense numbering will do and the rows are not shuffled.
+    and numbered from the total of the partitions before.  The driver sees one count per
+    partition; the result is a projection of the staged table, whose size Spark knows
+    when it plans later joins.  Without ``order_by`` any dense numbering will do and the
+    rows are not shuffled.
     """
     columns = [c for c in df.columns if c != key]
     placed = in_order(df.select(*map(q, columns)), _nulls_first(order_by))
-    before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("__rows")).select(
-        CHUNK, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start")
-    )
-    number = F.lit(offset) + F.col("__start") + row_in_chunk() + 1
-    return placed.join(F.broadcast(starts), CHUNK).select(
-        number.cast("bigint").alias(key), *map(q, columns)
-    )
+    sizes = dict(placed.groupBy(CHUNK).agg(F.count(F.lit(1))).collect())
+    starts = [offset]
+    for chunk in range(max(sizes, default=0)):
+        starts.append(starts[-1] + sizes.get(chunk, 0))
+    start = F.get(F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>"), F.col(CHUNK).cast("int"))
+    return placed.select((start + row_in_chunk() + 1).cast("bigint").alias(key), *map(q, columns))
 
 
 def max_key(df: DataFrame, key: str) -> int:

@@ -19,8 +19,10 @@ from starloom.functions.columns import (
     q,
     timestamp,
 )
+from starloom.sources.staging import stage
 
 EFFECTIVE, END, CURRENT = "effective_date", "end_date", "is_current"
+REPLACES = "__replaces"
 
 
 def _names(keys: str | Sequence[str]) -> list[str]:
@@ -113,14 +115,13 @@ def scd2_changes(
     tracked: Sequence[str],
     order_by: Sequence[str] = (),
     is_current: str = CURRENT,
-) -> tuple[DataFrame, DataFrame]:
-    """Which batch rows become versions, and which keys lose their open one.
-
-    Returns ``(inserts, closed_keys)``.  A batch row is inserted if its key has no open
-    version, or if a row of that key up to it (in ``order_by`` order) differs from the
-    open version in a tracked column.  A key is closed if any of its rows differs.  With
-    no ``order_by`` every row is judged by itself, which is the same thing when keys do
-    not repeat.  A null key never matches, so such rows are always inserted.
+) -> DataFrame:
+    """Batch rows that become versions, with ``REPLACES`` set where an open version ends.
+
+    A batch row is inserted if its key has no open version, or if a row of that key up to
+    it (in ``order_by`` order) differs from the open version in a tracked column.  With no
+    ``order_by`` every row is judged by itself, which is the same thing when keys do not
+    repeat.  A null key never matches, so such rows are always inserted.
     """
     keys = _names(key)
     compared = [c for c in tracked if c in existing.columns and c in batch.columns]
@@ -129,29 +130,29 @@ def scd2_changes(
         *map(q, keys), *[col(c).alias(f"__old_{c}") for c in compared], F.lit(True).alias("__open")
     )
     changed = any_of(differs(col(c), col(f"__old_{c}")) for c in compared)
-
-    if not order_by:
-        inserts = (
-            batch.join(current, keys, "left")
-            .withColumn("__open", F.coalesce("__open", F.lit(False)))
-            .filter(~F.col("__open") | changed)
+    if order_by:
+        # The first differing row per key settles the rest: one row per key after a
+        # map-side minimum, whatever the number of rows a hot key brings.
+        place = F.struct(*[col(c) for c in order_by])
+        first_change = (
+            batch.join(current, keys, "inner")
+            .filter(changed)
+            .groupBy(*map(q, keys))
+            .agg(F.min(place).alias("__first"))
         )
-        closed = inserts.filter("__open").select(*map(q, keys)).distinct()
-        return inserts.select(*map(q, batch.columns)), closed
-
-    # The first differing row per key settles the rest: one row per key after a
-    # map-side minimum, whatever the number of rows a hot key brings.
-    place = F.struct(*[col(c) for c in order_by])
-    first_change = (
-        batch.join(current, keys, "inner").filter(changed).groupBy(*map(q, keys)).agg(F.min(place).alias("__first"))
-    )
-    marks = current.select(*map(q, keys), "__open").join(first_change, keys, "left")
-    inserts = (
-        batch.join(marks, keys, "left")
-        .filter(F.col("__open").isNull() | (place >= F.col("__first")))
-        .select(*map(q, batch.columns))
+        current = current.select(*map(q, keys), "__open").join(first_change, keys, "left")
+        changed = F.coalesce(place >= F.col("__first"), F.lit(False))
+    return (
+        batch.join(current, keys, "left")
+        .withColumn(REPLACES, F.coalesce("__open", F.lit(False)))
+        .filter(~F.col(REPLACES) | changed)
+        .select(*map(q, batch.columns), REPLACES)
     )
-    return inserts, first_change.select(*map(q, keys))
+
+
+def replaced_keys(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys whose open version ends."""
+    return changes.filter(REPLACES).select(*map(q, keys)).distinct()
 
 
 def close_versions(
@@ -224,8 +225,9 @@ def scd2_upsert(
     keys = _names(key)
     if validate:
         require_single_current(existing, keys, is_current)
-    inserts, closed = scd2_changes(existing, new, keys, tracked, order_by, is_current)
-    inserts = inserts.drop(*[c for c in order_by if c not in existing.columns])
+    # The changes open new versions and close old ones: join for them once.
+    changes = stage(scd2_changes(existing, new, keys, tracked, order_by, is_current))
+    inserts = changes.drop(REPLACES, *[c for c in order_by if c not in existing.columns])
     opened = open_versions(inserts, existing.schema, batch_ts, effective_date, end_date, is_current)
-    kept = close_versions(existing, closed, keys, batch_ts, end_date, is_current)
+    kept = close_versions(existing, replaced_keys(changes, keys), keys, batch_ts, end_date, is_current)
     return kept.unionByName(opened, allowMissingColumns=True)

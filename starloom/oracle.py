@@ -377,9 +377,9 @@ WITH {LOADS},
 n AS (SELECT (SELECT count(*) FROM first_load) AS f, (SELECT count(*) FROM second_load) AS s,
              (SELECT count(*) FROM fresh) AS a)
 SELECT '20200101_000000' AS _batch_id, 'full' AS mode, f AS new_rows, 0::BIGINT AS appended_rows,
-       0::BIGINT AS duplicate_keys_skipped, {EARLIEST} AS promoted_at FROM n
-UNION ALL SELECT '20220101_000000', 'incremental', s, a, s - a, {EARLIER} FROM n
-UNION ALL SELECT '20240601_000000', 'incremental', s, 0, s, {TS} FROM n""",
+       0::BIGINT AS duplicate_keys_skipped, f AS last_key, {EARLIEST} AS promoted_at FROM n
+UNION ALL SELECT '20220101_000000', 'incremental', s, a, s - a, f + a, {EARLIER} FROM n
+UNION ALL SELECT '20240601_000000', 'incremental', s, 0, s, f + a, {TS} FROM n""",
     "q37_star_rollup": f"""
 WITH {dims()}
 SELECT c_mktsegment, order_year, count(*) AS fact_rows, round(avg(l_quantity), 4) AS avg_l_quantity,

@@ -20,7 +20,7 @@ from starloom.operators.cleaning import (
 )
 from starloom.plans.specs import CleaningConfig
 from starloom.sources.layers import read_layer, write_layer
-from starloom.sources.staging import stage
+from starloom.sources.staging import stage, temporary_stages
 
 ISSUES_SCHEMA = "issue string, amount bigint, detail string"
 
@@ -84,9 +84,10 @@ def process(
     """Clean a raw table, write the batch to the clean layer, count what was removed."""
     spark = df.sparkSession
     seen = Observation("after_dedup")
-    cleaned, outliers = _clean(df, config, batch_ts, seen)
     name = f"{table}_cleaned"
-    write_layer(cleaned, root, name, batch_ts, fmt)
+    with temporary_stages(spark):
+        cleaned, outliers = _clean(df, config, batch_ts, seen)
+        write_layer(cleaned, root, name, batch_ts, fmt)
     written = read_layer(spark, root, name, cleaned.schema, fmt, batch_ts)
     rows_in = df.count()
     issues = issue_rows(rows_in, seen.get["rows"], seen.get["missing"], outliers, config.missing_strategy)

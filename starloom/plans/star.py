@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 from starloom.operators.cleaning import remove_duplicates
 from starloom.operators.dimensions import build_dimension, merge_dimension
 from starloom.operators.facts import append_stats, bind_fact, build_fact, number_facts, unseen_facts
-from starloom.operators.keys import max_key
 from starloom.operators.quality import Check, meets_gate, run_suite
 from starloom.plans.concurrent import side_by_side
 from starloom.plans.specs import DimensionSpec, StarSpec
-from starloom.sources.staging import stage
-from starloom.sources.warehouse import last_promoted, promote, read_dimension, read_fact, write_table
+from starloom.sources.staging import stage, temporary_stages
+from starloom.sources.warehouse import last_fact_key, last_promoted, promote, read_dimension, read_fact, write_table
 
 
 class QualityGateError(RuntimeError):
@@ -35,13 +34,20 @@ class Loaded:
     stats: dict[str, object]
 
 
+def build_dimensions(
+    sources: Mapping[str, DataFrame], star: StarSpec, batch_ts: datetime
+) -> dict[str, DataFrame]:
+    """All dimensions from scratch, keyed and staged side by side."""
+    spark = sources[star.fact.source].sparkSession
+    steps = {d.name: partial(build_dimension, sources[d.source], d, batch_ts) for d in star.dimensions}
+    return side_by_side(spark, steps)
+
+
 def build_star(
     sources: Mapping[str, DataFrame], star: StarSpec, batch_ts: datetime, version: str = "current"
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Dimensions and fact from scratch, nothing saved."""
-    spark = sources[star.fact.source].sparkSession
-    build = {d.name: partial(build_dimension, sources[d.source], d, batch_ts) for d in star.dimensions}
-    dims = side_by_side(spark, build)
+    dims = build_dimensions(sources, star, batch_ts)
     return dims, build_fact(sources[star.fact.source], dims, star, batch_ts, version)
 
 
@@ -76,6 +82,24 @@ def load_star(
     rewrites them.  ``rebuild`` starts from an empty warehouse folder.
     """
     spark = sources[star.fact.source].sparkSession
+    with temporary_stages(spark):
+        return _load(
+            spark, sources, star, root, batch_ts, version, dedup_batch, checks, min_pass_rate, rebuild
+        )
+
+
+def _load(
+    spark: SparkSession,
+    sources: Mapping[str, DataFrame],
+    star: StarSpec,
+    root: str,
+    batch_ts: datetime,
+    version: str,
+    dedup_batch: bool,
+    checks: Sequence[Check],
+    min_pass_rate: float,
+    rebuild: bool,
+) -> Loaded:
     previous = last_promoted(spark, root, batch_ts)
     if rebuild and previous is not None:
         raise ValueError(f"{root} already holds promoted batches; rebuild into a new folder")
@@ -93,7 +117,7 @@ def load_star(
         mode, offset = "full", 0
         fresh = remove_duplicates(bound, star.fact.grain) if dedup_batch else bound
     else:
-        mode, offset = "incremental", max_key(existing_fact, star.fact.key)
+        mode, offset = "incremental", last_fact_key(spark, root, previous)
         bound = stage(bound)
         fresh = unseen_facts(existing_fact, bound, star.fact.grain, dedup_batch)
     written = write_table(number_facts(fresh, star.fact, offset), root, star.fact.name, batch_ts)
@@ -105,7 +129,7 @@ def load_star(
 
     if checks and not meets_gate(run_suite({**dims, star.fact.name: fact}, checks), min_pass_rate):
         raise QualityGateError(f"batch of {batch_ts} is below a pass rate of {min_pass_rate}")
-    promote(spark, root, batch_ts, stats)
+    promote(spark, root, batch_ts, stats, offset + appended)
     return Loaded(dims, written, fact, stats)
 
 

@@ -15,7 +15,7 @@ from starloom.operators import cleaning, dimensions, facts, profile, quality, ru
 from starloom.operators.keys import dense_keys, next_key
 from starloom.plans import sales, silver
 from starloom.plans.specs import CleaningConfig, DimensionSpec
-from starloom.plans.star import build_star, load_star
+from starloom.plans.star import build_dimensions, build_star, load_star
 from starloom.sources.ingest import stamp
 from starloom.sources.layers import latest_batch
 from starloom.sources.staging import shared_folder, stage
@@ -366,9 +366,7 @@ SECOND_LOAD = "o_orderdate >= TIMESTAMP_NTZ '1998-01-01'"
 def sale_loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Keyed facts of the first load and bound facts of an overlapping second one."""
     sources = sales_sources(spark, folder)
-    dims = {
-        d.name: dimensions.build_dimension(sources[d.source], d, EARLIER) for d in sales.STAR.dimensions
-    }
+    dims = build_dimensions(sources, sales.STAR, EARLIER)
     lines = sources[sales.LINES]
     existing = facts.build_fact(lines.filter(FIRST_LOAD), dims, sales.STAR, EARLIER)
     return existing, stage(facts.bind_fact(lines.filter(SECOND_LOAD), dims, sales.STAR, BATCH_TS))
@@ -416,9 +414,11 @@ def q28_append_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q37_star_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    dims, fact = build_star(sales_sources(spark, folder), sales.STAR, BATCH_TS)
+    sources = sales_sources(spark, folder)
+    dims = build_dimensions(sources, sales.STAR, BATCH_TS)
+    # A rollup needs no result keys, so the bound facts are neither numbered nor written.
     return facts.star_rollup(
-        fact,
+        facts.bind_fact(sources[sales.LINES], dims, sales.STAR, BATCH_TS),
         dims,
         sales.STAR,
         by={"dim_customer": ["c_mktsegment"], "dim_period": ["order_year"]},

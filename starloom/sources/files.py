@@ -1,11 +1,22 @@
-"""File system questions Spark readers do not answer."""
+"""File system steps Spark readers and writers do not offer."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
 
+def _locate(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """True if the path exists in the file system it names."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    system, jvm_path = _locate(spark, path)
+    return system.exists(jvm_path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library has written."""
+    system, jvm_path = _locate(spark, path)
+    system.delete(jvm_path, True)

@@ -11,9 +11,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.sources.files import delete
+
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a fresh one in local mode only."""
@@ -30,5 +37,21 @@ def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/starloom-stage-{uuid.uuid4().hex}"
+    paths = _staged.get()
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete what was staged inside the block when it ends; results must be written by then."""
+    paths: list[str] = []
+    token = _staged.set(paths)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        for path in paths:
+            delete(spark, path)

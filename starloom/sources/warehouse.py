@@ -8,7 +8,9 @@ batch that failed its checks or was lost half way stays unseen.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ MANIFEST_SCHEMA = struct(
     new_rows="bigint",
     appended_rows="bigint",
     duplicate_keys_skipped="bigint",
+    last_key="bigint",
     promoted_at="timestamp",
 )
 
@@ -73,10 +76,13 @@ def write_table(df: DataFrame, root: str, name: str, batch_ts: datetime) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def promote(spark: SparkSession, root: str, batch_ts: datetime, stats: dict) -> None:
-    """Make the batch visible with one manifest row (A13); a replayed batch has its row already."""
-    batch = batch_id(batch_ts)
-    if not manifest(spark, root).filter(F.col(BATCH) == batch).isEmpty():
-        return
-    row = (batch, stats["mode"], stats["new_rows"], stats["appended_rows"], stats["duplicate_keys_skipped"], batch_ts)
-    spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST}")
+def last_fact_key(spark: SparkSession, root: str, batch: str) -> int:
+    """Largest fact key in use as of a promoted batch, without reading the facts."""
+    return manifest(spark, root).filter(F.col(BATCH) <= batch).agg(F.max("last_key")).first()[0]
+
+
+def promote(spark: SparkSession, root: str, batch_ts: datetime, stats: Mapping[str, Any], last_key: int) -> None:
+    """Make the batch visible with its manifest row (A13); a replay replaces the row."""
+    values = {**stats, BATCH: batch_id(batch_ts), "last_key": last_key, "promoted_at": batch_ts}
+    row = spark.createDataFrame([tuple(values[n] for n in MANIFEST_SCHEMA.names)], MANIFEST_SCHEMA)
+    write_layer(row.drop(BATCH).coalesce(1), root, MANIFEST, batch_ts)

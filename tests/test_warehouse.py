@@ -267,7 +267,8 @@ def test_rollup(spark):
     sources = small_star(spark, [(1, "A", "e", "Gold"), (2, "B", "e", None), (3, "B", "e", "Gold")])
     dims, fact = build_star(sources, results.STAR, DAY1)
     fact = fact.withColumn("age", F.when(F.col("medal").isNotNull(), F.col("age")))
-    rolled = facts.star_rollup(
-        fact, dims, results.STAR, {"dim_country": ["region"], "dim_games": ["year"]}, ["age", "height"], ["medal_flag"]
-    )
-    assert rows(rolled) == [("a", 2000, 1, 20.0, 170.0, 1), ("b", 2000, 2, 20.0, 170.0, 1)]
+    by = {"dim_country": ["region"], "dim_games": ["year"]}
+    expected = [("a", 2000, 1, 20.0, 170.0, 1), ("b", 2000, 2, 20.0, 170.0, 1)]
+    for large in ((), ("dim_country",), tuple(by)):
+        rolled = facts.star_rollup(fact, dims, results.STAR, by, ["age", "height"], ["medal_flag"], fold_first=large)
+        assert rows(rolled, "region", "year", "fact_rows", "avg_age", "avg_height", "sum_medal_flag") == expected
