@@ -13,6 +13,7 @@ from starloom.operators.cleaning import remove_duplicates
 from starloom.operators.keys import dense_keys
 from starloom.operators.scd import current_records
 from starloom.plans.specs import DimensionSpec, FactSpec, StarSpec
+from starloom.sources.staging import stage
 
 
 def lookup(dim: DataFrame, spec: DimensionSpec, version: str = "current") -> DataFrame:
@@ -88,14 +89,15 @@ def unseen_facts(
 
     The existing fact is first reduced to the grains the batch has.  It is the large
     side: with a small batch it is filtered in place by a broadcast semi join and never
-    shuffled; with a large batch both joins share one shuffle of the grain columns.
+    shuffled.  The grains are written in between, narrow and one row each: Spark then
+    knows their size, and can split a grain with many copies on the other side.
     ``bound`` is read more than once and should be a table.
     """
     grain_columns = list(map(q, grain))
     if dedup_batch:
         bound = remove_duplicates(bound, grain)
-    in_batch = bound.select(*grain_columns).distinct()
-    seen = existing.select(*grain_columns).join(in_batch, list(grain), "left_semi")
+    in_batch = stage(bound.select(*grain_columns).distinct())
+    seen = stage(existing.select(*grain_columns).join(in_batch, list(grain), "left_semi").distinct())
     return bound.join(seen, list(grain), "left_anti")
 
 
@@ -133,7 +135,7 @@ def star_rollup(
 
     value = {c: F.when(~is_missing(fact, c), col(c)) for c in [*averages, *sums]}
     measures = list(dict.fromkeys([*averages, *sums]))
-    facts = fact.select(
+    rows = fact.select(
         *[q(star.dimension(d).key) for d in by],
         F.lit(1).cast("bigint").alias("__rows"),
         *[value[c].alias(f"__sum_{c}") for c in measures],
@@ -142,15 +144,15 @@ def star_rollup(
     totals = ["__rows", *[f"__sum_{c}" for c in measures], *[f"__n_{c}" for c in averages]]
     for name in by:
         if name not in fold_first:
-            facts = joined(facts, name).drop(star.dimension(name).key)
+            rows = joined(rows, name).drop(star.dimension(name).key)
     if fold_first:
-        kept = [c for c in facts.columns if c not in totals]
-        facts = facts.groupBy(*map(q, kept)).agg(*[F.sum(col(t)).alias(t) for t in totals])
+        kept = [c for c in rows.columns if c not in totals]
+        rows = rows.groupBy(*map(q, kept)).agg(*[F.sum(col(t)).alias(t) for t in totals])
         for name in fold_first:
-            facts = joined(facts, name)
+            rows = joined(rows, name)
     attributes = [a for names in by.values() for a in names]
     shorten = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-    return facts.groupBy(*map(q, attributes)).agg(
+    return rows.groupBy(*map(q, attributes)).agg(
         F.sum("__rows").alias("fact_rows"),
         *[shorten(F.try_divide(F.sum(col(f"__sum_{c}")), F.sum(col(f"__n_{c}")))).alias(f"avg_{c}") for c in averages],
         *[F.sum(col(f"__sum_{c}")).alias(f"sum_{c}") for c in sums],

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from starloom.functions.columns import col, is_missing, q
 from starloom.functions.typenames import name_of, spark_name, struct, type_of
+from starloom.sources.rows import small_frame
 
 
 @dataclass(frozen=True)
@@ -118,7 +119,7 @@ _DECLARED = struct(
 )
 
 
-def _declare(position: int, check: Check, tables: Mapping[str, DataFrame]) -> tuple:
+def _declare(position: int, check: Check, tables: Mapping[str, DataFrame]) -> dict[str, object]:
     values: dict[str, object] = {"position": position}
     if isinstance(check, References):
         values |= {
@@ -146,7 +147,7 @@ def _declare(position: int, check: Check, tables: Mapping[str, DataFrame]) -> tu
             "expected": spark_name(check.expected),
             "actual_type": actual,
         }
-    return tuple(values.get(name) for name in _DECLARED.names)
+    return values
 
 
 def _percent(fraction: Column) -> Column:
@@ -271,7 +272,7 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
         raise ValueError("a suite needs at least one check")
     spark = next(iter(tables.values())).sparkSession
     numbered = list(enumerate(checks, start=1))
-    declared = spark.createDataFrame([_declare(n, c, tables) for n, c in numbered], _DECLARED).coalesce(1)
+    declared = small_frame(spark, [_declare(n, c, tables) for n, c in numbered], _DECLARED)
     parts: list[DataFrame] = []
     scalar: dict[str, list[tuple[int, RowCount | NullFraction]]] = {}
     for position, check in numbered:

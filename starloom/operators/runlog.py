@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from starloom.functions.typenames import struct
 from starloom.sources.files import exists
+from starloom.sources.rows import small_frame
 
 TRANSFORMATION = struct(
     name="string", timestamp="timestamp", details=T.MapType(T.StringType(), T.StringType())
@@ -47,10 +48,11 @@ class Run:
     clock: Callable[[], datetime]
     row_count_in: int | None = None
     row_count_out: int | None = None
-    transformations: list[tuple[str, datetime, dict[str, str]]] = field(default_factory=list)
+    transformations: list[dict[str, Any]] = field(default_factory=list)
 
     def transformation(self, name: str, details: Mapping[str, Any] | None = None) -> None:
-        self.transformations.append((name, self.clock(), {k: str(v) for k, v in (details or {}).items()}))
+        pairs = [(k, str(v)) for k, v in (details or {}).items()]
+        self.transformations.append({"name": name, "timestamp": self.clock(), "details": pairs})
 
 
 def append_run(
@@ -63,19 +65,19 @@ def append_run(
     errors: Sequence[str] = (),
 ) -> None:
     """Add one run record; ``end_time`` stays empty for a run that never ended (L1)."""
-    record = (
-        run.layer,
-        run.table_name,
-        run.source,
-        start_time,
-        status,
-        run.row_count_in,
-        run.row_count_out,
-        run.transformations,
-        end_time,
-        list(errors),
-    )
-    spark.createDataFrame([record], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    record = {
+        "layer": run.layer,
+        "table_name": run.table_name,
+        "source": run.source,
+        "start_time": start_time,
+        "status": status,
+        "row_count_in": run.row_count_in,
+        "row_count_out": run.row_count_out,
+        "transformations": run.transformations,
+        "end_time": end_time,
+        "errors": list(errors),
+    }
+    small_frame(spark, [record], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
 @contextmanager
@@ -100,7 +102,7 @@ def logged_run(
 
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     if not exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return small_frame(spark, [], schema)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -144,9 +146,9 @@ def store_checkpoint(
     spark: SparkSession, path: str, fact_table_size: int, new_rows_processed: int, timestamp: datetime
 ) -> None:
     """Remember the size of the fact after a load (L4)."""
-    spark.createDataFrame([(fact_table_size, new_rows_processed, timestamp)], CHECKPOINT_SCHEMA).coalesce(
-        1
-    ).write.mode("append").parquet(path)
+    values = (fact_table_size, new_rows_processed, timestamp)
+    row = dict(zip(CHECKPOINT_SCHEMA.names, values, strict=True))
+    small_frame(spark, [row], CHECKPOINT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
 def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:

@@ -129,25 +129,23 @@ def scd2_changes(
     current = current_records(existing, is_current).select(
         *map(q, keys), *[col(c).alias(f"__old_{c}") for c in compared], F.lit(True).alias("__open")
     )
-    changed = any_of(differs(col(c), col(f"__old_{c}")) for c in compared)
-    if order_by:
-        # The first differing row per key settles the rest: one row per key after a
-        # map-side minimum, whatever the number of rows a hot key brings.
-        place = F.struct(*[col(c) for c in order_by])
-        first_change = (
-            batch.join(current, keys, "inner")
-            .filter(changed)
-            .groupBy(*map(q, keys))
-            .agg(F.min(place).alias("__first"))
-        )
-        current = current.select(*map(q, keys), "__open").join(first_change, keys, "left")
-        changed = F.coalesce(place >= F.col("__first"), F.lit(False))
-    return (
-        batch.join(current, keys, "left")
-        .withColumn(REPLACES, F.coalesce("__open", F.lit(False)))
-        .filter(~F.col(REPLACES) | changed)
-        .select(*map(q, batch.columns), REPLACES)
+    judged = batch.join(current, keys, "left").select(
+        *[col(c) for c in batch.columns],
+        F.coalesce("__open", F.lit(False)).alias(REPLACES),
+        any_of(differs(col(c), col(f"__old_{c}")) for c in compared).alias("__changed"),
     )
+    if not order_by:
+        return judged.filter(~F.col(REPLACES) | F.col("__changed")).drop("__changed")
+    # The first differing row per key settles the rest: one row per key after a map-side
+    # minimum, whatever the number of rows a hot key brings.  Both inputs of the join are
+    # written tables, because Spark splits a hot key only where it joins plain shuffles.
+    judged = stage(judged)
+    place = F.struct(*[col(c) for c in order_by])
+    differing = judged.filter(F.col(REPLACES) & F.col("__changed"))
+    first_change = stage(differing.groupBy(*map(q, keys)).agg(F.min(place).alias("__first")))
+    later = judged.filter(REPLACES).join(first_change, keys, "inner").filter(place >= F.col("__first"))
+    columns = [*map(q, batch.columns), REPLACES]
+    return judged.filter(~F.col(REPLACES)).select(*columns).unionByName(later.select(*columns))
 
 
 def replaced_keys(changes: DataFrame, keys: Sequence[str]) -> DataFrame:

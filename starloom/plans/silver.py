@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from starloom.functions.typenames import struct
 from starloom.operators.cleaning import (
     add_processing_metadata,
     apply_transformations,
@@ -20,9 +21,10 @@ from starloom.operators.cleaning import (
 )
 from starloom.plans.specs import CleaningConfig
 from starloom.sources.layers import read_layer, write_layer
+from starloom.sources.rows import small_frame
 from starloom.sources.staging import stage, temporary_stages
 
-ISSUES_SCHEMA = "issue string, amount bigint, detail string"
+ISSUES_SCHEMA = struct(issue="string", amount="bigint", detail="string")
 
 
 @dataclass(frozen=True)
@@ -91,14 +93,14 @@ def process(
     written = read_layer(spark, root, name, cleaned.schema, fmt, batch_ts)
     rows_in = df.count()
     issues = issue_rows(rows_in, seen.get["rows"], seen.get["missing"], outliers, config.missing_strategy)
-    return Cleaned(written, spark.createDataFrame(issues, ISSUES_SCHEMA), rows_in, written.count())
+    return Cleaned(written, small_frame(spark, issues, ISSUES_SCHEMA), rows_in, written.count())
 
 
-def issue_rows(rows_in: int, rows_unique: int, missing: int, outliers: int, strategy: str) -> list[tuple]:
+def issue_rows(rows_in: int, rows_unique: int, missing: int, outliers: int, strategy: str) -> list[dict]:
     """One row per kind of issue that occurred (Q7)."""
     found = [
         ("duplicates", rows_in - rows_unique, "rows removed"),
         ("missing_values", missing, strategy),
         ("outliers", outliers, "rows removed"),
     ]
-    return [issue for issue in found if issue[1] > 0]
+    return [dict(zip(ISSUES_SCHEMA.names, issue, strict=True)) for issue in found if issue[1] > 0]

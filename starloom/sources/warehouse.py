@@ -19,6 +19,7 @@ from starloom.functions.columns import batch_id
 from starloom.functions.typenames import struct
 from starloom.sources.files import exists
 from starloom.sources.layers import BATCH, partition_path, write_layer
+from starloom.sources.rows import small_frame
 
 MANIFEST = "manifest"
 MANIFEST_SCHEMA = struct(
@@ -36,7 +37,7 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
     """Promoted batches; no rows for a new warehouse."""
     path = f"{root}/{MANIFEST}"
     if not exists(spark, path):
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
+        return small_frame(spark, [], MANIFEST_SCHEMA)
     return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
 
@@ -83,6 +84,5 @@ def last_fact_key(spark: SparkSession, root: str, batch: str) -> int:
 
 def promote(spark: SparkSession, root: str, batch_ts: datetime, stats: Mapping[str, Any], last_key: int) -> None:
     """Make the batch visible with its manifest row (A13); a replay replaces the row."""
-    values = {**stats, BATCH: batch_id(batch_ts), "last_key": last_key, "promoted_at": batch_ts}
-    row = spark.createDataFrame([tuple(values[n] for n in MANIFEST_SCHEMA.names)], MANIFEST_SCHEMA)
+    row = small_frame(spark, [{**stats, "last_key": last_key, "promoted_at": batch_ts}], MANIFEST_SCHEMA)
     write_layer(row.drop(BATCH).coalesce(1), root, MANIFEST, batch_ts)
