@@ -9,6 +9,7 @@ import sys
 import tempfile
 import time
 from datetime import datetime
+from functools import partial
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from starloom.operators.quality import quality_report, run_suite  # noqa: E402
 from starloom.plans import athlete_results as results  # noqa: E402
+from starloom.plans.concurrent import side_by_side  # noqa: E402
 from starloom.plans.silver import process  # noqa: E402
 from starloom.plans.specs import CleaningConfig  # noqa: E402
 from starloom.plans.star import load_star, read_star  # noqa: E402
@@ -106,25 +108,25 @@ def load_times(spark: SparkSession) -> dict[str, float]:
 
     first, second = datetime(2024, 1, 1), datetime(2024, 1, 2)
     with timed("load_bronze"):
-        raw = {
-            results.ATHLETES: ingest(
-                spark, athletes, f"{folder}/bronze", results.ATHLETES, first,
-                schema=results.ATHLETES_CONTRACT.schema(), record_order=True,
-            ),
-            results.REGIONS: ingest(
-                spark, regions, f"{folder}/bronze", results.REGIONS, first,
-                schema=results.REGIONS_CONTRACT.schema(), record_order=True,
-            ),
+        given = {
+            results.ATHLETES: (athletes, results.ATHLETES_CONTRACT),
+            results.REGIONS: (regions, results.REGIONS_CONTRACT),
         }
+        steps = {
+            table: partial(
+                ingest, spark, path, f"{folder}/bronze", table, first,
+                schema=contract.schema(), record_order=True,
+            )
+            for table, (path, contract) in given.items()
+        }
+        raw = side_by_side(spark, steps)
     with timed("load_silver"):
-        clean = {
-            results.ATHLETES: process(
-                raw[results.ATHLETES], f"{folder}/silver", results.ATHLETES, results.CLEANING, first
-            ).table,
-            results.REGIONS: process(
-                raw[results.REGIONS], f"{folder}/silver", results.REGIONS, CleaningConfig(), first
-            ).table,
+        configs = {results.ATHLETES: results.CLEANING, results.REGIONS: CleaningConfig()}
+        steps = {
+            table: partial(process, raw[table], f"{folder}/silver", table, config, first)
+            for table, config in configs.items()
         }
+        clean = {table: done.table for table, done in side_by_side(spark, steps).items()}
     with timed("load_gold_full"):
         load_star(clean, results.STAR, f"{folder}/gold", first)
     with timed("load_gold_incremental"):

@@ -43,6 +43,13 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return col(name).isNull()
 
 
+def is_present(df: DataFrame, name: str) -> Column:
+    """The opposite of ``is_missing``, in a form that reaches the scan."""
+    if is_floating(df.schema[name].dataType):
+        return col(name).isNotNull() & ~F.isnan(col(name))
+    return col(name).isNotNull()
+
+
 def nan_to_null(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
     """Turn NaN into null so that ``isNull`` is enough downstream."""
     names = df.columns if names is None else names

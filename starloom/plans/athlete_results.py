@@ -166,6 +166,7 @@ def run(
     checks: Sequence[Check] = (),
     min_pass_rate: float = 0.9,
     dedup_batch: bool = False,
+    check_new_facts_only: bool = False,
     clock: Callable[[], datetime] = datetime.now,
 ) -> Loaded:
     """One batch from raw files to the promoted warehouse, logged per layer.
@@ -212,6 +213,7 @@ def run(
             checks=checks,
             min_pass_rate=min_pass_rate,
             dedup_batch=dedup_batch,
+            check_new_facts_only=check_new_facts_only,
         )
         fact_rows = loaded.fact.count()
         current.transformation("build_star_schema", {"mode": loaded.stats["mode"], "fact_rows": fact_rows})

@@ -55,6 +55,17 @@ def test_drop_any_and_subset(spark):
     assert rows(cleaning.handle_missing_values(df, subset=["a", "b"]), "a") == [(3.0,)]
 
 
+def test_dropping_is_pushed_to_the_scan_of_a_wide_table(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(5).selectExpr("id", *[f"id AS `C {i}`" for i in range(40)], "1 AS _b").write.parquet(path)
+    wide = cleaning.standardize_column_names(spark.read.parquet(path))
+    for cleaned in (
+        cleaning.remove_duplicates(cleaning.drop_missing(wide)),
+        cleaning.drop_missing(cleaning.remove_duplicates(wide.drop("_b"))),
+    ):
+        assert "IsNotNull(id)" in cleaned._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fill_mean_skips_missing_and_all_missing_columns(spark):
     filled = rows(cleaning.handle_missing_values(missing_mix(spark), "fillna_mean"), "a", "c", "d")
     assert filled == [(1.0, 2.0, None), (2.0, 2.5, None), (3.0, 3.0, None)]
