@@ -251,7 +251,7 @@ FROM (SELECT DISTINCT year(o_orderdate)::BIGINT AS order_year, quarter(o_orderda
              o_orderpriority, o_orderstatus FROM orders)""",
     "q14_dim_scd2_initial": f"""
 SELECT row_number() OVER (ORDER BY s_suppkey) AS supplier_key, s_suppkey, s_name, s_nationkey,
-       {TS} AS effective_date, {OPEN_END} AS end_date, TRUE AS is_current, {TS} AS dw_insert_date
+       {TS} AS effective_date, {OPEN_END}::VARCHAR AS end_date, TRUE AS is_current, {TS} AS dw_insert_date
 FROM supplier""",
     "q15_fact_build": f"""
 WITH {dims("(SELECT * FROM customer WHERE c_acctbal >= 0)")}
@@ -280,7 +280,7 @@ UNION ALL
 SELECT (SELECT max(customer_key) FROM existing) + row_number() OVER (ORDER BY c_custkey), c_custkey, c_name,
        c_mktsegment, c_nationkey, c_acctbal, {TS}, {TS}
 FROM added""",
-    "q18_scd2_upsert": f"WITH {UPSERTED} SELECT * FROM upserted",
+    "q18_scd2_upsert": f"WITH {UPSERTED} SELECT * REPLACE (end_date::VARCHAR AS end_date) FROM upserted",
     "q19_scd2_repeated_keys": f"""
 WITH existing AS (
   SELECT user_id, event_type, value FROM (
@@ -293,10 +293,11 @@ first_change AS (
   SELECT b.user_id, min(b.ts) AS ts FROM batch b JOIN existing e ON b.user_id = e.user_id
   WHERE b.event_type IS DISTINCT FROM e.event_type GROUP BY b.user_id)
 SELECT e.user_id, e.event_type, e.value, {EARLIER} AS effective_date,
-       CASE WHEN f.user_id IS NOT NULL THEN {TS} ELSE {OPEN_END} END AS end_date, f.user_id IS NULL AS is_current
+       CASE WHEN f.user_id IS NOT NULL THEN {TS} ELSE {OPEN_END} END::VARCHAR AS end_date,
+       f.user_id IS NULL AS is_current
 FROM existing e LEFT JOIN first_change f ON e.user_id = f.user_id
 UNION ALL
-SELECT b.user_id, b.event_type, b.value, {TS}, {OPEN_END}, TRUE
+SELECT b.user_id, b.event_type, b.value, {TS}, {OPEN_END}::VARCHAR, TRUE
 FROM batch b LEFT JOIN existing e ON b.user_id = e.user_id LEFT JOIN first_change f ON b.user_id = f.user_id
 WHERE e.user_id IS NULL OR b.ts >= f.ts""",
     "q20_dim_scd2_merge": f"""
@@ -311,12 +312,12 @@ added AS (
   SELECT b.* FROM batch b LEFT JOIN existing e ON b.c_custkey = e.c_custkey
   WHERE e.c_custkey IS NULL OR b.c_mktsegment IS DISTINCT FROM e.c_mktsegment)
 SELECT e.customer_key, e.c_custkey, e.c_name, e.c_mktsegment, {EARLIER} AS effective_date,
-       CASE WHEN a.c_custkey IS NOT NULL THEN {TS} ELSE {OPEN_END} END AS end_date,
+       CASE WHEN a.c_custkey IS NOT NULL THEN {TS} ELSE {OPEN_END} END::VARCHAR AS end_date,
        a.c_custkey IS NULL AS is_current, {EARLIER} AS dw_insert_date
 FROM existing e LEFT JOIN added a ON e.c_custkey = a.c_custkey
 UNION ALL
 SELECT (SELECT max(customer_key) FROM existing) + row_number() OVER (ORDER BY c_custkey), c_custkey, c_name,
-       c_mktsegment, {TS}, {OPEN_END}, TRUE, {TS}
+       c_mktsegment, {TS}, {OPEN_END}::VARCHAR, TRUE, {TS}
 FROM added""",
     "q21_type0_merge": f"""
 WITH {PART_GAPS},
@@ -329,10 +330,12 @@ UNION ALL
 SELECT (SELECT coalesce(max(part_type_key), 0) FROM existing)
        + row_number() OVER (ORDER BY p_brand NULLS FIRST, p_type NULLS FIRST), p_brand, p_type, {TS}
 FROM added""",
-    "q22_scd2_current": f"WITH {UPSERTED} SELECT * FROM upserted WHERE is_current",
+    "q22_scd2_current": f"""
+WITH {UPSERTED} SELECT * REPLACE (end_date::VARCHAR AS end_date) FROM upserted WHERE is_current""",
     "q23_scd2_history": f"""
 WITH {UPSERTED}
-SELECT c_custkey, c_name, effective_date, end_date, is_current FROM upserted WHERE c_mktsegment = 'MOVED'
+SELECT c_custkey, c_name, effective_date, end_date::VARCHAR AS end_date, is_current
+FROM upserted WHERE c_mktsegment = 'MOVED'
 ORDER BY effective_date NULLS LAST""",
     "q24_scd2_validate": f"""
 WITH {HISTORY},

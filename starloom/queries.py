@@ -48,6 +48,11 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/starloom-query-{uuid.uuid4().hex}"
 
 
+def with_end_as_text(dim: DataFrame) -> DataFrame:
+    """The open end lies beyond the nanosecond timestamps many result readers use."""
+    return dim.withColumn("end_date", F.col("end_date").cast("string"))
+
+
 # Ingest and cleaning ---------------------------------------------------------------
 
 
@@ -174,7 +179,9 @@ def q13_dim_period(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q14_dim_scd2_initial(spark: SparkSession, folder: str) -> DataFrame:
-    return dimensions.build_dimension(read(spark, folder, "supplier"), sales.DIM_SUPPLIER, BATCH_TS)
+    return with_end_as_text(
+        dimensions.build_dimension(read(spark, folder, "supplier"), sales.DIM_SUPPLIER, BATCH_TS)
+    )
 
 
 @query
@@ -257,7 +264,7 @@ def upserted_history(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q18_scd2_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    return upserted_history(spark, folder)
+    return with_end_as_text(upserted_history(spark, folder))
 
 
 @query
@@ -269,7 +276,9 @@ def q19_scd2_repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
     batch = events.select(
         F.when(~unknown, F.col("user_id")).alias("user_id"), "event_type", "value", "ts"
     )
-    return scd.scd2_upsert(existing, batch, "user_id", ["event_type"], BATCH_TS, order_by=("ts",))
+    return with_end_as_text(
+        scd.scd2_upsert(existing, batch, "user_id", ["event_type"], BATCH_TS, order_by=("ts",))
+    )
 
 
 CUSTOMER_HISTORY_DIM = DimensionSpec(
@@ -290,7 +299,9 @@ def q20_dim_scd2_merge(spark: SparkSession, folder: str) -> DataFrame:
         "c_mktsegment",
         F.when(F.col("c_acctbal").between(1000, 4000), F.lit("MOVED")).otherwise(F.col("c_mktsegment")),
     )
-    return dimensions.merge_dimension(existing, changes, CUSTOMER_HISTORY_DIM, BATCH_TS)
+    return with_end_as_text(
+        dimensions.merge_dimension(existing, changes, CUSTOMER_HISTORY_DIM, BATCH_TS)
+    )
 
 
 @query
@@ -302,14 +313,14 @@ def q21_type0_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q22_scd2_current(spark: SparkSession, folder: str) -> DataFrame:
-    return scd.current_records(upserted_history(spark, folder))
+    return with_end_as_text(scd.current_records(upserted_history(spark, folder)))
 
 
 @query
 def q23_scd2_history(spark: SparkSession, folder: str) -> DataFrame:
     # The customer with the largest balance below 4000 has changed and may have a past.
     found = scd.history(upserted_history(spark, folder), "c_mktsegment", "MOVED")
-    return found.select("c_custkey", "c_name", "effective_date", "end_date", "is_current")
+    return with_end_as_text(found.select("c_custkey", "c_name", "effective_date", "end_date", "is_current"))
 
 
 @query
