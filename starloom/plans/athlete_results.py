@@ -161,6 +161,7 @@ def run(
     root: str,
     batch_ts: datetime,
     *,
+    incremental: bool = True,
     cleaning: CleaningConfig = CLEANING,
     region_cleaning: CleaningConfig = CleaningConfig(),
     checks: Sequence[Check] = (),
@@ -171,6 +172,7 @@ def run(
 ) -> Loaded:
     """One batch from raw files to the promoted warehouse, logged per layer.
 
+    Not ``incremental``, the batch replaces the warehouse instead of adding to it.
     The folders below ``root`` are ``bronze``, ``silver``, ``gold`` and ``logs``.
     """
     log = f"{root}/logs/runs"
@@ -214,6 +216,7 @@ def run(
             min_pass_rate=min_pass_rate,
             dedup_batch=dedup_batch,
             check_new_facts_only=check_new_facts_only,
+            rebuild=not incremental,
         )
         fact_rows = loaded.fact.count()
         current.transformation("build_star_schema", {"mode": loaded.stats["mode"], "fact_rows": fact_rows})

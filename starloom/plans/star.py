@@ -81,7 +81,8 @@ def load_star(
 
     Everything is written to partitions of this batch first; a replay of the batch
     rewrites them.  ``check_new_facts_only`` spares the checks the facts that passed them
-    when they were loaded.  ``rebuild`` starts from an empty warehouse folder.
+    when they were loaded.  ``rebuild`` ignores what is there: dimensions and facts of this
+    batch take the place of all earlier ones.
     """
     spark = sources[star.fact.source].sparkSession
     with temporary_stages(spark):
@@ -105,8 +106,8 @@ def _load(
     rebuild: bool,
 ) -> Loaded:
     previous = last_promoted(spark, root, batch_ts)
-    if rebuild and previous is not None:
-        raise ValueError(f"{root} already holds promoted batches; rebuild into a new folder")
+    if rebuild:
+        previous = None
     existing_fact = read_fact(spark, root, star.fact.name, previous)
 
     def merge(spec: DimensionSpec) -> DataFrame:

@@ -62,11 +62,13 @@ def read_dimension(spark: SparkSession, root: str, name: str, batch: str | None)
 
 
 def read_fact(spark: SparkSession, root: str, name: str, batch: str | None) -> DataFrame | None:
-    """Facts of all promoted batches up to ``batch``, None if there is no such batch."""
+    """Facts of the promoted batches up to ``batch``, from the last full load on."""
     if batch is None:
         return None
+    batches = manifest(spark, root).filter(F.col(BATCH) <= batch)
+    first = batches.filter(F.col("mode") == "full").agg(F.max(BATCH)).first()[0]
     # The manifest has one row per batch and decides which partitions count.
-    listed = F.broadcast(manifest(spark, root).filter(F.col(BATCH) <= batch).select(BATCH).distinct())
+    listed = F.broadcast(batches.filter(F.col(BATCH) >= first).select(BATCH).distinct())
     facts = spark.read.parquet(f"{root}/{name}").withColumn(BATCH, F.col(BATCH).cast("string"))
     return facts.join(listed, BATCH, "left_semi").drop(BATCH)
 
@@ -79,7 +81,8 @@ def write_table(df: DataFrame, root: str, name: str, batch_ts: datetime) -> Data
 
 def last_fact_key(spark: SparkSession, root: str, batch: str) -> int:
     """Largest fact key in use as of a promoted batch, without reading the facts."""
-    return manifest(spark, root).filter(F.col(BATCH) <= batch).agg(F.max("last_key")).first()[0]
+    batches = manifest(spark, root).filter(F.col(BATCH) <= batch)
+    return batches.agg(F.max_by("last_key", BATCH)).first()[0]
 
 
 def promote(spark: SparkSession, root: str, batch_ts: datetime, stats: Mapping[str, Any], last_key: int) -> None:

@@ -259,8 +259,13 @@ def test_create_star_summary(spark, tmp_path):
     assert {r.table: r.row_count for r in summary.collect()} == {
         "dim_athlete": 2, "dim_country": 2, "dim_event": 2, "dim_games": 1, results.FACT: 2
     }
-    with pytest.raises(ValueError, match="already holds"):
-        create_star(sources, results.STAR, str(tmp_path), DAY2)
+    # A second full build takes the place of the first; later loads add to the second.
+    create_star(small_star(spark, [(9, "A", "g", None)]), results.STAR, str(tmp_path), DAY2)
+    tables = read_star(spark, results.STAR, str(tmp_path))
+    assert rows(tables[results.FACT], "result_key") == [(1,)] and rows(tables["dim_athlete"], "id") == [(9,)]
+    load_star(sources, results.STAR, str(tmp_path), DAY3, check_new_facts_only=True,
+              checks=[quality.RowCount(results.FACT, 1)])
+    assert rows(read_star(spark, results.STAR, str(tmp_path))[results.FACT], "result_key") == [(1,), (2,), (3,)]
 
 
 def test_rollup(spark):
