@@ -19,7 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from starloom.operators.quality import quality_report, run_suite  # noqa: E402
 from starloom.plans import athlete_results as results  # noqa: E402
-from starloom.plans.concurrent import side_by_side  # noqa: E402
+from starloom.operators.concurrent import side_by_side  # noqa: E402
 from starloom.plans.silver import process  # noqa: E402
 from starloom.plans.specs import CleaningConfig  # noqa: E402
 from starloom.plans.star import load_star, read_star  # noqa: E402

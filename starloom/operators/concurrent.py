@@ -12,10 +12,12 @@ from pyspark.sql import SparkSession
 
 Result = TypeVar("Result")
 
+MOST_AT_ONCE = 8
+
 
 def side_by_side(spark: SparkSession, steps: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
     """Run the steps in driver threads, so that one step's small jobs fill another's gaps."""
-    with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
+    with ThreadPoolExecutor(max_workers=min(MOST_AT_ONCE, max(1, len(steps)))) as pool:
         started = {
             name: pool.submit(inheritable_thread_target(spark)(copy_context().run), step)
             for name, step in steps.items()

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +17,7 @@ from pyspark.sql import types as T
 
 from starloom.functions.columns import col, is_missing, q
 from starloom.functions.typenames import name_of, spark_name, struct, type_of
+from starloom.operators.concurrent import side_by_side
 from starloom.sources.rows import small_frame
 
 
@@ -118,6 +118,9 @@ _DECLARED = struct(
     dim_key="string",
 )
 
+_VIOLATIONS = T.ArrayType(struct(c="string", f="double", m="double"))
+_MEASURED = T.StructType([*_DECLARED.fields, *struct(__amount="bigint", __violations=_VIOLATIONS).fields])
+
 
 def _declare(position: int, check: Check, tables: Mapping[str, DataFrame]) -> dict[str, object]:
     values: dict[str, object] = {"position": position}
@@ -174,7 +177,7 @@ def _measure(position: int, amount: Column | None = None, violations: Column | N
     return F.struct(
         F.lit(position).alias("position"),
         amount.cast("bigint").alias("__amount"),
-        violations.cast("array<struct<c:string,f:double,m:double>>").alias("__violations"),
+        violations.cast(_VIOLATIONS).alias("__violations"),
     )
 
 
@@ -265,34 +268,34 @@ def _reference_measure(fact: DataFrame, dim: DataFrame, check: References, posit
 def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Run all checks; one row each, ``position`` gives the order of the suite.
 
-    The measures are gathered from the tables, at most one row per check, then met with
-    what the checks declare, and judged together.
+    The scalar checks of a table are one job, a key or reference check is another, and
+    the jobs run side by side.  The driver gathers one small row per check; report, gate
+    and report file then work on those rows and do not read the tables again.
     """
     if not checks:
         raise ValueError("a suite needs at least one check")
     spark = next(iter(tables.values())).sparkSession
     numbered = list(enumerate(checks, start=1))
-    declared = small_frame(spark, [_declare(n, c, tables) for n, c in numbered], _DECLARED)
-    parts: list[DataFrame] = []
+    parts: dict[str, DataFrame] = {}
     scalar: dict[str, list[tuple[int, RowCount | NullFraction]]] = {}
     for position, check in numbered:
         if isinstance(check, DuplicateKeys):
-            parts.append(_duplicate_measure(tables[check.table], check, position))
+            parts[f"check {position}"] = _duplicate_measure(tables[check.table], check, position)
         elif isinstance(check, References):
-            parts.append(_reference_measure(tables[check.fact], tables[check.dim], check, position))
+            fact, dim = tables[check.fact], tables[check.dim]
+            parts[f"check {position}"] = _reference_measure(fact, dim, check, position)
         elif not isinstance(check, DataType):
             scalar.setdefault(check.table, []).append((position, check))
-    parts += [_scalar_measures(tables[table], group) for table, group in scalar.items()]
-    if not parts:
-        return _judge(declared.withColumns({"__amount": F.lit(None), "__violations": F.lit(None).cast("array<struct<c:string,f:double,m:double>>")}))
-    # One row per check on either side.
-    measured = F.broadcast(reduce(DataFrame.union, parts))
-    return _judge(declared.join(measured, "position", "left"))
+    parts |= {f"table {t}": _scalar_measures(tables[t], group) for t, group in scalar.items()}
+    measured = side_by_side(spark, {name: part.collect for name, part in parts.items()})
+    amounts = {r["position"]: r.asDict(recursive=True) for found in measured.values() for r in found}
+    rows = [_declare(n, c, tables) | amounts.get(n, {}) for n, c in numbered]
+    return _judge(small_frame(spark, rows, _MEASURED))
 
 
 def _judge(checks: DataFrame) -> DataFrame:
     """Verdict, report columns and messages of measured checks."""
-    kind, amount, violations = F.col("check"), F.col("__amount").cast("bigint"), F.col("__violations")
+    kind, amount, violations = F.col("check"), F.col("__amount"), F.col("__violations")
     counted = kind.isin("duplicate_keys", "referential_integrity")
     absent = (kind == "data_type") & F.col("actual_type").isNull()
     passed = (

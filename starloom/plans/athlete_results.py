@@ -20,7 +20,7 @@ from starloom.operators.quality import (
     RowCount,
 )
 from starloom.operators.runlog import logged_run, store_checkpoint
-from starloom.plans.concurrent import side_by_side
+from starloom.operators.concurrent import side_by_side
 from starloom.plans.silver import process
 from starloom.plans.specs import CleaningConfig, DimensionSpec, FactSpec, StarSpec
 from starloom.plans.star import Loaded, load_star

@@ -14,7 +14,7 @@ from starloom.operators.cleaning import remove_duplicates
 from starloom.operators.dimensions import build_dimension, merge_dimension
 from starloom.operators.facts import append_stats, bind_fact, build_fact, number_facts, unseen_facts
 from starloom.operators.quality import Check, meets_gate, run_suite
-from starloom.plans.concurrent import side_by_side
+from starloom.operators.concurrent import side_by_side
 from starloom.plans.specs import DimensionSpec, StarSpec
 from starloom.sources.staging import stage, temporary_stages
 from starloom.sources.warehouse import last_fact_key, last_promoted, promote, read_dimension, read_fact, write_table

@@ -131,5 +131,8 @@ def test_checkpoints(spark, tmp_path):
 def test_suite_reads_each_table_once_for_its_scalar_checks(spark, tmp_path):
     spark.range(10).withColumn("v", F.lit(1)).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
+    measures = quality._scalar_measures(df, [(1, RowCount("t")), (2, NullFraction("t"))])
+    assert measures._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
     suite = quality.run_suite({"t": df}, [RowCount("t"), NullFraction("t"), DataType("t", "id", "int64")])
-    assert suite._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert "FileScan" not in suite._jdf.queryExecution().executedPlan().toString()
+    assert quality.meets_gate(suite, 1.0)
