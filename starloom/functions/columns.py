@@ -83,7 +83,9 @@ def equal_on(left: str, right: str, names: Sequence[str], null_safe: bool) -> Co
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    """Numeric data columns, identifiers included."""
+    names = data_columns(df)
+    return [f.name for f in df.schema.fields if f.name in names and isinstance(f.dataType, T.NumericType)]
 
 
 def data_columns(df: DataFrame) -> list[str]:

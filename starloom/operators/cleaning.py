@@ -86,16 +86,25 @@ def drop_missing(df: DataFrame, subset: Sequence[str] | None = None) -> DataFram
 
 
 def fill_mean(df: DataFrame) -> DataFrame:
-    """Fill numeric columns with their mean; all-missing columns stay as they are (F2)."""
+    """Fill numeric columns that miss values with their mean (F2).
+
+    Such columns become doubles; complete columns keep their type, and columns without
+    any value stay as they are.
+    """
     df = nan_to_null(df)
     numeric = numeric_columns(df)
     if not numeric:
         return df
-    means = df.agg(*[F.avg(col(c)).cast("double").alias(c) for c in numeric]).first().asDict()
+    found = df.agg(
+        F.struct(*[F.avg(col(c)).cast("double").alias(c) for c in numeric]).alias("mean"),
+        F.struct(*[F.count_if(col(c).isNull()).alias(c) for c in numeric]).alias("missing"),
+    ).first()
     filled = {
-        c: F.coalesce(col(c).cast("double"), F.lit(mean)) for c, mean in means.items() if mean is not None
+        c: F.coalesce(col(c).cast("double"), F.lit(found.mean[c]))
+        for c in numeric
+        if found.missing[c] and found.mean[c] is not None
     }
-    return df.withColumns(filled)
+    return df.withColumns(filled) if filled else df
 
 
 def fill_forward(

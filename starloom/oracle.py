@@ -200,9 +200,8 @@ FROM orders""",
     "q04_drop_missing": f"WITH {GAPS} SELECT * FROM gaps WHERE c_acctbal IS NOT NULL AND c_mktsegment IS NOT NULL",
     "q05_fill_mean": f"""
 WITH {GAPS}, m AS (
-  SELECT avg(c_custkey) AS key_mean, avg(c_nationkey) AS nation_mean, avg(c_acctbal) AS balance_mean FROM gaps)
-SELECT coalesce(c_custkey::DOUBLE, key_mean) AS c_custkey, c_name,
-       coalesce(c_nationkey::DOUBLE, nation_mean) AS c_nationkey,
+  SELECT avg(NULLIF(c_nationkey, 7)) AS nation_mean, avg(c_acctbal) AS balance_mean FROM gaps)
+SELECT c_custkey, c_name, round(coalesce(NULLIF(c_nationkey, 7)::DOUBLE, nation_mean), 4) AS c_nationkey,
        round(coalesce(c_acctbal, balance_mean), 4) AS c_acctbal, c_mktsegment
 FROM gaps, m""",
     "q06_forward_fill": """

@@ -24,7 +24,7 @@ from starloom.operators.concurrent import side_by_side
 from starloom.plans.silver import process
 from starloom.plans.specs import CleaningConfig, DimensionSpec, FactSpec, StarSpec
 from starloom.plans.star import Loaded, load_star
-from starloom.sources.ingest import FILE_ORDER, ingest
+from starloom.sources.ingest import FILE_ORDER, describe, ingest
 
 ATHLETES, REGIONS = "athlete_events", "noc_regions"
 FACT = "fact_athlete_event_result"
@@ -176,7 +176,8 @@ def run(
     The folders below ``root`` are ``bronze``, ``silver``, ``gold`` and ``logs``.
     """
     log = f"{root}/logs/runs"
-    with logged_run(spark, log, "bronze", "raw_ingest", f"{athletes}, {regions}", clock) as current:
+    given_as = f"{describe(athletes)}, {describe(regions)}"
+    with logged_run(spark, log, "bronze", "raw_ingest", given_as, clock) as current:
         given = {ATHLETES: (athletes, ATHLETES_CONTRACT), REGIONS: (regions, REGIONS_CONTRACT)}
         raw = side_by_side(
             spark,

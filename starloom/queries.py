@@ -100,8 +100,11 @@ def q04_drop_missing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q05_fill_mean(spark: SparkSession, folder: str) -> DataFrame:
-    filled = cleaning.handle_missing_values(customers_with_gaps(spark, folder), "fillna_mean")
-    return filled.withColumn("c_acctbal", F.round("c_acctbal", 4))
+    customers = customers_with_gaps(spark, folder).withColumn(
+        "c_nationkey", F.nullif(F.col("c_nationkey"), F.lit(7))
+    )
+    filled = cleaning.handle_missing_values(customers, "fillna_mean")
+    return filled.withColumns({c: F.round(c, 4) for c in ("c_nationkey", "c_acctbal")})
 
 
 @query

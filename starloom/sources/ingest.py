@@ -65,11 +65,12 @@ def read_csv(
     fields = [F.when(~col(c).isin(*MISSING_MARKERS), col(c)).alias(c) for c in names]
     place = []
     if record_order:
-        place = [
-            F.col("_metadata.file_path").alias(FILE_ORDER[0]),
-            F.col("_metadata.file_block_start").alias(FILE_ORDER[1]),
-            F.monotonically_increasing_id().alias(FILE_ORDER[2]),
-        ]
+        found = (
+            F.col("_metadata.file_path"),
+            F.col("_metadata.file_block_start"),
+            F.monotonically_increasing_id(),
+        )
+        place = [c.alias(n) for c, n in zip(found, FILE_ORDER, strict=True)]
     text = text.select(*fields, *place)
     if schema is not None:
         types = {f.name: f.dataType for f in schema.fields}
@@ -111,6 +112,12 @@ def stamp(df: DataFrame, batch_ts: datetime, source_system: str = SOURCE_SYSTEM)
     )
 
 
+def in_given_order(df: DataFrame) -> DataFrame:
+    """``FILE_ORDER`` columns for a source that is no file: the order of its partitions."""
+    place = (F.lit(""), F.lit(0).cast("bigint"), F.monotonically_increasing_id())
+    return df.withColumns(dict(zip(FILE_ORDER, place, strict=True)))
+
+
 def as_frame(
     spark: SparkSession,
     source: DataFrame | str | os.PathLike | Iterable[Mapping[str, Any]],
@@ -119,17 +126,25 @@ def as_frame(
 ) -> DataFrame:
     """A frame, a CSV path, or rows as dicts (A2-A4); errors of the source surface."""
     if isinstance(source, DataFrame):
-        return source
+        return in_given_order(source) if record_order else source
     if isinstance(source, (str, os.PathLike)):
         return read_csv(spark, os.fspath(source), schema, record_order)
     if isinstance(source, Iterable):
         rows = list(source)
         if not rows:
             raise ValueError("no rows to ingest")
-        return spark.createDataFrame(rows, schema)
+        # What must not be missing is for the checks to say, not for the reader.
+        relaxed = schema and T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+        frame = spark.createDataFrame(rows, relaxed)
+        return in_given_order(frame) if record_order else frame
     raise ValueError(f"cannot ingest a {type(source).__name__}; give a frame, a CSV path or rows")
 
 
+def describe(source: object) -> str:
+    """Name of a source for the run log."""
+    return os.fspath(source) if isinstance(source, (str, os.PathLike)) else type(source).__name__
+
+
 def ingest(
     spark: SparkSession,
     source: DataFrame | str | os.PathLike | Iterable[Mapping[str, Any]],

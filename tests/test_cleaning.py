@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.operators import cleaning
 from starloom.operators.keys import dense_keys, max_key, next_key
@@ -67,7 +68,10 @@ def test_dropping_is_pushed_to_the_scan_of_a_wide_table(spark, tmp_path):
 
 
 def test_fill_mean_skips_missing_and_all_missing_columns(spark):
-    filled = rows(cleaning.handle_missing_values(missing_mix(spark), "fillna_mean"), "a", "c", "d")
+    df = missing_mix(spark).withColumns({"e": F.lit(1), "_m": F.lit(None).cast("int")})
+    done = cleaning.handle_missing_values(df, "fillna_mean")
+    assert dict(done.dtypes)["e"] == "int" and dict(done.dtypes)["_m"] == "int"
+    filled = rows(done, "a", "c", "d")
     assert filled == [(1.0, 2.0, None), (2.0, 2.5, None), (3.0, 3.0, None)]
 
 
@@ -115,6 +119,8 @@ def test_outliers_constant_single_and_missing(spark):
     constant = spark.createDataFrame([(1, 5.0), (2, 5.0)], "k bigint, v double")
     assert cleaning.remove_outliers(constant, ["v"]).count() == 0
     assert cleaning.remove_outliers(constant.limit(1), ["v"]).count() == 0
+    stamped = spark.createDataFrame([(1.0, 1), (2.0, 1), (3.0, 1)], "v double, _m int")
+    assert cleaning.remove_outliers(stamped).count() == 3
     some = spark.createDataFrame([(float(i),) for i in range(20)] + [(None,), (1e6,), (float("nan"),)], "v double")
     assert rows(cleaning.remove_outliers(some)) == sorted(((float(i),) for i in range(20)), key=repr)
 

@@ -242,6 +242,30 @@ def test_overlap_with_copies_inside_the_batch(spark, tmp_path):
         assert loaded.fact.select("result_key").distinct().count() == 5 + appended
 
 
+def test_part_of_a_loaded_batch_with_new_rows(spark, tmp_path):
+    first = small_star(spark, [(i, "A", f"e{i % 3}", None) for i in range(30)])
+    load_star(first, results.STAR, str(tmp_path), DAY1)
+    new = small_star(spark, [(i, "B", "e9", None) for i in range(100, 104)])
+    some = first[results.ATHLETES].sample(0.5, seed=7)
+    batch = some.unionByName(new[results.ATHLETES].orderBy("id").limit(3)).distinct()
+    stats = load_star({**first, results.ATHLETES: batch}, results.STAR, str(tmp_path), DAY2).stats
+    assert (stats["appended_rows"], stats["duplicate_keys_skipped"]) == (3, some.count())
+
+
+def test_run_takes_frames_and_rows(spark, tmp_path):
+    athletes = [
+        {"ID": 1, "Name": name, "Sex": "F", "Age": 20.0, "Height": 170.0, "Weight": 60.0, "Team": "T", "NOC": "A",
+         "Games": "G", "Year": 2000, "Season": "S", "City": "C", "Sport": "Sp", "Event": name, "Medal": "Gold"}
+        for name in ("first", "last")
+    ]
+    regions = spark.createDataFrame([("A", "a", "n")], "NOC string, region string, notes string")
+    loaded = results.run(spark, athletes, regions, str(tmp_path), DAY1)
+    assert rows(loaded.dims["dim_athlete"], "name") == [("last",)]
+    assert loaded.stats["new_rows"] == 2
+    log = runlog.read_runs(spark, f"{tmp_path}/logs/runs").filter("layer = 'bronze'").first()
+    assert log.source == "list, DataFrame"
+
+
 def test_failed_gate_leaves_the_warehouse_as_it_was(spark, tmp_path):
     root = str(tmp_path)
     load_star(small_star(spark, [(1, "A", "e", None)]), results.STAR, root, DAY1)
