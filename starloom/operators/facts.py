@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.columns import all_of, col, is_missing, q, timestamp
+from starloom.functions.columns import all_of, col, equal_on, is_missing, q, timestamp
 from starloom.operators.cleaning import remove_duplicates
 from starloom.operators.keys import dense_keys
 from starloom.operators.scd import current_records
@@ -91,14 +91,17 @@ def unseen_facts(
     side: with a small batch it is filtered in place by a broadcast semi join and never
     shuffled.  The grains are written in between, narrow and one row each: Spark then
     knows their size, and can split a grain with many copies on the other side.
-    ``bound`` is read more than once and should be a table.
+    ``bound`` is read more than once and should be a table.  A missing part of a grain
+    equals a missing part.
     """
     grain_columns = list(map(q, grain))
     if dedup_batch:
         bound = remove_duplicates(bound, grain)
+    same = equal_on("old", "new", grain, null_safe=True)
     in_batch = stage(bound.select(*grain_columns).distinct())
-    seen = stage(existing.select(*grain_columns).join(in_batch, list(grain), "left_semi").distinct())
-    return bound.join(seen, list(grain), "left_anti")
+    kept = existing.select(*grain_columns).alias("old").join(in_batch.alias("new"), same, "left_semi")
+    seen = stage(kept.distinct())
+    return bound.alias("new").join(seen.alias("old"), same, "left_anti")
 
 
 def append_stats(mode: str, new_rows: int, appended: int) -> dict[str, object]:

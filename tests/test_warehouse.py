@@ -242,6 +242,14 @@ def test_overlap_with_copies_inside_the_batch(spark, tmp_path):
         assert loaded.fact.select("result_key").distinct().count() == 5 + appended
 
 
+def test_unseen_facts_match_missing_parts_of_the_grain(spark):
+    old = spark.createDataFrame([(1, None), (2, "b")], "a int, b string")
+    new = spark.createDataFrame([(1, None), (2, None), (None, "b"), (None, "b"), (2, "b")], "a int, b string")
+    assert rows(facts.unseen_facts(old, new, ("a", "b"))) == sorted([(2, None), (None, "b"), (None, "b")], key=repr)
+    assert rows(facts.unseen_facts(old, new, ("a", "b"), dedup_batch=True)) == sorted([(2, None), (None, "b")], key=repr)
+    assert facts.unseen_facts(new, new, ("a", "b")).isEmpty()
+
+
 def test_part_of_a_loaded_batch_with_new_rows(spark, tmp_path):
     first = small_star(spark, [(i, "A", f"e{i % 3}", None) for i in range(30)])
     load_star(first, results.STAR, str(tmp_path), DAY1)
