@@ -20,3 +20,9 @@ def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder this library has written."""
     system, jvm_path = _locate(spark, path)
     system.delete(jvm_path, True)
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have a written folder deleted when the driver's JVM ends, unless it has gone before."""
+    system, jvm_path = _locate(spark, path)
+    system.deleteOnExit(jvm_path)

@@ -17,7 +17,7 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.sources.files import delete
+from starloom.sources.files import delete, delete_at_exit
 
 _staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
@@ -41,6 +41,7 @@ def stage(df: DataFrame) -> DataFrame:
     if paths is not None:
         paths.append(path)
     df.write.parquet(path)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
