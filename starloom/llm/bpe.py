@@ -26,14 +26,15 @@ from starloom.llm.transducer import Transducer, compiled
 
 #: Words compiled into the transducer, and their greatest length: with that its size is bounded.
 LEXICON_WORDS, LEXICON_BYTES = 100_000, 64
-#: Words whose ids a Python worker remembers.
+#: Words, and pieces of words, whose ids a Python worker remembers.
 REMEMBERED = 200_000
 
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 _SPACES = regex.compile(r"\p{White_Space}+")
 #: str.split takes these as white space, the vocabulary's rules don't.
-_SEPARATORS = regex.compile("[\x1c-\x1f]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 _WORD_END = "</w>"
+_NO_MERGE = 1 << 60
 
 
 def _byte_characters() -> list[str]:
@@ -58,6 +59,7 @@ class Vocabulary:
             self.tokens[i] = token
         self._special_pattern = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._characters = _byte_characters()
+        self._pieces: dict[str, list[int]] = {}
 
     def merged(self, piece: str) -> list[int]:
         """Ids of one piece: the pair of lowest rank is merged first, of equal ones the leftmost."""
@@ -65,16 +67,16 @@ class Vocabulary:
         parts[-1] += _WORD_END
         if len(parts) > 48:
             parts = self._merged_long(parts)
-        ranks = self.ranks.get
-        while len(parts) > 1:
-            best, at = None, -1
-            for i, pair in enumerate(zip(parts, parts[1:], strict=False)):
-                rank = ranks(pair)
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                break
+        rank = self.ranks.get
+        ranks = [rank(pair, _NO_MERGE) for pair in zip(parts, parts[1:], strict=False)]
+        while ranks and (best := min(ranks)) != _NO_MERGE:
+            at = ranks.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank((parts[at - 1], parts[at]), _NO_MERGE)
+            if at < len(ranks):
+                ranks[at] = rank((parts[at], parts[at + 1]), _NO_MERGE)
         return [self.ids[p] for p in parts if p in self.ids]
 
     def _merged_long(self, parts: list[str]) -> list[str]:
@@ -113,7 +115,11 @@ class Vocabulary:
                 # The vocabulary's lower case looks at single characters: no final sigma.
                 lower = unicodedata.normalize("NFC", section).replace("Σ", "σ").lower()
                 for piece in _PIECES.findall(lower):
-                    out.extend(self.merged(piece))
+                    if (ids := self._pieces.get(piece)) is None:
+                        if len(self._pieces) >= REMEMBERED:
+                            self._pieces.clear()
+                        ids = self._pieces[piece] = self.merged(piece)
+                    out.extend(ids)
         return struct.pack(f"<{len(out)}I", *out)
 
     def decoded(self, ids: bytes) -> str:
@@ -123,7 +129,7 @@ class Vocabulary:
 
 def words_of(text: str) -> list[str]:
     """Words between white space."""
-    return [w for w in _SPACES.split(text) if w] if _SEPARATORS.search(text) else text.split()
+    return [w for w in _SPACES.split(text) if w] if any(c in text for c in _SEPARATORS) else text.split()
 
 
 class Codec:
@@ -159,7 +165,8 @@ def _codec(content: str, lexicon: str) -> Codec:
 def lexicon_of(docs: DataFrame, vocabulary: Vocabulary, most: int = LEXICON_WORDS) -> bytes:
     """Compiled transducer of the most frequent words of ``docs`` (at most ``most``), counted over all rows."""
     plain = texts(docs).withColumn("used", F.lit(False))
-    counts = written_counts(plain.where("text <> X''"), lambda text: [w.encode() for w in words_of(text.decode())])
+    # Words between ASCII spaces: some of them may hold other white space, and are then of no use.
+    counts = written_counts(plain.where("text <> X''"), bytes.split)
     words = frequent(counts.where(F.length("word") <= LEXICON_BYTES), most).select("word").collect()
     return compiled([(bytes(r["word"]), vocabulary.encoded(bytes(r["word"]).decode())) for r in words])
 
