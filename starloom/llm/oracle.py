@@ -2,4 +2,144 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from starloom.llm import licenses, rules
+
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWERED = f"translate(coalesce(text, ''), '{_CAPITALS}', '{_CAPITALS.lower()}')"
+_WORD = r"'[^ \t\n\x0B\f\r]+'"
+_ALNUM_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _decontamination() -> str:
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, {_ALNUM_WORD}) AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWERED}, {_ALNUM_WORD}) AS w FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS span
+    FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(i) WHERE len(w) > 0
+),
+sizes AS (SELECT DISTINCT size FROM bw),
+dw AS (
+    SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS span
+    FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS t(i)
+),
+hits AS (SELECT DISTINCT doc_id, size, i, item_id FROM dw JOIN bw USING (size, span)),
+covered AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM hits, unnest(range(0, size)) AS t(j) GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+    sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+def _near_dedup() -> str:
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, {_WORD}) AS w FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS shingle
+    FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM n
+    UNION
+    SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+),
+least_id AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_id USING (doc_id)
+"""
+
+
+def _substring_dedup() -> str:
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
+wins AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS span FROM d, unnest(range(1, len(w) - 11)) AS t(i)),
+firsts AS (SELECT span, min(doc_id) AS first_id FROM wins GROUP BY span),
+gone AS (SELECT DISTINCT doc_id, i + j AS at FROM wins JOIN firsts USING (span), unnest(range(0, 13)) AS t(j) WHERE doc_id > first_id),
+each_word AS (SELECT doc_id, i AS at, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(i)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY at) AS kept_text FROM each_word ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _quality_rules() -> str:
+    measures = {
+        "symbols_per_word": ("n_symbols", "n_words"), "capitals_share": ("n_capitals", "word_chars"), "marks_per_word": ("n_marks", "n_words"),
+        "repeated_words_share": ("n_repeat_words", "n_words"), "repeated_lines_share": ("n_dup_lines", "n_lines"), "doubled_words_share": ("n_doubled", "n_words"),
+    }
+    rate = rules.ALPHA / len(rules.RULES)
+    grid = ", ".join(f"('{rule}', {cut}::DOUBLE)" for rule, cuts in rules.RULES.items() for cut in cuts)
+    long_rows = " UNION ALL ".join(f"SELECT row_id, '{rule}' AS rule, CASE WHEN {b} > 0 THEN {a}::DOUBLE / {b} ELSE 0 END AS value FROM m" for rule, (a, b) in measures.items())
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, regexp_extract_all(x, {_WORD}) AS w, list_filter(string_split(x, chr(10)), l -> regexp_matches(l, {_WORD})) AS lines FROM t),
+g AS (SELECT row_id, i, array_to_string(w[i : i + 2], ' ') AS span FROM w, unnest(range(1, len(w) - 1)) AS u(i)),
+twice AS (SELECT row_id, span FROM g GROUP BY ALL HAVING count(*) > 1),
+rep AS (SELECT row_id, count(DISTINCT i + j) AS n_repeat_words FROM g JOIN twice USING (row_id, span), unnest(range(0, 3)) AS u(j) GROUP BY row_id),
+m AS (
+    SELECT row_id, doc_id, stratum, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(x) - length(translate(x, '#*$%&|<>', '')) AS n_symbols,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines,
+        length(x) - length(translate(x, '{_CAPITALS}', '')) AS n_capitals, length(x) - length(replace(x, '!', '')) AS n_marks,
+        len(list_filter(range(1, len(w)), i -> w[i] = w[i + 1])) AS n_doubled
+    FROM w LEFT JOIN rep USING (row_id)
+),
+base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+v AS ({long_rows}),
+good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
+held AS (SELECT row_id, stratum FROM base WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
+grid(rule, cut) AS (VALUES {grid}),
+strata AS (SELECT count(DISTINCT stratum) AS strata FROM held),
+counts AS (SELECT stratum, rule, cut, count(*) AS n, count(*) FILTER (value > cut) AS k FROM held JOIN v USING (row_id) JOIN grid USING (rule) GROUP BY ALL),
+tails AS (
+    SELECT *, CASE WHEN k < n * {rate!r}
+        THEN list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate!r}) + (n - i) * ln(1 - {rate!r})) FOR i IN range(0, k + 1)]) ELSE 1 END AS tail
+    FROM counts
+),
+chosen AS (SELECT stratum, rule, min(cut) AS cut FROM tails, strata WHERE tail * strata * (SELECT count(*) FROM grid) <= {rules.DELTA} GROUP BY ALL),
+over AS (SELECT DISTINCT row_id FROM base JOIN v USING (row_id) JOIN chosen USING (stratum, rule) WHERE value > cut)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+    CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND row_id NOT IN (SELECT row_id FROM over) AS kept
+FROM base
+"""
+
+
+def _license_scan() -> str:
+    normal = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
+    grams = "list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))])"
+    notices = ", ".join(f"({_text(name)}, {_text(notice)})" for name, notice in licenses.TEMPLATES)
+    return f"""
+WITH known(license, notice) AS (VALUES {notices}),
+k AS (SELECT license, {grams} AS b FROM (SELECT license, string_split({normal.format("notice")}, ' ') AS w FROM known)),
+t AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS x FROM documents),
+lines AS (SELECT row_id, string_split(x, chr(10)) AS l, x FROM t),
+segments AS (SELECT row_id, unnest(CASE WHEN len(l) > 1 THEN list_append(l, x) ELSE l END) AS segment, generate_subscripts(CASE WHEN len(l) > 1 THEN list_append(l, x) ELSE l END, 1) AS at FROM lines),
+pairs AS (SELECT row_id, at, {grams} AS a FROM (SELECT row_id, at, string_split({normal.format("segment")}, ' ') AS w FROM segments)),
+close_pairs AS (SELECT row_id, at, a, license, b FROM pairs, k WHERE len(a) BETWEEN len(b) * 0.66 AND len(b) * 1.51),
+dice AS (SELECT row_id, at, license, len(list_intersect(a, b)) * 2.0::DOUBLE / (len(a) + len(b)) AS dice FROM close_pairs),
+best AS (SELECT row_id, at, first(license ORDER BY dice DESC, license) AS license, max(dice) AS dice FROM dice WHERE dice >= {licenses.THRESHOLD} GROUP BY ALL),
+found AS (
+    SELECT row_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS listed, first(license ORDER BY dice DESC, license) AS license, max(dice) AS dice FROM best GROUP BY row_id
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_segments, coalesce(listed, '') AS licenses, license AS best_license, coalesce(dice, 0.0::DOUBLE)::DOUBLE AS best_dice
+FROM t LEFT JOIN found USING (row_id)
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op1_license_scan": _license_scan(),
+    "op5_decontamination": _decontamination(),
+    "op7_near_dedup": _near_dedup(),
+    "op8_quality_rules": _quality_rules(),
+    "op9_substring_dedup": _substring_dedup(),
+}

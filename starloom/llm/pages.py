@@ -39,7 +39,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _ENDED_BY_BLOCK = frozenset(("p",))
 
 _MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(script|style|title|textarea|noscript|iframe|template)\b[^>]*+>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>""",
+    r"""<!--.*?(?:-->|\Z)|<(script|style|title|textarea|noscript|iframe|template)\b[^>]*+>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>|</?[a-zA-Z][^<>]*+\Z""",
     re.DOTALL | re.IGNORECASE,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))|\b(hidden)\b|(aria-hidden\s*=\s*["']?true)""", re.IGNORECASE)
@@ -169,7 +169,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     Null and empty pages, and pages without text, have an empty text.  Broken
     markup is read as far as it goes: an element that is never closed ends with its
-    parent, an unfinished tag is text.  Rows that repeat a page_id are read one
+    parent, an unfinished tag at the end is dropped.  Rows that repeat a page_id are read one
     by one; null ids and urls are kept.  Other columns are ignored.
     """
     bounded_batches(pages.sparkSession)

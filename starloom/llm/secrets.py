@@ -6,9 +6,10 @@ convolutional network in numpy reads each candidate with the text around it.  It
 is trained on candidates of the scanned corpus, labelled by the patterns; half
 of the training copies have the text before the candidate blanked, so that the
 network also learns the look of the secret itself.  Scores are calibrated on
-candidates not trained on (a logistic fit), and the threshold is the highest one
-that finds at least ``RECALL`` of the labelled findings there with their context
-blanked, but not below ``LEAST_SCORE``.
+candidates not trained on (a logistic fit).  The highest threshold that finds at
+least ``RECALL`` of the labelled findings there with their context blanked is the
+upper limit; where the other candidates score lower, the threshold lies half way
+between them and the limit (in logits), but not below ``LEAST_SCORE``.
 """
 
 from __future__ import annotations
@@ -196,8 +197,11 @@ def trained(windows: list[str], labels: list[int]) -> Network:
     network.train(np.concatenate([x[fit], blanked(x[fit])]), np.concatenate([y[fit], y[fit]]))
     both, label = np.concatenate([x[check], blanked(x[check])]), np.concatenate([y[check], y[check]])
     network.calibrate(network.logits(both), label)
-    found = np.sort(network.scores(blanked(x[check][y[check] > 0])))
-    network.threshold = max(LEAST_SCORE, float(found[math.floor((1 - RECALL) * len(found))]))
+    found = np.sort(network.logits(blanked(x[check][y[check] > 0])))
+    limit = found[math.floor((1 - RECALL) * len(found))]
+    others = network.logits(both[label == 0]).max()
+    cut = min(limit, (limit + others) / 2) if others < limit else limit
+    network.threshold = max(LEAST_SCORE, float(1 / (1 + np.exp(-np.clip(network.slope * cut + network.offset, -30, 30)))))
     return network
 
 
