@@ -65,9 +65,9 @@ def _substring_dedup() -> str:
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
 wins AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS span FROM d, unnest(range(1, len(w) - 11)) AS t(i)),
 firsts AS (SELECT span, min(doc_id) AS first_id FROM wins GROUP BY span),
-gone AS (SELECT DISTINCT doc_id, i + j AS at FROM wins JOIN firsts USING (span), unnest(range(0, 13)) AS t(j) WHERE doc_id > first_id),
-each_word AS (SELECT doc_id, i AS at, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(i)),
-kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY at) AS kept_text FROM each_word ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id)
+gone AS (SELECT DISTINCT doc_id, i + j AS pos FROM wins JOIN firsts USING (span), unnest(range(0, 13)) AS t(j) WHERE doc_id > first_id),
+each_word AS (SELECT doc_id, i AS pos, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(i)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS kept_text FROM each_word ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept_text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
@@ -83,7 +83,7 @@ def _quality_rules() -> str:
     long_rows = " UNION ALL ".join(f"SELECT row_id, '{rule}' AS rule, CASE WHEN {b} > 0 THEN {a}::DOUBLE / {b} ELSE 0 END AS value FROM m" for rule, (a, b) in measures.items())
     return f"""
 WITH t AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS x FROM documents),
-w AS (SELECT *, regexp_extract_all(x, {_WORD}) AS w, list_filter(string_split(x, chr(10)), l -> regexp_matches(l, {_WORD})) AS lines FROM t),
+w AS (SELECT *, regexp_extract_all(x, {_WORD}) AS w, [l FOR l IN string_split(x, chr(10)) IF regexp_matches(l, {_WORD})] AS lines FROM t),
 g AS (SELECT row_id, i, array_to_string(w[i : i + 2], ' ') AS span FROM w, unnest(range(1, len(w) - 1)) AS u(i)),
 twice AS (SELECT row_id, span FROM g GROUP BY ALL HAVING count(*) > 1),
 rep AS (SELECT row_id, count(DISTINCT i + j) AS n_repeat_words FROM g JOIN twice USING (row_id, span), unnest(range(0, 3)) AS u(j) GROUP BY row_id),
@@ -91,7 +91,7 @@ m AS (
     SELECT row_id, doc_id, stratum, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(x) - length(translate(x, '#*$%&|<>', '')) AS n_symbols,
         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines,
         length(x) - length(translate(x, '{_CAPITALS}', '')) AS n_capitals, length(x) - length(replace(x, '!', '')) AS n_marks,
-        len(list_filter(range(1, len(w)), i -> w[i] = w[i + 1])) AS n_doubled
+        len([i FOR i IN range(1, len(w)) IF w[i] = w[i + 1]]) AS n_doubled
     FROM w LEFT JOIN rep USING (row_id)
 ),
 base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
@@ -123,11 +123,11 @@ WITH known(license, notice) AS (VALUES {notices}),
 k AS (SELECT license, {grams} AS b FROM (SELECT license, string_split({normal.format("notice")}, ' ') AS w FROM known)),
 t AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS x FROM documents),
 lines AS (SELECT row_id, string_split(x, chr(10)) AS l, x FROM t),
-segments AS (SELECT row_id, unnest(CASE WHEN len(l) > 1 THEN list_append(l, x) ELSE l END) AS segment, generate_subscripts(CASE WHEN len(l) > 1 THEN list_append(l, x) ELSE l END, 1) AS at FROM lines),
-pairs AS (SELECT row_id, at, {grams} AS a FROM (SELECT row_id, at, string_split({normal.format("segment")}, ' ') AS w FROM segments)),
-close_pairs AS (SELECT row_id, at, a, license, b FROM pairs, k WHERE len(a) BETWEEN len(b) * 0.66 AND len(b) * 1.51),
-dice AS (SELECT row_id, at, license, len(list_intersect(a, b)) * 2.0::DOUBLE / (len(a) + len(b)) AS dice FROM close_pairs),
-best AS (SELECT row_id, at, first(license ORDER BY dice DESC, license) AS license, max(dice) AS dice FROM dice WHERE dice >= {licenses.THRESHOLD} GROUP BY ALL),
+segments AS (SELECT row_id, unnest(CASE WHEN len(l) > 1 THEN list_append(l, x) ELSE l END) AS segment, generate_subscripts(CASE WHEN len(l) > 1 THEN list_append(l, x) ELSE l END, 1) AS pos FROM lines),
+pairs AS (SELECT row_id, pos, {grams} AS a FROM (SELECT row_id, pos, string_split({normal.format("segment")}, ' ') AS w FROM segments)),
+close_pairs AS (SELECT row_id, pos, a, license, b FROM pairs, k WHERE len(a) BETWEEN len(b) * 0.66 AND len(b) * 1.51),
+dice AS (SELECT row_id, pos, license, len(list_intersect(a, b)) * 2.0::DOUBLE / (len(a) + len(b)) AS dice FROM close_pairs),
+best AS (SELECT row_id, pos, first(license ORDER BY dice DESC, license) AS license, max(dice) AS dice FROM dice WHERE dice >= {licenses.THRESHOLD} GROUP BY ALL),
 found AS (
     SELECT row_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS listed, first(license ORDER BY dice DESC, license) AS license, max(dice) AS dice FROM best GROUP BY row_id
 )
