@@ -65,9 +65,11 @@ def _fingerprints(sizes: list[int]):
         owners, values = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
         for size in sizes:
             at, prints, _ = spans(hashes, starts, size)
+            owner = text_of(starts, at)
+            # Neighbouring spans mostly share their fingerprint: one of each run will do.
             new = np.ones(len(at), bool)
-            new[1:] = (prints[1:] != prints[:-1]) | (at[1:] != at[:-1] + 1)
-            owners.append(text_of(starts, at[new]))
+            new[1:] = (prints[1:] != prints[:-1]) | (owner[1:] != owner[:-1])
+            owners.append(owner[new])
             values.append(prints[new])
         lists = distinct_by_text(np.concatenate(owners), np.concatenate(values), batch.num_rows)
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(np.diff(starts)), lists], ["doc_id", "text_key", "n_words", "prints"])
