@@ -8,19 +8,22 @@ from pyspark.sql import functions as F
 from starloom.llm.common import dropped, written
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other at most, and on none that hangs itself."""
+    roles = edges.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    return roles.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).where("hangs > 1 OR (hangs = 1 AND holds = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): label is the smallest node reachable.  ``edges`` has (a, b) of one orderable type.
 
     Large-star / small-star: every node hangs its neighbours onto the smallest
     one, first the larger neighbours, then the smaller ones, until the edges are
     stars.  A round is two grouped minima and two joins with them, so a node with
-    very many edges is folded before the shuffle and its join can be split.  The
-    driver sees one row per round, a count and a checksum of the edges.
+    very many edges is folded before the shuffle and its join can be split.
     """
     edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    seen = None
-    while (state := edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()) != seen:
-        seen = state
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()

@@ -6,11 +6,11 @@ ROWS`` values cost half as many permutations.  Documents that agree in all
 values of a band fall into one bucket.  With 48 bands of 5 values a pair of
 similarity 0.75 shares no bucket with probability (1 - 0.75**5)**48 = 2e-6.
 
-Equal sets are one node.  Within a bucket every member is compared with the
-smallest and the largest member, later with members drawn by a salted hash, so
-a bucket of n members emits a multiple of n pairs, not n * n.  What lies in
-different components after that is compared pair by pair, so no link that a
-bucket shows is lost.  All links are confirmed on the full sets.
+Equal sets are one node.  Within a bucket every member is first compared with one
+hub, so a bucket of n members emits n pairs.  Members that are in different
+components after that are compared pair by pair, so no link that a bucket shows
+is lost; pairs are left out only where the shingles that other nodes have at all
+are too few for a link.  All links are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -28,8 +28,6 @@ from starloom.llm.components import components
 
 SHINGLE = 5
 BANDS, ROWS = 48, 5
-#: Rounds of salted hubs before the remaining pairs are compared one by one.
-HUB_ROUNDS = 2
 
 _draw = np.random.default_rng(20_111)
 _FACTORS = (_draw.integers(0, 1 << 32, BANDS * ROWS // 2, np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -104,54 +102,51 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     docs = keyed_texts(docs)
     signed = written(map_batches(docs, "doc_id long, text_key long, n_shingles long, name binary, bands array<long>", _signed))
     # A node is the smallest document of those with one set.
-    classes = written(signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n")))
-    first = signed.where("n_shingles > 0").join(classes, "name").where("doc_id = node")
-    members = first.select(F.explode("bands").alias("key"), "node", "n").distinct()
-    ends = members.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = written(members.join(ends, "key"))
-
-    def near_in_size(a: str, b: str) -> Column:
-        return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-    sizes = classes.groupBy("node").agg(F.max("n").alias("n"))
-    shared = members.select("node").distinct()
-    sets = written(map_batches(docs.join(shared, docs["doc_id"] == shared["node"], "left_semi").select("doc_id", "text"), "node long, shingles array<long>", _sets))
+    filled = signed.where("n_shingles > 0")
+    classes = written(filled.where("doc_id IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("node")))
+    members = filled.join(classes, "name").where("doc_id = node").select(F.explode("bands").alias("key"), "node")
+    shared = members.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
+    members = written(members.join(shared, "key"))
+    nodes = members.select("node").distinct()
+    sets = written(map_batches(docs.join(nodes, docs["doc_id"] == nodes["node"], "left_semi").select("doc_id", "text"), "node long, shingles array<long>", _sets))
+
+    # Shingles that no other node of these has are in no intersection.
+    grams = sets.select("node", F.explode("shingles").alias("gram"))
+    common = grams.groupBy("gram").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("gram")
+    counts = grams.join(common, "gram", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+    sizes = sets.groupBy("node").agg(F.min(F.size("shingles")).cast("long").alias("n"))
+    possible = counts.join(sizes, "node").where(F.col("c") * 100 >= F.col("n") * percent)
+    members = written(members.join(possible, "node"))
+
+    def may_link(a: dict[str, Column], b: dict[str, Column]) -> Column:
+        """The intersection is at most the smaller number of common shingles."""
+        most = F.least(a["c"], b["c"])
+        return most * 100 >= (a["n"] + b["n"] - most) * percent
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) whose sets are close."""
         a, b = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
         return pairs.join(a, "a").join(b, "b").where(_close(F.col("left"), F.col("right"), percent)).select("a", "b").distinct()
 
-    def ordered(a: str, b: str) -> DataFrame:
-        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-    hubs = members.select("node", "n", F.explode(F.array("low", "high")).alias("hub")).where("node <> hub").distinct()
-    hub_sizes = sizes.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"))
-    pairs = hubs.join(hub_sizes, "hub").where(near_in_size("n", "hub_n")).select(*ordered("node", "hub")).distinct()
-    tested = written(pairs)
+    own = {"n": F.col("n"), "c": F.col("c")}
+    # The node with the largest share of common shingles is the one most likely to be what others were copied from.
+    hub = members.groupBy("key").agg(F.max(F.struct((F.col("c") / F.col("n")).alias("share"), (-F.col("node")).alias("last"), "n", "c")).alias("hub"))
+    spokes = members.join(hub, "key").withColumn("other", -F.col("hub.last")).where((F.col("node") != F.col("other")) & may_link(own, {"n": F.col("hub.n"), "c": F.col("hub.c")}))
+    tested = written(spokes.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
     links = written(confirmed(tested))
     label = components(links)
 
-    for salt in range(HUB_ROUNDS + 1):
-        labelled = members.select("key", "node", "n").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_keys = labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h").select("key")
-        rest = written(labelled.join(open_keys, "key", "left_semi"))
-        if salt < HUB_ROUNDS:
-            # A member of the most common kind of label is not known cheaply; a salted draw finds one soon.
-            hub = rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(salt)), "node", "n", "label")).alias("hub"))
-            found = rest.join(hub, "key").where((F.col("label") != F.col("hub.label")) & near_in_size("n", "hub.n"))
-            pairs = found.select(*ordered("node", "hub.node")).distinct()
-        else:
-            other = rest.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
-            found = rest.join(other, "key").where((F.col("node") < F.col("node2")) & (F.col("label") != F.col("label2")) & near_in_size("n", "n2"))
-            pairs = found.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"))
-        new = written(confirmed(pairs))
-        dropped(rest)
-        if not new.isEmpty():
-            links = written(links.unionByName(new))
-            label = components(links)
-        tested = tested.unionByName(pairs)
+    # Buckets whose members are not all in one component yet: their pairs across components.
+    labelled = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_keys = labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h").select("key")
+    rest = written(labelled.join(open_keys, "key", "left_semi"))
+    other = rest.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("c").alias("c2"), F.col("label").alias("label2"))
+    across = (F.col("node") < F.col("node2")) & (F.col("label") != F.col("label2")) & may_link(own, {"n": F.col("n2"), "c": F.col("c2")})
+    pairs = rest.join(other.withColumnRenamed("key", "key2"), (F.col("key") == F.col("key2")) & across).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+    more = written(confirmed(pairs.join(tested, ["a", "b"], "left_anti")))
+    if not more.isEmpty():
+        label = components(links.unionByName(more))
+    dropped(members, rest, tested, sets)
 
     named = classes.join(label, "node", "left").select("name", F.coalesce("label", "node").alias("component"))
     rows = signed.select("doc_id", "text_key", "n_shingles", "name").join(named, "name", "left")
