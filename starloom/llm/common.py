@@ -135,6 +135,15 @@ def gram_hashes(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     return mixed(total)
 
 
+def span_hashes(words: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function of (first, end) positions that gives the hash of the words between them."""
+    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(words), _BASE)]), dtype=np.uint64)
+    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    undo = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(words), inverse)]), dtype=np.uint64)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(words * powers[:-1], dtype=np.uint64)])
+    return lambda first, end: mixed((sums[end] - sums[first]) * undo[first] + (end - first).astype(np.uint64))
+
+
 def sliding_minimum(values: np.ndarray, size: int) -> np.ndarray:
     """Minimum of each ``size`` neighbouring values, by doubling."""
     n = len(values) - size + 1

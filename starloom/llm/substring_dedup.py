@@ -9,8 +9,9 @@ Rounds go on until a text is one symbol.
 
 Whether two neighbours merge depends on them and their neighbours alone, so
 equal spans have equal symbols inside, up to their margins.  The anchor of a
-window is the symbol of the smallest hash among those of the highest usable
-round that the window determines by itself; its words if there is none.  Equal
+window is one of the symbols of the highest usable round that the window determines
+by itself, taken together with the words that determine it; a word of the window if
+there is none.  Of several the one with the smallest hash is taken.  Equal
 windows have equal anchors, hence no repeat is missed: only anchors that occur
 in two documents are looked at, and their windows are compared by the hash of
 all their words.  Texts with one top symbol are copies of each other and need no
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import (
-    distinct_by_text, dropped, fitting, gram_hashes, hashed_words, keyed_texts, map_batches, mixed, same_row, text_of, written,
+    distinct_by_text, dropped, fitting, gram_hashes, hashed_words, keyed_texts, map_batches, mixed, same_row, span_hashes, text_of, written,
 )
 
 WINDOW = 13
@@ -97,11 +98,12 @@ def parsed(hashes: np.ndarray, starts: np.ndarray, rounds: int | None = None) ->
 def anchors(hashes: np.ndarray, starts: np.ndarray, levels: list[Symbols]) -> tuple[np.ndarray, np.ndarray]:
     """Start and anchor of every window."""
     best = np.full(len(hashes) + 1, _NONE)
+    hash_of = span_hashes(hashes)
     for level, symbols in enumerate(levels):
-        # The top bits rank the rounds, so a symbol of a higher round wins; the names of a round differ by hash.
-        rank = (mixed(symbols.names + np.uint64(level)) >> np.uint64(2)) | np.uint64((len(levels) - 1 - level) << 62)
         fits = (symbols.low >= 0) & (symbols.high - symbols.low <= WINDOW) & (symbols.high <= len(hashes))
-        low, high, rank = symbols.low[fits], symbols.high[fits], rank[fits]
+        low, high, names = symbols.low[fits], symbols.high[fits], symbols.names[fits]
+        # The top bits rank the rounds, so a symbol of a higher round wins; those of a round differ by hash.
+        rank = (mixed(names + hash_of(low, high)) >> np.uint64(2)) | np.uint64((len(levels) - 1 - level) << 62)
         # ``low`` differs between the symbols of a round, so no two write to one place at a time.
         for back in range(WINDOW):
             use = (high - low + back <= WINDOW) & (low >= back)
