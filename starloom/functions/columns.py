@@ -12,6 +12,18 @@ from pyspark.sql import types as T
 # End date of an open dimension version.
 OPEN_END = datetime(2999, 12, 31)
 
+# Metadata columns this library writes beside the data; no other name counts as metadata.
+STAMP_COLUMNS = (
+    "_ingestion_timestamp",
+    "_source_system",
+    "_processing_timestamp",
+    "_layer",
+    "_batch_id",
+    "_source_file",
+    "_source_offset",
+    "_source_row",
+)
+
 
 def q(name: str) -> str:
     """Quote a column name so that dots and blanks in it are taken literally."""
@@ -28,8 +40,8 @@ def timestamp(value: datetime) -> Column:
 
 
 def batch_id(batch_ts: datetime) -> str:
-    """Sortable batch identifier of one run."""
-    return batch_ts.strftime("%Y%m%d_%H%M%S")
+    """Sortable batch identifier of one run, to the microsecond."""
+    return batch_ts.strftime("%Y%m%d_%H%M%S_%f")
 
 
 def is_floating(dtype: T.DataType) -> bool:
@@ -89,8 +101,8 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def data_columns(df: DataFrame) -> list[str]:
-    """Columns that carry data; names starting with ``_`` are batch metadata."""
-    return [c for c in df.columns if not c.startswith("_")]
+    """Columns that carry data: all but the stamps this library writes."""
+    return [c for c in df.columns if c not in STAMP_COLUMNS]
 
 
 def orderable(dtype: T.DataType) -> bool:

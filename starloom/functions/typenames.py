@@ -49,7 +49,10 @@ _SPARK_TYPES = {
 
 def type_of(name: str) -> T.DataType:
     """The Spark type of an accepted name."""
-    return _SPARK_TYPES[spark_name(name)]
+    found = _SPARK_TYPES.get(spark_name(name))
+    if found is None:
+        raise ValueError(f"unknown type {name!r}, expected one of {sorted(_SPARK_TYPES)}")
+    return found
 
 
 def struct(**fields: str | T.DataType) -> T.StructType:

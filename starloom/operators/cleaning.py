@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import (
+    STAMP_COLUMNS,
     all_of,
     col,
     data_columns,
@@ -47,7 +48,7 @@ def remove_duplicates(
     copy that came with another batch; of such copies the earliest stamps are kept.
     """
     if subset is None:
-        stamps = [c for c in df.columns if c.startswith("_")]
+        stamps = [c for c in df.columns if c in STAMP_COLUMNS]
         if not stamps:
             return df.dropDuplicates()
         subset, order_by = data_columns(df), [*order_by, *stamps]
@@ -82,17 +83,21 @@ def drop_missing(df: DataFrame, subset: Sequence[str] | None = None) -> DataFram
     One condition per column rather than ``na.drop``: Spark pushes each to the scan, and
     plans it in linear time where columns were renamed before.
     """
-    return df.filter(all_of(is_present(df, c) for c in subset or df.columns))
+    return df.filter(all_of(is_present(df, c) for c in (df.columns if subset is None else subset)))
 
 
-def fill_mean(df: DataFrame) -> DataFrame:
+def fill_mean(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Fill numeric columns that miss values with their mean (F2).
 
-    Such columns become doubles; complete columns keep their type, and columns without
-    any value stay as they are.
+    Named ``columns`` become doubles whether they miss values or not, so that every batch
+    of a table has the same types.  Without names all numeric columns are looked at, those
+    with gaps become doubles, and complete ones keep their type.  Columns without any value
+    stay as they are, named ones as doubles.
     """
     df = nan_to_null(df)
-    numeric = numeric_columns(df)
+    if columns is not None:
+        df = df.withColumns({c: col(c).cast("double") for c in columns})
+    numeric = numeric_columns(df) if columns is None else list(columns)
     if not numeric:
         return df
     found = df.agg(
@@ -117,8 +122,8 @@ def fill_forward(
 
     The rows are range sorted by group and order, then filled inside each sorted chunk,
     so neither a hot group nor the whole-table case ends up in one task.  A chunk starts
-    in the middle of at most one group: what that group carries over is one row per
-    chunk, small enough to broadcast.
+    in the middle of at most one group, and what that group carries over is one row per
+    chunk; Spark chooses how to join it by its size.
     """
     if not order_by:
         raise ValueError("forward fill needs order_by")
@@ -151,7 +156,7 @@ def fill_forward(
 
     same = all_of([F.col(CHUNK) == F.col("__to"), *[col(g).eqNullSafe(col(f"__group_{g}")) for g in groups]])
     filled = {c: F.coalesce(col(f"__in_{c}"), col(f"__carried_{c}")).alias(c) for c in columns}
-    return inside.join(F.broadcast(carried), same, "left").select(*[filled.get(c, col(c)) for c in names])
+    return inside.join(carried, same, "left").select(*[filled.get(c, col(c)) for c in names])
 
 
 def fill_value(df: DataFrame, value: Any) -> DataFrame:
@@ -172,7 +177,7 @@ def handle_missing_values(
     if strategy == "drop":
         return drop_missing(df, subset)
     if strategy == "fillna_mean":
-        return fill_mean(df)
+        return fill_mean(df, subset)
     if strategy == "fillna_forward":
         return fill_forward(df, order_by, partition_by, subset)
     if strategy == "fillna_value":
@@ -180,16 +185,31 @@ def handle_missing_values(
     raise ValueError(f"unknown strategy {strategy!r}, expected one of {STRATEGIES}")
 
 
-def coerce_types(df: DataFrame, mapping: Mapping[str, str]) -> tuple[DataFrame, list[str]]:
-    """Cast columns all-or-nothing.
+MISFITS = ("keep", "sibling", "fail")
 
-    Returns the frame and the columns left unchanged because some value does not fit.
-    One pass over the mapped columns decides for all of them; nulls fit any type.
+
+def coerce_types(
+    df: DataFrame, mapping: Mapping[str, str], on_misfit: str = "keep"
+) -> tuple[DataFrame, list[str]]:
+    """Cast columns.
+
+    Returns the frame and the columns that have values that do not fit.  One pass over the
+    mapped columns decides for all of them; nulls fit any type.  ``on_misfit`` says what
+    happens to such columns: ``keep`` casts all-or-nothing, so they stay as they are;
+    ``fail`` raises; ``sibling`` gives every mapped column its type in every batch and puts
+    the text of values that do not fit into ``<column>_text``, without a pass of its own
+    (the returned list is empty).
     """
+    if on_misfit not in MISFITS:
+        raise ValueError(f"unknown on_misfit {on_misfit!r}, expected one of {MISFITS}")
     wanted = {c: spark_name(t) for c, t in mapping.items() if c in df.columns}
     wanted = {c: t for c, t in wanted.items() if df.schema[c].dataType.simpleString() != t}
     if not wanted:
         return df, []
+    if on_misfit == "sibling":
+        fits = {c: col(c).try_cast(t) for c, t in wanted.items()}
+        texts = {f"{c}_text": F.when(~is_missing(df, c) & fits[c].isNull(), col(c).cast("string")) for c in wanted}
+        return df.withColumns({**fits, **texts}), []
     misfits = df.agg(
         *[
             F.count_if(~is_missing(df, c) & col(c).try_cast(t).isNull()).alias(c)
@@ -197,6 +217,8 @@ def coerce_types(df: DataFrame, mapping: Mapping[str, str]) -> tuple[DataFrame,
         ]
     ).first().asDict()
     failed = [c for c, n in misfits.items() if n]
+    if failed and on_misfit == "fail":
+        raise ValueError(f"values that do not fit their type in {failed}")
     casts = {c: col(c).try_cast(t) for c, t in wanted.items() if not misfits[c]}
     return (df.withColumns(casts) if casts else df), failed
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions.columns import any_of, col, differs, equal_on, q, timestamp
+from starloom.functions.columns import all_of, any_of, col, differs, equal_on, q, timestamp
 from starloom.operators.cleaning import distinct_combinations, drop_missing, keep_last
 from starloom.operators.keys import dense_keys, max_key
 from starloom.operators.scd import (
@@ -85,10 +85,11 @@ def merge_scd1(
 ) -> DataFrame:
     """Overwrite the attributes of known keys, nulls included, and insert new keys."""
     hit = rows.select(
-        *map(q, spec.natural_keys),
-        *[col(c).alias(f"__new_{c}") for c in spec.attributes],
-        F.lit(True).alias("__hit"),
+        *[col(c).alias(f"__new_{c}") for c in spec.business_columns], F.lit(True).alias("__hit")
     )
+    # One full outer join, written once, gives the rows that stay, change and come new.
+    same = all_of(col(c) == col(f"__new_{c}") for c in spec.natural_keys)
+    joined = stage(existing.withColumn("__known", F.lit(True)).join(hit, same, "full_outer"))
     found = F.coalesce(F.col("__hit"), F.lit(False))
     touched = found
     if not touch_unchanged:
@@ -102,10 +103,8 @@ def merge_scd1(
         .otherwise(col("dw_update_date"))
         .alias("dw_update_date")
     )
-    updated = existing.join(hit, list(spec.natural_keys), "left").select(
-        *[values.get(c, col(c)) for c in existing.columns]
-    )
-    new = _unseen(existing, rows, spec.natural_keys, null_safe=False)
+    updated = joined.filter("__known").select(*[values.get(c, col(c)) for c in existing.columns])
+    new = joined.filter("__known IS NULL").select(*[col(f"__new_{c}").alias(c) for c in spec.business_columns])
     return _append(updated, new, spec, batch_ts, max_key(existing, spec.key))
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import col, q
 from starloom.operators.positions import CHUNK, in_order, row_in_chunk
+from starloom.sources.staging import stage
 
 
 def _nulls_first(order_by: Sequence[str | Column]) -> list[Column]:
@@ -20,20 +21,19 @@ def dense_keys(
 ) -> DataFrame:
     """Number rows ``offset + 1 .. offset + n`` and put the key first.
 
-    Rows are range partitioned by ``order_by``, staged, counted per sorted partition,
-    and numbered from the total of the partitions before.  The driver sees one count per
-    partition; the result is a projection of the staged table, whose size Spark knows
-    when it plans later joins.  Without ``order_by`` any dense numbering will do and the
+    Rows are staged, range partitioned by ``order_by``, staged in that order, counted per
+    sorted partition, and numbered from the total of the partitions before.  The totals are
+    a table of one row per sorted partition that is joined on its number.  Without ``order_by`` any dense numbering will do and the
     rows are not shuffled.
     """
     columns = [c for c in df.columns if c != key]
     placed = in_order(df.select(*map(q, columns)), _nulls_first(order_by))
-    sizes = dict(placed.groupBy(CHUNK).agg(F.count(F.lit(1))).collect())
-    starts = [offset]
-    for chunk in range(max(sizes, default=0)):
-        starts.append(starts[-1] + sizes.get(chunk, 0))
-    start = F.get(F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>"), F.col(CHUNK).cast("int"))
-    return placed.select((start + row_in_chunk() + 1).cast("bigint").alias(key), *map(q, columns))
+    sizes = placed.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("__rows"))
+    # One row per sorted partition: a running total over all of them is small.
+    before = F.sum("__rows").over(Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1))
+    starts = stage(sizes.select(F.col(CHUNK), F.coalesce(before, F.lit(0)).alias("__start")))
+    number = (F.col("__start") + row_in_chunk() + F.lit(offset) + 1).cast("bigint")
+    return placed.join(starts, CHUNK).select(number.alias(key), *map(q, columns))
 
 
 def max_key(df: DataFrame, key: str) -> int:

@@ -23,7 +23,8 @@ def in_order(df: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
     it never changes.  ``CHUNK`` numbers the sorted partition a row came from.
     Without ``order`` rows keep the partition they are in and nothing is shuffled.
     """
-    ordered = df.sort(*order) if order else df
+    # A range sort reads its input twice, once to find the ranges: that should be a table.
+    ordered = stage(df).sort(*order) if order else df
     staged = stage(ordered.withColumn(POSITION, F.monotonically_increasing_id()))
     return staged.withColumn(CHUNK, F.shiftright(POSITION, _ROW_BITS))
 

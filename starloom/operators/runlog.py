@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -21,6 +22,7 @@ TRANSFORMATION = struct(
 )
 
 RUN_SCHEMA = struct(
+    run_id="string",
     layer="string",
     table_name="string",
     source="string",
@@ -34,8 +36,9 @@ RUN_SCHEMA = struct(
 )
 
 CHECKPOINT_SCHEMA = struct(
-    fact_table_size="bigint", new_rows_processed="bigint", checkpoint_timestamp="timestamp"
+    fact_table_size="bigint", new_rows_processed="bigint", checkpoint_timestamp="timestamp", position="bigint"
 )
+STATES = ("running", "success", "partial", "failed")
 
 
 @dataclass
@@ -49,6 +52,12 @@ class Run:
     row_count_in: int | None = None
     row_count_out: int | None = None
     transformations: list[dict[str, Any]] = field(default_factory=list)
+    errors: list[str] = field(default_factory=list)
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
+
+    def error(self, message: str) -> None:
+        """Note an error the run goes on after; it will end as ``partial``."""
+        self.errors.append(message)
 
     def transformation(self, name: str, details: Mapping[str, Any] | None = None) -> None:
         pairs = [(k, str(v)) for k, v in (details or {}).items()]
@@ -64,8 +73,11 @@ def append_run(
     status: str,
     errors: Sequence[str] = (),
 ) -> None:
-    """Add one run record; ``end_time`` stays empty for a run that never ended (L1)."""
+    """Add a record of a run's state; ``end_time`` stays empty until the run has ended (L1)."""
+    if status not in STATES:
+        raise ValueError(f"unknown status {status!r}, expected one of {STATES}")
     record = {
+        "run_id": run.run_id,
         "layer": run.layer,
         "table_name": run.table_name,
         "source": run.source,
@@ -89,15 +101,19 @@ def logged_run(
     source: str | None = None,
     clock: Callable[[], datetime] = datetime.now,
 ) -> Iterator[Run]:
-    """Log a layer run around a block; a failure is logged and raised again."""
+    """Log a layer run around a block: as running when it starts, and how it ended.
+
+    A failure is logged and raised again; a run whose driver dies stays ``running``.
+    """
     run = Run(layer, table_name, source, clock)
     start = clock()
+    append_run(spark, path, run, start, None, "running")
     try:
         yield run
     except Exception as error:
-        append_run(spark, path, run, start, clock(), "failed", [str(error)])
+        append_run(spark, path, run, start, clock(), "failed", [*run.errors, str(error)])
         raise
-    append_run(spark, path, run, start, clock(), "success")
+    append_run(spark, path, run, start, clock(), "partial" if run.errors else "success", run.errors)
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -107,7 +123,10 @@ def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return _read_or_empty(spark, path, RUN_SCHEMA)
+    """One row per run, in its last state."""
+    records = _read_or_empty(spark, path, RUN_SCHEMA)
+    ended = F.struct((F.col("status") != "running").alias("ended"), "end_time")
+    return records.groupBy("run_id").agg(F.max_by(F.struct(*RUN_SCHEMA.names), ended).alias("r")).select("r.*")
 
 
 def run_history(runs: DataFrame, layer: str | None = None, table_name: str | None = None) -> DataFrame:
@@ -138,24 +157,34 @@ def run_report(runs: DataFrame) -> DataFrame:
 
 
 def write_run_report(runs: DataFrame, path: str) -> None:
-    """The report as CSV."""
-    run_report(runs).orderBy("start_time").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """The report as CSV, in order of the start over its files."""
+    run_report(runs).orderBy("start_time").write.mode("overwrite").option("header", True).csv(path)
 
 
 def store_checkpoint(
-    spark: SparkSession, path: str, fact_table_size: int, new_rows_processed: int, timestamp: datetime
+    spark: SparkSession,
+    path: str,
+    fact_table_size: int,
+    new_rows_processed: int,
+    timestamp: datetime,
+    position: int,
+    batch: str,
 ) -> None:
-    """Remember the size of the fact after a load (L4)."""
-    values = (fact_table_size, new_rows_processed, timestamp)
+    """Remember the size of the fact after a load (L4).
+
+    ``position`` is the place in the order of loads, the number of the manifest entry.  A
+    replay of a batch takes the place of what was stored for it.
+    """
+    values = (fact_table_size, new_rows_processed, timestamp, position)
     row = dict(zip(CHECKPOINT_SCHEMA.names, values, strict=True))
-    small_frame(spark, [row], CHECKPOINT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    small_frame(spark, [row], CHECKPOINT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
 def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:
-    return _read_or_empty(spark, path, CHECKPOINT_SCHEMA)
+    return _read_or_empty(spark, path, CHECKPOINT_SCHEMA).select(*CHECKPOINT_SCHEMA.names)
 
 
 def latest_checkpoint(checkpoints: DataFrame) -> DataFrame:
-    """The last checkpoint, or no row."""
-    newest = F.max_by(F.struct(*CHECKPOINT_SCHEMA.names), F.struct("checkpoint_timestamp", "fact_table_size"))
+    """The last checkpoint stored, or no row."""
+    newest = F.max_by(F.struct(*CHECKPOINT_SCHEMA.names), "position")
     return checkpoints.agg(newest.alias("c")).filter("c IS NOT NULL").select("c.*")

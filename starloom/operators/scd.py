@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.columns import (
     OPEN_END,
+    all_of,
     any_of,
     col,
     differs,
@@ -52,6 +53,17 @@ def history(
     return dim.filter(col(key) == F.lit(value)).orderBy(col(effective_date).asc_nulls_last())
 
 
+def ranked_history(
+    dim: DataFrame, key: str, value: Any, effective_date: str = EFFECTIVE, end_date: str = END
+) -> DataFrame:
+    """The versions of one entity with their number in order, from 1 on.
+
+    One entity's versions are few; the filter on the key reaches the scan.
+    """
+    order = Window.orderBy(col(effective_date).asc_nulls_last(), col(end_date).asc_nulls_last())
+    return dim.filter(col(key) == F.lit(value)).select(F.row_number().over(order).alias("version"), *map(q, dim.columns))
+
+
 def open_end_literal(dim: DataFrame, end_date: str = END):
     return timestamp(OPEN_END).cast(dim.schema[end_date].dataType)
 
@@ -97,6 +109,10 @@ def require_single_current(dim: DataFrame, keys: Sequence[str], is_current: str
         raise ValueError(f"more than one open version for key {found[0].asDict()}")
 
 
+def _has_key(keys: Sequence[str]) -> Column:
+    return all_of(col(c).isNotNull() for c in keys)
+
+
 def _as_in(existing: DataFrame, batch: DataFrame) -> DataFrame:
     """Cast the batch's columns to the types the dimension already has."""
     types = {f.name: f.dataType for f in existing.schema.fields}
@@ -126,7 +142,10 @@ def scd2_changes(
     keys = _names(key)
     compared = [c for c in tracked if c in existing.columns and c in batch.columns]
     batch = _as_in(existing, batch)
-    current = current_records(existing, is_current).select(
+    # Rows without a key need no join, where all of them would meet in one task.
+    unmatched = batch.filter(~_has_key(keys)).withColumn(REPLACES, F.lit(False))
+    batch = batch.filter(_has_key(keys))
+    current = current_records(existing, is_current).filter(_has_key(keys)).select(
         *map(q, keys), *[col(c).alias(f"__old_{c}") for c in compared], F.lit(True).alias("__open")
     )
     judged = batch.join(current, keys, "left").select(
@@ -135,7 +154,7 @@ def scd2_changes(
         any_of(differs(col(c), col(f"__old_{c}")) for c in compared).alias("__changed"),
     )
     if not order_by:
-        return judged.filter(~F.col(REPLACES) | F.col("__changed")).drop("__changed")
+        return judged.filter(~F.col(REPLACES) | F.col("__changed")).drop("__changed").unionByName(unmatched)
     # The first differing row per key settles the rest: one row per key after a map-side
     # minimum, whatever the number of rows a hot key brings.  Both inputs of the join are
     # written tables, because Spark splits a hot key only where it joins plain shuffles.
@@ -145,7 +164,8 @@ def scd2_changes(
     first_change = stage(differing.groupBy(*map(q, keys)).agg(F.min(place).alias("__first")))
     later = judged.filter(REPLACES).join(first_change, keys, "inner").filter(place >= F.col("__first"))
     columns = [*map(q, batch.columns), REPLACES]
-    return judged.filter(~F.col(REPLACES)).select(*columns).unionByName(later.select(*columns))
+    new = judged.filter(~F.col(REPLACES)).select(*columns)
+    return new.unionByName(later.select(*columns)).unionByName(unmatched)
 
 
 def replaced_keys(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -165,8 +185,9 @@ def close_versions(
     marked = closed_keys.withColumn("__closing", F.lit(True))
     closing = col(is_current) & F.coalesce(F.col("__closing"), F.lit(False))
     stamp = timestamp(batch_ts).cast(existing.schema[end_date].dataType)
-    return (
-        existing.join(marked, list(keys), "left")
+    keyless = existing.filter(~_has_key(keys))
+    ended = (
+        existing.filter(_has_key(keys)).join(marked, list(keys), "left")
         .withColumns(
             {
                 "__end": F.when(closing, stamp).otherwise(col(end_date)),
@@ -182,6 +203,7 @@ def close_versions(
             ]
         )
     )
+    return ended.unionByName(keyless)
 
 
 def open_versions(
@@ -213,11 +235,15 @@ def scd2_upsert(
     end_date: str = END,
     is_current: str = CURRENT,
     validate: bool = True,
+    chain: bool = True,
 ) -> DataFrame:
     """Close changed versions and add new ones; surrogate keys are not assigned.
 
     ``order_by`` columns must give the batch rows of one key a strict order; those the
-    dimension does not have are used for the order only and not stored.
+    dimension does not have are used for the order only and not stored.  With ``chain``
+    only the last version a batch brings for a key is open, and the earlier ones end where
+    it starts, so that the dimension can take its next batch.  Without it, or without
+    ``order_by``, every inserted row is open.
     """
     require_columns(existing, [effective_date, end_date, is_current])
     keys = _names(key)
@@ -225,7 +251,20 @@ def scd2_upsert(
         require_single_current(existing, keys, is_current)
     # The changes open new versions and close old ones: join for them once.
     changes = stage(scd2_changes(existing, new, keys, tracked, order_by, is_current))
-    inserts = changes.drop(REPLACES, *[c for c in order_by if c not in existing.columns])
+    inserts = changes
+    if chain and order_by:
+        # One row per key after a map-side maximum; both inputs of the join are written tables.
+        place = F.struct(*[col(c) for c in order_by])
+        last = stage(changes.filter(_has_key(keys)).groupBy(*map(q, keys)).agg(F.max(place).alias("__last_place")))
+        keyed = changes.filter(_has_key(keys)).join(last, keys, "inner").withColumn("__last", place == F.col("__last_place"))
+        keyless = changes.filter(~_has_key(keys)).withColumn("__last", F.lit(True))
+        inserts = keyed.drop("__last_place").unionByName(keyless)
+    inserts = inserts.drop(REPLACES, *[c for c in order_by if c not in existing.columns])
     opened = open_versions(inserts, existing.schema, batch_ts, effective_date, end_date, is_current)
+    if chain and order_by:
+        stamp = timestamp(batch_ts).cast(existing.schema[end_date].dataType)
+        opened = opened.withColumns(
+            {end_date: F.when(F.col("__last"), col(end_date)).otherwise(stamp), is_current: F.col("__last")}
+        ).drop("__last")
     kept = close_versions(existing, replaced_keys(changes, keys), keys, batch_ts, end_date, is_current)
     return kept.unionByName(opened, allowMissingColumns=True)

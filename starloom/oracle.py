@@ -55,6 +55,32 @@ upserted AS (
 """
 
 
+CHAINED = f"""
+first_event AS (
+  SELECT user_id, event_type, value FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS rn FROM events)
+  WHERE rn = 1 AND value < 100),
+incoming AS (
+  SELECT CASE WHEN NOT (event_type = 'error' AND value > 400) THEN user_id END AS user_id, event_type, value, ts
+  FROM events),
+first_change AS (
+  SELECT b.user_id, min(b.ts) AS ts FROM incoming b JOIN first_event e ON b.user_id = e.user_id
+  WHERE b.event_type IS DISTINCT FROM e.event_type GROUP BY b.user_id),
+inserted AS (
+  SELECT b.* FROM incoming b LEFT JOIN first_event e ON b.user_id = e.user_id LEFT JOIN first_change f ON b.user_id = f.user_id
+  WHERE e.user_id IS NULL OR b.ts >= f.ts),
+chained AS (
+  SELECT e.user_id, e.event_type, e.value, {EARLIER} AS effective_date,
+         CASE WHEN f.user_id IS NOT NULL THEN {TS} ELSE {OPEN_END} END::VARCHAR AS end_date,
+         f.user_id IS NULL AS is_current
+  FROM first_event e LEFT JOIN first_change f ON e.user_id = f.user_id
+  UNION ALL
+  SELECT user_id, event_type, value, {TS}, CASE WHEN last THEN {OPEN_END} ELSE {TS} END::VARCHAR, last
+  FROM (SELECT *, user_id IS NULL OR row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1 AS last FROM inserted))
+"""
+
+
+
 def dims(customers: str = "customer") -> str:
     return f"""
 dim_customer AS (
@@ -114,17 +140,13 @@ usual AS (SELECT present.* FROM present, stats WHERE abs((l_extendedprice - m) /
 """
 
 RUNS = """
-kinds AS (
-  SELECT user_id, ts::DATE AS day, event_type, min(ts) AS first, max(ts) AS last, count(*) AS n
-  FROM events GROUP BY ALL),
 runs AS (
-  SELECT CASE WHEN sum(n) > 2 THEN 'silver' ELSE 'bronze' END AS layer, 'user_' || user_id AS table_name,
-         'events' AS source, min(first) AS start_time, max(last) AS end_time,
+  SELECT CASE WHEN count(*) > 2 THEN 'silver' ELSE 'bronze' END AS layer, 'user_' || user_id AS table_name,
+         'events' AS source, min(ts) AS start_time, max(ts) AS end_time,
          CASE WHEN count(*) FILTER (event_type = 'error') > 0 THEN 'failed' ELSE 'success' END AS status,
-         sum(n)::BIGINT AS rows_in,
-         coalesce(sum(n) FILTER (event_type <> 'error'), 0)::BIGINT AS rows_out,
+         count(*) AS rows_in, count(*) FILTER (event_type <> 'error') AS rows_out,
          count(*) AS transformations, count(*) FILTER (event_type = 'error') AS errors
-  FROM kinds GROUP BY user_id, day)
+  FROM events GROUP BY user_id, ts::DATE)
 """
 
 SUITE = """
@@ -280,25 +302,16 @@ SELECT (SELECT max(customer_key) FROM existing) + row_number() OVER (ORDER BY c_
        c_mktsegment, c_nationkey, c_acctbal, {TS}, {TS}
 FROM added""",
     "q18_scd2_upsert": f"WITH {UPSERTED} SELECT * REPLACE (end_date::VARCHAR AS end_date) FROM upserted",
-    "q19_scd2_repeated_keys": f"""
-WITH existing AS (
-  SELECT user_id, event_type, value FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS rn FROM events)
-  WHERE rn = 1 AND value < 100),
-batch AS (
-  SELECT CASE WHEN NOT (event_type = 'error' AND value > 400) THEN user_id END AS user_id, event_type, value, ts
-  FROM events),
-first_change AS (
-  SELECT b.user_id, min(b.ts) AS ts FROM batch b JOIN existing e ON b.user_id = e.user_id
-  WHERE b.event_type IS DISTINCT FROM e.event_type GROUP BY b.user_id)
-SELECT e.user_id, e.event_type, e.value, {EARLIER} AS effective_date,
-       CASE WHEN f.user_id IS NOT NULL THEN {TS} ELSE {OPEN_END} END::VARCHAR AS end_date,
-       f.user_id IS NULL AS is_current
-FROM existing e LEFT JOIN first_change f ON e.user_id = f.user_id
+    "q19_scd2_repeated_keys": f"WITH {CHAINED} SELECT * FROM chained",
+    "q51_scd2_second_batch": f"""
+WITH {CHAINED},
+batch AS (SELECT DISTINCT user_id FROM events WHERE user_id % 3 = 0)
+SELECT c.user_id, event_type, value, effective_date,
+       CASE WHEN is_current AND b.user_id IS NOT NULL THEN TIMESTAMP '2024-06-02 00:00:00'::VARCHAR ELSE end_date END AS end_date,
+       is_current AND b.user_id IS NULL AS is_current
+FROM chained c LEFT JOIN batch b ON c.user_id = b.user_id
 UNION ALL
-SELECT b.user_id, b.event_type, b.value, {TS}, {OPEN_END}::VARCHAR, TRUE
-FROM batch b LEFT JOIN existing e ON b.user_id = e.user_id LEFT JOIN first_change f ON b.user_id = f.user_id
-WHERE e.user_id IS NULL OR b.ts >= f.ts""",
+SELECT user_id, 'again', 0.0::DOUBLE, TIMESTAMP '2024-06-02 00:00:00', {OPEN_END}::VARCHAR, TRUE FROM batch""",
     "q20_dim_scd2_merge": f"""
 WITH existing AS (
   SELECT row_number() OVER (ORDER BY c_custkey) AS customer_key, c_custkey, c_name, c_mktsegment
@@ -332,10 +345,11 @@ FROM added""",
     "q22_scd2_current": f"""
 WITH {UPSERTED} SELECT * REPLACE (end_date::VARCHAR AS end_date) FROM upserted WHERE is_current""",
     "q23_scd2_history": f"""
-WITH {UPSERTED}
-SELECT c_custkey, c_name, effective_date, end_date::VARCHAR AS end_date, is_current
-FROM upserted WHERE c_mktsegment = 'MOVED'
-ORDER BY effective_date NULLS LAST""",
+WITH {UPSERTED},
+entity AS (SELECT c_custkey FROM upserted WHERE c_custkey IS NOT NULL GROUP BY c_custkey ORDER BY count(*) DESC, c_custkey DESC LIMIT 1)
+SELECT row_number() OVER (ORDER BY effective_date)::INTEGER AS version, c_custkey, c_name, c_mktsegment, effective_date,
+       end_date::VARCHAR AS end_date, is_current
+FROM upserted WHERE c_custkey IN (SELECT c_custkey FROM entity)""",
     "q24_scd2_validate": f"""
 WITH {HISTORY},
 broken AS (
@@ -346,15 +360,17 @@ SELECT 'sound' AS dimension, count(*) AS violations, count(*) = 0 AS valid
 FROM history WHERE is_current AND end_date IS DISTINCT FROM {OPEN_END}
 UNION ALL
 SELECT 'broken', count(*), count(*) = 0 FROM broken WHERE is_current AND end_date IS DISTINCT FROM {OPEN_END}""",
-    "q25_fact_fanout_all_versions": """
-WITH vers AS (
+    "q25_fact_fanout_all_versions": f"""
+WITH {dims()},
+vers AS (
   SELECT s_suppkey, s_nationkey, s_acctbal <= 5000 AS is_current FROM supplier
   UNION ALL
-  SELECT s_suppkey, s_nationkey + 100, TRUE FROM supplier WHERE s_acctbal > 5000)
+  SELECT s_suppkey, s_nationkey + 100, TRUE FROM supplier WHERE s_acctbal > 5000),
+lines AS (SELECT s_suppkey FROM bound JOIN dim_supplier USING (supplier_key))
 SELECT s_nationkey::INTEGER AS s_nationkey, count(*) AS fact_rows, 'current' AS version
-FROM lineitem JOIN vers ON l_suppkey = s_suppkey WHERE is_current GROUP BY s_nationkey
+FROM lines JOIN vers USING (s_suppkey) WHERE is_current GROUP BY s_nationkey
 UNION ALL
-SELECT s_nationkey::INTEGER, count(*), 'all' FROM lineitem JOIN vers ON l_suppkey = s_suppkey GROUP BY s_nationkey""",
+SELECT s_nationkey::INTEGER, count(*), 'all' FROM lines JOIN vers USING (s_suppkey) GROUP BY s_nationkey""",
     "q26_fact_append": f"""
 WITH {LOADS}
 SELECT row_number() OVER (ORDER BY {FACT_ORDER}) AS result_key, {FACT_COLUMNS},
@@ -378,10 +394,10 @@ UNION ALL SELECT 'replayed', count(*) FROM second_load s
 WITH {LOADS},
 n AS (SELECT (SELECT count(*) FROM first_load) AS f, (SELECT count(*) FROM second_load) AS s,
              (SELECT count(*) FROM fresh) AS a)
-SELECT '20200101_000000' AS _batch_id, 'full' AS mode, f AS new_rows, 0::BIGINT AS appended_rows,
+SELECT '20200101_000000_000000' AS _batch_id, 'full' AS mode, f AS new_rows, 0::BIGINT AS appended_rows,
        0::BIGINT AS duplicate_keys_skipped, f AS last_key, {EARLIEST} AS promoted_at FROM n
-UNION ALL SELECT '20220101_000000', 'incremental', s, a, s - a, f + a, {EARLIER} FROM n
-UNION ALL SELECT '20240601_000000', 'incremental', s, 0, s, f + a, {TS} FROM n""",
+UNION ALL SELECT '20220101_000000_000000', 'incremental', s, a, s - a, f + a, {EARLIER} FROM n
+UNION ALL SELECT '20240601_000000_000000', 'incremental', s, 0, s, f + a, {TS} FROM n""",
     "q37_star_rollup": f"""
 WITH {dims()}
 SELECT c_mktsegment, order_year, count(*) AS fact_rows, round(avg(l_quantity), 4) AS avg_l_quantity,
@@ -479,8 +495,9 @@ SELECT layer, table_name, status, start_time, rows_in AS row_count_in, rows_out
 FROM runs WHERE layer = 'silver' OR table_name = 'user_7'""",
     "q36_latest_checkpoint": """
 SELECT count(*) AS fact_table_size, count(*) FILTER (event_type = 'signup') AS new_rows_processed,
-       max(ts) AS checkpoint_timestamp
-FROM events GROUP BY ts::DATE ORDER BY checkpoint_timestamp DESC LIMIT 1""",
+       (DATE '1970-01-01' + ((ts::DATE - DATE '1970-01-01') // 2 * 2)::INTEGER)::TIMESTAMP AS checkpoint_timestamp,
+       (ts::DATE - DATE '1970-01-01')::BIGINT AS position
+FROM events GROUP BY ts::DATE ORDER BY position DESC LIMIT 1""",
     "q38_profile": f"WITH {GAPS} "
     + profile(
         "gaps",
@@ -532,4 +549,35 @@ HAVING count(*) > 1""",
     "q47_orphan_keys": "SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "q48_dense_keys": """
 SELECT 1000 + row_number() OVER (ORDER BY user_id, ts) AS event_key, event_id, ts, user_id FROM events""",
+    "q49_replay_after_failed_gate": f"""
+WITH {LOADS},
+keyed AS (SELECT row_number() OVER (ORDER BY {FACT_ORDER}) AS result_key, c_mktsegment FROM first_load)
+SELECT c_mktsegment, count(*) AS fact_rows, max(result_key) AS last_key FROM keyed GROUP BY c_mktsegment""",
+    "q54_dedup_user_flag": f"""
+SELECT DISTINCT o_orderkey, o_orderstatus, flag::INTEGER AS _flag, {EARLIER} AS _ingestion_timestamp, 'raw_ingestion' AS _source_system
+FROM (SELECT o_orderkey, o_orderstatus, 1 AS flag FROM orders UNION ALL SELECT o_orderkey, o_orderstatus, o_orderkey % 2 FROM orders)""",
+    "q55_outliers_default_columns": """
+WITH p AS (SELECT p_partkey, p_size, p_retailprice AS _price FROM part),
+s1 AS (SELECT avg(p_partkey) AS m, stddev_samp(p_partkey) AS s FROM p),
+k1 AS (SELECT p.* FROM p, s1 WHERE abs((p_partkey - m) / s) < 1.2),
+s2 AS (SELECT avg(p_size) AS m, stddev_samp(p_size) AS s FROM k1),
+k2 AS (SELECT k1.* FROM k1, s2 WHERE abs((p_size - m) / s) < 1.2),
+s3 AS (SELECT avg(_price) AS m, stddev_samp(_price) AS s FROM k2)
+SELECT p_partkey, p_size, _price FROM k2, s3 WHERE abs((_price - m) / s) < 1.2""",
+    "q50_csv_scan": """
+SELECT doc_id, '"quoted", ' || text || chr(10) || ',end' AS text, lang, n_chars FROM documents""",
+    "q53_layer_formats": """
+WITH o AS (
+  SELECT o_orderkey, o_orderdate, o_totalprice,
+         CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN '\\N' WHEN 2 THEN ' "a' || chr(10) || '\\' || o_orderpriority || '", '
+                             WHEN 3 THEN o_orderstatus END AS note
+  FROM orders)
+SELECT o.*, fmt FROM o, (VALUES ('parquet'), ('json'), ('csv')) AS f(fmt)""",
+    "q52_layer_types": f"""
+WITH m AS (SELECT avg(NULLIF(c_nationkey, 7)) AS nation_mean FROM customer)
+SELECT c_custkey, c_nationkey::DOUBLE AS c_nationkey, c_acctbal, NULL::VARCHAR AS c_acctbal_text, {EARLIER} AS _processing_timestamp FROM customer
+UNION ALL
+SELECT c_custkey, round(coalesce(NULLIF(c_nationkey, 7)::DOUBLE, nation_mean), 4), CASE WHEN c_custkey % 10 <> 0 THEN c_acctbal END,
+       CASE WHEN c_custkey % 10 = 0 THEN 'none' END, {TS}
+FROM customer, m""",
 }

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from functools import partial
 from typing import Any
 
 from pyspark.sql import SparkSession
 
+from starloom.functions.columns import batch_id
 from starloom.operators.quality import (
     Check,
     ColumnRule,
@@ -18,12 +19,14 @@ from starloom.operators.quality import (
     NullFraction,
     References,
     RowCount,
+    contract_checks,
+    run_suite,
 )
 from starloom.operators.runlog import logged_run, store_checkpoint
 from starloom.operators.concurrent import side_by_side
 from starloom.plans.silver import process
 from starloom.plans.specs import CleaningConfig, DimensionSpec, FactSpec, StarSpec
-from starloom.plans.star import Loaded, load_star
+from starloom.plans.star import Loaded, QualityGateError, load_star
 from starloom.sources.ingest import FILE_ORDER, describe, ingest
 
 ATHLETES, REGIONS = "athlete_events", "noc_regions"
@@ -167,12 +170,18 @@ def run(
     checks: Sequence[Check] = (),
     min_pass_rate: float = 0.9,
     dedup_batch: bool = False,
-    check_new_facts_only: bool = False,
+    check_new_facts_only: bool = True,
+    enforce_contracts: bool = False,
+    csv_options: Mapping[str, Any] | None = None,
     clock: Callable[[], datetime] = datetime.now,
 ) -> Loaded:
     """One batch from raw files to the promoted warehouse, logged per layer.
 
-    Not ``incremental``, the batch replaces the warehouse instead of adding to it.
+    Not ``incremental``, the batch replaces the warehouse instead of adding to it.  A raw
+    column with values that do not fit its declared type is landed as text.  With
+    ``enforce_contracts`` the declared rules of the raw tables must hold before anything is
+    cleaned, and those of the fact before the batch is promoted.  ``csv_options`` go to the
+    CSV reader (``multiLine`` for line breaks inside quotes).
     The folders below ``root`` are ``bronze``, ``silver``, ``gold`` and ``logs``.
     """
     log = f"{root}/logs/runs"
@@ -184,13 +193,21 @@ def run(
             {
                 table: partial(
                     ingest, spark, source, f"{root}/bronze", table, batch_ts,
-                    schema=contract.schema(), record_order=True,
+                    schema=contract.schema(), record_order=True, options={"lenient": True, **(csv_options or {})},
                 )
                 for table, (source, contract) in given.items()
             },
         )
         rows_raw = sum(t.count() for t in raw.values())
+        # Names of the layers' steps in the log.
         current.transformation("ingest_csv", {"tables": [ATHLETES, REGIONS]})
+        if enforce_contracts:
+            rules = [c for table, (_, contract) in given.items() for c in contract_checks(table, contract)]
+            failed = [r.asDict() for r in run_suite(raw, rules).filter("NOT passed").collect()]
+            if failed:
+                raise QualityGateError(f"raw tables break their contracts: {[(r['check'], r['table']) for r in failed]}")
+            checks, min_pass_rate = [*checks, *contract_checks(FACT, FACT_CONTRACT)], 1.0
+            check_new_facts_only = False  # the declared row minimum is that of the whole fact
         current.row_count_out = rows_raw
 
     with logged_run(spark, log, "silver", "standardized", "bronze", clock) as current:
@@ -223,6 +240,6 @@ def run(
         current.transformation("build_star_schema", {"mode": loaded.stats["mode"], "fact_rows": fact_rows})
         current.row_count_out = fact_rows
         store_checkpoint(
-            spark, f"{root}/logs/checkpoints", fact_rows, loaded.new_facts.count(), batch_ts
+            spark, f"{root}/logs/checkpoints", fact_rows, loaded.new_facts.count(), batch_ts, loaded.slot, batch_id(batch_ts)
         )
     return loaded

@@ -54,8 +54,8 @@ def _clean(
             F.count(F.lit(1)).alias("rows"),
             F.coalesce(count_missing(df), F.lit(0)).alias("missing"),
         )
-    # Steps that look at the data first would run the dedup shuffle again each time.
-    if config.missing_strategy != "drop":
+    # Steps that look at the data first would run all before them again each time.
+    if config.missing_strategy in ("fillna_mean", "fillna_forward"):
         df = stage(df)
     df = handle_missing_values(
         df,
@@ -65,11 +65,11 @@ def _clean(
         order_by=config.order_by,
         partition_by=config.partition_by,
     )
-    if config.missing_strategy == "drop" and (config.type_mapping or config.remove_outliers):
+    if config.type_mapping or config.remove_outliers:
         df = stage(df)
     failed: list[str] = []
     if config.type_mapping:
-        df, failed = coerce_types(df, config.type_mapping)
+        df, failed = coerce_types(df, config.type_mapping, config.on_misfit)
     outliers = 0
     if config.remove_outliers:
         kept = remove_outliers(df, config.outlier_columns, config.z_score_threshold)

@@ -82,6 +82,7 @@ class CleaningConfig:
     order_by: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     type_mapping: Mapping[str, str] = field(default_factory=dict)
+    on_misfit: str = "keep"
     remove_outliers: bool = False
     outlier_columns: tuple[str, ...] | None = None
     z_score_threshold: float = 3.0

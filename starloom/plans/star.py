@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -17,7 +18,7 @@ from starloom.operators.quality import Check, meets_gate, run_suite
 from starloom.operators.concurrent import side_by_side
 from starloom.plans.specs import DimensionSpec, StarSpec
 from starloom.sources.staging import stage, temporary_stages
-from starloom.sources.warehouse import last_fact_key, last_promoted, promote, read_dimension, read_fact, write_table
+from starloom.sources.warehouse import last_promoted, next_slot, promote, read_dimension, read_fact, write_table
 
 
 class QualityGateError(RuntimeError):
@@ -26,12 +27,13 @@ class QualityGateError(RuntimeError):
 
 @dataclass(frozen=True)
 class Loaded:
-    """Dimensions after the load, the batch's new facts, all facts, counts."""
+    """Dimensions after the load, the batch's new facts, all facts, counts, number of the manifest entry."""
 
     dims: dict[str, DataFrame]
     new_facts: DataFrame
     fact: DataFrame
     stats: dict[str, object]
+    slot: int
 
 
 def build_dimensions(
@@ -74,21 +76,24 @@ def load_star(
     dedup_batch: bool = False,
     checks: Sequence[Check] = (),
     min_pass_rate: float = 0.95,
-    check_new_facts_only: bool = False,
+    check_new_facts_only: bool = True,
     rebuild: bool = False,
+    fmt: str = "parquet",
 ) -> Loaded:
     """Merge the dimensions, append the facts whose grain is new, check, promote.
 
-    Everything is written to partitions of this batch first; a replay of the batch
-    rewrites them.  ``check_new_facts_only`` spares the checks the facts that passed them
-    when they were loaded.  ``rebuild`` ignores what is there: dimensions and facts of this
-    batch take the place of all earlier ones.
+    Everything is written to folders of this attempt first; what is promoted is not touched
+    before the checks have passed, nor by a replay of the batch.  ``check_new_facts_only``
+    spares the checks the facts that passed them when they were loaded; keys cannot collide,
+    as new ones start above the manifest's last one.  ``rebuild`` ignores what is there:
+    dimensions and facts of this batch take the place of all earlier ones.  ``fmt`` is the
+    format of this batch's tables.
     """
     spark = sources[star.fact.source].sparkSession
     with temporary_stages(spark):
         return _load(
             spark, sources, star, root, batch_ts, version, dedup_batch, checks, min_pass_rate,
-            check_new_facts_only, rebuild,
+            check_new_facts_only, rebuild, fmt,
         )
 
 
@@ -104,7 +109,9 @@ def _load(
     min_pass_rate: float,
     check_new_facts_only: bool,
     rebuild: bool,
+    fmt: str,
 ) -> Loaded:
+    slot, attempt = next_slot(spark, root), uuid.uuid4().hex
     previous = last_promoted(spark, root, batch_ts)
     if rebuild:
         previous = None
@@ -113,7 +120,7 @@ def _load(
     def merge(spec: DimensionSpec) -> DataFrame:
         known = read_dimension(spark, root, spec.name, previous)
         merged = merge_dimension(known, sources[spec.source], spec, batch_ts)
-        return write_table(merged, root, spec.name, batch_ts)
+        return write_table(merged, root, spec.name, batch_ts, attempt, fmt)
 
     dims = side_by_side(spark, {d.name: partial(merge, d) for d in star.dimensions})
 
@@ -122,10 +129,10 @@ def _load(
         mode, offset = "full", 0
         fresh = remove_duplicates(bound, star.fact.grain) if dedup_batch else bound
     else:
-        mode, offset = "incremental", last_fact_key(spark, root, previous)
+        mode, offset = "incremental", previous.last_key
         bound = stage(bound)
         fresh = unseen_facts(existing_fact, bound, star.fact.grain, dedup_batch)
-    written = write_table(number_facts(fresh, star.fact, offset), root, star.fact.name, batch_ts)
+    written = write_table(number_facts(fresh, star.fact, offset), root, star.fact.name, batch_ts, attempt, fmt)
     # Row counts of Parquet tables come from the file footers.
     appended = written.count()
     new_rows = bound.count() if mode == "incremental" else appended
@@ -135,8 +142,9 @@ def _load(
     checked = {**dims, star.fact.name: written if check_new_facts_only else fact}
     if checks and not meets_gate(run_suite(checked, checks), min_pass_rate):
         raise QualityGateError(f"batch of {batch_ts} is below a pass rate of {min_pass_rate}")
-    promote(spark, root, batch_ts, stats, offset + appended)
-    return Loaded(dims, written, fact, stats)
+    schemas = {name: table.schema for name, table in {**dims, star.fact.name: written}.items()}
+    promote(spark, root, slot, batch_ts, attempt, schemas, stats, offset + appended, fmt)
+    return Loaded(dims, written, fact, stats, slot)
 
 
 def read_star(spark: SparkSession, star: StarSpec, root: str) -> dict[str, DataFrame]:

@@ -15,9 +15,9 @@ from starloom.operators import cleaning, dimensions, facts, profile, quality, ru
 from starloom.operators.keys import dense_keys, next_key
 from starloom.plans import sales, silver
 from starloom.plans.specs import CleaningConfig, DimensionSpec
-from starloom.plans.star import build_dimensions, build_star, load_star
+from starloom.plans.star import QualityGateError, build_dimensions, build_star, load_star, read_star
 from starloom.sources.ingest import stamp
-from starloom.sources.layers import latest_batch
+from starloom.sources import ingest, layers
 from starloom.sources.staging import shared_folder, stage
 from starloom.sources.warehouse import manifest
 
@@ -26,6 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 BATCH_TS = datetime(2024, 6, 1)
 EARLIER = datetime(2022, 1, 1)
 EARLIEST = datetime(2020, 1, 1)
+NEXT_TS = datetime(2024, 6, 2)
 
 QUERIES: dict[str, Query] = {}
 
@@ -139,6 +140,21 @@ def q09_dedup_whole_row(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.remove_duplicates(orders.unionByName(orders))
 
 
+@query
+def q54_dedup_user_flag(spark: SparkSession, folder: str) -> DataFrame:
+    """Stamped rows that differ in a user's column with a leading underscore alone are no copies."""
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    flagged = orders.withColumn("_flag", F.lit(1)).unionByName(orders.withColumn("_flag", F.col("o_orderkey").cast("int") % 2))
+    return cleaning.remove_duplicates(stamp(flagged, BATCH_TS).unionByName(stamp(flagged, EARLIER)))
+
+
+@query
+def q55_outliers_default_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """All numeric columns by default, a user's column with a leading underscore included."""
+    prices = read(spark, folder, "part").select("p_partkey", "p_size", F.col("p_retailprice").alias("_price"))
+    return cleaning.remove_outliers(prices, z_score_threshold=1.2)
+
+
 @query
 def q10_dedup_keep_first(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.remove_duplicates(
@@ -270,8 +286,8 @@ def q18_scd2_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return with_end_as_text(upserted_history(spark, folder))
 
 
-@query
-def q19_scd2_repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
+def chained_users(spark: SparkSession, folder: str) -> DataFrame:
+    """First events of users as their dimension, and all events as one batch for it."""
     events = read(spark, folder, "events")
     first = cleaning.remove_duplicates(events, ("user_id",), ("ts",)).filter("value < 100")
     existing = versions(first.select("user_id", "event_type", "value"), EARLIER, OPEN_END, True)
@@ -279,8 +295,21 @@ def q19_scd2_repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
     batch = events.select(
         F.when(~unknown, F.col("user_id")).alias("user_id"), "event_type", "value", "ts"
     )
+    return scd.scd2_upsert(existing, batch, "user_id", ["event_type"], BATCH_TS, order_by=("ts",))
+
+
+@query
+def q19_scd2_repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return with_end_as_text(chained_users(spark, folder))
+
+
+@query
+def q51_scd2_second_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """The dimension of the batch with repeated keys takes the next batch."""
+    third = read(spark, folder, "events").where("user_id % 3 = 0").select("user_id").distinct()
+    batch = third.select("user_id", F.lit("again").alias("event_type"), F.lit(0.0).alias("value"))
     return with_end_as_text(
-        scd.scd2_upsert(existing, batch, "user_id", ["event_type"], BATCH_TS, order_by=("ts",))
+        scd.scd2_upsert(chained_users(spark, folder), batch, "user_id", ["event_type"], NEXT_TS)
     )
 
 
@@ -321,9 +350,14 @@ def q22_scd2_current(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q23_scd2_history(spark: SparkSession, folder: str) -> DataFrame:
-    # The customer with the largest balance below 4000 has changed and may have a past.
-    found = scd.history(upserted_history(spark, folder), "c_mktsegment", "MOVED")
-    return with_end_as_text(found.select("c_custkey", "c_name", "effective_date", "end_date", "is_current"))
+    """Versions of the customer that has most of them, in order, the last key among equals."""
+    dim = stage(upserted_history(spark, folder))
+    counts = dim.where("c_custkey IS NOT NULL").groupBy("c_custkey").count()
+    key = counts.agg(F.max_by("c_custkey", F.struct("count", "c_custkey"))).first()[0]
+    found = scd.ranked_history(dim, "c_custkey", key)
+    return with_end_as_text(
+        found.select("version", "c_custkey", "c_name", "c_mktsegment", "effective_date", "end_date", "is_current")
+    )
 
 
 @query
@@ -348,26 +382,21 @@ def q24_scd2_validate(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q25_fact_fanout_all_versions(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines per supplier nation, joined with the open version or with every version."""
-    suppliers = read(spark, folder, "supplier")
-    dim = dimensions.build_dimension(suppliers, sales.DIM_SUPPLIER, EARLIER)
+    """Facts per supplier nation, bound to the open version or to every version."""
+    sources = sales_sources(spark, folder)
+    dims = build_dimensions(sources, sales.STAR, EARLIER)
+    suppliers, dim = sources["supplier"], dims[sales.DIM_SUPPLIER.name]
     moved = suppliers.withColumn(
         "s_nationkey",
         F.when(F.col("s_acctbal") > 5000, F.col("s_nationkey") + 100).otherwise(F.col("s_nationkey")),
     )
     dim = stage(dimensions.merge_dimension(dim, moved, sales.DIM_SUPPLIER, BATCH_TS))
-    lines = read(spark, folder, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("lines"))
+    dims[sales.DIM_SUPPLIER.name] = dim
     counted = []
     for version in ("current", "all"):
-        keys = facts.lookup(dim, sales.DIM_SUPPLIER, version)
-        bound = lines.join(keys, F.col("l_suppkey") == F.col("__nk_s_suppkey")).join(
-            dim.select("supplier_key", "s_nationkey"), "supplier_key"
-        )
-        counted.append(
-            bound.groupBy("s_nationkey")
-            .agg(F.sum("lines").alias("fact_rows"))
-            .withColumn("version", F.lit(version))
-        )
+        bound = facts.bind_fact(sources[sales.LINES], dims, sales.STAR, BATCH_TS, version)
+        rolled = facts.star_rollup(bound, dims, sales.STAR, by={sales.DIM_SUPPLIER.name: ["s_nationkey"]})
+        counted.append(rolled.withColumn("version", F.lit(version)))
     return reduce(DataFrame.unionByName, counted)
 
 
@@ -426,6 +455,26 @@ def q28_append_stats(spark: SparkSession, folder: str) -> DataFrame:
     return manifest(spark, root)
 
 
+@query
+def q49_replay_after_failed_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """A load, then a replay of it with other lines that fails its checks: the first one stays."""
+    sources = sales_sources(spark, folder)
+    root = scratch_root(spark)
+    lines = sources[sales.LINES]
+    load_star({**sources, sales.LINES: lines.filter(FIRST_LOAD)}, sales.STAR, root, BATCH_TS)
+    try:
+        load_star(
+            {**sources, sales.LINES: lines.filter(SECOND_LOAD)}, sales.STAR, root, BATCH_TS,
+            checks=[quality.RowCount(sales.STAR.fact.name, 1_000_000_000_000)],
+        )
+    except QualityGateError:
+        pass
+    tables = read_star(spark, sales.STAR, root)
+    return tables[sales.STAR.fact.name].join(tables["dim_customer"].select("customer_key", "c_mktsegment"), "customer_key").groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("fact_rows"), F.max("result_key").alias("last_key")
+    )
+
+
 @query
 def q37_star_rollup(spark: SparkSession, folder: str) -> DataFrame:
     sources = sales_sources(spark, folder)
@@ -587,25 +636,22 @@ def runs_from_events(spark: SparkSession, folder: str) -> DataFrame:
     """Run records: the events of a user on a day make one run."""
     step = F.struct(
         F.col("event_type").alias("name"),
-        F.lit(None).cast("timestamp_ntz").alias("timestamp"),
-        F.lit(None).cast("map<string,string>").alias("details"),
+        F.col("ts").alias("timestamp"),
+        F.create_map(F.lit("value"), F.col("value").cast("string")).alias("details"),
     )
     is_error = F.col("event_type") == "error"
-    # One row per kind of event first, so that the lists below are as short as the kinds are few.
-    kinds = read(spark, folder, "events").groupBy(
-        F.col("user_id"), F.to_date("ts").alias("day"), "event_type"
-    ).agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count(F.lit(1)).alias("n"))
-    return kinds.groupBy("user_id", "day").agg(
-        F.when(F.sum("n") > 2, F.lit("silver")).otherwise(F.lit("bronze")).alias("layer"),
+    events = read(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    return events.groupBy("user_id", "day").agg(
+        F.when(F.count(F.lit(1)) > 2, F.lit("silver")).otherwise(F.lit("bronze")).alias("layer"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("table_name"),
         F.lit("events").alias("source"),
-        F.min("first").alias("start_time"),
+        F.min("ts").alias("start_time"),
         F.when(F.count_if(is_error) > 0, F.lit("failed")).otherwise(F.lit("success")).alias("status"),
-        F.sum("n").alias("row_count_in"),
-        F.coalesce(F.sum(F.when(~is_error, F.col("n"))), F.lit(0)).alias("row_count_out"),
+        F.count(F.lit(1)).alias("row_count_in"),
+        F.count_if(~is_error).alias("row_count_out"),
         F.collect_list(step).alias("transformations"),
-        F.max("last").alias("end_time"),
-        F.collect_list(F.when(is_error, F.col("event_type"))).alias("errors"),
+        F.max("ts").alias("end_time"),
+        F.collect_list(F.when(is_error, F.col("props"))).alias("errors"),
     ).drop("user_id", "day")
 
 
@@ -628,9 +674,11 @@ def q36_latest_checkpoint(spark: SparkSession, folder: str) -> DataFrame:
     daily = read(spark, folder, "events").groupBy(F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).alias("fact_table_size"),
         F.count_if(F.col("event_type") == "signup").alias("new_rows_processed"),
-        F.max("ts").alias("checkpoint_timestamp"),
     )
-    return runlog.latest_checkpoint(daily.drop("day"))
+    # Every other day repeats the time of the day before, as replays may: the last one stored counts.
+    n = F.datediff("day", F.lit("1970-01-01").cast("date")).cast("bigint")
+    stored = daily.withColumns({"position": n, "checkpoint_timestamp": F.to_date(F.from_unixtime((n - n % 2) * 86400)).cast("timestamp_ntz")})
+    return runlog.latest_checkpoint(stored.drop("day"))
 
 
 @query
@@ -645,8 +693,12 @@ def q44_profile_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q39_latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """The last day of a layer table that has a partition per day; only that partition is opened."""
     events = read(spark, folder, "events")
-    return latest_batch(events.withColumn("_batch_id", F.date_format("ts", "yyyyMMdd")))
+    root = scratch_root(spark)
+    days = events.withColumn(layers.BATCH, F.date_format("ts", "yyyyMMdd"))
+    days.write.partitionBy(layers.BATCH).parquet(f"{root}/events")
+    return layers.read_newest(spark, root, "events", events.schema)
 
 
 def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -708,3 +760,54 @@ def q47_orphan_keys(spark: SparkSession, folder: str) -> DataFrame:
 def q48_dense_keys(spark: SparkSession, folder: str) -> DataFrame:
     events = read(spark, folder, "events").select("event_id", "ts", "user_id")
     return dense_keys(events, "event_key", ["user_id", "ts"], offset=1000)
+
+
+# Files -----------------------------------------------------------------------------
+
+
+@query
+def q50_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with line breaks, quotes and commas, written as CSV by another writer and scanned."""
+    docs = read(spark, folder, "documents").select(
+        "doc_id", F.concat(F.lit('"quoted", '), "text", F.lit("\n,end")).alias("text"), "lang", "n_chars"
+    )
+    path = f"{scratch_root(spark)}/documents.csv"
+    docs.write.options(header=True, escape='"').csv(path)
+    return ingest.as_frame(spark, path, docs.schema, options={"multiLine": True})
+
+
+@query
+def q53_layer_formats(spark: SparkSession, folder: str) -> DataFrame:
+    """Nulls, empty texts, line breaks and backslashes come back from every format."""
+    orders = read(spark, folder, "orders").select(
+        "o_orderkey",
+        "o_orderdate",
+        "o_totalprice",
+        F.when(F.col("o_orderkey") % 5 == 0, F.lit(""))
+        .when(F.col("o_orderkey") % 5 == 1, F.lit("\\N"))
+        .when(F.col("o_orderkey") % 5 == 2, F.concat(F.lit(' "a\n\\'), "o_orderpriority", F.lit('", ')))
+        .when(F.col("o_orderkey") % 5 == 3, F.col("o_orderstatus")).alias("note"),
+    )
+    root = scratch_root(spark)
+    found = []
+    for fmt in layers.FORMATS:
+        layers.write_layer(orders, root, fmt, BATCH_TS, fmt)
+        found.append(layers.read_layer(spark, root, fmt, orders.schema, fmt, BATCH_TS).withColumn("fmt", F.lit(fmt)))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def q52_layer_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches of a clean table: one has gaps and odd texts, the other does not; both are read as one table."""
+    root = scratch_root(spark)
+    customers = read(spark, folder, "customer").select("c_custkey", "c_nationkey", F.col("c_acctbal").cast("string").alias("c_acctbal"))
+    odd = customers.withColumns(
+        {"c_nationkey": F.nullif("c_nationkey", F.lit(7)), "c_acctbal": F.when(F.col("c_custkey") % 10 == 0, "none").otherwise(F.col("c_acctbal"))}
+    )
+    config = CleaningConfig(
+        missing_strategy="fillna_mean", missing_subset=("c_nationkey",), type_mapping={"c_acctbal": "float"}, on_misfit="sibling"
+    )
+    for batch_ts, batch in ((EARLIER, customers), (BATCH_TS, odd)):
+        silver.process(batch, root, "customer", config, batch_ts)
+    layer = layers.read_layer(spark, root, "customer_cleaned")
+    return layer.select("c_custkey", F.round("c_nationkey", 4).alias("c_nationkey"), "c_acctbal", "c_acctbal_text", "_processing_timestamp")

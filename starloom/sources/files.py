@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -16,6 +17,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(jvm_path)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, in order; none if it does not exist."""
+    system, jvm_path = _locate(spark, path)
+    if not system.exists(jvm_path):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(jvm_path))
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist yet; False if it does."""
+    system, jvm_path = _locate(spark, path)
+    try:
+        out = system.create(jvm_path, False)
+    except Py4JJavaError as error:
+        if system.exists(jvm_path):
+            return False
+        raise error
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder this library has written."""
     system, jvm_path = _locate(spark, path)

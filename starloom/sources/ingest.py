@@ -48,14 +48,22 @@ def read_csv(
     path: str,
     schema: T.StructType | None = None,
     record_order: bool = False,
+    lenient: bool = False,
     **options: Any,
 ) -> DataFrame:
     """Read CSV with a header; quoted commas and doubled quotes are understood (A1).
 
     Fields are read as text, missing markers become null, then the columns get the types
-    of ``schema``, or inferred ones.  ``record_order`` adds ``FILE_ORDER`` columns that
-    sort rows as they stand in the files.
+    of ``schema``, or inferred ones.  A value that does not fit ``schema`` fails the read,
+    or, if ``lenient``, leaves its whole column as text.  ``record_order`` adds
+    ``FILE_ORDER`` columns that sort rows as they stand in the files.
+
+    Line breaks inside quotes need ``multiLine=True``, which keeps Spark from splitting
+    files.  Without it a line with an odd number of quotes raises, as it would give
+    two broken records.
     """
+    if not options.get("multiLine"):
+        whole_lines(spark, path)
     reader = spark.read.options(header=True, quote='"', escape='"', **options)
     if schema is not None:
         as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
@@ -74,11 +82,25 @@ def read_csv(
     text = text.select(*fields, *place)
     if schema is not None:
         types = {f.name: f.dataType for f in schema.fields}
+        if lenient:
+            odd = text.agg(
+                *[F.count_if(col(c).isNotNull() & col(c).try_cast(types[c]).isNull()).alias(c) for c in names]
+            ).first()
+            types = {c: T.StringType() if odd[c] else types[c] for c in names}
     else:
         types = infer_types(text, names)
     return text.select(*[col(c).cast(types[c]).alias(c) for c in names], *(FILE_ORDER if record_order else ()))
 
 
+def whole_lines(spark: SparkSession, path: str) -> None:
+    """Raise if a line has an odd number of quotes: a quoted field goes on in the next line."""
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.translate(value, '"', ""))
+    broken = spark.read.text(path).filter(quotes % 2 == 1).take(1)
+    if broken:
+        raise ValueError(f"line breaks inside quotes in {path}: read it with multiLine=True; first line: {broken[0][0][:80]}")
+
+
 def infer_types(text: DataFrame, names: Iterable[str]) -> dict[str, T.DataType]:
     """Narrowest of bigint, double, boolean that holds all values of a text column, in one pass.
 
@@ -123,12 +145,16 @@ def as_frame(
     source: DataFrame | str | os.PathLike | Iterable[Mapping[str, Any]],
     schema: T.StructType | None = None,
     record_order: bool = False,
+    options: Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """A frame, a CSV path, or rows as dicts (A2-A4); errors of the source surface."""
+    """A frame, a CSV path, or rows as dicts (A2-A4); errors of the source surface.
+
+    ``options`` go to the CSV reader.
+    """
     if isinstance(source, DataFrame):
         return in_given_order(source) if record_order else source
     if isinstance(source, (str, os.PathLike)):
-        return read_csv(spark, os.fspath(source), schema, record_order)
+        return read_csv(spark, os.fspath(source), schema, record_order, **(options or {}))
     if isinstance(source, Iterable):
         rows = list(source)
         if not rows:
@@ -154,8 +180,9 @@ def ingest(
     fmt: str = "parquet",
     schema: T.StructType | None = None,
     record_order: bool = False,
+    options: Mapping[str, Any] | None = None,
 ) -> DataFrame:
     """Stamp a source, write it as one batch of the raw layer, return what was written."""
-    stamped = stamp(as_frame(spark, source, schema, record_order), batch_ts)
+    stamped = stamp(as_frame(spark, source, schema, record_order, options), batch_ts)
     write_layer(stamped, root, table, batch_ts, fmt)
     return read_layer(spark, root, table, stamped.schema, fmt, batch_ts)

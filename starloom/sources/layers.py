@@ -4,15 +4,35 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions.columns import batch_id
+from starloom.functions.columns import batch_id, col
+from starloom.sources.files import names
 
 BATCH = "_batch_id"
 FORMATS = ("parquet", "json", "csv")
 
+# CSV as these tables are written: line breaks, blanks and quotes in texts, and times to the
+# microsecond come back as they were.  A null is written as \\N and an empty text as \\E; a
+# text that starts with a backslash gets one more, so no text is taken for either.
+NULL_TEXT, EMPTY_TEXT = "\\N", "\\E"
+TIME_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "multiLine": True,
+    "nullValue": NULL_TEXT,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    **TIME_OPTIONS,
+}
+OPTIONS = {"csv": CSV_OPTIONS, "json": TIME_OPTIONS, "parquet": {}}
+
 
 def _checked(fmt: str) -> str:
     if fmt not in FORMATS:
@@ -20,6 +40,42 @@ def _checked(fmt: str) -> str:
     return fmt
 
 
+def _texts(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def encoded(df: DataFrame, fmt: str) -> DataFrame:
+    """Texts as they are written in a format."""
+    if fmt != "csv":
+        return df
+    marked = {
+        c: F.when(col(c) == "", F.lit(EMPTY_TEXT)).when(col(c).startswith("\\"), F.concat(F.lit("\\"), col(c))).otherwise(col(c))
+        for c in _texts(df.schema)
+    }
+    return df.withColumns(marked) if marked else df
+
+
+def decoded(df: DataFrame, fmt: str) -> DataFrame:
+    """Texts as they were before `encoded`."""
+    if fmt != "csv":
+        return df
+    plain = {
+        c: F.when(col(c) == EMPTY_TEXT, F.lit("")).when(col(c).startswith("\\"), F.substring(col(c), F.lit(2), F.length(col(c)))).otherwise(col(c))
+        for c in _texts(df.schema)
+    }
+    return df.withColumns(plain) if plain else df
+
+
+def writer(df: DataFrame, fmt: str) -> DataFrameWriter:
+    """Writer of a format, with texts encoded for it."""
+    return encoded(df, _checked(fmt)).write.format(fmt).options(**OPTIONS[fmt])
+
+
+def reader(spark: SparkSession, fmt: str) -> DataFrameReader:
+    """Reader of a format; texts are still to be `decoded`."""
+    return spark.read.format(_checked(fmt)).options(**OPTIONS[fmt])
+
+
 def partition_path(root: str, table: str, batch: str) -> str:
     return f"{root}/{table}/{BATCH}={batch}"
 
@@ -27,10 +83,7 @@ def partition_path(root: str, table: str, batch: str) -> str:
 def write_layer(df: DataFrame, root: str, table: str, batch_ts: datetime, fmt: str = "parquet") -> str:
     """Write ``df`` as the batch's partition; writing the batch again replaces it."""
     path = partition_path(root, table, batch_id(batch_ts))
-    writer = df.write.mode("overwrite").format(_checked(fmt))
-    if fmt == "csv":
-        writer = writer.options(header=True, escape='"')
-    writer.save(path)
+    writer(df, fmt).mode("overwrite").save(path)
     return path
 
 
@@ -43,19 +96,28 @@ def read_layer(
     batch_ts: datetime | None = None,
 ) -> DataFrame:
     """Read all batches with their ``_batch_id``, or one batch without it."""
-    reader = spark.read.format(_checked(fmt))
-    if fmt == "csv":
-        reader = reader.options(header=True, escape='"')
+    found = reader(spark, fmt)
     if batch_ts is not None:
-        return (reader.schema(schema) if schema else reader).load(
-            partition_path(root, table, batch_id(batch_ts))
-        )
+        found = found.schema(schema) if schema else found
+        return decoded(found.load(partition_path(root, table, batch_id(batch_ts))), fmt)
     if schema is not None:
-        reader = reader.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())]))
-    return reader.load(f"{root}/{table}")
+        found = found.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())]))
+    return decoded(found.load(f"{root}/{table}"), fmt)
 
 
-def latest_batch(df: DataFrame, column: str = BATCH) -> DataFrame:
-    """Rows of the newest batch; the literal lets Spark skip the other partitions."""
-    newest = df.agg(F.max(column)).first()[0]
-    return df.filter(F.col(column) == F.lit(newest))
+def newest_batch(spark: SparkSession, root: str, table: str) -> str | None:
+    """Identifier of the newest batch of a layer table, from the names of its partitions."""
+    batches = [n.split("=", 1)[1] for n in names(spark, f"{root}/{table}") if n.startswith(f"{BATCH}=")]
+    return max(batches, default=None)
+
+
+def read_newest(
+    spark: SparkSession, root: str, table: str, schema: T.StructType | None = None, fmt: str = "parquet"
+) -> DataFrame:
+    """The newest batch with its ``_batch_id``; no other partition is opened."""
+    batch = newest_batch(spark, root, table)
+    if batch is None:
+        raise ValueError(f"no batch of {table} in {root}")
+    found = reader(spark, fmt)
+    found = found.schema(schema) if schema else found
+    return decoded(found.load(partition_path(root, table, batch)), fmt).withColumn(BATCH, F.lit(batch))

@@ -1,27 +1,33 @@
 """Dimensional tables as batch snapshots with one manifest.
 
-Dimensions are written whole per batch, facts only with the batch's new rows, each to a
-partition of its own; nothing that is being read is overwritten.  Readers see a batch
-only once its row stands in the manifest, so dimensions and fact appear together, and a
-batch that failed its checks or was lost half way stays unseen.
+Every attempt at a batch writes its dimensions whole and its new facts to a folder of its
+own, and nothing that was written is ever written again.  A batch becomes visible, all
+tables at once, when one manifest entry names its attempt; so an attempt that failed its
+checks, or whose driver died, changes nothing, replays included.  Entries are numbered, and
+an entry can be made only once: a load that began before another one was promoted cannot
+take the other's place.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.columns import batch_id
 from starloom.functions.typenames import struct
-from starloom.sources.files import exists
-from starloom.sources.layers import BATCH, partition_path, write_layer
+from starloom.sources.files import create_new, delete, names
+from starloom.sources.layers import BATCH, decoded, partition_path, reader, writer
 from starloom.sources.rows import small_frame
 
 MANIFEST = "manifest"
+ATTEMPT = "_attempt"
 MANIFEST_SCHEMA = struct(
     **{BATCH: "string"},
     mode="string",
@@ -31,61 +37,149 @@ MANIFEST_SCHEMA = struct(
     last_key="bigint",
     promoted_at="timestamp",
 )
+_ENTRY_SCHEMA = T.StructType(
+    [
+        T.StructField("slot", T.LongType()),
+        T.StructField(ATTEMPT, T.StringType()),
+        T.StructField("fmt", T.StringType()),
+        T.StructField("schemas", T.MapType(T.StringType(), T.StringType())),
+        *MANIFEST_SCHEMA.fields,
+    ]
+)
+
+
+class MovedBaseError(RuntimeError):
+    """Another batch was promoted while this one was being loaded."""
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """What a promoted batch consists of: (batch, attempt, format, schema by table) per fact part, its own last."""
+
+    batch: str
+    last_key: int
+    parts: tuple[tuple[str, str, str, Mapping[str, str]], ...]
+
+
+def _entries(spark: SparkSession, root: str) -> DataFrame:
+    if not names(spark, f"{root}/{MANIFEST}"):
+        return small_frame(spark, [], _ENTRY_SCHEMA)
+    return spark.read.schema(_ENTRY_SCHEMA).json(f"{root}/{MANIFEST}")
+
+
+def _effective(spark: SparkSession, root: str) -> DataFrame:
+    """The last entry of each batch: a replay's entry takes the place of the earlier one."""
+    every = F.struct(*_ENTRY_SCHEMA.names)
+    return _entries(spark, root).groupBy(BATCH).agg(F.max_by(every, "slot").alias("e")).select("e.*")
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:
     """Promoted batches; no rows for a new warehouse."""
-    path = f"{root}/{MANIFEST}"
-    if not exists(spark, path):
-        return small_frame(spark, [], MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    return _effective(spark, root).select(*MANIFEST_SCHEMA.names)
 
 
-def last_promoted(spark: SparkSession, root: str, batch_ts: datetime | None = None) -> str | None:
+def next_slot(spark: SparkSession, root: str) -> int:
+    """Number of the manifest entry that a load starting now may make."""
+    return max((int(n.split(".")[0]) for n in names(spark, f"{root}/{MANIFEST}")), default=0) + 1
+
+
+def last_promoted(spark: SparkSession, root: str, batch_ts: datetime | None = None) -> Snapshot | None:
     """Newest promoted batch; with ``batch_ts`` the newest before it.
 
-    A batch older than the newest cannot be replayed: later ones were built on it.
+    A batch older than the newest cannot be replayed: later ones were built on it.  The
+    driver reads the manifest, one row per batch.
     """
-    if not exists(spark, f"{root}/{MANIFEST}"):
+    entries = sorted(_effective(spark, root).collect(), key=lambda r: r[BATCH])
+    if batch_ts is not None:
+        batch = batch_id(batch_ts)
+        if entries and entries[-1][BATCH] > batch:
+            raise ValueError(f"batch {entries[-1][BATCH]}, later than {batch}, is already promoted")
+        entries = [r for r in entries if r[BATCH] < batch]
+    if not entries:
         return None
-    batch = None if batch_ts is None else batch_id(batch_ts)
-    before = F.lit(True) if batch is None else F.col(BATCH) < batch
-    newest, previous = manifest(spark, root).agg(F.max(BATCH), F.max(F.when(before, F.col(BATCH)))).first()
-    if batch is not None and newest is not None and newest > batch:
-        raise ValueError(f"batch {newest}, later than {batch}, is already promoted")
-    return previous
+    first = max(i for i, r in enumerate(entries) if r["mode"] == "full")
+    parts = tuple((r[BATCH], r[ATTEMPT], r["fmt"], r["schemas"]) for r in entries[first:])
+    return Snapshot(entries[-1][BATCH], entries[-1]["last_key"], parts)
 
 
-def read_dimension(spark: SparkSession, root: str, name: str, batch: str | None) -> DataFrame | None:
-    """The dimension as of a promoted batch, None if there is no such batch (A5)."""
-    return None if batch is None else spark.read.parquet(partition_path(root, name, batch))
+def _path(root: str, name: str, batch: str, attempt: str) -> str:
+    return f"{partition_path(root, name, batch)}/{ATTEMPT}={attempt}"
 
 
-def read_fact(spark: SparkSession, root: str, name: str, batch: str | None) -> DataFrame | None:
-    """Facts of the promoted batches up to ``batch``, from the last full load on."""
-    if batch is None:
+def read_dimension(spark: SparkSession, root: str, name: str, at: Snapshot | None) -> DataFrame | None:
+    """The dimension as of a promoted batch, None if there is no such batch (A5)."""
+    if at is None:
         return None
-    batches = manifest(spark, root).filter(F.col(BATCH) <= batch)
-    first = batches.filter(F.col("mode") == "full").agg(F.max(BATCH)).first()[0]
-    # The manifest has one row per batch and decides which partitions count.
-    listed = F.broadcast(batches.filter(F.col(BATCH) >= first).select(BATCH).distinct())
-    facts = spark.read.parquet(f"{root}/{name}").withColumn(BATCH, F.col(BATCH).cast("string"))
-    return facts.join(listed, BATCH, "left_semi").drop(BATCH)
-
+    batch, attempt, fmt, schemas = at.parts[-1]
+    found = reader(spark, fmt).schema(T.StructType.fromJson(json.loads(schemas[name])))
+    return decoded(found.load(_path(root, name, batch, attempt)), fmt)
 
-def write_table(df: DataFrame, root: str, name: str, batch_ts: datetime) -> DataFrame:
-    """Write the batch's partition of a table, not yet promoted, and return it."""
-    path = write_layer(df, root, name, batch_ts)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+def read_fact(spark: SparkSession, root: str, name: str, at: Snapshot | None) -> DataFrame | None:
+    """Facts of the promoted batches up to a batch, from the last full load on.
 
-def last_fact_key(spark: SparkSession, root: str, batch: str) -> int:
-    """Largest fact key in use as of a promoted batch, without reading the facts."""
-    batches = manifest(spark, root).filter(F.col(BATCH) <= batch)
-    return batches.agg(F.max_by("last_key", BATCH)).first()[0]
-
-
-def promote(spark: SparkSession, root: str, batch_ts: datetime, stats: Mapping[str, Any], last_key: int) -> None:
-    """Make the batch visible with its manifest row (A13); a replay replaces the row."""
-    row = small_frame(spark, [{**stats, "last_key": last_key, "promoted_at": batch_ts}], MANIFEST_SCHEMA)
-    write_layer(row.drop(BATCH).coalesce(1), root, MANIFEST, batch_ts)
+    Only the folders that the manifest names are opened.
+    """
+    if at is None:
+        return None
+    schema = T.StructType.fromJson(json.loads(at.parts[-1][3][name]))
+    found = None
+    for fmt in sorted({p[2] for p in at.parts}):
+        paths = [_path(root, name, batch, attempt) for batch, attempt, f, _ in at.parts if f == fmt]
+        part = decoded(reader(spark, fmt).schema(schema).load(paths), fmt)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def write_table(
+    df: DataFrame, root: str, name: str, batch_ts: datetime, attempt: str, fmt: str = "parquet"
+) -> DataFrame:
+    """Write a table of this attempt, not yet promoted, and return it."""
+    path = _path(root, name, batch_id(batch_ts), attempt)
+    writer(df, fmt).mode("errorifexists").save(path)
+    return decoded(reader(df.sparkSession, fmt).schema(df.schema).load(path), fmt)
+
+
+def promote(
+    spark: SparkSession,
+    root: str,
+    slot: int,
+    batch_ts: datetime,
+    attempt: str,
+    schemas: Mapping[str, T.StructType],
+    stats: Mapping[str, Any],
+    last_key: int,
+    fmt: str = "parquet",
+) -> None:
+    """Make the attempt visible with its manifest entry (A13), unless another load made that entry."""
+    entry = {
+        "slot": slot,
+        BATCH: batch_id(batch_ts),
+        ATTEMPT: attempt,
+        "fmt": fmt,
+        "schemas": {name: json.dumps(schema.jsonValue()) for name, schema in schemas.items()},
+        **stats,
+        "last_key": last_key,
+        "promoted_at": batch_ts.strftime("%Y-%m-%dT%H:%M:%S.%f"),
+    }
+    if not create_new(spark, f"{root}/{MANIFEST}/{slot:012d}.json", json.dumps(entry)):
+        raise MovedBaseError(f"another load was promoted in {root} while this one ran; load the batch again")
+
+
+def remove_superseded(spark: SparkSession, root: str, tables: Mapping[str, bool]) -> list[str]:
+    """Delete what the newest batch does not need and return the folders deleted.
+
+    ``tables`` says for each table whether it is a fact: of a fact all listed parts stay, of
+    a dimension the newest attempt.  Not to be called while a load or an older read runs.
+    """
+    at = last_promoted(spark, root)
+    gone = []
+    for name, is_fact in tables.items():
+        needed = {(p[0], p[1]) for p in (() if at is None else at.parts if is_fact else at.parts[-1:])}
+        for batch in [n.split("=", 1)[1] for n in names(spark, f"{root}/{name}") if n.startswith(f"{BATCH}=")]:
+            for attempt in [n.split("=", 1)[1] for n in names(spark, partition_path(root, name, batch)) if n.startswith(f"{ATTEMPT}=")]:
+                if (batch, attempt) not in needed:
+                    gone.append(_path(root, name, batch, attempt))
+    for path in gone:
+        delete(spark, path)
+    return gone

@@ -30,7 +30,7 @@ def test_duplicates_keep_first_and_last(spark):
 
 
 def test_batch_metadata_does_not_hide_copies(spark):
-    df = spark.createDataFrame([(1, "a", 20), (1, "a", 10), (2, "a", 10)], ["id", "v", "_batch"])
+    df = spark.createDataFrame([(1, "a", 20), (1, "a", 10), (2, "a", 10)], ["id", "v", "_batch_id"])
     assert rows(cleaning.remove_duplicates(df)) == [(1, "a", 10), (2, "a", 10)]
 
 
@@ -119,8 +119,10 @@ def test_outliers_constant_single_and_missing(spark):
     constant = spark.createDataFrame([(1, 5.0), (2, 5.0)], "k bigint, v double")
     assert cleaning.remove_outliers(constant, ["v"]).count() == 0
     assert cleaning.remove_outliers(constant.limit(1), ["v"]).count() == 0
-    stamped = spark.createDataFrame([(1.0, 1), (2.0, 1), (3.0, 1)], "v double, _m int")
+    stamped = spark.createDataFrame([(1.0, 1), (2.0, 1), (3.0, 1)], "v double, _source_row int")
     assert cleaning.remove_outliers(stamped).count() == 3
+    # A user's own column counts, whatever its name starts with: this one is constant.
+    assert cleaning.remove_outliers(stamped.withColumnRenamed("_source_row", "_m")).count() == 0
     some = spark.createDataFrame([(float(i),) for i in range(20)] + [(None,), (1e6,), (float("nan"),)], "v double")
     assert rows(cleaning.remove_outliers(some)) == sorted(((float(i),) for i in range(20)), key=repr)
 

@@ -89,8 +89,16 @@ def test_scd2_repeated_keys_as_the_loop(spark, seed):
         ["v"],
         NOW,
         order_by=["seq"],
+        chain=False,
     )
     assert rows(merged) == loop(existing, batch)
+    # Chained, the same versions are there, one of a key is open, and the next batch is taken.
+    chained = scd.scd2_upsert(
+        spark.createDataFrame(existing, VERSIONED), spark.createDataFrame(batch, "k string, v string, seq int"), "k", ["v"], NOW, order_by=["seq"]
+    )
+    assert rows(chained.select("k", "v")) == rows(merged.select("k", "v"))
+    again = scd.scd2_upsert(chained, spark.createDataFrame([("k0", "z")], "k string, v string"), "k", ["v"], NOW)
+    assert again.where("k = 'k0' AND is_current").select("v").collect() == [("z",)]
 
 
 def test_current_history_and_structure(spark):

@@ -4,12 +4,12 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import facts, quality, runlog
+from starloom.operators import cleaning, facts, quality, runlog
 from starloom.plans import athlete_results as results
 from starloom.plans import silver
 from starloom.plans.specs import CleaningConfig
 from starloom.plans.star import QualityGateError, build_star, create_star, load_star, read_star
-from starloom.sources import ingest, layers, staging
+from starloom.sources import ingest, layers, staging, warehouse
 from starloom.sources.warehouse import manifest
 
 DAY1, DAY2, DAY3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
@@ -64,7 +64,8 @@ def test_ingest_frames_and_rows(spark, tmp_path, fmt):
     ingest.ingest(spark, spark.createDataFrame(given).limit(1), root, "t", DAY2, fmt)
     both = layers.read_layer(spark, root, "t", from_rows.schema, fmt)
     assert both.count() == 3
-    assert rows(layers.latest_batch(both), "a", "_batch_id") == [(1, "20240102_000000")]
+    newest = layers.read_newest(spark, root, "t", from_rows.schema, fmt)
+    assert rows(newest, "a", "_batch_id") == [(1, "20240102_000000_000000")]
     ingest.ingest(spark, spark.createDataFrame(given), root, "t", DAY2, fmt)
     assert layers.read_layer(spark, root, "t", from_rows.schema, fmt).count() == 4
 
@@ -268,6 +269,8 @@ def test_run_takes_frames_and_rows(spark, tmp_path):
     ]
     regions = spark.createDataFrame([("A", "a", "n")], "NOC string, region string, notes string")
     loaded = results.run(spark, athletes, regions, str(tmp_path), DAY1)
+    with pytest.raises(QualityGateError, match="contracts"):
+        results.run(spark, athletes, regions, str(tmp_path / "strict"), DAY1, enforce_contracts=True)
     assert rows(loaded.dims["dim_athlete"], "name") == [("last",)]
     assert loaded.stats["new_rows"] == 2
     log = runlog.read_runs(spark, f"{tmp_path}/logs/runs").filter("layer = 'bronze'").first()
@@ -285,6 +288,120 @@ def test_failed_gate_leaves_the_warehouse_as_it_was(spark, tmp_path):
     assert sorted(r.result_key for r in read_star(spark, results.STAR, root)[results.FACT].collect()) == [1, 2]
 
 
+def test_failed_replay_leaves_the_promoted_batch(spark, tmp_path):
+    root = str(tmp_path)
+    load_star(small_star(spark, [(i, "A", "e", None) for i in range(5)]), results.STAR, root, DAY1)
+    with pytest.raises(QualityGateError):
+        load_star(small_star(spark, [(9, "A", "e", None)]), results.STAR, root, DAY1, checks=[quality.RowCount(results.FACT, 1000)])
+    tables = read_star(spark, results.STAR, root)
+    assert tables[results.FACT].count() == 5 and tables["dim_athlete"].count() == 5
+
+
+def test_driver_lost_before_promotion(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    load_star(small_star(spark, [(1, "A", "e", None)]), results.STAR, root, DAY1)
+
+    def lost(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr("starloom.plans.star.promote", lost)
+        with pytest.raises(KeyboardInterrupt):
+            load_star(small_star(spark, [(2, "A", "e", None)]), results.STAR, root, DAY2)
+    assert read_star(spark, results.STAR, root)[results.FACT].count() == 1
+    assert load_star(small_star(spark, [(2, "A", "e", None)]), results.STAR, root, DAY2).stats["appended_rows"] == 1
+    assert read_star(spark, results.STAR, root)[results.FACT].count() == 2
+    # The folders of the lost attempt are no longer needed and go on request.
+    tables = {d.name: False for d in results.STAR.dimensions} | {results.FACT: True}
+    gone = warehouse.remove_superseded(spark, root, tables)
+    assert len([g for g in gone if results.FACT in g]) == 1
+    left = read_star(spark, results.STAR, root)
+    assert left[results.FACT].count() == 2 and left["dim_athlete"].count() == 2
+
+
+def test_two_loads_within_a_second(spark, tmp_path):
+    root = str(tmp_path)
+    load_star(small_star(spark, [(1, "A", "e", None)]), results.STAR, root, DAY1)
+    soon = DAY1.replace(microsecond=800_000)
+    assert load_star(small_star(spark, [(2, "A", "e", None)]), results.STAR, root, soon).stats["mode"] == "incremental"
+    assert read_star(spark, results.STAR, root)[results.FACT].count() == 2
+
+
+def test_two_loads_from_one_base(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    load_star(small_star(spark, [(1, "A", "e", None)]), results.STAR, root, DAY1)
+    real = warehouse.promote
+
+    def beaten(*given):
+        monkeypatch.undo()
+        load_star(small_star(spark, [(2, "A", "e", None)]), results.STAR, root, DAY2)
+        real(*given)
+
+    monkeypatch.setattr("starloom.plans.star.promote", beaten)
+    with pytest.raises(warehouse.MovedBaseError):
+        load_star(small_star(spark, [(3, "A", "e", None)]), results.STAR, root, DAY3)
+    tables = read_star(spark, results.STAR, root)
+    assert rows(tables[results.FACT], "result_key") == [(1,), (2,)]
+
+
+@pytest.mark.parametrize("fmt", layers.FORMATS)
+def test_warehouse_formats(spark, tmp_path, fmt):
+    root = str(tmp_path)
+    load_star(small_star(spark, [(1, "A", "e\n\"x\"", None), (2, "B", "", "Gold")]), results.STAR, root, DAY1, fmt=fmt)
+    load_star(small_star(spark, [(2, "B", "", "Gold"), (3, "B", None, " ")]), results.STAR, root, DAY2, fmt="parquet")
+    tables = read_star(spark, results.STAR, root)
+    assert rows(tables[results.FACT], "result_key", "medal") == [(1, None), (2, "Gold"), (3, " ")]
+    assert rows(tables["dim_event"], "event") == sorted([("e\n\"x\"",), ("",), (None,)], key=repr)
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = tmp_path / "r.csv"
+    path.write_text('NOC,region,notes\nAAA,"two\nlines",x\nBBB,plain,y\n')
+    with pytest.raises(ValueError, match="multiLine"):
+        ingest.read_csv(spark, str(path))
+    raw = ingest.ingest(spark, str(path), str(tmp_path), "t", DAY1, options={"multiLine": True})
+    assert rows(raw, "NOC", "region") == [("AAA", "two\nlines"), ("BBB", "plain")]
+
+
+@pytest.mark.parametrize("fmt", layers.FORMATS)
+def test_layers_give_back_what_they_got(spark, tmp_path, fmt):
+    given = [("a\nb", 1), ("", 2), (None, 3), ("\\N", 4), ("\\\\", 5), (' "q", ', 6), ("NULL", 7), ("\r\n", 8), ('"', 9)]
+    df = spark.createDataFrame(given, "s string, n int").withColumn("t", F.lit("2024-01-01 00:00:00.123456").cast("timestamp_ntz"))
+    layers.write_layer(df, str(tmp_path), "t", DAY1, fmt)
+    assert rows(layers.read_layer(spark, str(tmp_path), "t", df.schema, fmt, DAY1)) == rows(df)
+
+
+def test_misfits(spark):
+    df = spark.createDataFrame([("1",), ("x",), (None,)], "v string")
+    fitted, failed = cleaning.coerce_types(df, {"v": "int"}, "sibling")
+    assert rows(fitted) == sorted([(1, None), (None, "x"), (None, None)], key=repr) and failed == []
+    with pytest.raises(ValueError, match="do not fit"):
+        cleaning.coerce_types(df, {"v": "int"}, "fail")
+    with pytest.raises(ValueError, match="on_misfit"):
+        cleaning.coerce_types(df, {"v": "int"}, "drop")
+
+
+def test_run_states(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    with runlog.logged_run(spark, path, "bronze", "t") as run:
+        assert [r.status for r in runlog.read_runs(spark, path).collect()] == ["running"]
+        run.error("one file was skipped")
+    with pytest.raises(ZeroDivisionError), runlog.logged_run(spark, path, "silver", "t"):
+        1 / 0  # noqa: B018
+    found = {r.layer: r for r in runlog.read_runs(spark, path).collect()}
+    assert (found["bronze"].status, found["bronze"].errors) == ("partial", ["one file was skipped"])
+    assert found["silver"].status == "failed" and found["silver"].end_time is not None
+
+
+def test_checkpoints_of_one_time(spark, tmp_path):
+    path = str(tmp_path / "c")
+    runlog.store_checkpoint(spark, path, 100, 100, DAY1, 1, "b1")
+    runlog.store_checkpoint(spark, path, 40, 5, DAY1, 2, "b2")
+    assert runlog.latest_checkpoint(runlog.read_checkpoints(spark, path)).first().fact_table_size == 40
+    runlog.store_checkpoint(spark, path, 41, 6, DAY1, 3, "b2")
+    assert runlog.read_checkpoints(spark, path).count() == 2
+
+
 def test_create_star_summary(spark, tmp_path):
     sources = small_star(spark, [(1, "A", "e", None), (2, "B", "f", None)])
     _, fact, summary = create_star(sources, results.STAR, str(tmp_path), DAY1)
