@@ -98,15 +98,13 @@ def cutoffs(measures: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
     held = measures.join(good, "doc_id", "left_semi").where("NOT base_failed")
     values = _measures()
     counts = [F.count(F.when(values[rule] > cut, 1)).alias(f"{rule}_{i}") for rule, cuts in RULES.items() for i, cut in enumerate(cuts)]
-    counted = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *counts)
-    strata = counted.agg(F.count(F.lit(1)).alias("strata"))
-    tests = sum(map(len, RULES.values()))
+    counted = written(held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *counts))
+    tests = counted.count() * sum(map(len, RULES.values()))
     rate = alpha / len(RULES)
     safe = {}
     for rule, cuts in RULES.items():
-        safe[rule] = F.coalesce(*[F.when(binomial_tail(F.col(f"{rule}_{i}"), F.col("n"), rate) * F.col("strata") * tests <= delta, F.lit(cut)) for i, cut in enumerate(cuts)])
-    # One row with the number of strata beside every stratum: joined on a constant, both sides have one row per stratum at most.
-    return counted.withColumn("one", F.lit(1)).join(strata.withColumn("one", F.lit(1)), "one").select("stratum", *[c.alias(f"cut_{rule}") for rule, c in safe.items()])
+        safe[rule] = F.coalesce(*[F.when(binomial_tail(F.col(f"{rule}_{i}"), F.col("n"), rate) * tests <= delta, F.lit(cut)) for i, cut in enumerate(cuts)])
+    return counted.select("stratum", *[c.alias(f"cut_{rule}") for rule, c in safe.items()])
 
 
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
