@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.functions.columns import batch_id
 from starloom.functions.typenames import struct
 from starloom.sources.files import exists
 from starloom.sources.rows import small_frame
@@ -167,14 +168,18 @@ def store_checkpoint(
     fact_table_size: int,
     new_rows_processed: int,
     timestamp: datetime,
-    position: int,
-    batch: str,
+    position: int | None = None,
+    batch: str | None = None,
 ) -> None:
     """Remember the size of the fact after a load (L4).
 
-    ``position`` is the place in the order of loads, the number of the manifest entry.  A
-    replay of a batch takes the place of what was stored for it.
+    ``position`` is the place in the order of loads, the number of the manifest entry;
+    without it loads are in order of their time.  A replay of a batch takes the place of
+    what was stored for it.
     """
+    if position is None:
+        position = int((timestamp - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+    batch = batch_id(timestamp) if batch is None else batch
     values = (fact_table_size, new_rows_processed, timestamp, position)
     row = dict(zip(CHECKPOINT_SCHEMA.names, values, strict=True))
     small_frame(spark, [row], CHECKPOINT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch}")

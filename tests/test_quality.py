@@ -125,7 +125,7 @@ def test_checkpoints(spark, tmp_path):
     runlog.store_checkpoint(spark, path, 430, 430, datetime(2024, 1, 1))
     runlog.store_checkpoint(spark, path, 435, 5, datetime(2024, 1, 2))
     latest = runlog.latest_checkpoint(runlog.read_checkpoints(spark, path)).first()
-    assert tuple(latest) == (435, 5, datetime(2024, 1, 2))
+    assert tuple(latest)[:3] == (435, 5, datetime(2024, 1, 2))
 
 
 def test_suite_reads_each_table_once_for_its_scalar_checks(spark, tmp_path):
