@@ -25,9 +25,9 @@ from starloom.llm.counting import frequent, written_counts
 from starloom.llm.transducer import Transducer, compiled
 
 #: Words compiled into the transducer, and their greatest length: with that its size is bounded.
-LEXICON_WORDS, LEXICON_BYTES = 100_000, 64
+LEXICON_WORDS, LEXICON_BYTES = 300_000, 64
 #: Words, and pieces of words, whose ids a Python worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 _SPACES = regex.compile(r"\p{White_Space}+")
@@ -113,8 +113,8 @@ class Vocabulary:
                 out.append(self.special[section])
             elif section:
                 # The vocabulary's lower case looks at single characters: no final sigma.
-                lower = unicodedata.normalize("NFC", section).replace("Σ", "σ").lower()
-                for piece in _PIECES.findall(lower):
+                lower = section.lower() if section.isascii() else unicodedata.normalize("NFC", section).replace("Σ", "σ").lower()
+                for piece in (lower,) if lower.isalpha() else _PIECES.findall(lower):
                     if (ids := self._pieces.get(piece)) is None:
                         if len(self._pieces) >= REMEMBERED:
                             self._pieces.clear()
