@@ -139,10 +139,10 @@ def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
     keep = np.isin(mixed(anchor) + owner.astype(np.uint64), mixed(values) + of.astype(np.uint64))
     rows, at = pa.array(owner[keep]), at[keep]
     columns = [
-        batch.column("doc_id").take(rows), batch.column("text_key").take(rows), pa.array(at - starts[owner[keep]]),
+        batch.column("doc_id").take(rows), batch.column("row").take(rows), pa.array((at - starts[owner[keep]]).astype(np.int32)),
         pa.array(anchor[keep].view(np.int64)), pa.array(gram_hashes(hashes, WINDOW, seed=WINDOW)[at].view(np.int64)),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "start", "anchor", "whole"])
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "start", "anchor", "whole"])
 
 
 def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -178,19 +178,23 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     occurrences = rows.where("NOT copy").select("doc_id", "text_key", F.explode("anchors").alias("anchor"))
     shared = occurrences.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
     lists = written(occurrences.join(shared, "anchor", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("anchor").alias("shared")))
-
-    candidates = written(docs.join(lists, same_row(docs, lists)).select(docs["doc_id"], docs["text_key"], "text", "shared"))
-    windows = written(map_batches(candidates, "doc_id long, text_key long, start long, anchor long, whole long", _windows))
+    copies = written(rows.where("copy").select("doc_id", "text_key", F.lit(True).alias("copy")).distinct())
+    base = written(marked.select("doc_id", "text_key", "n_words", "whole"))
+    dropped(marked, rows)
+
+    # A row number, fixed once written, stands for (doc_id, text_key) and takes less room beside every window.
+    candidates = docs.join(lists, same_row(docs, lists)).select(docs["doc_id"], docs["text_key"], "text", "shared")
+    candidates = written(candidates.withColumn("row", F.monotonically_increasing_id()))
+    dropped(lists)
+    windows = written(map_batches(candidates, "doc_id long, row long, start int, anchor long, whole long", _windows))
     earliest = windows.groupBy("anchor", "whole").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
     repeats = windows.join(earliest, ["anchor", "whole"]).where("doc_id > low")
-    repeats = written(repeats.groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("repeats")))
-    dropped(windows, lists)
-    cut = map_batches(candidates.join(repeats, same_row(candidates, repeats)).select(candidates["doc_id"], candidates["text_key"], "text", "repeats"), "doc_id long, text_key long, n_cut long, kept_text string", _cut)
+    repeats = written(repeats.groupBy("row").agg(F.collect_set("start").alias("repeats")))
+    dropped(windows)
+    cut = map_batches(candidates.join(repeats, "row").select("doc_id", "text_key", "text", "repeats"), "doc_id long, text_key long, n_cut long, kept_text string", _cut)
     cut = cut.dropDuplicates(["doc_id", "text_key"])  # identical rows have one result
 
-    copies = rows.where("copy").select("doc_id", "text_key", F.lit(True).alias("copy")).distinct()
     changed = copies.unionByName(cut.select("doc_id", "text_key", "n_cut", "kept_text"), allowMissingColumns=True)
-    base = marked.select("doc_id", "text_key", "n_words", "whole")
     return base.join(changed, same_row(base, changed), "left").select(
         base["doc_id"], base["text_key"], "n_words",
         F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_cut", F.lit(0).cast("long"))).alias("n_removed"),
