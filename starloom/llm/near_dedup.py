@@ -112,8 +112,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     # Shingles that no other node of these has are in no intersection.
     grams = sets.select("node", F.explode("shingles").alias("gram"))
-    common = grams.groupBy("gram").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("gram")
-    counts = grams.join(common, "gram", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+    common = grams.groupBy("gram").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("holders")).where("low < high").select("gram", "holders")
+    counts = grams.join(common, "gram").groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.sum("holders").alias("holders"))
     sizes = sets.groupBy("node").agg(F.min(F.size("shingles")).cast("long").alias("n"))
     possible = counts.join(sizes, "node").where(F.col("c") * 100 >= F.col("n") * percent)
     members = written(members.join(possible, "node"))
@@ -129,8 +129,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         return pairs.join(a, "a").join(b, "b").where(_close(F.col("left"), F.col("right"), percent)).select("a", "b").distinct()
 
     own = {"n": F.col("n"), "c": F.col("c")}
-    # The node with the largest share of common shingles is the one most likely to be what others were copied from.
-    hub = members.groupBy("key").agg(F.max(F.struct((F.col("c") / F.col("n")).alias("share"), (-F.col("node")).alias("last"), "n", "c")).alias("hub"))
+    # The node whose shingles most nodes have, on average, is the one most likely to be what others were copied from.
+    hub = members.groupBy("key").agg(F.max(F.struct((F.col("holders") / F.col("n")).alias("share"), (-F.col("node")).alias("last"), "n", "c")).alias("hub"))
     spokes = members.join(hub, "key").withColumn("other", -F.col("hub.last")).where((F.col("node") != F.col("other")) & may_link(own, {"n": F.col("hub.n"), "c": F.col("hub.c")}))
     tested = written(spokes.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
     links = written(confirmed(tested))
