@@ -1,11 +1,13 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped, block elements become lines, and the text lengths of
-``BLOCK`` neighbouring lines are added up.  Text starts where the sum surges and
-ends where it dives to nothing.  Lines of page furniture (menus, forms, adverts
-and the like) and link lists count as empty, and so does what lies outside the
-article where a page marks one; each of them is as many empty lines as a block
-has, so sums dive there.
+``BLOCK`` neighbouring lines are added up, on every page over all of its lines.
+Text starts where the sum surges and ends where it dives to nothing.  Lines of
+page furniture (menus, forms, adverts and the like) and link lists count as
+empty; furniture and the borders of an article are as many empty lines as a block
+has, so sums dive there.  An article or main element adds ``SURGE`` to the weight
+of its lines if it has at least ``SHARE`` of the page's text; a teaser, an empty
+main or one card of several has less, and the sums alone decide.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import bounded_batches, map_batches
 
-#: Lines in a block, and the sum at which text surges where a page marks no article.
-BLOCK, SURGE = 3, 80
+#: Lines in a block, the sum at which text surges, and the share of a page's text from which an article adds weight.
+BLOCK, SURGE, SHARE = 3, 80, 0.5
 
 #: Elements whose text is no part of an article.
 FURNITURE = frozenset("nav footer aside form script style noscript iframe svg template button select textarea dialog object canvas head title menu".split())
@@ -56,12 +58,13 @@ def _marked(attributes: str) -> bool:
     return False
 
 
-def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """Lines as (text, characters outside links, inside an article), furniture as empty lines; whether there is an article."""
-    lines: list[tuple[str, int, bool]] = []
+def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[int]]:
+    """Lines as (text, characters outside links, number of the article or main, 0: none), furniture as empty lines; the main around each number."""
+    lines: list[tuple[str, int, int]] = []
     stack: list[str] = []
-    dropped_at, article_at, link_at = 0, 0, 0  # depth of the outermost open one, 0: none
-    any_article = False
+    dropped_at, article_at, main_at, link_at = 0, 0, 0, 0  # depth of the outermost open one, 0: none
+    around = [0]
+    part, main = 0, 0  # numbers of the innermost part and of the main that are open
     parts: list[str] = []
     free = 0
 
@@ -69,22 +72,25 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         nonlocal free
         if parts:
             if text := " ".join("".join(parts).split()):
-                lines.append((text, free, article_at > 0))
+                lines.append((text, free, part))
             parts.clear()
         free = 0
 
     def gap() -> None:
         end_line()
-        lines.extend([("", 0, False)] * BLOCK)
+        lines.extend([("", 0, 0)] * BLOCK)
 
     def shrink(depth: int) -> None:
-        nonlocal dropped_at, article_at, link_at
+        nonlocal dropped_at, article_at, main_at, link_at, part, main
         del stack[depth:]
         if dropped_at > depth:
             dropped_at = 0
         if article_at > depth:
-            end_line()
-            article_at = 0
+            gap()
+            article_at, part = 0, main
+        if main_at > depth:
+            gap()
+            main_at = part = main = 0
         if link_at > depth:
             link_at = 0
 
@@ -124,30 +130,52 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         stack.append(name)
         if dropped_at:
             continue
-        if name in FURNITURE or (name == "header" and not article_at) or (name not in ("html", "body", "main", "article") and _marked(attributes)):
+        if name in FURNITURE or (name == "header" and not part) or (name not in ("html", "body", "main", "article") and _marked(attributes)):
             gap()
             dropped_at = len(stack)
-        elif name in ("article", "main") and not article_at:
+        elif not article_at and (name == "article" or (name == "main" and not main_at)):
             gap()
-            article_at, any_article = len(stack), True
+            part = len(around)
+            around.append(main)
+            if name == "main":
+                main_at, main = len(stack), part
+            else:
+                article_at = len(stack)
         elif name == "a" and not link_at:
             link_at = len(stack)
     if done < len(page) and not dropped_at:
         parts.append(text := html.unescape(page[done:]))
         free += len(text.strip())
     end_line()
-    return lines, any_article
+    return lines, around
+
+
+def _weights(lines: list[tuple[str, int, int]], around: list[int]) -> np.ndarray:
+    """Characters outside links of each line; in the part that has most of the page's text, all characters and ``SURGE``, but for link lists."""
+    free, part = np.array([line[1] for line in lines]), np.array([line[2] for line in lines])
+    lengths = np.array([len(line[0]) for line in lines])
+    if not free.any():
+        return lengths * (part > 0)
+    held = np.bincount(part, free, len(around))
+    most = int(held[1:].argmax()) + 1 if len(around) > 1 else 0
+    marked = ((part == most) | (part == around[most])) & (part > 0)
+    if free[marked].sum() < SHARE * free.sum():
+        return free
+    links = np.flatnonzero(np.diff(np.concatenate([[0], (free == 0) & (lengths > 0), [0]])))
+    for first, end in zip(links[::2], links[1::2], strict=True):
+        if end - first >= BLOCK:
+            marked[first:end] = False
+    return np.where(marked & (lengths > 0), lengths + SURGE, free)
 
 
 def main_text(page: str) -> str:
     """Text between surges and dives of the block sums; lines are joined by one space."""
-    lines, any_article = lines_of(page)
+    lines, around = lines_of(page)
     if not any(line[0] for line in lines):
         return ""
-    # In a marked article every line counts; elsewhere only characters outside links do.
-    weights = np.array([(len(t) if inside else 0) if any_article else free for t, free, inside in lines] + [0] * BLOCK)
+    weights = np.concatenate([_weights(lines, around), np.zeros(BLOCK, int)])
     sums = np.convolve(weights, np.ones(BLOCK, int))[BLOCK - 1 : BLOCK - 1 + len(lines)]
-    surge = 1 if any_article else min(SURGE, int(weights.max()) or 1)
+    surge = min(SURGE, int(weights.max()) or 1)
     kept, inside = [], False
     for i, (text, _, _) in enumerate(lines):
         if not inside:

@@ -42,3 +42,23 @@ def test_given_pages_keep_the_article(spark):
         expected = " ".join(html.unescape(re.sub(r"</?[a-z][^>]*>", " ", article)).split())
         assert row["text"] == expected
         assert row["n_chars"] == len(row["text"])
+
+
+BODY = "".join(f"<p>{LONG}</p><p>{i}.</p>" for i in range(6))
+BODY_TEXT = " ".join(f"{LONG} {i}." for i in range(6))
+
+
+@pytest.mark.parametrize(("page", "expected"), [
+    (f"<article><p>Read more.</p></article><div>{BODY}</div>", BODY_TEXT),
+    (f"<main></main><div>{BODY}</div>", BODY_TEXT),
+    (f"<main><article><p>A card.</p></article><article><p>Another card.</p></article></main><div>{BODY}</div>", BODY_TEXT),
+    (f"<article><p>A card.</p></article><article>{BODY}</article><article><p>Another card.</p></article>", BODY_TEXT),
+    (f"<main><h1>Title</h1><article>{BODY}</article></main>", f"Title {BODY_TEXT}"),
+    (f"<article><p>{LONG}</p></article><article><p>Card.</p></article><article><p>{LONG}</p></article><article><p>{LONG}</p></article>", f"{LONG} {LONG} {LONG}"),
+    ("<article><h1><a href=a>Title</a></h1><p>One.</p><p>Two.</p><ul>" + "<li><a href=b>Link</a></li>" * 5 + "</ul><p>Three.</p></article>", "Title One. Two. Three."),
+    (f"<article>{BODY}</article><div><p>{LONG}</p></div>", f"{BODY_TEXT} {LONG}"),
+    (f"<article>{BODY}</article><div><p>Printed in 2020</p></div>", BODY_TEXT),
+    ("<article>" + "<p><a href=a>Link</a></p>" * 4 + "</article>", "Link Link Link Link"),
+])
+def test_an_article_is_a_weight_among_all_lines(page, expected):
+    assert main_text(page) == expected
