@@ -27,10 +27,14 @@ BLOCK, SURGE, SHARE = 3, 80, 0.5
 
 #: Elements whose text is no part of an article.
 FURNITURE = frozenset("nav footer aside form script style noscript iframe svg template button select textarea dialog object canvas head title menu".split())
-#: Words in class, id or role that mark furniture.
+#: Those that pages are also wrapped in; like marked elements they are judged by what they hold.
+WRAPPERS = frozenset("aside form head header".split())
+#: Whole class, id or role tokens (``_`` as ``-``) that mark furniture.
 MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent contentinfo complementary disqus footer gdpr header masthead menu modal nav "
-    "navbar navigation newsletter notice popup promo promoted related search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
+    "ad ads ad-banner ad-container ad-slot advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comment-form comment-list comment-section comments-area comments-section "
+    "consent contentinfo complementary cookie cookies cookie-banner cookie-consent cookie-notice disqus disqus-thread footer gdpr header main-menu main-nav main-navigation masthead menu modal nav nav-menu navbar "
+    "navigation newsletter newsletter-signup notice page-footer popup promo promoted related related-articles related-content related-links related-posts search search-box search-form share share-buttons sharing "
+    "sidebar signup site-footer site-header site-nav site-navigation skip skip-link social social-links social-share sponsor sponsored subscribe toolbar widget widget-area".split()
 )
 #: Elements that interrupt a line.
 BLOCKS = frozenset(
@@ -44,27 +48,65 @@ _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|title|textarea|noscript|iframe|template)\b[^>]*+>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>|</?[a-zA-Z][^<>]*+\Z""",
     re.DOTALL | re.IGNORECASE,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))|\b(hidden)\b|(aria-hidden\s*=\s*["']?true)""", re.IGNORECASE)
-_PARTS = re.compile(r"[^a-z]+")
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
-def _marked(attributes: str) -> bool:
-    """Whether the attributes of an element mark furniture."""
+def _marked(attributes: str, inside: bool) -> bool:
+    """Whether the attributes of an element mark furniture; the header inside an article or main is its headline."""
     if not attributes or attributes.isspace():
         return False
     for m in _ATTRIBUTE.finditer(attributes):
-        if m[5] or m[6] or not MARKS.isdisjoint(_PARTS.split((m[2] or m[3] or m[4] or "").lower())):
+        name = m[1].lower()
+        if name == "hidden":
+            return True
+        value = (m[2] or m[3] or m[4] or "").lower()
+        if name == "aria-hidden" and value.strip() == "true":
+            return True
+        if name in ("class", "id", "role") and MARKS.intersection(value.replace("_", "-").split()) - ({"header"} if inside else set()):
             return True
     return False
 
 
+def _without_furniture(lines: list[tuple[str, int, int, int]], outer: list[int], opened: list[int]) -> list[tuple[str, int, int]]:
+    """Lines with a gap for each marked element that has neither the page's largest part nor most of its text.
+
+    ``outer`` has the marked element around each marked element, ``opened`` the one that each part stands in; a marked
+    element starts with a line of part -1.
+    """
+    held, own = [0] * len(outer), [0] * len(opened)
+    for _, free, part, mark in lines:
+        held[mark] += free
+        # Comments inside an article are no text of it.
+        own[part] += free if part > 0 and mark == opened[part] else 0
+    for mark in range(len(outer) - 1, 0, -1):
+        held[outer[mark]] += held[mark]
+    kept = {0}
+    if any(own[1:]):
+        mark = opened[max(range(1, len(own)), key=own.__getitem__)]
+        while mark:
+            kept.add(mark)
+            mark = outer[mark]
+    dropped = [False] * len(outer)
+    for mark in range(1, len(outer)):
+        most = held[mark] >= SURGE and held[mark] > held[0] * SHARE
+        dropped[mark] = dropped[outer[mark]] or not (most or mark in kept)
+    out: list[tuple[str, int, int]] = []
+    for text, free, part, mark in lines:
+        if part < 0:
+            out.extend([("", 0, 0)] * (BLOCK if dropped[mark] and not dropped[outer[mark]] else 0))
+        elif not dropped[mark]:
+            out.append((text, free, part))
+    return out
+
+
 def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[int]]:
     """Lines as (text, characters outside links, number of the article or main, 0: none), furniture as empty lines; the main around each number."""
-    lines: list[tuple[str, int, int]] = []
+    lines: list[tuple[str, int, int, int]] = []
     stack: list[str] = []
     dropped_at, article_at, main_at, link_at = 0, 0, 0, 0  # depth of the outermost open one, 0: none
-    around = [0]
-    part, main = 0, 0  # numbers of the innermost part and of the main that are open
+    around, opened, outer = [0], [0], [0]
+    part, main, mark = 0, 0, 0  # numbers of the innermost part, of the main and of the innermost marked element that are open
+    marks_at: list[int] = []
     parts: list[str] = []
     free = 0
 
@@ -72,19 +114,23 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[int]]:
         nonlocal free
         if parts:
             if text := " ".join("".join(parts).split()):
-                lines.append((text, free, part))
+                lines.append((text, free, part, mark))
             parts.clear()
         free = 0
 
     def gap() -> None:
         end_line()
-        lines.extend([("", 0, 0)] * BLOCK)
+        lines.extend([("", 0, 0, mark)] * BLOCK)
 
     def shrink(depth: int) -> None:
-        nonlocal dropped_at, article_at, main_at, link_at, part, main
+        nonlocal dropped_at, article_at, main_at, link_at, part, main, mark
         del stack[depth:]
         if dropped_at > depth:
             dropped_at = 0
+        while marks_at and marks_at[-1] > depth:
+            end_line()
+            marks_at.pop()
+            mark = outer[mark]
         if article_at > depth:
             gap()
             article_at, part = 0, main
@@ -130,13 +176,23 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[int]]:
         stack.append(name)
         if dropped_at:
             continue
-        if name in FURNITURE or (name == "header" and not part) or (name not in ("html", "body", "main", "article") and _marked(attributes)):
+        if name in FURNITURE and name not in WRAPPERS:
             gap()
             dropped_at = len(stack)
+        elif name in WRAPPERS or (name not in ("html", "body", "main", "article") and _marked(attributes, part > 0)):
+            if name != "header" or not part or _marked(attributes, True):
+                end_line()
+                outer.append(mark)
+                mark = len(outer) - 1
+                marks_at.append(len(stack))
+                lines.append(("", 0, -1, mark))
+            if name == "a" and not link_at:
+                link_at = len(stack)
         elif not article_at and (name == "article" or (name == "main" and not main_at)):
             gap()
             part = len(around)
             around.append(main)
+            opened.append(mark)
             if name == "main":
                 main_at, main = len(stack), part
             else:
@@ -147,7 +203,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[int]]:
         parts.append(text := html.unescape(page[done:]))
         free += len(text.strip())
     end_line()
-    return lines, around
+    return _without_furniture(lines, outer, opened), around
 
 
 def _weights(lines: list[tuple[str, int, int]], around: list[int]) -> np.ndarray:
@@ -197,7 +253,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     Null and empty pages, and pages without text, have an empty text.  Broken
     markup is read as far as it goes: an element that is never closed ends with its
-    parent, an unfinished tag at the end is dropped.  Rows that repeat a page_id are read one
+    parent, an unfinished tag at the end is dropped.  An element that its class, id or
+    role marks as furniture is read if it holds the largest article or main, or most of the text.  Rows that repeat a page_id are read one
     by one; null ids and urls are kept.  Other columns are ignored.
     """
     bounded_batches(pages.sparkSession)

@@ -62,3 +62,19 @@ BODY_TEXT = " ".join(f"{LONG} {i}." for i in range(6))
 ])
 def test_an_article_is_a_weight_among_all_lines(page, expected):
     assert main_text(page) == expected
+
+
+@pytest.mark.parametrize(("page", "expected"), [
+    (f"<div class='has-sidebar'><article>{BODY}</article></div>", BODY_TEXT),
+    (f"<div class='site no-sidebar'><div>{BODY}</div></div>", BODY_TEXT),
+    (f"<article><div class='entry-header'><h1>Title</h1></div>{BODY}</article>", f"Title {BODY_TEXT}"),
+    (f"<article><div class=header><h1>Title</h1></div>{BODY}<section id='related-work'><p>Others.</p></section></article>", f"Title {BODY_TEXT} Others."),
+    (f"<div style='overflow:hidden' title='a hidden place' data-class='ad'>{BODY}</div>", BODY_TEXT),
+    (f"<div class='sidebar'><div>{BODY}</div><div class='comments'><p>{LONG}</p></div></div>", BODY_TEXT),
+    (f"<div class='widget'><main><article>{BODY}</article></main></div><p hidden>not seen</p>", BODY_TEXT),
+    (f"<form id=f><nav><a href=a>Menu</a></nav><div>{BODY}</div><footer>{LONG}</footer></form>", BODY_TEXT),
+    (f"<article>{BODY}</article><div id='comments' class='comments-area'><article class='comment-body'><p>{LONG}</p></article></div>", BODY_TEXT),
+    (f"<div>{BODY}</div><div class='site_footer'><p>{LONG}</p></div><div aria-hidden='true'><p>{LONG}</p></div>", BODY_TEXT),
+])
+def test_marked_elements_are_dropped_by_whole_tokens_and_size(page, expected):
+    assert main_text(page) == expected
