@@ -5,11 +5,12 @@ runs of credential characters with a digit and 12 or more characters.  A
 convolutional network in numpy reads each candidate with the text around it.  It
 is trained on candidates of the scanned corpus, labelled by the patterns; half
 of the training copies have the text before the candidate blanked, so that the
-network also learns the look of the secret itself.  Scores are calibrated on
-candidates not trained on (a logistic fit).  The highest threshold that finds at
+network also learns the look of the secret itself.  Only this fit is sampled.  Scores are calibrated on
+candidates not trained on (a logistic fit).  All distinct candidates not trained on
+are then scored and counted by bins of their score.  The highest threshold that finds at
 least ``RECALL`` of the labelled findings there with their context blanked is the
-upper limit; where the other candidates score lower, the threshold lies half way
-between them and the limit (in logits), but not below ``LEAST_SCORE``.
+upper limit; where all other candidates score lower, the threshold lies half way
+between them and the limit (in logits).
 """
 
 from __future__ import annotations
@@ -37,7 +38,9 @@ _DIGIT = re.compile(r"[0-9]")
 BEFORE, AFTER = 24, 40
 #: Bound of the training sample, per label; half of it calibrates.
 SAMPLE = 1_500
-RECALL, LEAST_SCORE = 0.95, 0.9
+RECALL = 0.95
+#: Width of a bin of calibrated logits, and their bound.
+BIN, BOUND = 0.01, 30
 _CLASSES, _FILTERS, _WIDTH, _HIDDEN = 13, 24, 5, 16
 _ROUNDS, _RATE = 12, 0.01
 
@@ -171,9 +174,17 @@ class Network:
             a, b = a - np.clip(move[0], -1, 1), b - np.clip(move[1], -2, 2)
         self.slope, self.offset = float(a), float(b)
 
+    def calibrated(self, x: np.ndarray) -> np.ndarray:
+        """Logits of the calibrated probabilities, bounded."""
+        return np.clip(self.slope * self.logits(x) + self.offset, -BOUND, BOUND)
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Calibrated probabilities."""
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.logits(x) + self.offset, -30, 30)))
+        return 1 / (1 + np.exp(-self.calibrated(x)))
+
+    def bins(self, x: np.ndarray) -> np.ndarray:
+        """Number of the bin of each calibrated logit."""
+        return np.floor(self.calibrated(x) / BIN).astype(np.int32)
 
 
 def blanked(x: np.ndarray) -> np.ndarray:
@@ -197,14 +208,25 @@ def trained(windows: list[str], labels: list[int]) -> Network:
     network.train(np.concatenate([x[fit], blanked(x[fit])]), np.concatenate([y[fit], y[fit]]))
     both, label = np.concatenate([x[check], blanked(x[check])]), np.concatenate([y[check], y[check]])
     network.calibrate(network.logits(both), label)
-    found = np.sort(network.logits(blanked(x[check][y[check] > 0])))
-    limit = found[math.floor((1 - RECALL) * len(found))]
-    others = network.logits(both[label == 0]).max()
-    cut = min(limit, (limit + others) / 2) if others < limit else limit
-    network.threshold = max(LEAST_SCORE, float(1 / (1 + np.exp(-np.clip(network.slope * cut + network.offset, -30, 30)))))
+    network.threshold = threshold_of([(1, b, 1) for b in network.bins(blanked(x[check][y[check] > 0]))] + [(0, b, 1) for b in network.bins(both[label == 0])])
     return network
 
 
+def threshold_of(counts: list[tuple[int, int, int]]) -> float:
+    """The score that ``RECALL`` of the findings reach, from (label, bin, count); where no other candidate does, half way down to them."""
+    found = sorted(((b, n) for label, b, n in counts if label == 1), reverse=True)
+    wanted, have, limit = RECALL * sum(n for _, n in found) - 1e-9, 0, math.inf
+    for b, n in found:
+        if have >= wanted:
+            break
+        have, limit = have + n, b
+    if not found:
+        return 2.0
+    others = max((b + 1 for label, b, _ in counts if label == 0), default=limit)
+    # A little lower, as sums in batches of other sizes round differently.
+    return float(1 / (1 + np.exp(-(min(limit, (limit + others) / 2) * BIN - 1e-6))))
+
+
 _CANDIDATE = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.int32()), ("window", pa.string())])
 
 
@@ -220,10 +242,24 @@ def _found(docs: DataFrame) -> DataFrame:
 
 
 def _network(found: DataFrame, sample: int) -> Network:
-    """Trained on candidates drawn by a hash of their window; the driver gets ``sample`` of either label at most."""
+    """Trained on candidates drawn by a hash of their window, with the threshold of all others; the driver gets ``sample`` of either label at most, and counts."""
     each = found.select(F.explode("found").alias("c")).select(F.col("c.window").alias("window"), (F.col("c.kind") < 3).cast("int").alias("label")).distinct()
-    draws = [each.where(F.col("label") == label).orderBy(F.xxhash64("window"), "window").limit(sample).collect() for label in (1, 0)]
-    return trained([r["window"] for d in draws for r in d], [r["label"] for d in draws for r in d])
+    each = written(each.withColumn("key", F.xxhash64("window")))
+    draws = [r for label in (1, 0) for r in each.where(F.col("label") == label).orderBy("key", "window").limit(sample).collect()]
+    model = trained([r["window"] for r in draws], [r["label"] for r in draws])
+    if model.threshold <= 1:
+        shared = each.sparkSession.sparkContext.broadcast(model)
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            label, x = batch.column("label").to_numpy(), classes(batch.column("window").to_pylist())
+            x[label > 0] = blanked(x[label > 0])
+            return pa.RecordBatch.from_arrays([batch.column("label"), pa.array(shared.value.bins(x))], ["label", "bin"])
+
+        unseen = each.where(~F.col("key").isin([r["key"] for r in draws[::2]]))
+        counts = map_batches(unseen, "label int, bin int", work).groupBy("label", "bin").count().collect()
+        model.threshold = threshold_of([tuple(r) for r in counts])
+    dropped(each)
+    return model
 
 
 def _judged(model: Network, lists: list[list[dict]]) -> list[list[dict]]:
@@ -248,7 +284,8 @@ def secret_spans(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     Other columns are ignored.
 
     ``sample`` bounds the candidates of either label that the driver trains on;
-    they are drawn by a hash of their window over all rows.
+    they are drawn by a hash of their window over all rows.  The threshold is
+    taken from all others.
     """
     found = _found(docs)
     shared = docs.sparkSession.sparkContext.broadcast(_network(found, sample))

@@ -208,6 +208,23 @@ def test_network_learns_credentials():
     assert (network.scores(secrets.classes(plain)) >= network.threshold).mean() < 0.02
 
 
+def test_recall_is_held_where_scores_are_low():
+    draw = np.random.default_rng(4)
+    windows = [credential(draw).rjust(secrets.BEFORE + 40, "\0") for _ in range(1200)]
+    network = secrets.trained(windows[:800], draw.permutation([1, 0] * 400).tolist())
+    assert (network.scores(secrets.blanked(secrets.classes(windows[800:]))) >= network.threshold).mean() > 0.9
+
+
+def test_recall_is_held_over_all_candidates(spark):
+    draw = np.random.default_rng(6)
+    rows = [(i, f"token={''.join(draw.choice(list('abcdefgh-XY2'), draw.integers(8, 30)))} and {'-'.join(draw.choice(['abc', 'de2', 'XY', 'hgf', '77a'], 5))}2 end") for i in range(600)]
+    found = secrets._found(spark.createDataFrame(rows, "doc_id long, text string"))
+    network = secrets._network(found, 30)
+    windows = {c["window"] for r in found.collect() for c in r["found"] if c["kind"] < 3}
+    assert len(windows) > 550
+    assert (network.scores(secrets.blanked(secrets.classes(sorted(windows)))) >= network.threshold).mean() >= 0.945
+
+
 def test_network_gradients():
     draw = np.random.default_rng(5)
     network = secrets.Network()
