@@ -2,7 +2,8 @@
 
 The patterns' findings always count.  Candidates are the findings and all other
 runs of credential characters with a digit and 12 or more characters.  A
-convolutional network in numpy reads each candidate with the text around it.  It
+convolutional network in numpy reads each whole candidate with the text around it, in
+windows that slide by ``STEP`` characters; the highest score counts.  It
 is trained on candidates of the scanned corpus, labelled by the patterns; half
 of the training copies have the text before the candidate blanked, so that the
 network also learns the look of the secret itself.  Only this fit is sampled.  Scores are calibrated on
@@ -15,8 +16,10 @@ between them and the limit (in logits).
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +37,10 @@ _HINTS = ("pass", "secret", "token", "api")
 _OTHER = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 _DIGIT = re.compile(r"[0-9]")
 
-#: Characters before and after a candidate's start that the network reads.
-BEFORE, AFTER = 24, 40
+#: Characters before and after a window's start that the network reads, between starts, and of the text after a candidate.
+BEFORE, AFTER, STEP, TAIL = 24, 40, 20, 20
+#: Characters at the head and the end of a candidate that the training sample has; windows that are scored at once.
+HEAD_FIT, END_FIT, AT_ONCE = 104, 80, 4096
 #: Bound of the training sample, per label; half of it calibrates.
 SAMPLE = 1_500
 RECALL = 0.95
@@ -58,7 +63,7 @@ def base_findings(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int, int, str]]:
-    """(start, end, kind number, window) of all findings and of other credential-like runs."""
+    """(start, end, kind number, candidate with its context) of all findings and of other credential-like runs."""
     base = base_findings(text)
     out = []
     taken = iter(base)
@@ -74,10 +79,21 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
     for start, end, kind in sorted(base + out):
         # The value itself starts after the name and sign of an assignment.
         value = _ASSIGN.match(text, start).start(1) if kind == 0 else start
-        window.append((start, end, kind, text[max(0, value - BEFORE) : value].rjust(BEFORE, "\0") + text[value : min(value + AFTER, end + AFTER // 2)][:AFTER].ljust(AFTER, "\0")))
+        window.append((start, end, kind, text[max(0, value - BEFORE) : value].rjust(BEFORE, "\0") + text[value : end + TAIL]))
     return window
 
 
+def windows_of(seen: str) -> Iterator[str]:
+    """Windows that slide over a candidate with its context, up to its end."""
+    last = max(0, math.ceil((len(seen) - BEFORE - AFTER) / STEP))
+    return (seen[at : at + BEFORE + AFTER].ljust(BEFORE + AFTER, "\0") for at in range(0, last * STEP + 1, STEP))
+
+
+def without_context(seen: str) -> str:
+    """A candidate with no text before its value."""
+    return "\0" * BEFORE + seen[BEFORE:]
+
+
 def _class_table() -> np.ndarray:
     """Class of each code below 128: no character, space, digit, a-f, other lower, A-F, other upper, quote, sign, joint, line end, other."""
     table = np.full(130, 11)
@@ -182,9 +198,26 @@ class Network:
         """Calibrated probabilities."""
         return 1 / (1 + np.exp(-self.calibrated(x)))
 
-    def bins(self, x: np.ndarray) -> np.ndarray:
-        """Number of the bin of each calibrated logit."""
-        return np.floor(self.calibrated(x) / BIN).astype(np.int32)
+    def highest(self, seen: list[str], raw: bool = False) -> np.ndarray:
+        """Highest calibrated (or raw) logit over the windows of each candidate."""
+        if not seen:
+            return np.empty(0)
+        counts = []
+
+        def each() -> Iterator[str]:
+            for one in seen:
+                counts.append(0)
+                for window in windows_of(one):
+                    counts[-1] += 1
+                    yield window
+
+        of = self.logits if raw else self.calibrated
+        found = np.concatenate([of(classes(list(part))) for part in itertools.batched(each(), AT_ONCE)])
+        return np.maximum.reduceat(found, np.cumsum([0, *counts[:-1]]))
+
+    def bins(self, seen: list[str]) -> np.ndarray:
+        """Number of the bin of each candidate's highest calibrated logit."""
+        return np.floor(self.highest(seen) / BIN).astype(np.int32)
 
 
 def blanked(x: np.ndarray) -> np.ndarray:
@@ -194,21 +227,26 @@ def blanked(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def trained(windows: list[str], labels: list[int]) -> Network:
-    """A network fitted and calibrated on labelled windows (even ones train, odd ones calibrate).
+def trained(seen: list[str], labels: list[int]) -> Network:
+    """A network fitted and calibrated on labelled candidates with their context (even ones train, odd ones calibrate).
 
-    Without windows of both labels the threshold stays above every score.
+    Of a finding the windows count that begin with ``STEP`` characters of it.
+    Without candidates of both labels the threshold stays above every score.
     """
     network = Network()
-    x, y = classes(windows) if windows else np.zeros((0, BEFORE + AFTER), int), np.array(labels, float)
+    y = np.array(labels, float)
     fit, check = slice(0, None, 2), slice(1, None, 2)
     network.threshold = 2.0
     if min(y[fit].sum(), (1 - y[fit]).sum(), y[check].sum(), (1 - y[check]).sum()) < 1:
         return network
-    network.train(np.concatenate([x[fit], blanked(x[fit])]), np.concatenate([y[fit], y[fit]]))
-    both, label = np.concatenate([x[check], blanked(x[check])]), np.concatenate([y[check], y[check]])
-    network.calibrate(network.logits(both), label)
-    network.threshold = threshold_of([(1, b, 1) for b in network.bins(blanked(x[check][y[check] > 0]))] + [(0, b, 1) for b in network.bins(both[label == 0])])
+    pairs = [(w, label) for one, label in zip(seen[fit], y[fit], strict=True) for k, w in enumerate(windows_of(one)) if not k or not label or BEFORE + STEP * (k + 1) + TAIL <= len(one)]
+    x, label = classes([w for w, _ in pairs]), np.array([label for _, label in pairs])
+    network.train(np.concatenate([x, blanked(x)]), np.concatenate([label, label]))
+    both, label = seen[check] + [without_context(one) for one in seen[check]], np.concatenate([y[check], y[check]])
+    network.calibrate(network.highest(both, raw=True), label)
+    bins = network.bins(both)
+    half = len(bins) // 2
+    network.threshold = threshold_of([(1, b, 1) for b in bins[half:][y[check] > 0]] + [(0, b, 1) for b in bins[label == 0]])
     return network
 
 
@@ -245,15 +283,17 @@ def _network(found: DataFrame, sample: int) -> Network:
     """Trained on candidates drawn by a hash of their window, with the threshold of all others; the driver gets ``sample`` of either label at most, and counts."""
     each = found.select(F.explode("found").alias("c")).select(F.col("c.window").alias("window"), (F.col("c.kind") < 3).cast("int").alias("label")).distinct()
     each = written(each.withColumn("key", F.xxhash64("window")))
-    draws = [r for label in (1, 0) for r in each.where(F.col("label") == label).orderBy("key", "window").limit(sample).collect()]
-    model = trained([r["window"] for r in draws], [r["label"] for r in draws])
+    # The driver gets no candidate of any length: the middle of a long one is not trained on.
+    short = F.when(F.length("window") <= HEAD_FIT + END_FIT, F.col("window")).otherwise(F.concat(F.substring("window", 1, HEAD_FIT), F.substring("window", -END_FIT, END_FIT)))
+    drawn = each.select("key", "label", short.alias("seen"))
+    draws = [r for label in (1, 0) for r in drawn.where(F.col("label") == label).orderBy("key", "seen").limit(sample).collect()]
+    model = trained([r["seen"] for r in draws], [r["label"] for r in draws])
     if model.threshold <= 1:
         shared = each.sparkSession.sparkContext.broadcast(model)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            label, x = batch.column("label").to_numpy(), classes(batch.column("window").to_pylist())
-            x[label > 0] = blanked(x[label > 0])
-            return pa.RecordBatch.from_arrays([batch.column("label"), pa.array(shared.value.bins(x))], ["label", "bin"])
+            seen = [without_context(w) if label else w for w, label in zip(batch.column("window").to_pylist(), batch.column("label").to_pylist(), strict=True)]
+            return pa.RecordBatch.from_arrays([batch.column("label"), pa.array(shared.value.bins(seen))], ["label", "bin"])
 
         unseen = each.where(~F.col("key").isin([r["key"] for r in draws[::2]]))
         counts = map_batches(unseen, "label int, bin int", work).groupBy("label", "bin").count().collect()
@@ -265,7 +305,7 @@ def _network(found: DataFrame, sample: int) -> Network:
 def _judged(model: Network, lists: list[list[dict]]) -> list[list[dict]]:
     """Findings, and the other candidates whose score reaches the threshold, in order."""
     windows = [c["window"] for found in lists for c in found]
-    scores = iter(model.scores(classes(windows)).tolist() if windows else ())
+    scores = iter((1 / (1 + np.exp(-model.highest(windows)))).tolist())
     out = []
     for found in lists:
         spans = [(c["start"], c["kind"], c["end"]) for c in found if (next(scores) >= model.threshold) | (c["kind"] < 3)]

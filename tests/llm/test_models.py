@@ -222,7 +222,37 @@ def test_recall_is_held_over_all_candidates(spark):
     network = secrets._network(found, 30)
     windows = {c["window"] for r in found.collect() for c in r["found"] if c["kind"] < 3}
     assert len(windows) > 550
-    assert (network.scores(secrets.blanked(secrets.classes(sorted(windows)))) >= network.threshold).mean() >= 0.945
+    scores = 1 / (1 + np.exp(-network.highest([secrets.without_context(w) for w in windows])))
+    assert (scores >= network.threshold).mean() >= 0.945
+
+
+def test_secret_at_the_end_of_a_long_run_is_read():
+    draw = np.random.default_rng(8)
+
+    def key():
+        return "".join(draw.choice(list("0123456789ABCDEF"), 40))
+
+    def path():
+        return "/".join(draw.choice(["static", "js", "lib2", "vendor", "assets", "img7"], 20)) + "/v2"
+
+    def read(text):
+        return [dict(zip(("start", "end", "kind", "window"), c, strict=True)) for c in secrets.candidates(text)]
+
+    known = [c for _ in range(300) for c in read(f"token={key()} and {path()} end")]
+    order = draw.permutation(len(known))
+    network = secrets.trained([known[i]["window"] for i in order], [int(known[i]["kind"] < 3) for i in order])
+    ended = secrets._judged(network, [read(f"see {path()}/{key()} end") for _ in range(50)])
+    plain = secrets._judged(network, [read(f"see {path()} end") for _ in range(50)])
+    assert sum([s["kind"] for s in spans] == ["network"] for spans in ended) >= 45
+    assert sum(map(len, plain)) <= 1
+
+
+def test_windows_cover_a_candidate_and_what_follows():
+    text = "before it " + "x1" * 100 + " after it"
+    ((start, end, _, seen),) = secrets.candidates(text)
+    windows = list(secrets.windows_of(seen))
+    assert all(any(text[i : i + 20] in w for w in windows) for i in range(len(text) - 20))
+    assert {len(w) for w in windows} == {secrets.BEFORE + secrets.AFTER}
 
 
 def test_network_gradients():
