@@ -32,7 +32,7 @@ from starloom.llm.common import (
 )
 
 WINDOW = 13
-#: Rounds whose symbols may become anchors; later ones need more words around them than a window has.
+#: Rounds whose symbols may become anchors.  Those of round 2 fit into most windows, but give 2.5 times the anchors, and disk is short.
 ANCHOR_ROUNDS = 1
 _RUN, _PAIR = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
