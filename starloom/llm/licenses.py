@@ -7,12 +7,18 @@ the threshold t with a template of b bigrams only if
 templates are dropped before their bigrams are looked at, and the same bound is
 part of the join with the templates.  Segments meet templates by shared bigrams.
 
+What lies outside the lines that match is read again in windows of as many words as
+a template has, so that a notice is found inside a line and over several lines.
+A window that reaches 0.8 has 2/3 of the template's bigrams, hence one of any choice
+of more than a third of them: only texts with a word of each template's most telling
+bigrams are read.  Of windows that overlap the best one counts.
+
 DataFrame functions only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import same_row, written
@@ -60,8 +66,44 @@ def _bigrams(words):
     return F.array_distinct(F.zip_with(F.slice(words, 1, count), F.slice(words, 2, count), lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
+def _windows(rows: DataFrame, best: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, text_key, at, m) of windows of a template's size outside matching segments; ``at`` is below 0."""
+    row = ["doc_id", "text_key"]
+    # both / b is at least t / (2 - t), as a window has both or more; the longer word of a bigram stands for it.
+    missed = F.floor(F.col("b_size") * (1 - threshold / (2 - threshold)) + 1e-9).cast("int") + 1
+    words = F.transform("b", lambda g: F.array_max(F.transform(F.split(g, " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))))
+    telling = known.select(F.explode(F.slice(F.sort_array(words, asc=False), 1, missed)).alias("x")).select("x.w").distinct().collect()
+    hits = best.groupBy(*row).agg(F.collect_set("at").alias("hits"))
+    hits = hits.withColumnsRenamed({"doc_id": "hit_id", "text_key": "hit_key"})
+    told = rows.withColumn("s", F.split(_normalised(F.col("text")), " ")).where(F.arrays_overlap("s", F.array(*[F.lit(r["w"]) for r in telling]).cast("array<string>"))).drop("s").dropDuplicates(row)
+    told = told.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key")), "left")
+    lines = F.split("text", "\n")
+    hit = F.coalesce("hits", F.array().cast("array<int>"))
+    whole = F.array_contains(hit, F.when(F.size(lines) > 1, F.size(lines)).otherwise(0))
+    # A matching line is a word that no template has.
+    left = F.array_join(F.transform(lines, lambda line, i: F.when(F.array_contains(hit, i), F.lit("\u00b6")).otherwise(line)), " ")
+    left = F.split(F.trim(F.regexp_replace(F.lower(left), "[^a-z0-9\u00b6]+", " ")), " ")
+    count = F.greatest(F.size("w") - 1, F.lit(0))
+    grams = told.where(~whole).select(*row, left.alias("w")).select(*row, F.posexplode(F.zip_with(F.slice("w", 1, count), F.slice("w", 2, count), lambda a, b: F.concat(a, F.lit(" "), b))).alias("p", "gram"))
+    kept = known.select("license", "template", "b_size", F.explode("b").alias("gram"))
+    met = grams.join(kept, "gram")
+    one = [*row, "license", "template", "b_size"]
+    place = Window.partitionBy(*one).orderBy("p")
+    # Rows between, as a window has at most ``b_size`` places; those too far away are left out.
+    near = F.collect_list(F.struct("p", "gram")).over(place.rowsBetween(0, int(known.agg(F.coalesce(F.max("b_size"), F.lit(1))).first()[0]) - 1))
+    met = met.withColumn("both", F.size(F.array_distinct(F.transform(F.filter(near, lambda x: x["p"] < F.col("p") + F.col("b_size")), lambda x: x["gram"]))))
+    close = met.select(*one, "p", (F.col("both") / F.col("b_size")).alias("dice")).where(F.col("dice") >= threshold)
+    # Of the windows of a template that overlap one after another the best, then of those of all templates.
+    text, each = Window.partitionBy(*row).orderBy("p", "b_size", "template", "license"), Window.partitionBy(*one).orderBy("p")
+    close = close.withColumn("run", F.sum(F.when(F.col("p") >= F.lag("p").over(each) + F.col("b_size"), 1).otherwise(0)).over(each))
+    close = close.groupBy(*one, "run").agg(F.max(F.struct("dice", (-F.col("p")).alias("q"))).alias("x")).select(*row, "license", "template", "b_size", (-F.col("x.q")).alias("p"), "x.dice")
+    before = F.max(F.col("p") + F.col("b_size")).over(text.rowsBetween(Window.unboundedPreceding, -1))
+    close = close.withColumn("starts", F.when(F.col("p") >= before, 1).otherwise(0)).withColumn("at", (-1 - F.sum("starts").over(text)).cast("int"))
+    return close.groupBy(*row, "at").agg(F.min(F.struct((-F.col("dice")).alias("d"), "license")).alias("m"))
+
+
 def license_matches(docs: DataFrame, notices: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_segments (that match), licenses (distinct, sorted), best_license and best_dice.
+    """One row per row of ``docs``: doc_id, n_segments (that match, lines, whole texts and windows elsewhere), licenses (distinct, sorted), best_license and best_dice.
 
     A segment goes to the template of the highest coefficient, of equal ones to the
     first licence by name; so does the document.  Without a match
@@ -93,7 +135,8 @@ def license_matches(docs: DataFrame, notices: DataFrame | None = None, threshold
     # Bounded by the bigrams of a template; a set, as rows may be repeated.
     shared = grams.join(kept, "gram").where(fits).groupBy(*row, "at", "a_size", "template", "b_size", "license").agg(F.size(F.collect_set("gram")).alias("both"))
     dice = shared.select(*row, "at", "license", (F.col("both") * 2.0 / (F.col("a_size") + F.col("b_size"))).alias("dice")).where(F.col("dice") >= threshold)
-    best = dice.groupBy(*row, "at").agg(F.min(F.struct((-F.col("dice")).alias("d"), "license")).alias("m"))
+    best = written(dice.groupBy(*row, "at").agg(F.min(F.struct((-F.col("dice")).alias("d"), "license")).alias("m")))
+    best = best.unionByName(_windows(rows, best, known, threshold))
     found = written(best.groupBy(*row).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("m.license")).alias("l"), F.min("m").alias("m")))
     rows = rows.select(*row)
     return rows.join(found, same_row(rows, found), "left").select(

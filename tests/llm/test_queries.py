@@ -113,3 +113,18 @@ def test_nulls_and_repeated_rows(spark, null_folder, name):
         assert {(r["doc_id"], r["n_removed"]) for r in result} == {(None, 0), (2, 0), (3, 0), (5, 60)}
     if name == "op5_decontamination":
         assert {(r["doc_id"], r["n_words"], r["n_hit"]) for r in result} == {(None, 0, 0), (None, 60, 60), (3, 60, 60), (3, 80, 0), (5, 60, 60), (2, 0, 0)}
+
+
+def test_licenses_inside_and_over_lines(spark):
+    from starloom.llm import licenses
+
+    prose = " ".join(WORDS[:50])
+    apache = dict(licenses.TEMPLATES[::-1])["Apache-2.0"]
+    gpl = next(n for name, n in licenses.TEMPLATES if name == "GPL-3.0" and n.startswith("This program"))
+    texts = [
+        f"{prose}. {apache} {prose}", prose + "\n" + gpl.replace(" it under", "\n# it under").replace(" as published", "\n# as published") + "\n" + prose,
+        "(c) 2020 Foo. All rights reserved.", f"{prose}\nReleased under the MIT License.\n{prose} Licensed under CC BY 4.0. {prose}", f"all rights {prose} reserved the license",
+    ]
+    docs = spark.createDataFrame([*enumerate(texts), (0, texts[0])], "doc_id long, text string")
+    found = sorted((r["doc_id"], r["n_segments"], r["licenses"]) for r in licenses.license_matches(docs).collect())
+    assert found == [(0, 1, "Apache-2.0"), (0, 1, "Apache-2.0"), (1, 1, "GPL-3.0"), (2, 1, "Proprietary"), (3, 2, "CC-BY-4.0,MIT"), (4, 0, "")]
