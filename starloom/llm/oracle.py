@@ -136,10 +136,74 @@ FROM t LEFT JOIN found USING (row_id)
 """
 
 
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII text, bit by bit."""
+    bits = f"[((ascii(substr({text}, k // 8 + 1, 1)) >> (k % 8)) & 1)::BIGINT FOR k IN range(0, 8 * length({text}))]"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384)), 4294967295::BIGINT)"
+
+
+def _periodic_runs() -> str:
+    lags = ", ".join(f"CASE WHEN lag(word, {q}) OVER text = word THEN {q} END" for q in range(1, 6))
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, {_crc32("CAST(doc_id AS VARCHAR)")} AS h, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
+cut AS (SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM t),
+made AS (
+    SELECT r, doc_id, CASE WHEN h % 10 = 0 AND n > 0
+        THEN [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END] FOR i IN range(0, n)] ELSE w END AS w
+    FROM cut
+),
+each_word AS (SELECT r, i, w[i + 1] AS word FROM made, unnest(range(0, len(w))) AS u(i)),
+grams AS (SELECT r, i, array_to_string(w[i + 1 : i + 6], ' ') AS gram FROM made, unnest(range(0, len(w) - 5)) AS u(i)),
+same AS (
+    SELECT r, q, i - q AS i, 0 AS more
+    FROM (SELECT r, i, unnest([{lags}]) AS q FROM each_word WINDOW text AS (PARTITION BY r ORDER BY i)) WHERE q IS NOT NULL
+    UNION ALL
+    SELECT x.r, y.i - x.i AS q, x.i, 5 AS more FROM grams x JOIN grams y USING (r, gram) WHERE y.i - x.i > 5
+),
+stretches AS (
+    SELECT r, q, min(i) AS start, max(i) - min(i) + 1 + any_value(more) AS agree
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM same) GROUP BY r, q, island
+),
+runs AS (SELECT r, start, agree + q AS size, min(q) AS period FROM stretches WHERE agree >= greatest(q, 12 - q) GROUP BY ALL),
+listed AS (
+    SELECT r, count(*) AS n_runs, string_agg(start || ',' || size || ',' || period || chr(10), '' ORDER BY start, period) AS list,
+        first(struct_pack(start := start, size := size, period := period) ORDER BY size DESC, start, period) AS best
+    FROM runs GROUP BY r
+),
+gone AS (SELECT DISTINCT r, i FROM runs, unnest(range(start + period, start + size)) AS u(i)),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS kept_text FROM each_word ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.start AS BIGINT) AS start, CAST(best.size AS BIGINT) AS length, CAST(best.period AS BIGINT) AS period,
+    CAST((1000 * best.size) // best.period AS BIGINT) AS exponent_milli, sha256(coalesce(list, '')) AS runs_sha256, sha256(coalesce(kept_text, '')) AS collapsed_sha256
+FROM made LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""
+
+
+def _lexical_search() -> str:
+    term = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED}, {term}) AS w FROM documents),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS total FROM d WHERE len(w) > 0),
+b AS (SELECT row_number() OVER () AS b, item_id, regexp_extract_all({_LOWERED}, {term}) AS w FROM benchmark),
+wanted AS (SELECT b, term, count(*)::BIGINT AS repeats FROM (SELECT b, unnest(w) AS term FROM b) GROUP BY ALL),
+vocabulary AS (SELECT DISTINCT term FROM wanted),
+has AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM d) SEMI JOIN vocabulary USING (term) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM has, c GROUP BY term, n_docs),
+m AS (SELECT r, doc_id, 100 - 75 + (75 * len(w)::BIGINT * n_docs) // total AS m FROM d, c WHERE len(w) > 0),
+scores AS (
+    SELECT b, r, doc_id, sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM wanted JOIN has USING (term) JOIN weights USING (term) JOIN m USING (r) WHERE doc_id IS NOT NULL GROUP BY ALL
+),
+ranked AS (SELECT b, doc_id, score, row_number() OVER (PARTITION BY b ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked JOIN b USING (b) WHERE place <= 10
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": _license_scan(),
     "op5_decontamination": _decontamination(),
     "op7_near_dedup": _near_dedup(),
     "op8_quality_rules": _quality_rules(),
     "op9_substring_dedup": _substring_dedup(),
+    "op11_periodic_runs": _periodic_runs(),
+    "op13_lexical_search": _lexical_search(),
 }

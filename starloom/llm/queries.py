@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, decontamination, language_model, licenses, near_dedup, pages, quality, rules, secrets, substring_dedup
+from starloom.llm import (
+    bpe, decontamination, language_model, lexical_search, licenses, near_dedup, pages, periodic_runs, quality, rules, secrets, simhash, substring_dedup,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -87,10 +89,42 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract_text(_table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where every tenth document by the crc32 of its id repeats a stretch of its words up to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, g = F.size(words).cast("long"), F.floor(h / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    # Ten times the stretch reach the end of the text, as it is longer than a tenth of what is left.
+    again = F.slice(F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), 10)), F.lit(1), (n - a).cast("int"))
+    repeated = F.concat(F.slice(words, F.lit(1), a.cast("int")), again)
+    return docs.select("doc_id", F.when((h % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_runs(_table(spark, folder, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("less"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.before")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.less")).alias("period"),
+        F.expr("(1000 * best.length) div (-best.less)").alias("exponent_milli"), _sha256(listed).alias("runs_sha256"), _sha256(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+def op12_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash.fingerprint_groups(_table(spark, folder, "documents"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_secret_scan, op3_quality_classifier, op4_language_model, op5_decontamination,
-        op6_bpe, op7_near_dedup, op8_quality_rules, op9_substring_dedup, op10_html_text,
+        op6_bpe, op7_near_dedup, op8_quality_rules, op9_substring_dedup, op10_html_text, op11_periodic_runs, op12_simhash, op13_lexical_search,
     )
 }
