@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import col, q
+from starloom.functions.typenames import struct
 from starloom.operators.positions import CHUNK, in_order, row_in_chunk
-from starloom.sources.staging import stage
+from starloom.sources.rows import small_frame
+
+_STARTS = struct(**{CHUNK: "bigint", "__start": "bigint"})
 
 
 def _nulls_first(order_by: Sequence[str | Column]) -> list[Column]:
@@ -21,18 +25,17 @@ def dense_keys(
 ) -> DataFrame:
     """Number rows ``offset + 1 .. offset + n`` and put the key first.
 
-    Rows are staged, range partitioned by ``order_by``, staged in that order, counted per
-    sorted partition, and numbered from the total of the partitions before.  The totals are
-    a table of one row per sorted partition that is joined on its number.  Without ``order_by`` any dense numbering will do and the
-    rows are not shuffled.
+    Rows are written once, range-sorted by ``order_by``, counted per sorted partition,
+    and numbered from the total of the partitions before.  The driver sees one count per
+    partition; the totals go back as a local relation.  Without ``order_by`` any dense
+    numbering will do and the rows are not shuffled.
     """
     columns = [c for c in df.columns if c != key]
     placed = in_order(df.select(*map(q, columns)), _nulls_first(order_by))
-    sizes = placed.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("__rows"))
-    # One row per sorted partition: a running total over all of them is small.
-    before = F.sum("__rows").over(Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1))
-    starts = stage(sizes.select(F.col(CHUNK), F.coalesce(before, F.lit(0)).alias("__start")))
-    number = (F.col("__start") + row_in_chunk() + F.lit(offset) + 1).cast("bigint")
+    sizes = sorted(placed.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("__rows")).collect())
+    totals = accumulate((r["__rows"] for r in sizes), initial=offset)
+    starts = small_frame(df.sparkSession, [{CHUNK: r[CHUNK], "__start": start} for r, start in zip(sizes, totals)], _STARTS)
+    number = (F.col("__start") + row_in_chunk() + 1).cast("bigint")
     return placed.join(starts, CHUNK).select(number.alias(key), *map(q, columns))
 
 
