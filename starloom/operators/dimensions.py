@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +15,7 @@ from starloom.operators.cleaning import distinct_combinations, drop_missing, kee
 from starloom.operators.keys import dense_keys, max_key
 from starloom.operators.scd import (
     close_versions,
+    current_records,
     open_versions,
     replaced_keys,
     require_single_current,
@@ -70,10 +72,53 @@ def merge_dimension(
     return merge_scd2(existing, rows, spec, batch_ts)
 
 
-def merge_type0(existing: DataFrame, rows: DataFrame, spec: DimensionSpec, batch_ts: datetime) -> DataFrame:
+def dimension_delta(
+    existing: DataFrame,
+    source: DataFrame,
+    spec: DimensionSpec,
+    batch_ts: datetime,
+    last_key: int,
+    touch_unchanged: bool = True,
+) -> DataFrame:
+    """The rows a batch adds to the dimension or changes in it, whole, each once.
+
+    The existing dimension is filtered in place to the rows whose natural key the batch
+    has; everything after that works on those.  ``last_key`` is the largest key in use.
+    """
+    rows = stage(dimension_rows(source, spec))
+    known = current_records(existing) if spec.scd == 2 else existing
+    same = equal_on("e", "r", spec.natural_keys, null_safe=spec.scd == 0)
+    met = stage(known.alias("e").join(rows.select(*map(q, spec.natural_keys)).alias("r"), same, "left_semi"))
+    if spec.scd == 0:
+        return merge_type0(met, rows, spec, batch_ts, last_key).filter(col(spec.key) > last_key)
+    if spec.scd == 1:
+        merged = merge_scd1(met, rows, spec, batch_ts, touch_unchanged, last_key)
+        stamp = timestamp(batch_ts).cast(existing.schema["dw_update_date"].dataType)
+        return merged.filter(col("dw_update_date") == stamp)
+    # Of the versions that were open only those that the batch has closed are changed.
+    return merge_scd2(met, rows, spec, batch_ts, last_key).filter((col(spec.key) > last_key) | ~col("is_current"))
+
+
+def newest_rows(base: DataFrame, deltas: Sequence[DataFrame], key: str) -> DataFrame:
+    """A dimension from its base and what later batches added or changed, oldest first.
+
+    The base is filtered in place by the keys of the deltas, which are small beside it, and
+    is not shuffled where Spark can broadcast them.
+    """
+    if not deltas:
+        return base
+    tagged = reduce(DataFrame.unionByName, [d.withColumn("__nth", F.lit(i)) for i, d in enumerate(deltas)])
+    last = Window.partitionBy(q(key)).orderBy(F.desc("__nth"))
+    newest = tagged.withColumn("__back", F.row_number().over(last)).filter("__back = 1").drop("__back", "__nth")
+    return base.join(newest.select(q(key)), key, "left_anti").select(*map(q, base.columns)).unionByName(newest)
+
+
+def merge_type0(
+    existing: DataFrame, rows: DataFrame, spec: DimensionSpec, batch_ts: datetime, last_key: int | None = None
+) -> DataFrame:
     """Insert unseen natural keys, never update."""
     new = _unseen(existing, rows, spec.natural_keys, null_safe=True)
-    return _append(existing, new, spec, batch_ts, max_key(existing, spec.key))
+    return _append(existing, new, spec, batch_ts, _last(existing, spec, last_key))
 
 
 def merge_scd1(
@@ -82,6 +127,7 @@ def merge_scd1(
     spec: DimensionSpec,
     batch_ts: datetime,
     touch_unchanged: bool = True,
+    last_key: int | None = None,
 ) -> DataFrame:
     """Overwrite the attributes of known keys, nulls included, and insert new keys."""
     hit = rows.select(
@@ -105,18 +151,25 @@ def merge_scd1(
     )
     updated = joined.filter("__known").select(*[values.get(c, col(c)) for c in existing.columns])
     new = joined.filter("__known IS NULL").select(*[col(f"__new_{c}").alias(c) for c in spec.business_columns])
-    return _append(updated, new, spec, batch_ts, max_key(existing, spec.key))
+    return _append(updated, new, spec, batch_ts, _last(existing, spec, last_key))
 
 
-def merge_scd2(existing: DataFrame, rows: DataFrame, spec: DimensionSpec, batch_ts: datetime) -> DataFrame:
+def merge_scd2(
+    existing: DataFrame, rows: DataFrame, spec: DimensionSpec, batch_ts: datetime, last_key: int | None = None
+) -> DataFrame:
     """Close the open version of changed keys and add keyed new versions."""
     require_single_current(existing, spec.natural_keys)
     changes = scd2_changes(existing, rows, spec.natural_keys, spec.attributes)
-    keyed = dense_keys(changes, spec.key, spec.natural_keys, max_key(existing, spec.key))
+    keyed = dense_keys(changes, spec.key, spec.natural_keys, _last(existing, spec, last_key))
     kept = close_versions(existing, replaced_keys(keyed, spec.natural_keys), spec.natural_keys, batch_ts)
     return kept.unionByName(_with_audit(keyed, spec, existing.schema, batch_ts))
 
 
+def _last(existing: DataFrame, spec: DimensionSpec, last_key: int | None) -> int:
+    """The largest key in use, looked up if the caller does not know it."""
+    return max_key(existing, spec.key) if last_key is None else last_key
+
+
 def _unseen(existing: DataFrame, rows: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
     known = existing.select(*map(q, keys))
     return rows.alias("r").join(known.alias("k"), equal_on("r", "k", keys, null_safe), "left_anti")

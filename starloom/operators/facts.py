@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -83,7 +83,7 @@ def build_fact(
 
 
 def unseen_facts(
-    existing: DataFrame, bound: DataFrame, grain: Sequence[str], dedup_batch: bool = False
+    existing: DataFrame | Callable[[DataFrame], DataFrame], bound: DataFrame, grain: Sequence[str], dedup_batch: bool = False
 ) -> DataFrame:
     """Facts of the batch whose grain is not in the existing fact yet.
 
@@ -92,13 +92,16 @@ def unseen_facts(
     shuffled.  The grains are written in between, narrow and one row each: Spark then
     knows their size, and can split a grain with many copies on the other side.
     ``bound`` is read more than once and should be a table.  A missing part of a grain
-    equals a missing part.
+    equals a missing part.  ``existing`` may be a function of the batch's grains that gives
+    the facts among which they can be, so that the others are not read at all.
     """
     grain_columns = list(map(q, grain))
     if dedup_batch:
         bound = remove_duplicates(bound, grain)
     same = equal_on("old", "new", grain, null_safe=True)
     in_batch = stage(bound.select(*grain_columns).distinct())
+    if not isinstance(existing, DataFrame):
+        existing = existing(in_batch)
     kept = existing.select(*grain_columns).alias("old").join(in_batch.alias("new"), same, "left_semi")
     seen = stage(kept.distinct())
     return bound.alias("new").join(seen.alias("old"), same, "left_anti")

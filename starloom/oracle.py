@@ -581,3 +581,14 @@ SELECT c_custkey, round(coalesce(NULLIF(c_nationkey, 7)::DOUBLE, nation_mean), 4
        CASE WHEN c_custkey % 10 = 0 THEN 'none' END, {TS}
 FROM customer, m""",
 }
+
+ORACLE |= {
+    "q56_append_by_grain_index": f"WITH {LOADS} SELECT {FACT_COLUMNS} FROM fresh",
+    # A dimension read from its base and a delta is the dimension.
+    "q57_dim_scd1_delta": ORACLE["q17_dim_scd1_merge"],
+    "q58_dim_scd2_delta": ORACLE["q20_dim_scd2_merge"],
+    "q59_type0_delta": ORACLE["q21_type0_merge"],
+    "q60_seeded_sample": """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+ORDER BY md5(concat_ws(chr(31), '7', '=' || l_orderkey, '=' || l_linenumber, '=' || l_partkey)), l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity LIMIT 1000""",
+}

@@ -12,13 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.cleaning import remove_duplicates
-from starloom.operators.dimensions import build_dimension, merge_dimension
+from starloom.functions.columns import batch_id
+from starloom.operators.dimensions import build_dimension, dimension_delta, merge_dimension
+from starloom.operators.keys import max_key
 from starloom.operators.facts import append_stats, bind_fact, build_fact, number_facts, unseen_facts
 from starloom.operators.quality import Check, meets_gate, run_suite
 from starloom.operators.concurrent import side_by_side
 from starloom.plans.specs import DimensionSpec, StarSpec
 from starloom.sources.staging import stage, temporary_stages
-from starloom.sources.warehouse import last_promoted, next_slot, promote, read_dimension, read_fact, write_table
+from starloom.sources.warehouse import (
+    chain_of, last_promoted, link, next_slot, promote, read_chain, read_dimension, read_fact, read_fact_near, write_grain_index, write_table,
+)
+
+
+#: Largest key from which a dimension is kept as a base and deltas, and links after which it is written whole.
+DELTA_KEYS, LONGEST_CHAIN = 1_000_000, 16
 
 
 class QualityGateError(RuntimeError):
@@ -79,6 +87,7 @@ def load_star(
     check_new_facts_only: bool = True,
     rebuild: bool = False,
     fmt: str = "parquet",
+    deltas: bool | None = None,
 ) -> Loaded:
     """Merge the dimensions, append the facts whose grain is new, check, promote.
 
@@ -87,13 +96,16 @@ def load_star(
     spares the checks the facts that passed them when they were loaded; keys cannot collide,
     as new ones start above the manifest's last one.  ``rebuild`` ignores what is there:
     dimensions and facts of this batch take the place of all earlier ones.  ``fmt`` is the
-    format of this batch's tables.
+    format of this batch's tables.  With ``deltas`` a batch writes of each dimension only the
+    rows it adds or changes, and a reader takes the newest row of each key; without, it writes
+    the dimension whole.  Left open, dimensions of ``DELTA_KEYS`` keys and more get deltas.  A chain of
+    ``LONGEST_CHAIN`` is written whole again.
     """
     spark = sources[star.fact.source].sparkSession
     with temporary_stages(spark):
         return _load(
             spark, sources, star, root, batch_ts, version, dedup_batch, checks, min_pass_rate,
-            check_new_facts_only, rebuild, fmt,
+            check_new_facts_only, rebuild, fmt, deltas,
         )
 
 
@@ -110,6 +122,7 @@ def _load(
     check_new_facts_only: bool,
     rebuild: bool,
     fmt: str,
+    deltas: bool | None,
 ) -> Loaded:
     slot, attempt = next_slot(spark, root), uuid.uuid4().hex
     previous = last_promoted(spark, root, batch_ts)
@@ -117,12 +130,25 @@ def _load(
         previous = None
     existing_fact = read_fact(spark, root, star.fact.name, previous)
 
-    def merge(spec: DimensionSpec) -> DataFrame:
-        known = read_dimension(spark, root, spec.name, previous)
-        merged = merge_dimension(known, sources[spec.source], spec, batch_ts)
-        return write_table(merged, root, spec.name, batch_ts, attempt, fmt)
+    own = link(batch_id(batch_ts), attempt, fmt)
 
-    dims = side_by_side(spark, {d.name: partial(merge, d) for d in star.dimensions})
+    def merge(spec: DimensionSpec) -> tuple[DataFrame, tuple[str, ...], int]:
+        """The dimension after this batch, its chain, and its largest key."""
+        known = read_dimension(spark, root, spec.name, previous)
+        last = None if previous is None else previous.last_keys.get(spec.name)
+        links = () if previous is None else chain_of(previous, spec.name)
+        if known is None or last is None or len(links) >= LONGEST_CHAIN or not (last >= DELTA_KEYS if deltas is None else deltas):
+            merged = merge_dimension(known, sources[spec.source], spec, batch_ts)
+            written = write_table(merged, root, spec.name, batch_ts, attempt, fmt)
+            return written, (own,), max_key(written, spec.key)
+        delta = dimension_delta(known, sources[spec.source], spec, batch_ts, last)
+        added = write_table(delta, root, spec.name, batch_ts, attempt, fmt)
+        links = (*links, own)
+        return read_chain(spark, root, spec.name, links, known.schema), links, max(last, max_key(added, spec.key))
+
+    merged = side_by_side(spark, {d.name: partial(merge, d) for d in star.dimensions})
+    dims = {name: table for name, (table, _, _) in merged.items()}
+    chains, last_keys = ({name: found[i] for name, found in merged.items()} for i in (1, 2))
 
     bound = bind_fact(sources[star.fact.source], dims, star, batch_ts, version)
     if existing_fact is None:
@@ -131,8 +157,11 @@ def _load(
     else:
         mode, offset = "incremental", previous.last_key
         bound = stage(bound)
-        fresh = unseen_facts(existing_fact, bound, star.fact.grain, dedup_batch)
+        near = partial(read_fact_near, spark, root, star.fact.name, previous, grain=star.fact.grain)
+        fresh = unseen_facts(near, bound, star.fact.grain, dedup_batch)
     written = write_table(number_facts(fresh, star.fact, offset), root, star.fact.name, batch_ts, attempt, fmt)
+    # The next batches look up their grains here instead of reading these facts.
+    write_grain_index(written, root, star.fact.name, batch_ts, attempt, star.fact.grain)
     # Row counts of Parquet tables come from the file footers.
     appended = written.count()
     new_rows = bound.count() if mode == "incremental" else appended
@@ -143,7 +172,7 @@ def _load(
     if checks and not meets_gate(run_suite(checked, checks), min_pass_rate):
         raise QualityGateError(f"batch of {batch_ts} is below a pass rate of {min_pass_rate}")
     schemas = {name: table.schema for name, table in {**dims, star.fact.name: written}.items()}
-    promote(spark, root, slot, batch_ts, attempt, schemas, stats, offset + appended, fmt)
+    promote(spark, root, slot, batch_ts, attempt, schemas, stats, offset + appended, fmt, star.fact.grain, chains, last_keys)
     return Loaded(dims, written, fact, stats, slot)
 
 

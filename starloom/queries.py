@@ -5,19 +5,19 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import OPEN_END, timestamp
-from starloom.operators import cleaning, dimensions, facts, profile, quality, runlog, scd
-from starloom.operators.keys import dense_keys, next_key
+from starloom.operators import cleaning, dimensions, facts, profile, quality, runlog, sampling, scd
+from starloom.operators.keys import dense_keys, max_key, next_key
 from starloom.plans import sales, silver
 from starloom.plans.specs import CleaningConfig, DimensionSpec
 from starloom.plans.star import QualityGateError, build_dimensions, build_star, load_star, read_star
 from starloom.sources.ingest import stamp
-from starloom.sources import ingest, layers
+from starloom.sources import ingest, layers, warehouse
 from starloom.sources.staging import shared_folder, stage
 from starloom.sources.warehouse import manifest
 
@@ -324,15 +324,18 @@ CUSTOMER_HISTORY_DIM = DimensionSpec(
 )
 
 
-@query
-def q20_dim_scd2_merge(spark: SparkSession, folder: str) -> DataFrame:
-    existing = dimensions.build_dimension(known_customers(spark, folder), CUSTOMER_HISTORY_DIM, EARLIER)
-    changes = read(spark, folder, "customer").withColumn(
+def moved_customers(spark: SparkSession, folder: str) -> DataFrame:
+    return read(spark, folder, "customer").withColumn(
         "c_mktsegment",
         F.when(F.col("c_acctbal").between(1000, 4000), F.lit("MOVED")).otherwise(F.col("c_mktsegment")),
     )
+
+
+@query
+def q20_dim_scd2_merge(spark: SparkSession, folder: str) -> DataFrame:
+    existing = dimensions.build_dimension(known_customers(spark, folder), CUSTOMER_HISTORY_DIM, EARLIER)
     return with_end_as_text(
-        dimensions.merge_dimension(existing, changes, CUSTOMER_HISTORY_DIM, BATCH_TS)
+        dimensions.merge_dimension(existing, moved_customers(spark, folder), CUSTOMER_HISTORY_DIM, BATCH_TS)
     )
 
 
@@ -455,6 +458,53 @@ def q28_append_stats(spark: SparkSession, folder: str) -> DataFrame:
     return manifest(spark, root)
 
 
+@query
+def q56_append_by_grain_index(spark: SparkSession, folder: str) -> DataFrame:
+    """New facts of the second load, where only files that may hold its grains are opened."""
+    existing, bound = sale_loads(spark, folder)
+    fact, root = sales.STAR.fact, scratch_root(spark)
+    written = warehouse.write_table(existing.repartitionByRange(8, "l_orderkey"), root, fact.name, EARLIER, "first")
+    warehouse.write_grain_index(written, root, fact.name, EARLIER, "first", fact.grain)
+    counts = facts.append_stats("full", 0, 0)
+    warehouse.promote(spark, root, 1, EARLIER, "first", {fact.name: written.schema}, counts, 0, indexed=fact.grain)
+    at = warehouse.last_promoted(spark, root)
+    near = partial(warehouse.read_fact_near, spark, root, fact.name, at, grain=fact.grain)
+    return facts.unseen_facts(near, bound, fact.grain).drop("dw_insert_date", "dw_update_date")
+
+
+def from_delta(existing: DataFrame, source: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """The dimension read from a written base and the written rows that a batch adds or changes."""
+    base = stage(existing)
+    delta = stage(dimensions.dimension_delta(base, source, spec, BATCH_TS, max_key(base, spec.key)))
+    return dimensions.newest_rows(base, [delta], spec.key)
+
+
+@query
+def q57_dim_scd1_delta(spark: SparkSession, folder: str) -> DataFrame:
+    existing = dimensions.build_dimension(known_customers(spark, folder), sales.DIM_CUSTOMER, EARLIER)
+    return from_delta(existing, customer_update(spark, folder), sales.DIM_CUSTOMER)
+
+
+@query
+def q58_dim_scd2_delta(spark: SparkSession, folder: str) -> DataFrame:
+    existing = dimensions.build_dimension(known_customers(spark, folder), CUSTOMER_HISTORY_DIM, EARLIER)
+    return with_end_as_text(from_delta(existing, moved_customers(spark, folder), CUSTOMER_HISTORY_DIM))
+
+
+@query
+def q59_type0_delta(spark: SparkSession, folder: str) -> DataFrame:
+    parts = parts_with_gaps(spark, folder)
+    existing = dimensions.build_dimension(parts.filter("p_retailprice < 950"), sales.DIM_PART_TYPE, EARLIER)
+    return from_delta(existing, parts, sales.DIM_PART_TYPE)
+
+
+@query
+def q60_seeded_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """A thousand order lines, always the same ones."""
+    lines = read(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return sampling.sample_rows(lines, 1000, seed=7, by=["l_orderkey", "l_linenumber", "l_partkey"])
+
+
 @query
 def q49_replay_after_failed_gate(spark: SparkSession, folder: str) -> DataFrame:
     """A load, then a replay of it with other lines that fails its checks: the first one stays."""
