@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,9 @@ from starloom.functions.typenames import name_of, spark_name, struct, type_of
 from starloom.operators.concurrent import side_by_side
 from starloom.sources.rows import small_frame
 
+if TYPE_CHECKING:
+    from starloom.operators.check_states import TableState
+
 
 @dataclass(frozen=True)
 class RowCount:
@@ -224,7 +228,7 @@ def column_contract(df: DataFrame, contract: Contract) -> DataFrame:
     return table_counts(df, present).select(F.inline(F.array(*rows)))
 
 
-def _scalar_measures(df: DataFrame, checks: Sequence[tuple[int, RowCount | NullFraction]]) -> DataFrame:
+def _scalar_measures(df: DataFrame, checks: Sequence[tuple[int, RowCount | NullFraction]], state: TableState | None = None) -> DataFrame:
     columns: dict[str, None] = {}
     rows = []
     for position, check in checks:
@@ -235,7 +239,8 @@ def _scalar_measures(df: DataFrame, checks: Sequence[tuple[int, RowCount | NullF
             limits = dict.fromkeys(df.columns, check.max_fraction) if by_column is None else by_column
             columns |= dict.fromkeys(limits)
             rows.append(_measure(position, violations=_violations(limits)))
-    return table_counts(df, columns).select(F.inline(F.array(*rows)))
+    counted = table_counts(df, columns) if state is None else state.table_counts(columns)
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def rows_in_duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -243,10 +248,11 @@ def rows_in_duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*map(q, keys)).agg(F.count(F.lit(1)).alias("__copies")).filter("__copies > 1")
 
 
-def _duplicate_measure(df: DataFrame, check: DuplicateKeys, position: int) -> DataFrame:
-    if check.where:
-        df = df.filter(check.where)
-    found = rows_in_duplicate_groups(df, check.keys).agg(F.coalesce(F.sum("__copies"), F.lit(0)).alias("n"))
+def _duplicate_measure(df: DataFrame, check: DuplicateKeys, position: int, state: TableState | None = None) -> DataFrame:
+    groups = state.copies(check.keys) if state is not None and not check.where else None
+    if groups is None:
+        groups = rows_in_duplicate_groups(df.filter(check.where) if check.where else df, check.keys)
+    found = groups.agg(F.coalesce(F.sum("__copies"), F.lit(0)).alias("n"))
     return found.select(F.inline(F.array(_measure(position, amount=F.col("n")))))
 
 
@@ -260,18 +266,30 @@ def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> Dat
     return used.join(known, F.col("__key") == F.col("__known"), "left_anti")
 
 
-def _reference_measure(fact: DataFrame, dim: DataFrame, check: References, position: int) -> DataFrame:
-    found = orphans(fact, dim, check.fact_key, check.dim_key).agg(F.count(F.lit(1)).alias("n"))
+def _reference_measure(
+    fact: DataFrame, dim: DataFrame, check: References, position: int, state: TableState | None = None
+) -> DataFrame:
+    used = state.keys_used(check.fact_key) if state is not None else None
+    if used is None:
+        missing = orphans(fact, dim, check.fact_key, check.dim_key)
+    else:
+        known = dim.select(col(check.dim_key).cast("string").alias("__known"))
+        missing = used.join(known, F.col("__key") == F.col("__known"), "left_anti")
+    found = missing.agg(F.count(F.lit(1)).alias("n"))
     return found.select(F.inline(F.array(_measure(position, amount=F.col("n")))))
 
 
-def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def run_suite(
+    tables: Mapping[str, DataFrame], checks: Sequence[Check], states: Mapping[str, TableState] | None = None
+) -> DataFrame:
     """Run all checks; one row each, ``position`` gives the order of the suite.
 
     The scalar checks of a table are one job, a key or reference check is another, and
     the jobs run side by side.  The driver gathers one small row per check; report, gate
-    and report file then work on those rows and do not read the tables again.
+    and report file then work on those rows and do not read the tables again.  A table that
+    has a state in ``states`` is not read for what the state knows.
     """
+    states = states or {}
     if not checks:
         raise ValueError("a suite needs at least one check")
     spark = next(iter(tables.values())).sparkSession
@@ -280,13 +298,13 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
     scalar: dict[str, list[tuple[int, RowCount | NullFraction]]] = {}
     for position, check in numbered:
         if isinstance(check, DuplicateKeys):
-            parts[f"check {position}"] = _duplicate_measure(tables[check.table], check, position)
+            parts[f"check {position}"] = _duplicate_measure(tables[check.table], check, position, states.get(check.table))
         elif isinstance(check, References):
             fact, dim = tables[check.fact], tables[check.dim]
-            parts[f"check {position}"] = _reference_measure(fact, dim, check, position)
+            parts[f"check {position}"] = _reference_measure(fact, dim, check, position, states.get(check.fact))
         elif not isinstance(check, DataType):
             scalar.setdefault(check.table, []).append((position, check))
-    parts |= {f"table {t}": _scalar_measures(tables[t], group) for t, group in scalar.items()}
+    parts |= {f"table {t}": _scalar_measures(tables[t], group, states.get(t)) for t, group in scalar.items()}
     measured = side_by_side(spark, {name: part.collect for name, part in parts.items()})
     amounts = {r["position"]: r.asDict(recursive=True) for found in measured.values() for r in found}
     rows = [_declare(n, c, tables) | amounts.get(n, {}) for n, c in numbered]

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.cleaning import remove_duplicates
-from starloom.functions.columns import batch_id
+from starloom.functions.columns import batch_id, q
+from starloom.operators import check_states
+from starloom.operators.check_states import TableState
 from starloom.operators.dimensions import build_dimension, dimension_delta, merge_dimension
 from starloom.operators.keys import max_key
 from starloom.operators.facts import append_stats, bind_fact, build_fact, number_facts, unseen_facts
@@ -21,7 +23,8 @@ from starloom.operators.concurrent import side_by_side
 from starloom.plans.specs import DimensionSpec, StarSpec
 from starloom.sources.staging import stage, temporary_stages
 from starloom.sources.warehouse import (
-    chain_of, last_promoted, link, next_slot, promote, read_chain, read_dimension, read_fact, read_fact_near, write_grain_index, write_table,
+    Snapshot, chain_of, last_promoted, link, next_slot, promote, read_chain, read_dimension, read_fact, read_fact_near, read_states,
+    write_grain_index, write_state, write_table,
 )
 
 
@@ -88,6 +91,7 @@ def load_star(
     rebuild: bool = False,
     fmt: str = "parquet",
     deltas: bool | None = None,
+    keep_states: bool = False,
 ) -> Loaded:
     """Merge the dimensions, append the facts whose grain is new, check, promote.
 
@@ -99,13 +103,15 @@ def load_star(
     format of this batch's tables.  With ``deltas`` a batch writes of each dimension only the
     rows it adds or changes, and a reader takes the newest row of each key; without, it writes
     the dimension whole.  Left open, dimensions of ``DELTA_KEYS`` keys and more get deltas.  A chain of
-    ``LONGEST_CHAIN`` is written whole again.
+    ``LONGEST_CHAIN`` is written whole again.  ``keep_states`` writes the state of the new facts
+    for these checks; with states of all parts the checks answer for the whole fact without
+    reading the earlier facts, whatever ``check_new_facts_only`` says.
     """
     spark = sources[star.fact.source].sparkSession
     with temporary_stages(spark):
         return _load(
             spark, sources, star, root, batch_ts, version, dedup_batch, checks, min_pass_rate,
-            check_new_facts_only, rebuild, fmt, deltas,
+            check_new_facts_only, rebuild, fmt, deltas, keep_states,
         )
 
 
@@ -123,6 +129,7 @@ def _load(
     rebuild: bool,
     fmt: str,
     deltas: bool | None,
+    keep_states: bool,
 ) -> Loaded:
     slot, attempt = next_slot(spark, root), uuid.uuid4().hex
     previous = last_promoted(spark, root, batch_ts)
@@ -168,14 +175,71 @@ def _load(
     stats = append_stats(mode, new_rows, 0 if mode == "full" else appended)
     fact = written if existing_fact is None else existing_fact.unionByName(written)
 
-    checked = {**dims, star.fact.name: written if check_new_facts_only else fact}
-    if checks and not meets_gate(run_suite(checked, checks), min_pass_rate):
+    states, watching = {}, None
+    if keep_states:
+        foreign, unique = check_states.watched(checks, star.fact.name)
+        state = _state_of(spark, written, star, root, previous, batch_ts, foreign, unique)
+        state = write_state(state, root, star.fact.name, batch_ts, attempt)
+        watching = {"foreign": foreign, "unique": list(map(check_states.key_name, unique))}
+        before = read_states(spark, root, star.fact.name, previous)
+        # Earlier states that watched other keys are of no use for these checks.
+        same = before is not None and all(dict(w) == watching for w in previous.watched.values())
+        if previous is None or same:
+            every = state if previous is None else {kind: before[kind].unionByName(state[kind]) for kind in state}
+            states[star.fact.name] = TableState.of(every, foreign, unique)
+    whole = bool(states) or not check_new_facts_only
+    checked = {**dims, star.fact.name: fact if whole else written}
+    if checks and not meets_gate(run_suite(checked, checks, states), min_pass_rate):
         raise QualityGateError(f"batch of {batch_ts} is below a pass rate of {min_pass_rate}")
     schemas = {name: table.schema for name, table in {**dims, star.fact.name: written}.items()}
-    promote(spark, root, slot, batch_ts, attempt, schemas, stats, offset + appended, fmt, star.fact.grain, chains, last_keys)
+    promote(spark, root, slot, batch_ts, attempt, schemas, stats, offset + appended, fmt, star.fact.grain, chains, last_keys, watching)
     return Loaded(dims, written, fact, stats, slot)
 
 
+def _state_of(
+    spark: SparkSession,
+    written: DataFrame,
+    star: StarSpec,
+    root: str,
+    previous: Snapshot | None,
+    batch_ts: datetime,
+    foreign: Sequence[str],
+    unique: Sequence[Sequence[str]],
+) -> dict[str, DataFrame]:
+    """The state of the new facts; earlier facts are read only where they may hold one of their keys."""
+    part, fact = batch_id(batch_ts), star.fact
+
+    def earlier(keys: Sequence[str]) -> DataFrame:
+        if previous is None:
+            return written.limit(0)
+        if tuple(keys) == tuple(fact.grain):
+            return read_fact_near(spark, root, fact.name, previous, written.select(*map(q, keys)).distinct(), keys)
+        if tuple(keys) == (fact.key,) and (written.agg(F.min(q(fact.key))).first()[0] or previous.last_key + 1) > previous.last_key:
+            return written.limit(0)
+        return read_fact(spark, root, fact.name, previous)
+
+    copies = [check_states.doubled(written, earlier(keys), part, keys) for keys in unique]
+    return {
+        "counts": check_states.counts(written, part),
+        "used": check_states.used(written, part, foreign) if foreign else spark.createDataFrame([], check_states.SCHEMAS["used"]),
+        "doubled": reduce(DataFrame.unionByName, copies) if copies else spark.createDataFrame([], check_states.SCHEMAS["doubled"]),
+    }
+
+
+def check_star(spark: SparkSession, star: StarSpec, root: str, checks: Sequence[Check]) -> DataFrame:
+    """The suite over all promoted tables; the fact's states answer for it where all its parts have one (Q9)."""
+    at = last_promoted(spark, root)
+    tables, found = read_star(spark, star, root), read_states(spark, root, star.fact.name, at)
+    foreign, unique = check_states.watched(checks, star.fact.name)
+    states = {}
+    if found is not None:
+        known = list(at.watched.values())
+        foreign = [c for c in foreign if all(c in w["foreign"] for w in known)]
+        unique = [keys for keys in unique if all(check_states.key_name(keys) in w["unique"] for w in known)]
+        states[star.fact.name] = TableState.of(found, foreign, unique)
+    return run_suite(tables, checks, states)
+
+
 def read_star(spark: SparkSession, star: StarSpec, root: str) -> dict[str, DataFrame]:
     """All promoted tables of a star."""
     batch = last_promoted(spark, root)

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from starloom.functions.columns import batch_id, col
 from starloom.functions.typenames import struct
-from starloom.operators import grain_index
+from starloom.operators import check_states, grain_index
 from starloom.operators.dimensions import newest_rows
 from starloom.sources.files import create_new, delete, names
 from starloom.sources.layers import BATCH, decoded, partition_path, reader, writer
@@ -31,6 +31,7 @@ from starloom.sources.rows import small_frame
 
 MANIFEST = "manifest"
 ATTEMPT = "_attempt"
+INDEX_KINDS = ("ranges", "filters")
 MANIFEST_SCHEMA = struct(
     **{BATCH: "string"},
     mode="string",
@@ -49,6 +50,7 @@ _ENTRY_SCHEMA = T.StructType(
         T.StructField("indexed", T.ArrayType(T.StringType())),
         T.StructField("chains", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
         T.StructField("last_keys", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("watched", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
         *MANIFEST_SCHEMA.fields,
     ]
 )
@@ -64,7 +66,8 @@ class Snapshot:
 
     ``indexed`` has the grain columns of the parts that have an index, by batch.  ``chains``
     has for each dimension the links it is made of, its base first and then the rows that
-    later batches added or changed; ``last_keys`` the largest key in use.
+    later batches added or changed; ``last_keys`` the largest key in use; ``watched`` by batch
+    the foreign and unique keys that its state knows, for parts that have one.
     """
 
     batch: str
@@ -73,6 +76,7 @@ class Snapshot:
     indexed: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     chains: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     last_keys: Mapping[str, int] = field(default_factory=dict)
+    watched: Mapping[str, Mapping[str, Sequence[str]]] = field(default_factory=dict)
 
 
 def _entries(spark: SparkSession, root: str) -> DataFrame:
@@ -116,7 +120,8 @@ def last_promoted(spark: SparkSession, root: str, batch_ts: datetime | None = No
     indexed = {r[BATCH]: tuple(r["indexed"]) for r in entries[first:] if r["indexed"]}
     newest = entries[-1]
     chains = {name: tuple(links) for name, links in (newest["chains"] or {}).items()}
-    return Snapshot(newest[BATCH], newest["last_key"], parts, indexed, chains, newest["last_keys"] or {})
+    watched = {r[BATCH]: r["watched"] for r in entries[first:] if r["watched"]}
+    return Snapshot(newest[BATCH], newest["last_key"], parts, indexed, chains, newest["last_keys"] or {}, watched)
 
 
 def _path(root: str, name: str, batch: str, attempt: str) -> str:
@@ -193,7 +198,7 @@ def read_fact_near(spark: SparkSession, root: str, name: str, at: Snapshot, in_b
     known = [batch for batch in attempts if at.indexed.get(batch) == tuple(grain)]
     files: dict[str, list[str]] = {}
     if known:
-        paths = {kind: [_index_path(root, name, kind, batch, attempts[batch]) for batch in known] for kind in ("ranges", "filters")}
+        paths = {kind: [_index_path(root, name, kind, batch, attempts[batch]) for batch in known] for kind in INDEX_KINDS}
         ranges = spark.read.schema(grain_index.range_schema(schema, grain)).parquet(*paths["ranges"])
         filters = spark.read.schema(grain_index.FILTER_SCHEMA).parquet(*paths["filters"])
         for r in grain_index.files_that_may_hold(ranges, filters, wanted, grain).collect():
@@ -210,6 +215,24 @@ def read_fact_near(spark: SparkSession, root: str, name: str, at: Snapshot, in_b
     return found
 
 
+def write_state(tables: Mapping[str, DataFrame], root: str, name: str, batch_ts: datetime, attempt: str) -> dict[str, DataFrame]:
+    """Write the state of a fact part and return it."""
+    out = {}
+    for kind, table in tables.items():
+        path = _index_path(root, name, kind, batch_id(batch_ts), attempt)
+        table.coalesce(1).write.mode("errorifexists").parquet(path) if kind == "counts" else table.write.mode("errorifexists").parquet(path)
+        out[kind] = table.sparkSession.read.schema(check_states.SCHEMAS[kind]).parquet(path)
+    return out
+
+
+def read_states(spark: SparkSession, root: str, name: str, at: Snapshot | None) -> dict[str, DataFrame] | None:
+    """The states of all fact parts, None if some part has none."""
+    if at is None or any(batch not in at.watched for batch, _, _, _ in at.parts):
+        return None
+    paths = {kind: [_index_path(root, name, kind, batch, attempt) for batch, attempt, _, _ in at.parts] for kind in check_states.SCHEMAS}
+    return {kind: spark.read.schema(schema).parquet(*paths[kind]) for kind, schema in check_states.SCHEMAS.items()}
+
+
 def write_table(
     df: DataFrame, root: str, name: str, batch_ts: datetime, attempt: str, fmt: str = "parquet"
 ) -> DataFrame:
@@ -232,6 +255,7 @@ def promote(
     indexed: Sequence[str] = (),
     chains: Mapping[str, Sequence[str]] | None = None,
     last_keys: Mapping[str, int] | None = None,
+    watched: Mapping[str, Sequence[str]] | None = None,
 ) -> None:
     """Make the attempt visible with its manifest entry (A13), unless another load made that entry."""
     entry = {
@@ -243,6 +267,7 @@ def promote(
         "indexed": list(indexed),
         "chains": {name: list(links) for name, links in (chains or {}).items()},
         "last_keys": dict(last_keys or {}),
+        "watched": watched,
         **stats,
         "last_key": last_key,
         "promoted_at": batch_ts.strftime("%Y-%m-%dT%H:%M:%S.%f"),
@@ -285,7 +310,7 @@ def remove_superseded(spark: SparkSession, root: str, tables: Mapping[str, bool]
     """
     at = last_promoted(spark, root)
     gone = []
-    indexes = {f"{name}_{kind}": True for name, is_fact in tables.items() if is_fact for kind in ("ranges", "filters")}
+    indexes = {f"{name}_{kind}": True for name, is_fact in tables.items() if is_fact for kind in (*INDEX_KINDS, *check_states.SCHEMAS)}
     for name, is_fact in {**tables, **indexes}.items():
         if at is None:
             needed = set()
