@@ -20,9 +20,9 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import map_batches, published, texts
+from starloom.llm.common import dropped, map_batches, published, texts, written
 from starloom.llm.counting import frequent, written_counts
-from starloom.llm.transducer import Transducer, compiled
+from starloom.llm.transducer import Compiler, Transducer
 
 #: Words compiled into the transducer, and their greatest length: with that its size is bounded.
 LEXICON_WORDS, LEXICON_BYTES = 300_000, 64
@@ -157,18 +157,39 @@ class Codec:
         return self.vocabulary.decoded(ids)
 
 
+@lru_cache(maxsize=2)
+def _vocabulary(content: str) -> Vocabulary:
+    return Vocabulary(content)
+
+
 @lru_cache(maxsize=2)
 def _codec(content: str, lexicon: str) -> Codec:
-    return Codec(Vocabulary(content), Transducer.open(SparkFiles.get(lexicon)))
+    return Codec(_vocabulary(content), Transducer.open(SparkFiles.get(lexicon)))
+
 
+def lexicon_of(docs: DataFrame, content: str, most: int = LEXICON_WORDS) -> bytes:
+    """Compiled transducer of the most frequent words of ``docs`` (at most ``most``), counted over all rows.
 
-def lexicon_of(docs: DataFrame, vocabulary: Vocabulary, most: int = LEXICON_WORDS) -> bytes:
-    """Compiled transducer of the most frequent words of ``docs`` (at most ``most``), counted over all rows."""
+    Tasks encode the words and sort them; the driver takes them one partition at a time
+    and holds nothing but the automaton.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(content)
     plain = texts(docs).withColumn("used", F.lit(False))
     # Words between ASCII spaces: some of them may hold other white space, and are then of no use.
     counts = written_counts(plain.where("text <> X''"), bytes.split)
-    words = frequent(counts.where(F.length("word") <= LEXICON_BYTES), most).select("word").collect()
-    return compiled([(bytes(r["word"]), vocabulary.encoded(bytes(r["word"]).decode())) for r in words])
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = batch.column("word").to_pylist()
+        encoded = _vocabulary(shared.value).encoded
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([encoded(w.decode()) for w in words], pa.binary())], ["word", "ids"])
+
+    words = frequent(counts.where(F.length("word") <= LEXICON_BYTES), most).select("word")
+    ordered = written(map_batches(words, "word binary, ids binary", work)).orderBy("word")
+    compiler = Compiler()
+    for row in ordered.toLocalIterator():
+        compiler.add(bytes(row["word"]), bytes(row["ids"]))
+    dropped(counts)
+    return compiler.finish()
 
 
 def encode_texts(docs: DataFrame, vocabulary_path: str, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
@@ -182,7 +203,7 @@ def encode_texts(docs: DataFrame, vocabulary_path: str, lexicon_words: int = LEX
         content = file.read()
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(content)
-    path = published(spark, lexicon_of(docs, Vocabulary(content), lexicon_words), ".bin")
+    path = published(spark, lexicon_of(docs, content, lexicon_words), ".bin")
     spark.sparkContext.addFile(path)
     lexicon = path.rsplit("/", 1)[1]
 

@@ -34,7 +34,9 @@ def published(spark: SparkSession, content: bytes, ending: str) -> str:
     system = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not system.exists(path):
         out = system.create(path, True)
-        out.write(bytearray(content))
+        # A call's argument is held several times over on its way.
+        for i in range(0, len(content), 1 << 20):
+            out.write(bytearray(content[i : i + (1 << 20)]))
         out.close()
         system.deleteOnExit(path)
     return system.makeQualified(path).toString()

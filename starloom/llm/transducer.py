@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import mmap
 import struct
+from array import array
+from collections.abc import Iterable
 
 import numpy as np
 
@@ -17,56 +19,95 @@ _BYTES = [bytes([b]) for b in range(256)]
 _HEAD = struct.Struct("<5q")
 
 
-def compiled(entries: list[tuple[bytes, bytes]]) -> bytes:
-    """The file of the automaton; ``entries`` are (word, output), words distinct."""
-    entries = sorted(entries)
-    known: dict[tuple, int] = {}
-    states: list[tuple[bool, tuple]] = []
-    behind: list[int] = []
-
-    def settled(state: list) -> int:
-        key = (state[0], tuple(state[1]))
-        if (number := known.get(key)) is None:
-            number = known[key] = len(states)
-            states.append(key)
-            behind.append(state[0] + sum(behind[target] for _, target in key[1]))
-        return number
-
-    path: list[list] = [[False, []]]  # states from the root along the last word, not settled yet
-    last = b""
-
-    def settle_below(depth: int) -> None:
-        while len(path) > depth + 1:
-            target = settled(path.pop())
-            path[-1][1].append((last[len(path) - 1], target))
-
-    for word, _ in entries:
+class Compiler:
+    """Builds the automaton from words in ascending order, each given once.
+
+    Only the states along the last word are open; all others are settled into flat
+    arrays, and found again through an open-addressed table of their numbers.
+    """
+
+    def __init__(self) -> None:
+        self._first, self._targets, self._skips = array("i", [0]), array("i"), array("i")
+        self._labels, self._final = bytearray(), bytearray()
+        #: Words that can be read from each state on.
+        self._behind = array("i")
+        self._slots, self._mask = array("i", [-1]) * (1 << 10), (1 << 10) - 1
+        self._path: list[list] = [[False, bytearray(), array("i")]]
+        self._last: bytes | None = None
+        self._outputs, self._output_ends = bytearray(), array("i", [0])
+
+    def add(self, word: bytes, output: bytes) -> None:
+        """The next word."""
+        last = self._last
+        if last is not None and word <= last:
+            raise ValueError(f"{word!r} does not come after {last!r}")
         shared = 0
-        for a, b in zip(word, last, strict=False):
+        for a, b in zip(word, last or b"", strict=False):
             if a != b:
                 break
             shared += 1
-        settle_below(shared)
-        path.extend([False, []] for _ in word[shared:])
-        path[-1][0] = True
-        last = word
-    settle_below(0)
-    root = settled(path[0])
-
-    first, labels, targets, skips, final = [0], bytearray(), [], [], bytearray()
-    for ends, edges in states:
-        before = int(ends)
-        for label, target in edges:
-            labels.append(label)
-            targets.append(target)
-            skips.append(before)
-            before += behind[target]
-        first.append(len(targets))
-        final.append(ends)
-    outputs = np.cumsum([0] + [len(out) for _, out in entries])
-    numbers = np.concatenate([first, targets, skips, outputs]).astype("<i4").tobytes()
-    head = _HEAD.pack(len(states), len(targets), len(entries), root, len(numbers))
-    return head + numbers + bytes(labels) + bytes(final) + b"".join(out for _, out in entries)
+        self._settle_below(shared)
+        self._path.extend([False, bytearray(), array("i")] for _ in word[shared:])
+        self._path[-1][0] = True
+        self._last = word
+        self._outputs += output
+        self._output_ends.append(len(self._outputs))
+
+    def finish(self) -> bytes:
+        """The file of the automaton."""
+        self._settle_below(0)
+        root = self._settled(self._path[0])
+        numbers = b"".join(np.frombuffer(x, np.intc).astype("<i4").tobytes() for x in (self._first, self._targets, self._skips, self._output_ends) if len(x))
+        head = _HEAD.pack(len(self._final), len(self._targets), len(self._output_ends) - 1, root, len(numbers))
+        return b"".join([head, numbers, self._labels, self._final, self._outputs])
+
+    def _settle_below(self, depth: int) -> None:
+        path = self._path
+        while len(path) > depth + 1:
+            target = self._settled(path.pop())
+            path[-1][1].append(self._last[len(path) - 1])
+            path[-1][2].append(target)
+
+    def _settled(self, state: list) -> int:
+        """Number of the state with these continuations, a new one if there is none yet."""
+        final, labels, targets = state
+        slot = hash((final, bytes(labels), targets.tobytes())) & self._mask
+        while (number := self._slots[slot]) >= 0:
+            a, b = self._first[number], self._first[number + 1]
+            if self._final[number] == final and self._labels[a:b] == labels and self._targets[a:b] == targets:
+                return number
+            slot = (slot + 1) & self._mask
+        number = self._slots[slot] = len(self._final)
+        before = int(final)
+        for target in targets:
+            self._skips.append(before)
+            before += self._behind[target]
+        self._labels += labels
+        self._targets += targets
+        self._first.append(len(self._targets))
+        self._final.append(final)
+        self._behind.append(before)
+        if 2 * len(self._final) > self._mask:
+            self._grow()
+        return number
+
+    def _grow(self) -> None:
+        self._mask = 2 * self._mask + 1
+        self._slots = array("i", [-1]) * (self._mask + 1)
+        for number, final in enumerate(self._final):
+            a, b = self._first[number], self._first[number + 1]
+            slot = hash((bool(final), bytes(self._labels[a:b]), self._targets[a:b].tobytes())) & self._mask
+            while self._slots[slot] >= 0:
+                slot = (slot + 1) & self._mask
+            self._slots[slot] = number
+
+
+def compiled(entries: Iterable[tuple[bytes, bytes]]) -> bytes:
+    """The file of the automaton; ``entries`` are (word, output), words distinct and few enough to be sorted here."""
+    compiler = Compiler()
+    for word, output in sorted(entries):
+        compiler.add(word, output)
+    return compiler.finish()
 
 
 class Transducer:
