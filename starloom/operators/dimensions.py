@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions.columns import all_of, any_of, col, differs, equal_on, q, timestamp
+from starloom.functions.columns import all_of, any_of, col, differs, equal_on, is_present, orderable, q, timestamp, total_order
 from starloom.operators.cleaning import distinct_combinations, drop_missing, keep_last
 from starloom.operators.keys import dense_keys, max_key
 from starloom.operators.scd import (
@@ -44,9 +44,62 @@ def dimension_rows(source: DataFrame, spec: DimensionSpec) -> DataFrame:
     return keep_last(known, spec.natural_keys, spec.order_by).select(*map(q, spec.business_columns))
 
 
-def build_dimension(source: DataFrame, spec: DimensionSpec, batch_ts: datetime) -> DataFrame:
-    """Full build: keys 1..n in natural-key order."""
-    rows = dense_keys(dimension_rows(source, spec), spec.key, spec.natural_keys)
+_DIM, _LAST = "__dim", "__last_{}"
+
+
+def _by_last(source: DataFrame, spec: DimensionSpec) -> list[str]:
+    """The columns that decide which row of a key is the last, in that order; all that its row needs."""
+    needed = list(dict.fromkeys([*spec.business_columns, *spec.order_by]))
+    return total_order(source.select(*map(q, needed)), spec.order_by)
+
+
+def foldable(source: DataFrame, spec: DimensionSpec) -> bool:
+    """Whether the rows of the dimension can be folded with those of others: all columns can be compared."""
+    return all(orderable(source.schema[c].dataType) for c in spec.business_columns)
+
+
+def folded_rows(source: DataFrame, specs: Sequence[DimensionSpec]) -> DataFrame:
+    """The rows of several dimensions of one source, from one scan and one shuffle.
+
+    Every source row stands once for each dimension, with its natural key and, where the
+    last row counts, the columns that decide; tasks fold these per key before they
+    shuffle them, so a hot key is one row per task.  ``rows_from_fold`` takes them apart.
+    """
+    keys = list(dict.fromkeys(c for s in specs for c in s.natural_keys))
+    lasts = [s for s in specs if s.scd != 0]
+
+    def entry(number: int, spec: DimensionSpec) -> Column:
+        own = [(col(c) if c in spec.natural_keys else F.lit(None).cast(source.schema[c].dataType)).alias(c) for c in keys]
+        payloads = []
+        for s in lasts:
+            fields = F.struct(*map(col, _by_last(source, s)))
+            payloads.append((fields if s is spec else F.when(F.lit(False), fields)).alias(_LAST.format(s.name)))
+        return F.struct(F.lit(number).alias(_DIM), *own, *payloads)
+
+    needed = list(dict.fromkeys([*keys, *(c for s in lasts for c in _by_last(source, s))]))
+    present = [
+        (F.col(_DIM) != i) | all_of(is_present(source, c) for c in s.natural_keys) for i, s in enumerate(specs) if s.scd != 0
+    ]
+    rows = source.select(*map(q, needed)).select(F.inline(F.array(*[entry(i, s) for i, s in enumerate(specs)]))).filter(all_of(present))
+    return rows.groupBy(_DIM, *map(q, keys)).agg(*[F.max(_LAST.format(s.name)).alias(_LAST.format(s.name)) for s in lasts], F.lit(1).alias("__one")).drop("__one")
+
+
+def rows_from_fold(folded: DataFrame, specs: Sequence[DimensionSpec]) -> dict[str, DataFrame]:
+    """What ``dimension_rows`` gives for each dimension, from their fold."""
+    out = {}
+    for i, spec in enumerate(specs):
+        own = folded.filter(F.col(_DIM) == i)
+        last = _LAST.format(spec.name)
+        columns = [col(c) for c in spec.natural_keys] + [F.col(last)[c].alias(c) for c in spec.attributes]
+        out[spec.name] = own.select(*columns)
+    return out
+
+
+def build_dimension(
+    source: DataFrame, spec: DimensionSpec, batch_ts: datetime, rows: DataFrame | None = None
+) -> DataFrame:
+    """Full build: keys 1..n in natural-key order; ``rows`` if the dimension's rows are there already."""
+    rows = dense_keys(dimension_rows(source, spec) if rows is None else rows, spec.key, spec.natural_keys)
     return _with_audit(rows, spec, dimension_schema(source, spec), batch_ts)
 
 
@@ -56,15 +109,16 @@ def merge_dimension(
     spec: DimensionSpec,
     batch_ts: datetime,
     touch_unchanged: bool = True,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Merge the dimension rows of a batch into the existing dimension.
 
     Keys of existing rows never change; new rows continue after the largest key.
     """
     if existing is None:
-        return build_dimension(source, spec, batch_ts)
+        return build_dimension(source, spec, batch_ts, rows)
     # The rows feed several joins below: reduce the source to them only once.
-    rows = stage(dimension_rows(source, spec))
+    rows = stage(dimension_rows(source, spec)) if rows is None else rows
     if spec.scd == 0:
         return merge_type0(existing, rows, spec, batch_ts)
     if spec.scd == 1:
@@ -79,13 +133,14 @@ def dimension_delta(
     batch_ts: datetime,
     last_key: int,
     touch_unchanged: bool = True,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """The rows a batch adds to the dimension or changes in it, whole, each once.
 
     The existing dimension is filtered in place to the rows whose natural key the batch
     has; everything after that works on those.  ``last_key`` is the largest key in use.
     """
-    rows = stage(dimension_rows(source, spec))
+    rows = stage(dimension_rows(source, spec)) if rows is None else rows
     known = current_records(existing) if spec.scd == 2 else existing
     same = equal_on("e", "r", spec.natural_keys, null_safe=spec.scd == 0)
     met = stage(known.alias("e").join(rows.select(*map(q, spec.natural_keys)).alias("r"), same, "left_semi"))

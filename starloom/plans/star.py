@@ -15,7 +15,7 @@ from starloom.operators.cleaning import remove_duplicates
 from starloom.functions.columns import batch_id, q
 from starloom.operators import check_states
 from starloom.operators.check_states import TableState
-from starloom.operators.dimensions import build_dimension, dimension_delta, merge_dimension
+from starloom.operators.dimensions import build_dimension, dimension_delta, foldable, folded_rows, merge_dimension, rows_from_fold
 from starloom.operators.keys import max_key
 from starloom.operators.facts import append_stats, bind_fact, build_fact, number_facts, unseen_facts
 from starloom.operators.quality import Check, meets_gate, run_suite
@@ -50,12 +50,26 @@ class Loaded:
 def build_dimensions(
     sources: Mapping[str, DataFrame], star: StarSpec, batch_ts: datetime
 ) -> dict[str, DataFrame]:
-    """All dimensions from scratch, keyed and staged side by side."""
+    """All dimensions from scratch, keyed and staged side by side; a source of several is read once."""
     spark = sources[star.fact.source].sparkSession
-    steps = {d.name: partial(build_dimension, sources[d.source], d, batch_ts) for d in star.dimensions}
+    rows = rows_of_dimensions(sources, star)
+    steps = {d.name: partial(build_dimension, sources[d.source], d, batch_ts, rows.get(d.name)) for d in star.dimensions}
     return side_by_side(spark, steps)
 
 
+def rows_of_dimensions(sources: Mapping[str, DataFrame], star: StarSpec) -> dict[str, DataFrame]:
+    """The rows of the dimensions that share a source, folded in one pass over it and written."""
+    groups: dict[str, list[DimensionSpec]] = {}
+    for spec in star.dimensions:
+        if foldable(sources[spec.source], spec):
+            groups.setdefault(spec.source, []).append(spec)
+    shared = {name: specs for name, specs in groups.items() if len(specs) > 1}
+    spark = sources[star.fact.source].sparkSession
+    steps = {name: partial(stage, folded_rows(sources[name], specs)) for name, specs in shared.items()}
+    folded = side_by_side(spark, steps) if steps else {}
+    return {d: rows for name, specs in shared.items() for d, rows in rows_from_fold(folded[name], specs).items()}
+
+
 def build_star(
     sources: Mapping[str, DataFrame], star: StarSpec, batch_ts: datetime, version: str = "current"
 ) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -138,6 +152,7 @@ def _load(
     existing_fact = read_fact(spark, root, star.fact.name, previous)
 
     own = link(batch_id(batch_ts), attempt, fmt)
+    folded = rows_of_dimensions(sources, star)
 
     def merge(spec: DimensionSpec) -> tuple[DataFrame, tuple[str, ...], int]:
         """The dimension after this batch, its chain, and its largest key."""
@@ -145,10 +160,10 @@ def _load(
         last = None if previous is None else previous.last_keys.get(spec.name)
         links = () if previous is None else chain_of(previous, spec.name)
         if known is None or last is None or len(links) >= LONGEST_CHAIN or not (last >= DELTA_KEYS if deltas is None else deltas):
-            merged = merge_dimension(known, sources[spec.source], spec, batch_ts)
+            merged = merge_dimension(known, sources[spec.source], spec, batch_ts, rows=folded.get(spec.name))
             written = write_table(merged, root, spec.name, batch_ts, attempt, fmt)
             return written, (own,), max_key(written, spec.key)
-        delta = dimension_delta(known, sources[spec.source], spec, batch_ts, last)
+        delta = dimension_delta(known, sources[spec.source], spec, batch_ts, last, rows=folded.get(spec.name))
         added = write_table(delta, root, spec.name, batch_ts, attempt, fmt)
         links = (*links, own)
         return read_chain(spark, root, spec.name, links, known.schema), links, max(last, max_key(added, spec.key))
