@@ -172,7 +172,8 @@ def read_fact(spark: SparkSession, root: str, name: str, at: Snapshot | None) ->
 
 
 def _index_path(root: str, name: str, kind: str, batch: str, attempt: str) -> str:
-    return _path(root, f"{name}_{kind}", batch, attempt)
+    # Readers of the part pass over folders with such a name, and the folder goes when the part goes.
+    return f"{_path(root, name, batch, attempt)}/_{kind}"
 
 
 def write_grain_index(part: DataFrame, root: str, name: str, batch_ts: datetime, attempt: str, grain: Sequence[str]) -> None:
@@ -310,8 +311,7 @@ def remove_superseded(spark: SparkSession, root: str, tables: Mapping[str, bool]
     """
     at = last_promoted(spark, root)
     gone = []
-    indexes = {f"{name}_{kind}": True for name, is_fact in tables.items() if is_fact for kind in (*INDEX_KINDS, *check_states.SCHEMAS)}
-    for name, is_fact in {**tables, **indexes}.items():
+    for name, is_fact in tables.items():
         if at is None:
             needed = set()
         elif is_fact:
