@@ -26,11 +26,10 @@ from starloom.functions.typenames import struct
 from starloom.operators import check_states, grain_index
 from starloom.operators.dimensions import newest_rows
 from starloom.sources.files import create_new, delete, names
-from starloom.sources.layers import BATCH, decoded, partition_path, reader, writer
+from starloom.sources.layers import ATTEMPT, BATCH, decoded, partition_path, reader, writer
 from starloom.sources.rows import small_frame
 
 MANIFEST = "manifest"
-ATTEMPT = "_attempt"
 INDEX_KINDS = ("ranges", "filters")
 MANIFEST_SCHEMA = struct(
     **{BATCH: "string"},
