@@ -135,27 +135,73 @@ def star_rollup(
     summed per key of it before they are shuffled to it, so a hot key arrives as few rows.
     """
 
-    def joined(df: DataFrame, name: str) -> DataFrame:
-        key = star.dimension(name).key
-        return df.join(dims[name].select(q(key), *map(q, by[name])), key, "inner")
+    rows = _measured(fact, star, list(by), averages, sums)
+    for name in by:
+        if name not in fold_first:
+            rows = _with_attributes(rows, dims, star, name, by[name])
+    if fold_first:
+        rows = _folded(rows)
+        for name in fold_first:
+            rows = _with_attributes(rows, dims, star, name, by[name])
+    return _rolled_up(rows, by, averages, sums, digits)
+
+
+def rollup_state(
+    part: DataFrame, star: StarSpec, by: Sequence[str], averages: Sequence[str] = (), sums: Sequence[str] = ()
+) -> DataFrame:
+    """What a part of a fact adds to the rollups by attributes of the dimensions ``by``.
+
+    Rows, sums and counts per combination of those dimensions' surrogate keys.  States of
+    several parts add up, so an append needs its own part's state only; and as they hold
+    keys, not attributes, a change of type 1 moves what it concerns when the state is read.
+    """
+    return _folded(_measured(part, star, by, averages, sums))
 
-    value = {c: F.when(~is_missing(fact, c), col(c)) for c in [*averages, *sums]}
-    measures = list(dict.fromkeys([*averages, *sums]))
-    rows = fact.select(
+
+def rollup_from_states(
+    states: DataFrame,
+    dims: Mapping[str, DataFrame],
+    star: StarSpec,
+    by: Mapping[str, Sequence[str]],
+    averages: Sequence[str] = (),
+    sums: Sequence[str] = (),
+    digits: int | None = None,
+) -> DataFrame:
+    """`star_rollup` from the united states of all parts, which must have been made for these dimensions and measures."""
+    rows = _folded(states)
+    for name in by:
+        rows = _with_attributes(rows, dims, star, name, by[name])
+    return _rolled_up(rows, by, averages, sums, digits)
+
+
+def _measured(fact: DataFrame, star: StarSpec, by: Sequence[str], averages: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Surrogate keys of the dimensions, and what is summed."""
+    value = {c: F.when(~is_missing(fact, c), col(c)) for c in dict.fromkeys([*averages, *sums])}
+    return fact.select(
         *[q(star.dimension(d).key) for d in by],
         F.lit(1).cast("bigint").alias("__rows"),
-        *[value[c].alias(f"__sum_{c}") for c in measures],
+        *[v.alias(f"__sum_{c}") for c, v in value.items()],
         *[value[c].isNotNull().cast("bigint").alias(f"__n_{c}") for c in averages],
     )
-    totals = ["__rows", *[f"__sum_{c}" for c in measures], *[f"__n_{c}" for c in averages]]
-    for name in by:
-        if name not in fold_first:
-            rows = joined(rows, name).drop(star.dimension(name).key)
-    if fold_first:
-        kept = [c for c in rows.columns if c not in totals]
-        rows = rows.groupBy(*map(q, kept)).agg(*[F.sum(col(t)).alias(t) for t in totals])
-        for name in fold_first:
-            rows = joined(rows, name)
+
+
+def _is_total(name: str) -> bool:
+    return name == "__rows" or name.startswith(("__sum_", "__n_"))
+
+
+def _folded(rows: DataFrame) -> DataFrame:
+    totals = [c for c in rows.columns if _is_total(c)]
+    return rows.groupBy(*[q(c) for c in rows.columns if c not in totals]).agg(*[F.sum(col(t)).alias(t) for t in totals])
+
+
+def _with_attributes(rows: DataFrame, dims: Mapping[str, DataFrame], star: StarSpec, name: str, attributes: Sequence[str]) -> DataFrame:
+    key = star.dimension(name).key
+    return rows.join(dims[name].select(q(key), *map(q, attributes)), key, "inner").drop(key)
+
+
+def _rolled_up(
+    rows: DataFrame, by: Mapping[str, Sequence[str]], averages: Sequence[str], sums: Sequence[str], digits: int | None
+) -> DataFrame:
     attributes = [a for names in by.values() for a in names]
     shorten = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     return rows.groupBy(*map(q, attributes)).agg(

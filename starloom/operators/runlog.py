@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from starloom.functions.columns import batch_id
 from starloom.functions.typenames import struct
-from starloom.sources.files import exists
+from starloom.sources.files import create_new, delete, exists, names, read_text
 from starloom.sources.rows import small_frame
 
 TRANSFORMATION = struct(
@@ -39,6 +40,8 @@ RUN_SCHEMA = struct(
 CHECKPOINT_SCHEMA = struct(
     fact_table_size="bigint", new_rows_processed="bigint", checkpoint_timestamp="timestamp", position="bigint"
 )
+#: Folders of the folded log and of the entries that switch to them; record files after which a run that ends folds the log.
+FOLDED, FOLDS, LONGEST_TAIL = "_folded", "_folds", 200
 STATES = ("running", "success", "partial", "failed")
 
 
@@ -91,6 +94,8 @@ def append_run(
         "errors": list(errors),
     }
     small_frame(spark, [record], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    if status != "running":
+        compact_runs(spark, path, LONGEST_TAIL)
 
 
 @contextmanager
@@ -123,9 +128,54 @@ def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).parquet(path)
 
 
+def _records(spark: SparkSession, path: str) -> tuple[int, list[str], list[str]]:
+    """Number of the newest fold, the record files it covers, and the paths that hold all records."""
+    folds = names(spark, f"{path}/{FOLDS}")
+    number, fold = (int(folds[-1].split(".")[0]), json.loads(read_text(spark, f"{path}/{FOLDS}/{folds[-1]}"))) if folds else (0, None)
+    covered = fold["covers"] if fold else []
+    files = [n for n in names(spark, path) if n.endswith(".parquet") and n not in set(covered)]
+    return number, covered, [f"{path}/{n}" for n in files] + ([f"{path}/{FOLDED}/{fold['folder']}"] if fold else [])
+
+
+def _read_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return spark.read.schema(RUN_SCHEMA).parquet(*paths) if paths else small_frame(spark, [], RUN_SCHEMA)
+
+
+def compact_runs(spark: SparkSession, path: str, at_least: int = 1) -> bool:
+    """Fold the records of the log, one row per run, into one file under a new name.
+
+    An entry that lists the record files it covers switches readers to the fold, so a
+    compaction that dies, or that another one was faster than, changes nothing.  Files that
+    the fold before it covered are deleted; a reader that began before the switch still has
+    those it listed.  A record that is read twice does no harm: of a run the last counts.
+    Returns whether the log was folded; it is not with fewer than ``at_least`` record files.
+    """
+    number, covered, paths = _records(spark, path)
+    files = [p.rsplit("/", 1)[1] for p in paths if p.endswith(".parquet")]
+    if len(files) < at_least:
+        return False
+    folder = f"{number + 1:09d}-{uuid.uuid4().hex}"
+    last_states(_read_records(spark, paths)).coalesce(1).write.parquet(f"{path}/{FOLDED}/{folder}")
+    if not create_new(spark, f"{path}/{FOLDS}/{number + 1:09d}.json", json.dumps({"folder": folder, "covers": files})):
+        delete(spark, f"{path}/{FOLDED}/{folder}")
+        return False
+    for name in covered:
+        delete(spark, f"{path}/{name}")
+    # The newest fold and the one before it stay.
+    for kind in (FOLDED, FOLDS):
+        for name in names(spark, f"{path}/{kind}"):
+            if int(name[:9]) < number:
+                delete(spark, f"{path}/{kind}/{name}")
+    return True
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """One row per run, in its last state."""
-    records = _read_or_empty(spark, path, RUN_SCHEMA)
+    return last_states(_read_records(spark, _records(spark, path)[2]))
+
+
+def last_states(records: DataFrame) -> DataFrame:
+    """Of the records of each run the last."""
     ended = F.struct((F.col("status") != "running").alias("ended"), "end_time")
     return records.groupBy("run_id").agg(F.max_by(F.struct(*RUN_SCHEMA.names), ended).alias("r")).select("r.*")
 

@@ -591,4 +591,30 @@ ORACLE |= {
     "q60_seeded_sample": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
 ORDER BY md5(concat_ws(chr(31), '7', '=' || l_orderkey, '=' || l_linenumber, '=' || l_partkey)), l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity LIMIT 1000""",
+    "q61_suite_from_states": f"""
+WITH {LOADS},
+loaded AS (SELECT * FROM first_load UNION ALL SELECT * FROM fresh),
+c AS (SELECT count(*) AS n, avg((returned IS NULL)::INTEGER) AS gone, avg((l_quantity IS NULL)::INTEGER) AS no_quantity FROM loaded),
+g AS (SELECT coalesce(sum(n), 0)::BIGINT AS copies FROM (SELECT count(*) AS n FROM loaded GROUP BY customer_key, l_orderkey, l_linenumber HAVING count(*) > 1))
+SELECT 1::INTEGER AS position, 'row_count' AS "check", n::VARCHAR AS actual, n > 10 AS passed, NULL::BIGINT AS duplicate_count, NULL::BIGINT AS missing_keys FROM c
+UNION ALL SELECT 2, 'null_percentage', NULL, gone <= 0.6, NULL, NULL FROM c
+UNION ALL SELECT 3, 'null_percentage', NULL, gone <= 0.1 AND no_quantity <= 0, NULL, NULL FROM c
+UNION ALL SELECT 4, 'duplicate_keys', NULL, true, 0, NULL
+UNION ALL SELECT 5, 'duplicate_keys', NULL, copies = 0, copies, NULL FROM g
+UNION ALL SELECT 6, 'referential_integrity', NULL, true, NULL, 0""",
+    "q62_star_saved": f"""
+WITH {dims()}
+SELECT 'dim_customer' AS "table", count(*) AS row_count FROM dim_customer
+UNION ALL SELECT 'dim_supplier', count(*) FROM dim_supplier
+UNION ALL SELECT 'dim_part_type', count(*) FROM dim_part_type
+UNION ALL SELECT 'dim_period', count(*) FROM dim_period
+UNION ALL SELECT 'fact_sale', count(*) FROM bound""",
+    "q63_run_log": """
+WITH runs("table", status, start, n, errors) AS (
+    SELECT 'nation', 'success', TIMESTAMP '2024-01-01 00:00:00', count(*), 0 FROM nation
+    UNION ALL SELECT 'region', 'success', TIMESTAMP '2024-01-01 00:02:00', count(*), 0 FROM region
+    UNION ALL SELECT 'absent', 'failed', TIMESTAMP '2024-01-01 00:04:00', NULL, 1)
+SELECT folded, "table", status, start AS start_time, start + INTERVAL 1 MINUTE AS end_time, n AS rows_in, n AS rows_out, errors::BIGINT AS errors
+FROM runs, (VALUES (false), (true)) AS f(folded)""",
+    "q64_rollup_from_states": ORACLE["q37_star_rollup"],
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import partial, reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from starloom.operators import cleaning, dimensions, facts, profile, quality, ru
 from starloom.operators.keys import dense_keys, max_key, next_key
 from starloom.plans import sales, silver
 from starloom.plans.specs import CleaningConfig, DimensionSpec
-from starloom.plans.star import QualityGateError, build_dimensions, build_star, load_star, read_star
+from starloom.plans.star import QualityGateError, build_dimensions, build_star, check_star, create_star, load_star, read_star
 from starloom.sources.ingest import stamp
 from starloom.sources import ingest, layers, warehouse
 from starloom.sources.staging import shared_folder, stage
@@ -505,6 +506,67 @@ def q60_seeded_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.sample_rows(lines, 1000, seed=7, by=["l_orderkey", "l_linenumber", "l_partkey"])
 
 
+SALE_CHECKS = (
+    quality.RowCount("fact_sale", 10),
+    quality.NullFraction("fact_sale", by_column={"returned": 0.6}),
+    quality.NullFraction("fact_sale", by_column={"returned": 0.1, "l_quantity": 0.0}),
+    quality.DuplicateKeys("fact_sale", ("result_key",)),
+    quality.DuplicateKeys("fact_sale", sales.STAR.fact.grain),
+    quality.References("fact_sale", "dim_customer", "customer_key", "customer_key"),
+)
+
+
+@query
+def q61_suite_from_states(spark: SparkSession, folder: str) -> DataFrame:
+    """The suite over a fact of three loads, the last a replay, from the states of its parts."""
+    sources = sales_sources(spark, folder)
+    root = scratch_root(spark)
+    lines = sources[sales.LINES]
+    for batch_ts, part in ((EARLIER, FIRST_LOAD), (BATCH_TS, SECOND_LOAD), (BATCH_TS, SECOND_LOAD)):
+        load_star({**sources, sales.LINES: lines.filter(part)}, sales.STAR, root, batch_ts, checks=SALE_CHECKS, min_pass_rate=0.5, keep_states=True)
+    suite = check_star(spark, sales.STAR, root, SALE_CHECKS)
+    return suite.select("position", "check", "actual", "passed", "duplicate_count", "missing_keys")
+
+
+@query
+def q62_star_saved(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per table of a star that was built and saved."""
+    return create_star(sales_sources(spark, folder), sales.STAR, scratch_root(spark), BATCH_TS)[2]
+
+
+@query
+def q63_run_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs that were logged as they went, one that failed among them, read before and after the log is folded."""
+    path = scratch_root(spark)
+    clock = iter(datetime(2024, 1, 1, 0, minute) for minute in range(60)).__next__
+    for name in ("nation", "region", "absent"):
+        try:
+            with runlog.logged_run(spark, path, "bronze", name, "files", clock) as run:
+                run.row_count_in = run.row_count_out = read(spark, folder, name).count()
+        except AnalysisException:
+            pass
+    before = runlog.run_report(runlog.read_runs(spark, path)).withColumn("folded", F.lit(False))
+    before = stage(before)
+    runlog.compact_runs(spark, path)
+    after = runlog.run_report(runlog.read_runs(spark, path)).withColumn("folded", F.lit(True))
+    return before.unionByName(after).select("folded", "table", "status", "start_time", "end_time", "rows_in", "rows_out", "errors")
+
+
+@query
+def q64_rollup_from_states(spark: SparkSession, folder: str) -> DataFrame:
+    """The star rollup from the states of three batches of facts."""
+    sources = sales_sources(spark, folder)
+    dims = build_dimensions(sources, sales.STAR, BATCH_TS)
+    by = {"dim_customer": ["c_mktsegment"], "dim_period": ["order_year"]}
+    states = []
+    for i in range(3):
+        part = facts.bind_fact(sources[sales.LINES].filter(F.col("l_orderkey") % 3 == i), dims, sales.STAR, BATCH_TS)
+        states.append(stage(facts.rollup_state(part, sales.STAR, list(by), ["l_extendedprice", "l_quantity"], ["returned_flag"])))
+    return facts.rollup_from_states(
+        reduce(DataFrame.unionByName, states), dims, sales.STAR, by, ["l_extendedprice", "l_quantity"], ["returned_flag"], digits=4
+    )
+
+
 @query
 def q49_replay_after_failed_gate(spark: SparkSession, folder: str) -> DataFrame:
     """A load, then a replay of it with other lines that fails its checks: the first one stays."""

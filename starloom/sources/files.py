@@ -39,6 +39,16 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file."""
+    system, jvm_path = _locate(spark, path)
+    source = system.open(jvm_path)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder this library has written."""
     system, jvm_path = _locate(spark, path)
