@@ -92,3 +92,49 @@ def test_span_hashes():
     assert (spans(first, first + 5) == spans(first + 7, first + 12)).all()
     assert len(np.unique(spans(first, first + 5))) == 7
     assert len(np.unique(gram_hashes(words, 3))) == 7
+
+
+def resembling(draw, count, changes, words=150):
+    base = [f"b{draw.randrange(10**9)}" for _ in range(words)]
+    out = []
+    for copy in range(count):
+        text = list(base)
+        for place in draw.sample(range(words), changes):
+            text[place] = f"c{copy}x{draw.randrange(10**9)}"
+        out.append(text)
+    return out
+
+
+def test_large_buckets_of_texts_that_resemble(spark):
+    """500 texts of one kind that are not close, and 500 of which many are: all links are found, few pairs are made."""
+    draw = random.Random(12)
+    texts = [*resembling(draw, 500, 3), *resembling(draw, 500, 2)]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    edges, similar = [], []
+    for group in (range(500), range(500, 1000)):
+        for i in group:
+            for j in range(group[0], i):
+                both = len(sets[i] & sets[j])
+                share = both / (len(sets[i]) + len(sets[j]) - both)
+                similar.append(share)
+                if share >= 0.75:
+                    edges.append((i, j))
+    assert sum(0.6 <= s < 0.75 for s in similar) > 100_000
+    assert edges
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string").repartition(5)
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert found == united(range(len(texts)), edges)
+
+
+def test_pairs_of_a_bucket(spark):
+    """No pair with a link is left out, each comes once, and nearly all others are."""
+    draw = random.Random(13)
+    texts = [*resembling(draw, 200, 3), *resembling(draw, 60, 2)]
+    sets = [{hash(tuple(w[i : i + 5])) for i in range(len(w) - 4)} for w in texts]
+    frame = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "node long, shingles array<long>")
+    rest = spark.createDataFrame([(key, i, len(s), i) for i, s in enumerate(sets) for key in (1, 2, i // 200 + 5)], "key long, node long, n long, label long")
+    found = [(r["a"], r["b"]) for r in near_dedup.pairs_across(rest, frame, 75).collect()]
+    links = {(j, i) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert len(found) == len(set(found))
+    assert links <= set(found)
+    assert len(found) < len(links) + 0.2 * len(sets) ** 2 / 2
