@@ -35,6 +35,8 @@ _SPACES = regex.compile(r"\p{White_Space}+")
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _WORD_END = "</w>"
 _NO_MERGE = 1 << 60
+#: Bits of a symbol's number in a pair.
+_PAIR_BITS = 24
 
 
 def _byte_characters() -> list[str]:
@@ -59,25 +61,41 @@ class Vocabulary:
             self.tokens[i] = token
         self._special_pattern = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._characters = _byte_characters()
+        # Merges work on numbers of symbols: a pair of them is one integer.
+        numbers: dict[str, int] = {}
+
+        def number(symbol: str) -> int:
+            return numbers.setdefault(symbol, len(numbers))
+
+        self._plain, self._ending = ([number(c + end) for c in self._characters] for end in ("", _WORD_END))
+        self._pair_ranks, self._merged_to = {}, [0] * len(data["model"]["merges"])
+        for (a, b), rank in self.ranks.items():
+            self._pair_ranks[number(a) << _PAIR_BITS | number(b)] = rank
+            self._merged_to[rank] = number(a + b)
+        self._symbol_ids = [self.ids.get(symbol) for symbol in numbers]
         self._pieces: dict[str, list[int]] = {}
 
     def merged(self, piece: str) -> list[int]:
         """Ids of one piece: the pair of lowest rank is merged first, of equal ones the leftmost."""
-        parts = [self._characters[b] for b in piece.encode()]
-        parts[-1] += _WORD_END
-        if len(parts) > 48:
-            parts = self._merged_long(parts)
-        rank = self.ranks.get
-        ranks = [rank(pair, _NO_MERGE) for pair in zip(parts, parts[1:], strict=False)]
+        data = piece.encode()
+        if len(data) > 48:
+            long = [self._characters[b] for b in data]
+            long[-1] += _WORD_END
+            return [self.ids[p] for p in self._merged_long(long) if p in self.ids]
+        parts = [self._plain[b] for b in data]
+        parts[-1] = self._ending[data[-1]]
+        rank, merged_to = self._pair_ranks.get, self._merged_to
+        ranks = [rank(a << _PAIR_BITS | b, _NO_MERGE) for a, b in zip(parts, parts[1:], strict=False)]
         while ranks and (best := min(ranks)) != _NO_MERGE:
             at = ranks.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del ranks[at]
+            new = parts[at] = merged_to[best]
+            del parts[at + 1], ranks[at]
             if at:
-                ranks[at - 1] = rank((parts[at - 1], parts[at]), _NO_MERGE)
+                ranks[at - 1] = rank(parts[at - 1] << _PAIR_BITS | new, _NO_MERGE)
             if at < len(ranks):
-                ranks[at] = rank((parts[at], parts[at + 1]), _NO_MERGE)
-        return [self.ids[p] for p in parts if p in self.ids]
+                ranks[at] = rank(new << _PAIR_BITS | parts[at + 1], _NO_MERGE)
+        ids = [self._symbol_ids[p] for p in parts]
+        return ids if None not in ids else [i for i in ids if i is not None]
 
     def _merged_long(self, parts: list[str]) -> list[str]:
         """The same merges with a heap, for pieces of any length."""
