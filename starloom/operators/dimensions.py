@@ -110,6 +110,7 @@ def merge_dimension(
     batch_ts: datetime,
     touch_unchanged: bool = True,
     rows: DataFrame | None = None,
+    last_key: int | None = None,
 ) -> DataFrame:
     """Merge the dimension rows of a batch into the existing dimension.
 
@@ -120,10 +121,10 @@ def merge_dimension(
     # The rows feed several joins below: reduce the source to them only once.
     rows = stage(dimension_rows(source, spec)) if rows is None else rows
     if spec.scd == 0:
-        return merge_type0(existing, rows, spec, batch_ts)
+        return merge_type0(existing, rows, spec, batch_ts, last_key)
     if spec.scd == 1:
-        return merge_scd1(existing, rows, spec, batch_ts, touch_unchanged)
-    return merge_scd2(existing, rows, spec, batch_ts)
+        return merge_scd1(existing, rows, spec, batch_ts, touch_unchanged, last_key)
+    return merge_scd2(existing, rows, spec, batch_ts, last_key)
 
 
 def dimension_delta(

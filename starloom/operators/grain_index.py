@@ -60,10 +60,9 @@ def _ranges(df: DataFrame, grain: Sequence[str]) -> list[Column]:
     return out
 
 
-def filter_words(part: DataFrame) -> int:
-    """Words of the filters of a written part, by its longest file; reads no column."""
-    longest = part.groupBy(F.col("_metadata.file_name")).count().agg(F.max("count")).first()[0] or 0
-    enough = max(LEAST_WORDS, longest * BITS_PER_ROW // 64)
+def filter_words(rows: int, files: int) -> int:
+    """Words of the filters of a part; files of twice the mean still get all their bits."""
+    enough = max(LEAST_WORDS, 2 * rows * BITS_PER_ROW // (64 * max(1, files)))
     return min(MOST_WORDS, 1 << (enough - 1).bit_length())
 
 

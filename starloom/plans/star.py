@@ -160,7 +160,7 @@ def _load(
         last = None if previous is None else previous.last_keys.get(spec.name)
         links = () if previous is None else chain_of(previous, spec.name)
         if known is None or last is None or len(links) >= LONGEST_CHAIN or not (last >= DELTA_KEYS if deltas is None else deltas):
-            merged = merge_dimension(known, sources[spec.source], spec, batch_ts, rows=folded.get(spec.name))
+            merged = merge_dimension(known, sources[spec.source], spec, batch_ts, rows=folded.get(spec.name), last_key=last)
             written = write_table(merged, root, spec.name, batch_ts, attempt, fmt)
             return written, (own,), max_key(written, spec.key)
         delta = dimension_delta(known, sources[spec.source], spec, batch_ts, last, rows=folded.get(spec.name))

@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 from starloom.functions.columns import batch_id, col
 from starloom.functions.typenames import struct
 from starloom.operators import check_states, grain_index
+from starloom.operators.concurrent import side_by_side
 from starloom.operators.dimensions import newest_rows
 from starloom.sources.files import create_new, delete, names
 from starloom.sources.layers import ATTEMPT, BATCH, decoded, partition_path, reader, writer
@@ -177,14 +179,16 @@ def _index_path(root: str, name: str, kind: str, batch: str, attempt: str) -> st
 
 def write_grain_index(part: DataFrame, root: str, name: str, batch_ts: datetime, attempt: str, grain: Sequence[str]) -> None:
     """Write the grain index of a fact part that this attempt has written."""
-    batch = batch_id(batch_ts)
-    words = grain_index.filter_words(part)
+    spark, batch = part.sparkSession, batch_id(batch_ts)
+    # Counted from the file footers where the format has them.
+    words = grain_index.filter_words(part.count(), len(part.inputFiles()))
     tables = {
         "ranges": grain_index.file_ranges(part, grain, batch, words),
         "filters": grain_index.file_filters(part, grain, batch, words),
     }
-    for kind, table in tables.items():
-        table.write.mode("errorifexists").parquet(_index_path(root, name, kind, batch, attempt))
+    side_by_side(spark, {
+        kind: partial(table.write.mode("errorifexists").parquet, _index_path(root, name, kind, batch, attempt)) for kind, table in tables.items()
+    })
 
 
 def read_fact_near(spark: SparkSession, root: str, name: str, at: Snapshot, in_batch: DataFrame, grain: Sequence[str]) -> DataFrame:
@@ -217,12 +221,10 @@ def read_fact_near(spark: SparkSession, root: str, name: str, at: Snapshot, in_b
 
 def write_state(tables: Mapping[str, DataFrame], root: str, name: str, batch_ts: datetime, attempt: str) -> dict[str, DataFrame]:
     """Write the state of a fact part and return it."""
-    out = {}
-    for kind, table in tables.items():
-        path = _index_path(root, name, kind, batch_id(batch_ts), attempt)
-        table.coalesce(1).write.mode("errorifexists").parquet(path) if kind == "counts" else table.write.mode("errorifexists").parquet(path)
-        out[kind] = table.sparkSession.read.schema(check_states.SCHEMAS[kind]).parquet(path)
-    return out
+    spark = next(iter(tables.values())).sparkSession
+    paths = {kind: _index_path(root, name, kind, batch_id(batch_ts), attempt) for kind in tables}
+    side_by_side(spark, {kind: partial(table.write.mode("errorifexists").parquet, paths[kind]) for kind, table in tables.items()})
+    return {kind: spark.read.schema(check_states.SCHEMAS[kind]).parquet(path) for kind, path in paths.items()}
 
 
 def read_states(spark: SparkSession, root: str, name: str, at: Snapshot | None) -> dict[str, DataFrame] | None:
