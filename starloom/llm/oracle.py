@@ -143,6 +143,7 @@ def _crc32(text: str) -> str:
 
 
 def _periodic_runs() -> str:
+    gram = " || ' ' || ".join(["word", *(f"lead(word, {k}) OVER text" for k in range(1, 6))])
     lags = ", ".join(f"CASE WHEN lag(word, {q}) OVER text = word THEN {q} END" for q in range(1, 6))
     return f"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, {_crc32("CAST(doc_id AS VARCHAR)")} AS h, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
@@ -152,8 +153,8 @@ made AS (
         THEN [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END] FOR i IN range(0, n)] ELSE w END AS w
     FROM cut
 ),
-each_word AS (SELECT r, i, w[i + 1] AS word FROM made, unnest(range(0, len(w))) AS u(i)),
-grams AS (SELECT r, i, array_to_string(w[i + 1 : i + 6], ' ') AS gram FROM made, unnest(range(0, len(w) - 5)) AS u(i)),
+each_word AS (SELECT r, generate_subscripts(w, 1) - 1 AS i, unnest(w) AS word FROM made),
+grams AS (SELECT r, i, {gram} AS gram FROM each_word WINDOW text AS (PARTITION BY r ORDER BY i) QUALIFY lead(word, 5) OVER text IS NOT NULL),
 same AS (
     SELECT r, q, i - q AS i, 0 AS more
     FROM (SELECT r, i, unnest([{lags}]) AS q FROM each_word WINDOW text AS (PARTITION BY r ORDER BY i)) WHERE q IS NOT NULL
