@@ -6,12 +6,13 @@ the threshold t with a template of b bigrams only if
 ``t / (2 - t) <= a / b <= (2 - t) / t``, so segments outside the sizes of all
 templates are dropped before their bigrams are looked at, and the same bound is
 part of the join with the templates.  Segments meet templates by shared bigrams.
+What reaches 0.8 has 2/3 of the template's bigrams, hence one of any choice of more
+than a third of them: only texts with a word of each template's most telling
+bigrams are cut into segments.
 
 What lies outside the lines that match is read again in windows of as many words as
 a template has, so that a notice is found inside a line and over several lines.
-A window that reaches 0.8 has 2/3 of the template's bigrams, hence one of any choice
-of more than a third of them: only texts with a word of each template's most telling
-bigrams are read.  Of windows that overlap the best one counts.
+Of windows that overlap the best one counts.
 
 DataFrame functions only.
 """
@@ -66,16 +67,21 @@ def _bigrams(words):
     return F.array_distinct(F.zip_with(F.slice(words, 1, count), F.slice(words, 2, count), lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
-def _windows(rows: DataFrame, best: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
-    """(doc_id, text_key, at, m) of windows of a template's size outside matching segments; ``at`` is below 0."""
-    row = ["doc_id", "text_key"]
-    # both / b is at least t / (2 - t), as a window has both or more; the longer word of a bigram stands for it.
+def _told(rows: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """The rows, each once, that may have a segment or window that reaches the threshold."""
+    # both / b is at least t / (2 - t), as a segment has both or more; the longer word of a bigram stands for it.
     missed = F.floor(F.col("b_size") * (1 - threshold / (2 - threshold)) + 1e-9).cast("int") + 1
     words = F.transform("b", lambda g: F.array_max(F.transform(F.split(g, " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))))
     telling = known.select(F.explode(F.slice(F.sort_array(words, asc=False), 1, missed)).alias("x")).select("x.w").distinct().collect()
+    words = F.split(_normalised(F.col("text")), " ")
+    return rows.where(F.arrays_overlap(words, F.array(*[F.lit(r["w"]) for r in telling]).cast("array<string>"))).dropDuplicates(["doc_id", "text_key"])
+
+
+def _windows(told: DataFrame, best: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, text_key, at, m) of windows of a template's size outside matching segments; ``at`` is below 0."""
+    row = ["doc_id", "text_key"]
     hits = best.groupBy(*row).agg(F.collect_set("at").alias("hits"))
     hits = hits.withColumnsRenamed({"doc_id": "hit_id", "text_key": "hit_key"})
-    told = rows.withColumn("s", F.split(_normalised(F.col("text")), " ")).where(F.arrays_overlap("s", F.array(*[F.lit(r["w"]) for r in telling]).cast("array<string>"))).drop("s").dropDuplicates(row)
     told = told.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key")), "left")
     lines = F.split("text", "\n")
     hit = F.coalesce("hits", F.array().cast("array<int>"))
@@ -123,7 +129,8 @@ def license_matches(docs: DataFrame, notices: DataFrame | None = None, threshold
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("text_key", F.xxhash64("text"))
     row = ["doc_id", "text_key"]
     lines = F.split("text", "\n")
-    segments = rows.select(*row, F.posexplode(F.when(F.size(lines) > 1, F.concat(lines, F.array("text"))).otherwise(lines)).alias("at", "segment"))
+    told = written(_told(rows, known, threshold))
+    segments = told.select(*row, F.posexplode(F.when(F.size(lines) > 1, F.concat(lines, F.array("text"))).otherwise(lines)).alias("at", "segment"))
     # The count of words bounds the count of distinct bigrams from above; a segment repeated in itself has fewer.
     spaced = segments.select(*row, "at", _normalised(F.col("segment")).alias("s"))
     spaced = spaced.where(F.length("s") - F.length(F.translate("s", " ", "")) >= bounds["least"] * low)
@@ -132,11 +139,11 @@ def license_matches(docs: DataFrame, notices: DataFrame | None = None, threshold
     grams = paired.select(*row, "at", "a_size", F.explode("a").alias("gram"))
     kept = known.select("license", "template", "b_size", F.explode("b").alias("gram"))
     fits = (F.col("a_size") >= F.col("b_size") * low - 1e-9) & (F.col("a_size") <= F.col("b_size") * high + 1e-9)
-    # Bounded by the bigrams of a template; a set, as rows may be repeated.
+    # Bounded by the bigrams of a template.
     shared = grams.join(kept, "gram").where(fits).groupBy(*row, "at", "a_size", "template", "b_size", "license").agg(F.size(F.collect_set("gram")).alias("both"))
     dice = shared.select(*row, "at", "license", (F.col("both") * 2.0 / (F.col("a_size") + F.col("b_size"))).alias("dice")).where(F.col("dice") >= threshold)
     best = written(dice.groupBy(*row, "at").agg(F.min(F.struct((-F.col("dice")).alias("d"), "license")).alias("m")))
-    best = best.unionByName(_windows(rows, best, known, threshold))
+    best = best.unionByName(_windows(told, best, known, threshold))
     found = written(best.groupBy(*row).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("m.license")).alias("l"), F.min("m").alias("m")))
     rows = rows.select(*row)
     return rows.join(found, same_row(rows, found), "left").select(
