@@ -13,9 +13,10 @@ window is one of the symbols of the highest usable round that the window determi
 by itself, taken together with the words that determine it; a word of the window if
 there is none.  Of several the one with the smallest hash is taken.  Equal
 windows have equal anchors, hence no repeat is missed: only anchors that occur
-in two documents are looked at, and their windows are compared by the hash of
-all their words.  Texts with one top symbol are copies of each other and need no
-windows.
+in two documents are looked at.  Neighbouring windows with one anchor are a run;
+runs of equal words are one run, which its first document stands for, and the
+windows of runs that differ are compared by the hash of all their words.  Texts
+with one top symbol are copies of each other and need no windows.
 """
 
 from __future__ import annotations
@@ -28,12 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import (
-    distinct_by_text, dropped, fitting, gram_hashes, hashed_words, keyed_texts, map_batches, mixed, same_row, span_hashes, text_of, written,
+    distinct_by_text, dropped, fitting, gram_hashes, hashed_words, keyed_texts, map_batches, mixed, span_hashes, text_of, written,
 )
 
 WINDOW = 13
 #: Rounds whose symbols may become anchors.  Those of round 2 fit into most windows, but give 2.5 times the anchors, and disk is short.
 ANCHOR_ROUNDS = 1
+#: Most neighbouring windows of one row: bounds the row for texts that repeat one word.
+RUN = 64
 _RUN, _PAIR = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -128,8 +131,8 @@ def _marked(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The windows whose anchor is one of the document's shared ones."""
+def _runs(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Neighbouring windows that have one of the document's shared anchors in common, with a hash of all words they cover."""
     hashes, starts = hashed_words([t.split() for t in batch.column("text").to_pylist()])
     levels, _ = parsed(hashes, starts, ANCHOR_ROUNDS)
     at, anchor = anchors(hashes, starts, levels)
@@ -137,12 +140,22 @@ def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
     shared = batch.column("shared")
     of, values = np.repeat(np.arange(batch.num_rows), np.diff(shared.offsets.to_numpy())), shared.flatten().to_numpy().view(np.uint64)
     keep = np.isin(mixed(anchor) + owner.astype(np.uint64), mixed(values) + of.astype(np.uint64))
-    rows, at = pa.array(owner[keep]), at[keep]
+    at, anchor, owner = at[keep], anchor[keep], owner[keep]
+    new = np.ones(len(at), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)
+    # Where a run is cut does not matter: windows of different runs are compared one by one.
+    place = np.arange(len(at))
+    new |= (place - np.maximum.accumulate(np.where(new, place, 0))) % RUN == 0
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(at)))
+    wholes = gram_hashes(hashes, WINDOW, seed=WINDOW)[at]
+    span = span_hashes(hashes)(at[first], at[first] + size - 1 + WINDOW)
+    rows = pa.array(owner[first])
     columns = [
-        batch.column("doc_id").take(rows), batch.column("text_key").take(rows), pa.array(at - starts[owner[keep]]),
-        pa.array(anchor[keep].view(np.int64)), pa.array(gram_hashes(hashes, WINDOW, seed=WINDOW)[at].view(np.int64)),
+        batch.column("doc_id").take(rows), batch.column("text_key").take(rows), pa.array(at[first] - starts[owner[first]]), pa.array(anchor[first].view(np.int64)),
+        pa.array(span.view(np.int64)), pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)), pa.array(wholes.view(np.int64))),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "start", "anchor", "whole"])
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "start", "anchor", "span", "wholes"])
 
 
 def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -150,8 +163,9 @@ def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
     for text, repeats in zip(batch.column("text").to_pylist(), batch.column("repeats").to_pylist(), strict=True):
         words = text.split()
         edges = np.zeros(len(words) + 1, np.int64)
-        np.add.at(edges, repeats, 1)
-        np.add.at(edges, np.asarray(repeats) + WINDOW, -1)
+        start, size = np.divmod(np.asarray(repeats), RUN + 1)
+        np.add.at(edges, start, 1)
+        np.add.at(edges, start + size - 1 + WINDOW, -1)
         stay = np.cumsum(edges[:-1]) == 0
         counts.append(len(words) - int(stay.sum()))
         kept.append(b" ".join(w for w, s in zip(words, stay.tolist(), strict=True) if s))
@@ -167,32 +181,42 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     empty texts have no words.  Rows that repeat a doc_id are cut one by one, and
     neither is earlier.  A row without doc_id is neither cut nor a cause of cuts.
     """
-    docs = keyed_texts(docs)
+    docs, row = keyed_texts(docs), ["doc_id", "text_key"]
     schema = "doc_id long, text_key long, n_words long, top long, whole binary, anchors array<long>"
     marked = written(map_batches(docs, schema, _marked))
-    can_repeat = marked.where(f"doc_id IS NOT NULL AND n_words >= {WINDOW}")
+    base = written(marked.drop("anchors"))
+    can_repeat = f"doc_id IS NOT NULL AND n_words >= {WINDOW}"
     # Texts of one top symbol, confirmed by a digest of all words: the copies go whole and need no windows.
-    earliest = can_repeat.groupBy("top", "whole").agg(F.min("doc_id").alias("first_id"))
-    rows = can_repeat.join(earliest, ["top", "whole"])
-    rows = written(rows.select("doc_id", "text_key", F.col("doc_id").__gt__(F.col("first_id")).alias("copy"), F.when(F.col("doc_id") == F.col("first_id"), F.col("anchors")).alias("anchors")))
-    occurrences = rows.where("NOT copy").select("doc_id", "text_key", F.explode("anchors").alias("anchor"))
-    shared = occurrences.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
-    lists = written(occurrences.join(shared, "anchor", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("anchor").alias("shared")))
-
-    candidates = written(docs.join(lists, same_row(docs, lists)).select(docs["doc_id"], docs["text_key"], "text", "shared"))
-    windows = written(map_batches(candidates, "doc_id long, text_key long, start long, anchor long, whole long", _windows))
-    earliest = windows.groupBy("anchor", "whole").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
-    repeats = windows.join(earliest, ["anchor", "whole"]).where("doc_id > low")
-    repeats = written(repeats.groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("repeats")))
-    dropped(windows, lists)
-    cut = map_batches(candidates.join(repeats, same_row(candidates, repeats)).select(candidates["doc_id"], candidates["text_key"], "text", "repeats"), "doc_id long, text_key long, n_cut long, kept_text string", _cut)
-    cut = cut.dropDuplicates(["doc_id", "text_key"])  # identical rows have one result
-
-    copies = rows.where("copy").select("doc_id", "text_key", F.lit(True).alias("copy")).distinct()
-    changed = copies.unionByName(cut.select("doc_id", "text_key", "n_cut", "kept_text"), allowMissingColumns=True)
-    base = marked.select("doc_id", "text_key", "n_words", "whole")
-    return base.join(changed, same_row(base, changed), "left").select(
-        base["doc_id"], base["text_key"], "n_words",
+    earliest = written(base.where(can_repeat).groupBy("top", "whole").agg(F.min("doc_id").alias("first_id")))
+    copies = written(base.where(can_repeat).join(earliest, ["top", "whole"]).where("doc_id > first_id").select(*row).distinct().withColumn("copy", F.lit(True)))
+    firsts = written(marked.where(can_repeat).join(earliest, ["top", "whole"]).where("doc_id = first_id").select(*row, "anchors"))
+    dropped(marked, earliest)
+    occurrences = firsts.select(*row, F.explode("anchors").alias("anchor"))
+    shared = written(occurrences.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor"))
+    lists = written(occurrences.join(shared, "anchor", "left_semi").groupBy(*row).agg(F.collect_set("anchor").alias("shared")))
+    dropped(firsts, shared)
+
+    # Identical rows have one result.
+    candidates = written(docs.join(lists, row).select(*row, "text", "shared").dropDuplicates(row))
+    dropped(lists)
+    runs = written(map_batches(candidates, "doc_id long, text_key long, start long, anchor long, span long, wholes array<long>", _runs))
+    # The first document of equal runs stands for them: all windows of the others are in it.
+    equal = written(runs.groupBy("anchor", "span").agg(F.min("doc_id").alias("low")))
+    first = F.col("doc_id") == F.col("low")
+    judged = written(runs.join(equal, ["anchor", "span"]).select(*row, "start", "anchor", F.size("wholes").alias("size"), F.when(first, F.col("wholes")).alias("wholes")))
+    dropped(runs, equal)
+    windows = judged.where("wholes IS NOT NULL").select(*row, "anchor", "start", F.posexplode("wholes").alias("i", "whole"))
+    earlier = written(windows.groupBy("anchor", "whole").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high"))
+    single = windows.join(earlier, ["anchor", "whole"]).where("doc_id > low").select(*row, (F.col("start") + F.col("i")).alias("start"), F.lit(1).alias("size"))
+    cuts = judged.where("wholes IS NULL").select(*row, "start", "size").unionByName(single)
+    # Start and number of neighbouring windows as one long.
+    repeats = written(cuts.groupBy(*row).agg(F.collect_list(F.col("start") * (RUN + 1) + F.col("size")).alias("repeats")))
+    dropped(judged, earlier)
+    cut = map_batches(candidates.join(repeats, row).select(*row, "text", "repeats"), "doc_id long, text_key long, n_cut long, kept_text string", _cut)
+
+    # A row without doc_id meets neither.
+    return base.join(copies, row, "left").join(cut, row, "left").select(
+        *row, "n_words",
         F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_cut", F.lit(0).cast("long"))).alias("n_removed"),
         F.when(F.col("copy"), F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"),
         F.lower(F.hex("whole")).alias("whole_sha256"),
