@@ -617,4 +617,5 @@ WITH runs("table", status, start, n, errors) AS (
 SELECT folded, "table", status, start AS start_time, start + INTERVAL 1 MINUTE AS end_time, n AS rows_in, n AS rows_out, errors::BIGINT AS errors
 FROM runs, (VALUES (false), (true)) AS f(folded)""",
     "q64_rollup_from_states": ORACLE["q37_star_rollup"],
+    "q65_bucketed_rollup": ORACLE["q37_star_rollup"],
 }

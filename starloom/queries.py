@@ -18,7 +18,7 @@ from starloom.plans import sales, silver
 from starloom.plans.specs import CleaningConfig, DimensionSpec
 from starloom.plans.star import QualityGateError, build_dimensions, build_star, check_star, create_star, load_star, read_star
 from starloom.sources.ingest import stamp
-from starloom.sources import ingest, layers, warehouse
+from starloom.sources import buckets, ingest, layers, warehouse
 from starloom.sources.staging import shared_folder, stage
 from starloom.sources.warehouse import manifest
 
@@ -923,3 +923,24 @@ def q52_layer_types(spark: SparkSession, folder: str) -> DataFrame:
         silver.process(batch, root, "customer", config, batch_ts)
     layer = layers.read_layer(spark, root, "customer_cleaned")
     return layer.select("c_custkey", F.round("c_nationkey", 4).alias("c_nationkey"), "c_acctbal", "c_acctbal_text", "_processing_timestamp")
+
+
+@query
+def q65_bucketed_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """The star rollup from facts and customers that are stored in buckets of the customer key."""
+    sources = sales_sources(spark, folder)
+    dims = build_dimensions(sources, sales.STAR, BATCH_TS)
+    root, key = scratch_root(spark), sales.STAR.dimension("dim_customer").key
+    bound = facts.bind_fact(sources[sales.LINES], dims, sales.STAR, BATCH_TS)
+    fact = buckets.write_bucketed(bound, f"{root}/fact", key, 8)
+    dims["dim_customer"] = buckets.write_bucketed(dims["dim_customer"], f"{root}/dim_customer", key, 8)
+    return facts.star_rollup(
+        fact,
+        dims,
+        sales.STAR,
+        by={"dim_customer": ["c_mktsegment"], "dim_period": ["order_year"]},
+        averages=["l_quantity", "l_extendedprice"],
+        sums=["returned_flag"],
+        digits=4,
+        fold_first=["dim_customer"],
+    )
