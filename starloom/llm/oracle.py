@@ -78,8 +78,8 @@ def _quality_rules() -> str:
         "symbols_per_word": ("n_symbols", "n_words"), "capitals_share": ("n_capitals", "word_chars"), "marks_per_word": ("n_marks", "n_words"),
         "repeated_words_share": ("n_repeat_words", "n_words"), "repeated_lines_share": ("n_dup_lines", "n_lines"), "doubled_words_share": ("n_doubled", "n_words"),
     }
-    rate = rules.ALPHA / len(rules.RULES)
-    grid = ", ".join(f"('{rule}', {cut}::DOUBLE)" for rule, cuts in rules.RULES.items() for cut in cuts)
+    rate = rules.ALPHA
+    grid = ", ".join(f"({i}, '{rule}', {cut}::DOUBLE)" for i, (rule, cut) in enumerate(rules.PATH))
     long_rows = " UNION ALL ".join(f"SELECT row_id, '{rule}' AS rule, CASE WHEN {b} > 0 THEN {a}::DOUBLE / {b} ELSE 0 END AS value FROM m" for rule, (a, b) in measures.items())
     return f"""
 WITH t AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS x FROM documents),
@@ -98,15 +98,18 @@ base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_f
 v AS ({long_rows}),
 good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
 held AS (SELECT row_id, stratum FROM base WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
-grid(rule, cut) AS (VALUES {grid}),
+grid(step, rule, cut) AS (VALUES {grid}),
 strata AS (SELECT count(DISTINCT stratum) AS strata FROM held),
-counts AS (SELECT stratum, rule, cut, count(*) AS n, count(*) FILTER (value > cut) AS k FROM held JOIN v USING (row_id) JOIN grid USING (rule) GROUP BY ALL),
+firsts AS (SELECT row_id, stratum, min(step) AS first_step FROM held JOIN v USING (row_id) JOIN grid USING (rule) WHERE value > cut GROUP BY ALL),
+sizes AS (SELECT stratum, count(*) AS n FROM held GROUP BY stratum),
+counts AS (SELECT stratum, step, any_value(n) AS n, count(first_step) FILTER (first_step <= step) AS k FROM sizes CROSS JOIN grid LEFT JOIN firsts USING (stratum) GROUP BY ALL),
 tails AS (
     SELECT *, CASE WHEN k < n * {rate!r}
         THEN list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate!r}) + (n - i) * ln(1 - {rate!r})) FOR i IN range(0, k + 1)]) ELSE 1 END AS tail
     FROM counts
 ),
-chosen AS (SELECT stratum, rule, min(cut) AS cut FROM tails, strata WHERE tail * strata * (SELECT count(*) FROM grid) <= {rules.DELTA} GROUP BY ALL),
+stops AS (SELECT stratum, min(step) AS stop FROM tails, strata WHERE tail * strata > {rules.DELTA} GROUP BY stratum),
+chosen AS (SELECT stratum, rule, min(cut) AS cut FROM sizes CROSS JOIN grid LEFT JOIN stops USING (stratum) WHERE stop IS NULL OR step < stop GROUP BY ALL),
 over AS (SELECT DISTINCT row_id FROM base JOIN v USING (row_id) JOIN chosen USING (stratum, rule) WHERE value > cut)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
     CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND row_id NOT IN (SELECT row_id FROM over) AS kept

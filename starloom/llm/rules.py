@@ -1,12 +1,14 @@
 """Quality rules whose cut-offs have a bounded risk of rejecting good documents.
 
-Each rule rejects a document whose measure lies above a cut-off.  On documents
-labelled good, the number a cut-off rejects is binomial; a cut-off is safe for a
-stratum if as few rejections as observed would have a probability of at most
-``delta / tests`` were its true rate of false rejections ``alpha / rules``
-(exact binomial tail; Bonferroni over all strata, rules and cut-offs).  Every
-stratum takes its strictest safe cut-off per rule, or none.  So with probability
-``1 - delta`` no stratum loses more than ``alpha`` of its good documents.
+Each rule rejects a document whose measure lies above a cut-off.  The cut-offs of all
+rules stand in one fixed order, every rule's loosest first, then every rule's next one.
+On documents labelled good, the number that the first cut-offs together reject is
+binomial; they are safe for a stratum if as few rejections as observed would have a
+probability of at most ``delta / strata`` were the true rate of false rejections
+``alpha`` (exact binomial tail).  Every stratum goes along the order up to the first
+step that is not safe: tests in a fixed order need no correction among themselves,
+Bonferroni covers the strata.  So with probability ``1 - delta`` no stratum loses more
+than ``alpha`` of its good documents.
 
 DataFrame functions only.
 """
@@ -31,6 +33,8 @@ RULES = {
     "repeated_lines_share": (0.1, 0.2, 0.3, 0.5, 0.7),
     "doubled_words_share": (0.005, 0.01, 0.02, 0.05, 0.1, 0.3),
 }
+#: All cut-offs in the order of their tests: the loosest of every rule, then the next ones.
+PATH = [(rule, cuts[-1 - i]) for i in range(max(map(len, RULES.values()))) for rule, cuts in RULES.items() if i < len(cuts)]
 _SPACE = "[ \\t\\n\\x0B\\f\\r]+"
 
 
@@ -75,6 +79,12 @@ def _measures() -> dict[str, Column]:
     }
 
 
+def _first_step() -> Column:
+    """The first step of the path whose cut-off rejects a document; the number of steps if none does."""
+    values = _measures()
+    return F.coalesce(*[F.when(values[rule] > cut, F.lit(i)) for i, (rule, cut) in enumerate(PATH)], F.lit(len(PATH)))
+
+
 def binomial_tail(k: Column, n: Column, rate: float) -> Column:
     """P(X <= k) of a binomial X; 1 where k is not below its mean.  Terms are added up from 0 on, each from the one before."""
     odds = math.log(rate / (1 - rate))
@@ -95,16 +105,14 @@ def cutoffs(measures: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
     ``labels`` has doc_id and quality; a document with a label 1 is good unless it also has another label.
     """
     good = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
-    held = measures.join(good, "doc_id", "left_semi").where("NOT base_failed")
-    values = _measures()
-    counts = [F.count(F.when(values[rule] > cut, 1)).alias(f"{rule}_{i}") for rule, cuts in RULES.items() for i, cut in enumerate(cuts)]
+    held = measures.join(good, "doc_id", "left_semi").where("NOT base_failed").withColumn("step", _first_step())
+    counts = [F.count(F.when(F.col("step") <= i, 1)).alias(f"k_{i}") for i in range(len(PATH))]
     counted = written(held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *counts))
-    tests = counted.count() * sum(map(len, RULES.values()))
-    rate = alpha / len(RULES)
-    safe = {}
-    for rule, cuts in RULES.items():
-        safe[rule] = F.coalesce(*[F.when(binomial_tail(F.col(f"{rule}_{i}"), F.col("n"), rate) * tests <= delta, F.lit(cut)) for i, cut in enumerate(cuts)])
-    return counted.select("stratum", *[c.alias(f"cut_{rule}") for rule, c in safe.items()])
+    strata = counted.count()
+    unsafe = [F.when(binomial_tail(F.col(f"k_{i}"), F.col("n"), alpha) * strata > delta, F.lit(i)) for i in range(len(PATH))]
+    reached = counted.select("stratum", F.coalesce(*unsafe, F.lit(len(PATH))).alias("safe"))
+    strictest = {rule: F.coalesce(*[F.when(F.col("safe") > PATH.index((rule, cut)), F.lit(cut)) for cut in cuts]) for rule, cuts in RULES.items()}
+    return reached.select("stratum", *[c.alias(f"cut_{rule}") for rule, c in strictest.items()])
 
 
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
