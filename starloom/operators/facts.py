@@ -29,6 +29,13 @@ def lookup(dim: DataFrame, spec: DimensionSpec, version: str = "current") -> Dat
     return dim.select(*[col(c).alias(f"__nk_{c}") for c in spec.natural_keys], col(spec.key))
 
 
+def source_columns(star: StarSpec) -> list[str]:
+    """The columns of the fact's source that the joins and the layout need."""
+    fact = star.fact
+    nk_columns = [fact.on.get(c, c) for d in fact.dimensions for c in star.dimension(d).natural_keys]
+    return list(dict.fromkeys([*nk_columns, *fact.measures, *fact.flags.values()]))
+
+
 def bind_fact(
     source: DataFrame,
     dims: Mapping[str, DataFrame],
@@ -43,10 +50,8 @@ def bind_fact(
     Keys of type 0 match null with null.
     """
     fact = star.fact
-    # Only the columns the joins and the layout need travel with the rows.
-    nk_columns = [fact.on.get(c, c) for d in fact.dimensions for c in star.dimension(d).natural_keys]
-    needed = list(dict.fromkeys([*nk_columns, *fact.measures, *fact.flags.values()]))
-    bound = source.select(*map(q, needed))
+    # Only these columns travel with the rows.
+    bound = source.select(*map(q, source_columns(star)))
     for name in fact.dimensions:
         spec = star.dimension(name)
         pairs = [(col(fact.on.get(c, c)), col(f"__nk_{c}")) for c in spec.natural_keys]

@@ -75,11 +75,12 @@ def sources(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     lines = tables["lineitem"].withColumn(
         "returned", F.nullif(F.col("l_returnflag"), F.lit("N"))
     )
-    lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner").join(
-        tables["part"].select("p_partkey", "p_brand", "p_type"),
-        F.col("l_partkey") == F.col("p_partkey"),
-        "inner",
-    )
+    # Parts first: their two columns are less to carry through the other shuffle than those of orders.
+    part = tables["part"].select("p_partkey", "p_brand", "p_type")
+    columns = [df[c] for df in (lines, orders, part) for c in df.columns]
+    lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "inner").join(
+        orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner"
+    ).select(*columns)
     return {
         "customer": tables["customer"],
         "supplier": tables["supplier"],

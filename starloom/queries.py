@@ -19,6 +19,7 @@ from starloom.plans.specs import CleaningConfig, DimensionSpec
 from starloom.plans.star import QualityGateError, build_dimensions, build_star, check_star, create_star, load_star, read_star
 from starloom.sources.ingest import stamp
 from starloom.sources import buckets, ingest, layers, warehouse
+from starloom.sources.files import delete_at_exit
 from starloom.sources.staging import shared_folder, stage
 from starloom.sources.warehouse import manifest
 
@@ -410,9 +411,20 @@ FIRST_LOAD = "o_orderdate < TIMESTAMP_NTZ '1999-01-01'"
 SECOND_LOAD = "o_orderdate >= TIMESTAMP_NTZ '1998-01-01'"
 
 
+def stored_sales_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """`sales_sources` for several loads: the lines are joined once, and lie in buckets of their largest dimension's key."""
+    sources = sales_sources(spark, folder)
+    path = f"{scratch_root(spark)}/lines"
+    delete_at_exit(spark, path)
+    lines = sources[sales.LINES].select(*facts.source_columns(sales.STAR), "o_orderdate")
+    # As many buckets as a shuffle has partitions, or Spark would shuffle them all the same.
+    lines = buckets.write_bucketed(lines, path, "o_custkey", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return {**sources, sales.LINES: lines}
+
+
 def sale_loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Keyed facts of the first load and bound facts of an overlapping second one."""
-    sources = sales_sources(spark, folder)
+    sources = stored_sales_sources(spark, folder)
     dims = build_dimensions(sources, sales.STAR, EARLIER)
     lines = sources[sales.LINES]
     existing = facts.build_fact(lines.filter(FIRST_LOAD), dims, sales.STAR, EARLIER)
@@ -450,7 +462,7 @@ def q27_append_replay(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def q28_append_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Three loads into a new warehouse: first, overlapping, the overlapping one again."""
-    sources = sales_sources(spark, folder)
+    sources = stored_sales_sources(spark, folder)
     root = scratch_root(spark)
     lines = sources[sales.LINES]
     loads = ((EARLIEST, FIRST_LOAD), (EARLIER, SECOND_LOAD), (BATCH_TS, SECOND_LOAD))
@@ -519,7 +531,7 @@ SALE_CHECKS = (
 @query
 def q61_suite_from_states(spark: SparkSession, folder: str) -> DataFrame:
     """The suite over a fact of three loads, the last a replay, from the states of its parts."""
-    sources = sales_sources(spark, folder)
+    sources = stored_sales_sources(spark, folder)
     root = scratch_root(spark)
     lines = sources[sales.LINES]
     for batch_ts, part in ((EARLIER, FIRST_LOAD), (BATCH_TS, SECOND_LOAD), (BATCH_TS, SECOND_LOAD)):

@@ -45,7 +45,7 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFram
     name = _table_name(path)
     # A table of the same folder that was deleted since.
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("compression", "zstd").option("path", path).saveAsTable(name)
     place = F.pmod(F.hash(col(key)), F.lit(buckets))
     largest, rows = spark.read.schema(df.schema).parquet(path).groupBy(place).count().agg(F.max("count"), F.sum("count")).first()
     spec = {"key": key, "buckets": buckets, "rows": rows or 0, "largest": largest or 0, "schema": df.schema.jsonValue()}

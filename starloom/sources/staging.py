@@ -40,7 +40,7 @@ def stage(df: DataFrame) -> DataFrame:
     paths = _staged.get()
     if paths is not None:
         paths.append(path)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
