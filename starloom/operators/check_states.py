@@ -57,13 +57,12 @@ def used(rows: DataFrame, part: str, foreign: Sequence[str]) -> DataFrame:
 
 def doubled(rows: DataFrame, earlier: DataFrame, part: str, keys: Sequence[str]) -> DataFrame:
     """Keys of the part that are there more than once, in it or together with ``earlier`` rows; null equals null."""
-    names = list(map(q, keys))
-    own = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__own"))
-    same = equal_on("e", "o", keys, null_safe=True)
-    met = earlier.select(*names).alias("e").join(own.select(*names).alias("o"), same, "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("__met"))
-    both = own.alias("o").join(met.alias("e"), same, "left").select(
-        *[F.col(f"o.{n}").alias(k) for n, k in zip(names, keys, strict=True)], (F.col("__own") + F.coalesce("__met", F.lit(0))).alias("copies")
-    )
+    names, same = list(map(q, keys)), equal_on("e", "o", keys, null_safe=True)
+    own = rows.select(*names)
+    # One fold of both: a join of them would shuffle the part's keys anew, as null-safe keys are dealt by other expressions.
+    met = earlier.select(*names).alias("e").join(own.alias("o"), same, "left_semi").select(*[col(c).cast(own.schema[c].dataType).alias(c) for c in keys])
+    every = own.withColumn("__own", F.lit(1)).unionByName(met.withColumn("__own", F.lit(0)))
+    both = every.groupBy(*names).agg(F.count(F.lit(1)).alias("copies"), F.max("__own").alias("__own")).filter("__own = 1").drop("__own")
     return both.filter("copies > 1").select(
         F.lit(part).alias("part"), F.lit(key_name(keys)).alias("keys"), F.to_json(F.struct(*names)).alias("key"), "copies"
     )

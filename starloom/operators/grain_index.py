@@ -28,6 +28,7 @@ BITS_PER_ROW, LEAST_WORDS, MOST_WORDS = 32, 64, 1 << 20
 FILTER_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in (PART, FILE)] + [T.StructField(n, T.LongType()) for n in ("words", "word", "bits")]
 )
+_NAMES = T.StructType(FILTER_SCHEMA.fields[:2])
 
 
 def range_schema(schema: T.StructType, grain: Sequence[str]) -> T.StructType:
@@ -97,16 +98,32 @@ def _may_overlap(batch: DataFrame, grain: Sequence[str]) -> Column:
 def files_that_may_hold(ranges: DataFrame, filters: DataFrame, in_batch: DataFrame, grain: Sequence[str]) -> DataFrame:
     """(part, file) of the files that may have a grain of the batch; ``in_batch`` has the grains in the parts' types.
 
-    The driver gets the batch's ranges and the sizes of filters in use.  Filters of files
-    whose ranges miss the batch are not joined.
+    The driver gets the batch's ranges and the names of files that they meet.  Filters of
+    other files are not joined.
     """
     near = ranges.filter(_may_overlap(in_batch, grain)).select(PART, FILE, "words")
-    sizes = [r["words"] for r in near.select("words").distinct().collect()]
-    if not sizes:
-        return near.select(PART, FILE)
+    files = [tuple(r) for r in near.collect()]
+    found: set[tuple[str, str]] = set()
+    # A large batch meets most files in a few words already; the others are then read for the files left over only.
+    for few in (True, False):
+        open_files = [f for f in files if f[:2] not in found]
+        if open_files:
+            found |= {tuple(r) for r in _held(filters, in_batch, grain, open_files, few).collect()}
+    return in_batch.sparkSession.createDataFrame(sorted(found), _NAMES)
+
+
+def _held(filters: DataFrame, in_batch: DataFrame, grain: Sequence[str], files: Sequence[tuple[str, str, int]], few: bool) -> DataFrame:
+    """Those of the files, (part, file, words), whose filters have a grain of the batch; with ``few`` by one word of `LEAST_WORDS`."""
+    sizes = sorted({words for _, _, words in files})
+    names = F.broadcast(in_batch.sparkSession.createDataFrame([f[:2] for f in files], _NAMES))
     hashed = in_batch.select(_hash(grain).alias("__hash")).withColumn("words", F.explode(F.array(*[F.lit(s).cast("long") for s in sizes])))
-    wanted = hashed.select("words", _word(F.col("words")).alias("word"), _bits().alias("wanted")).distinct()
-    held = filters.join(near.select(PART, FILE), [PART, FILE], "left_semi").alias("f").join(
+    hashed = hashed.withColumn("word", _word(F.col("words")))
+    if few:
+        chosen = F.col("word").bitwiseAND(F.lit(LEAST_WORDS - 1)) == 0
+        hashed, filters = hashed.filter(chosen), filters.filter(chosen)
+    # Dealt by the columns of the join, so that the distinct rows and the join share one shuffle.
+    wanted = hashed.select("words", "word", _bits().alias("wanted")).repartition("words", "word").distinct()
+    held = filters.join(names, [PART, FILE], "left_semi").alias("f").join(
         wanted.alias("w"),
         (F.col("f.words") == F.col("w.words")) & (F.col("f.word") == F.col("w.word")) & (F.col("f.bits").bitwiseAND(F.col("w.wanted")) == F.col("w.wanted")),
         "left_semi",

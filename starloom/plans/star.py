@@ -228,7 +228,7 @@ def _state_of(
         if previous is None:
             return written.limit(0)
         if tuple(keys) == tuple(fact.grain):
-            return read_fact_near(spark, root, fact.name, previous, written.select(*map(q, keys)).distinct(), keys)
+            return read_fact_near(spark, root, fact.name, previous, written.select(*map(q, keys)), keys)
         if tuple(keys) == (fact.key,) and (written.agg(F.min(q(fact.key))).first()[0] or previous.last_key + 1) > previous.last_key:
             return written.limit(0)
         return read_fact(spark, root, fact.name, previous)

@@ -61,3 +61,19 @@ def test_keys_doubled_across_parts(spark):
         found = report(quality.run_suite(others, checks, {"x": TableState.of(state, foreign, unique)}))
         assert found == report(quality.run_suite(others, checks))
     assert [r[0] for r in state["doubled"].select("copies").collect()]
+
+
+def test_copies_in_the_part_and_before_it(spark):
+    schema = "a int, b string, v int"
+    rows = spark.createDataFrame([(1, "x", 0), (1, "x", 1), (2, None, 0), (None, None, 0), (3, "y", 0)], schema)
+    earlier = spark.createDataFrame([(2, None, 5), (2, None, 6), (4, "z", 0), (4, "z", 1), (None, None, 7)], schema)
+    found = check_states.doubled(rows, earlier, "p", ("a", "b"))
+    assert sorted((r["key"], r["copies"]) for r in found.collect()) == [("{\"a\":1,\"b\":\"x\"}", 2), ("{\"a\":2}", 3), ("{}", 2)]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # The rows and the earlier ones to their join, and once to the fold.
+        plan = check_states.doubled(rows, earlier, "p", ("a", "b"))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

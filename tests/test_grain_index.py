@@ -89,3 +89,21 @@ def test_filters_never_miss_a_grain(spark, tmp_path, monkeypatch):
     at = parts_of(spark, root, [table])
     found = warehouse.read_fact_near(spark, root, "fact", at, table.filter("a % 5 = 0").select(*GRAIN), GRAIN)
     assert found.filter("a % 5 = 0").count() == 1000
+
+
+def test_a_large_batch_reads_few_words_of_the_filters(spark, tmp_path, monkeypatch):
+    root, steps, held = str(tmp_path), [], grain_index._held
+
+    def counted(filters, in_batch, grain, files, few):
+        found = held(filters, in_batch, grain, files, few)
+        steps.append((few, len(files)))
+        return found
+
+    monkeypatch.setattr(grain_index, "_held", counted)
+    table = spark.range(4000).select(F.col("id").alias("a"), F.lit("x").alias("b"), F.lit(1.0).alias("v"))
+    at = parts_of(spark, root, [table.repartition(4, "a")])
+    assert len(opened(spark, root, at, table)) == 4
+    assert steps == [(True, 4)]
+    # One grain is found in all words of the files that the first step left over.
+    assert len(opened(spark, root, at, spark.createDataFrame([(1500, "x", 0.0)], SCHEMA))) == 1
+    assert len(steps) in (2, 3)
