@@ -33,6 +33,9 @@ _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}
 _SPACES = regex.compile(r"\p{White_Space}+")
 #: str.split takes these as white space, the vocabulary's rules don't.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: Marks that the patterns make a piece of when they end a word of letters.
+_MARKS = frozenset(".,;:!?")
+_ID = struct.Struct("<I")
 _WORD_END = "</w>"
 _NO_MERGE = 1 << 60
 #: Bits of a symbol's number in a pair.
@@ -72,20 +75,24 @@ class Vocabulary:
         for (a, b), rank in self.ranks.items():
             self._pair_ranks[number(a) << _PAIR_BITS | number(b)] = rank
             self._merged_to[rank] = number(a + b)
-        self._symbol_ids = [self.ids.get(symbol) for symbol in numbers]
-        self._pieces: dict[str, list[int]] = {}
+        self._byte_ranks = [[self._pair_ranks.get(a << _PAIR_BITS | b, _NO_MERGE) for b in self._plain] for a in self._plain]
+        # A symbol that is no token has no id.
+        self._symbol_ids = [_ID.pack(self.ids[symbol]) if symbol in self.ids else b"" for symbol in numbers]
+        self._pieces: dict[str, bytes] = {}
 
-    def merged(self, piece: str) -> list[int]:
-        """Ids of one piece: the pair of lowest rank is merged first, of equal ones the leftmost."""
+    def merged(self, piece: str) -> bytes:
+        """Ids of one piece, as of `encoded`: the pair of lowest rank is merged first, of equal ones the leftmost."""
         data = piece.encode()
         if len(data) > 48:
             long = [self._characters[b] for b in data]
             long[-1] += _WORD_END
-            return [self.ids[p] for p in self._merged_long(long) if p in self.ids]
+            return b"".join([_ID.pack(self.ids[p]) for p in self._merged_long(long) if p in self.ids])
         parts = [self._plain[b] for b in data]
         parts[-1] = self._ending[data[-1]]
-        rank, merged_to = self._pair_ranks.get, self._merged_to
-        ranks = [rank(a << _PAIR_BITS | b, _NO_MERGE) for a, b in zip(parts, parts[1:], strict=False)]
+        rank, merged_to, rows = self._pair_ranks.get, self._merged_to, self._byte_ranks
+        ranks = [rows[a][b] for a, b in zip(data, data[1:], strict=False)]
+        if ranks:
+            ranks[-1] = rank(parts[-2] << _PAIR_BITS | parts[-1], _NO_MERGE)
         while ranks and (best := min(ranks)) != _NO_MERGE:
             at = ranks.index(best)
             new = parts[at] = merged_to[best]
@@ -94,8 +101,7 @@ class Vocabulary:
                 ranks[at - 1] = rank(parts[at - 1] << _PAIR_BITS | new, _NO_MERGE)
             if at < len(ranks):
                 ranks[at] = rank(new << _PAIR_BITS | parts[at + 1], _NO_MERGE)
-        ids = [self._symbol_ids[p] for p in parts]
-        return ids if None not in ids else [i for i in ids if i is not None]
+        return b"".join(map(self._symbol_ids.__getitem__, parts))
 
     def _merged_long(self, parts: list[str]) -> list[str]:
         """The same merges with a heap, for pieces of any length."""
@@ -122,23 +128,33 @@ class Vocabulary:
             offer(i)
         return [p for p in parts if p]
 
+    def _piece(self, piece: str) -> bytes:
+        """`merged`, remembered."""
+        ids = self._pieces.get(piece)
+        if ids is None:
+            if len(self._pieces) >= REMEMBERED:
+                self._pieces.clear()
+            ids = self._pieces[piece] = self.merged(piece)
+        return ids
+
     def encoded(self, word: str) -> bytes:
         """Ids of a word without white space, little-endian unsigned 32-bit."""
-        out: list[int] = []
+        if word.isascii():
+            # Most words are letters, and perhaps a mark that ends them; the patterns below cut them alike.
+            if word.isalpha():
+                return self._piece(word.lower())
+            if word[-1:] in _MARKS and (letters := word[:-1]).isalpha():
+                return self._piece(letters.lower()) + self._piece(word[-1])
+        out: list[bytes] = []
         sections = self._special_pattern.split(word) if self._special_pattern and "<" in word else [word]
         for section in sections:
             if section in self.special:
-                out.append(self.special[section])
+                out.append(_ID.pack(self.special[section]))
             elif section:
                 # The vocabulary's lower case looks at single characters: no final sigma.
                 lower = section.lower() if section.isascii() else unicodedata.normalize("NFC", section).replace("Σ", "σ").lower()
-                for piece in (lower,) if lower.isalpha() else _PIECES.findall(lower):
-                    if (ids := self._pieces.get(piece)) is None:
-                        if len(self._pieces) >= REMEMBERED:
-                            self._pieces.clear()
-                        ids = self._pieces[piece] = self.merged(piece)
-                    out.extend(ids)
-        return struct.pack(f"<{len(out)}I", *out)
+                out += map(self._piece, (lower,) if lower.isalpha() else _PIECES.findall(lower))
+        return b"".join(out)
 
     def decoded(self, ids: bytes) -> str:
         """Tokens joined by one space, special ones included: the vocabulary names no decoder."""
@@ -156,13 +172,17 @@ class Codec:
     def __init__(self, vocabulary: Vocabulary, lexicon: Transducer):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self._ids: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
 
     def _learned(self, word: str) -> bytes:
-        found = self.lexicon.get(word.encode())
+        found = self._before.get(word)
+        if found is None:
+            found = self.lexicon.get(word.encode())
         if found is None:
             found = self.vocabulary.encoded(word)
-        if len(self._ids) >= REMEMBERED:
-            self._ids.clear()
+        if len(self._ids) >= REMEMBERED // 2:
+            # The words in use come back from the older half.
+            self._before, self._ids = self._ids, {}
         self._ids[word] = found
         return found
 

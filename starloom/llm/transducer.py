@@ -17,6 +17,9 @@ import numpy as np
 
 _BYTES = [bytes([b]) for b in range(256)]
 _HEAD = struct.Struct("<5q")
+#: Bytes of a word's beginning whose state a reader remembers, and how many beginnings.
+HEAD, MOST_HEADS = 5, 100_000
+_UNKNOWN = object()
 
 
 class Compiler:
@@ -123,16 +126,43 @@ class Transducer:
         self._final = self._labels + edges
         self._outputs = self._final + states
         self.states, self.words = states, words
+        self._heads: dict[bytes, tuple[int, int] | None] = {}
 
     @classmethod
     def open(cls, path: str) -> Transducer:
         with open(path, "rb") as file:
             return cls(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
 
+    def _step(self, state: int, rank: int, byte: int) -> tuple[int, int] | None:
+        """The state behind one byte, and the words that come before it."""
+        labels = self._labels
+        edge = self._buffer.find(_BYTES[byte], labels + self._first[state], labels + self._first[state + 1])
+        if edge < 0:
+            return None
+        return self._target[edge - labels], rank + self._skip[edge - labels]
+
+    def _walked(self, head: bytes) -> tuple[int, int] | None:
+        """State and rank behind the beginning of a word; remembered, as words share few beginnings."""
+        at: tuple[int, int] | None = (self._root, 0)
+        for byte in head:
+            if (at := self._step(*at, byte)) is None:
+                break
+        if len(self._heads) >= MOST_HEADS:
+            self._heads.clear()
+        self._heads[head] = at
+        return at
+
     def get(self, word: bytes) -> bytes | None:
         """The output of the word, None if the automaton doesn't have it."""
-        state, rank, first, labels, find = self._root, 0, self._first, self._labels, self._buffer.find
-        for byte in word:
+        head = word[:HEAD]
+        at = self._heads.get(head, _UNKNOWN)
+        if at is _UNKNOWN:
+            at = self._walked(head)
+        if at is None:
+            return None
+        state, rank = at
+        first, labels, find = self._first, self._labels, self._buffer.find
+        for byte in word[HEAD:]:
             edge = find(_BYTES[byte], labels + first[state], labels + first[state + 1])
             if edge < 0:
                 return None

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from starloom.llm import bpe
+from starloom.llm import bpe, transducer
 from starloom.llm.transducer import Transducer, compiled
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -96,3 +96,23 @@ def test_transducer_shares_endings(tmp_path):
     assert all(automaton.get(w) == w.upper() for w in words)
     assert automaton.words == len(words)
     assert automaton.states < 20  # 13 for the stems at most, endings once
+
+
+@pytest.mark.parametrize("word", ["word", "Word.", "WORD?", "don't", "it's.", "a..", "x1.", ".", "..", "<|endoftext|>.", "Straße,", "ΣΑΣ.", "z" * 60 + "!"])
+def test_words_of_letters_are_cut_as_the_patterns_cut_them(library, vocabulary, word):
+    assert ids_of(vocabulary.encoded(word)) == library.encode(word, add_special_tokens=False).ids
+
+
+def test_a_codec_that_forgets_gives_the_same_ids(vocabulary, monkeypatch):
+    text = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{'s' * (i % 5)}" for i in range(900)) + " waa wba" * 50
+    plain = bpe.Codec(vocabulary, Transducer(compiled([]))).encode(text)
+    monkeypatch.setattr(bpe, "REMEMBERED", 40)
+    monkeypatch.setattr(transducer, "MOST_HEADS", 7)
+    vocabulary._pieces.clear()
+    words = sorted(set(text.split()))[::2]
+    codec = bpe.Codec(vocabulary, Transducer(compiled([(w.encode(), vocabulary.encoded(w)) for w in words])))
+    assert codec.encode(text) == plain and len(codec._ids) <= 20 and len(codec._before) <= 20
+    assert all(len(x) <= 40 for x in (vocabulary._pieces, codec.lexicon._heads))
+    # Words that were in use last outlive a change of halves.
+    monkeypatch.setattr(Transducer, "get", lambda *_: pytest.fail("looked up again"))
+    assert codec.encode(text.split()[-1]) == vocabulary.encoded(text.split()[-1])
