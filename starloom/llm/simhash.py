@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import dropped, keyed_texts, map_batches, written
+from starloom.llm.common import keyed_texts, map_batches, written
 from starloom.llm.components import components
 
 SHINGLE, SEED = 3, 42
@@ -141,7 +141,7 @@ def _keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _close(nodes: DataFrame, paired: int) -> DataFrame:
-    """Links (a, b) between the fingerprints ``node`` that differ in two bits at most: all of them, or enough to connect their ends."""
+    """Links (a, b) between the fingerprints ``node`` that differ in two bits at most: all of them, or enough to connect their ends; a link may repeat."""
     keys = map_batches(nodes, "key long, node long", _keyed)
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = written(keys.join(sizes, "key"))
@@ -152,7 +152,7 @@ def _close(nodes: DataFrame, paired: int) -> DataFrame:
     around = many.select("node", F.explode(flips).alias("flip")).select("node", F.col("node").bitwiseXOR(F.col("flip")).alias("vector"))
     first = around.groupBy("vector").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("vector", "first")
     stars = around.join(first, "vector").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    return pairs.unionByName(stars).distinct()
+    return pairs.unionByName(stars)
 
 
 def fingerprint_groups(docs: DataFrame, paired: int = PAIRED) -> DataFrame:
@@ -170,8 +170,6 @@ def fingerprint_groups(docs: DataFrame, paired: int = PAIRED) -> DataFrame:
     nodes = written(prints.groupBy(F.col("fingerprint").alias("node")).agg(F.min("doc_id").alias("smallest")))
     label = components(_close(nodes.select("node"), paired))
     labelled = nodes.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    # Only a component of several nodes has to be folded.
-    smallest = written(labelled.groupBy("label").agg(F.min("smallest").alias("component_id")))
-    named = written(labelled.join(smallest, "label").select(F.col("node").alias("fingerprint"), "component_id"))
-    dropped(nodes, smallest)
+    smallest = labelled.groupBy("label").agg(F.min("smallest").alias("component_id"))
+    named = labelled.join(smallest, "label").select(F.col("node").alias("fingerprint"), "component_id")
     return prints.join(named, "fingerprint").select("doc_id", "text_key", "fingerprint", "component_id")

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 from starloom.llm import near_dedup, substring_dedup
-from starloom.llm.common import gram_hashes, hashed_words, span_hashes
+from starloom.llm.common import gram_hashes, hashed_words, span_hashes, written
 from starloom.llm.components import components
 
 
@@ -35,6 +35,29 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_files_of_rounds(spark, monkeypatch):
+    """A round's result has no file for each shuffle partition, however many there are."""
+    files = []
+
+    def counted(df):
+        out = written(df)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr("starloom.llm.components.written", counted)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    edges = [(i, i + 1) for i in range(300) if i % 50] + [(1000, 1000 + i) for i in range(1, 200)]
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == united({n for e in edges for n in e}, edges)
+    assert len(files) > 2 and max(files[1:]) <= spark.sparkContext.defaultParallelism
+
+
 def test_groups_of_near_copies(spark):
     """Copies of one text with a few or many changed words: some link with the original only, some with none."""
     draw = random.Random(2)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from starloom.llm import lexical_search, periodic_runs, simhash
+from starloom.llm import common, lexical_search, periodic_runs, simhash
 
 
 def plain_runs(words, least=12):
@@ -191,6 +191,21 @@ def test_groups_of_documents(spark):
     assert found == sorted((str(r[0]), smallest[c]) for r, c in zip(rows, label, strict=True))
 
 
+def test_tables_staged_for_fingerprints(spark, monkeypatch):
+    """Only what is read more than once is staged: fingerprints, nodes and keys of several nodes."""
+    staged = []
+
+    def counted(df):
+        staged.append(df.columns)
+        return common.written(df)
+
+    monkeypatch.setattr(simhash, "written", counted)
+    docs = spark.createDataFrame([(i, f"some words of {i % 3}") for i in range(9)], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in simhash.fingerprint_groups(docs).collect()}
+    assert found == {i: i % 3 for i in range(9)}
+    assert staged == [["doc_id", "text_key", "fingerprint"], ["node", "smallest"], ["key", "node", "n"]]
+
+
 def plain_search(docs, items, places=10):
     import math
     from collections import Counter
